@@ -21,6 +21,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8) -> Spar
         .appName("momentlake")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
         .getOrCreate()
     )
