@@ -123,6 +123,22 @@ ADAPTERS: dict[str, str] = {
         select vec_id % 5 as vod_id, cast(label as bigint) as speaker, vec_id as pos,
                1 + vec_id % 5 as dur, embedding
         from {embeddings}""",
+    # Short exchanges in which people introduce themselves or call each other by name.
+    "dialogue": """
+        select o_custkey as vod_id, o_orderkey as pos, (o_orderkey * 3) % 40 + 6 * (o_orderkey % 5) as start_s,
+               concat('SPEAKER_0', cast(o_orderkey % 3 as string)) as speaker_label,
+               case cast(o_orderkey % 7 as int)
+                   when 0 then concat('Hey Robin', cast(o_orderkey % 4 as string), ' did you see that')
+                   when 1 then concat('I am Robin', cast(o_orderkey % 3 as string), ' and this is fun')
+                   when 2 then concat('thanks Alex, thank you sam', cast(o_orderkey % 2 as string), ' for the raid')
+                   when 3 then 'ALEX here, my name is alex'
+                   when 4 then concat('ok kim', cast(o_orderkey % 3 as string), ', what do you think')
+                   when 5 then 'no names today' else 'hi hello Kim hey kim' end as text
+        from {orders}""",
+    "dialogue_chat": """
+        select o_custkey as vod_id, o_orderkey as pos,
+               case when o_orderkey % 2 = 0 then ' Kim1' when o_orderkey % 3 = 0 then 'ROBIN0' else 'viewer' end as usr
+        from {orders}""",
     # Signed audio samples, 120 seconds per video.
     "samples": """
         select l_suppkey as vod_id, l_partkey % 120 as sec,

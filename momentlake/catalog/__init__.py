@@ -12,7 +12,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 CHECKS: dict[str, str] = {}
 
-MODULES = ("chat_queries", "fusion_queries", "manifest_queries")
+MODULES = ("chat_queries", "fusion_queries", "manifest_queries", "speaker_queries")
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
