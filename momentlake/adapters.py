@@ -139,6 +139,35 @@ ADAPTERS: dict[str, str] = {
         select o_custkey as vod_id, o_orderkey as pos,
                case when o_orderkey % 2 = 0 then ' Kim1' when o_orderkey % 3 = 0 then 'ROBIN0' else 'viewer' end as usr
         from {orders}""",
+    # Triage candidates as loosely typed replies.
+    "triage_raw": """
+        select o_custkey as vod_id, o_orderkey as pos, (o_orderkey * 37) % 900 as fallback_start,
+               (o_orderkey * 37) % 900 + 60 as fallback_end,
+               case when o_orderkey % 11 = 0 then 'bad' else cast((o_orderkey * 37) % 900 as string) end as start_txt,
+               case when o_orderkey % 13 > 0 then cast((o_orderkey * 37) % 900 + (o_orderkey % 9 - 1) * 10 as string) end
+                   as end_txt,
+               case when o_orderkey % 5 > 0 then concat(cast((o_orderkey * 37) % 900 + o_orderkey % 30 - 5 as string), '.7') end
+                   as trim_start_txt,
+               case when o_orderkey % 4 > 0 then cast((o_orderkey * 37) % 900 + o_orderkey % 70 as string) end as trim_end_txt,
+               case when o_orderkey % 17 = 0 then 'not-a-number'
+                    else cast(cast(floor(o_totalprice / 1000) as bigint) % 13 as string) end as score_txt,
+               case when o_orderkey % 19 > 0 then concat('0.', cast(o_custkey % 97 as string)) end as confidence_txt,
+               case when o_orderkey % 3 = 0 then concat('  cand ', cast(o_orderkey as string), ' ')
+                    when o_orderkey % 3 = 1 then '  ' end as id_txt,
+               case o_orderstatus when 'F' then ' story ' when 'O' then '' end as narrative_txt,
+               case when o_orderkey % 4 = 0 then ' Critical' when o_orderkey % 4 = 1 then 'maybe'
+                    when o_orderkey % 4 = 2 then 'verify_scene' end as need_txt,
+               split(case o_orderpriority when '1-URGENT' then 'Chat_Spike, laugh' when '2-HIGH' then 'sound,audio, '
+                    when '3-MEDIUM' then 'coverage' when '5-LOW' then 'scene_change,reaction,reaction'
+                    else 'text_top_rank,visual_novelty' end, ',') as reasons,
+               split(case when o_orderkey % 6 = 0 then ' a line, ,a line,b' else ' ' end, ',') as evidence
+        from {orders}""",
+    # One annotation window per chat event.
+    "annotations_raw": f"""
+        select cast(day(ts) as bigint) as vod_id, event_id as pos,
+               {_SECOND_OF_DAY} - {_SECOND_OF_DAY} % 30 as start_s, {_SECOND_OF_DAY} - {_SECOND_OF_DAY} % 30 + 30 as end_s,
+               {_SECOND_OF_DAY} as t, event_type, props, cast(floor(value) as bigint) as v, user_id
+        from {{events}}""",
     # Signed audio samples, 120 seconds per video.
     "samples": """
         select l_suppkey as vod_id, l_partkey % 120 as sec,

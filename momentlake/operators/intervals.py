@@ -238,3 +238,49 @@ def scenes_from_cuts(cuts: DataFrame, tail_seconds: int = 300) -> DataFrame:
         .withColumnRenamed("t", "start_s")
         .withColumn("duration_s", F.col("end_s") - F.col("start_s"))
     )
+
+
+def surrounding_times(
+    points: DataFrame, marks: DataFrame, *, block_seconds: int = BLOCK_SECONDS, keys: Sequence[str] = ("vod_id",)
+) -> DataFrame:
+    """For each distinct point ``(keys, t)`` the nearest mark at or before
+    (``prev_mark``) and at or after it (``next_mark``), NULL where there is none.
+
+    Both tables have a time column ``t``.  Points and marks meet on one grid of
+    distinct times, scanned block by block.
+    """
+    grid = (
+        points.select(*keys, "t", F.lit(0).alias("_m"), F.lit(1).alias("_p"))
+        .unionByName(marks.select(*keys, "t", F.lit(1).alias("_m"), F.lit(0).alias("_p")))
+        .groupBy(*keys, "t")
+        .agg(F.max("_m").alias("_m"), F.max("_p").alias("_p"))
+    )
+    here = F.when(F.col("_m") == 1, F.col("t"))
+    before = last_marked(grid, order="t", value=here, out="prev_mark", keys=keys, block_seconds=block_seconds)
+    mirrored = before.withColumn("_neg", -F.col("t"))
+    after = last_marked(
+        mirrored, order="_neg", value=F.when(F.col("_m") == 1, F.col("_neg")), out="_next", keys=keys,
+        block_seconds=block_seconds,
+    )
+    return after.where(F.col("_p") == 1).select(*keys, "t", "prev_mark", (-F.col("_next")).alias("next_mark"))
+
+
+def numbered(
+    rows: DataFrame, *, order: Sequence[str], block: Column, out: str, keys: Sequence[str] = ("vod_id",)
+) -> DataFrame:
+    """Row numbers from 0 per key in ``order``, counted inside blocks plus the
+    sizes of the earlier blocks; ``block`` must not decrease in ``order``."""
+    tagged = rows.withColumn("_block", block)
+    inside = Window.partitionBy(*keys, "_block").orderBy(*order)
+    earlier = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        tagged.groupBy(*keys, "_block")
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .select(*keys, "_block", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"))
+    )
+    return (
+        tagged.withColumn("_inside", F.row_number().over(inside) - 1)
+        .join(offsets, [*keys, "_block"])
+        .withColumn(out, F.col("_inside") + F.col("_offset"))
+        .drop("_block", "_inside", "_offset")
+    )
