@@ -203,12 +203,14 @@ def vision_shortlist(
     lanes = F.array(*[lane_reason(reasons, lane, synonyms) for lane, synonyms in LANES.items()]).alias("lanes")
     sentinel = lane_reason(reasons, SENTINEL_REASON, SENTINEL_LANE).alias("sentinel")
     rows = top.select("vod_id", F.struct(F.col("rank").alias("r"), "start_s", lanes, sentinel).alias("c"))
+    cands = rows.groupBy("vod_id").agg(F.array_sort(F.collect_list("c")).alias("cands"))
+    no_cands = F.array().cast(cands.schema["cands"].dataType)
     videos = (
-        rows.groupBy("vod_id")
-        .agg(F.array_sort(F.collect_list("c")).alias("cands"))
-        .join(budgets.select("vod_id", F.col("budget").cast("int").alias("budget")), "vod_id")
+        budgets.where(F.col("budget") > 0)
+        .select("vod_id", F.col("budget").cast("int").alias("budget"))
+        .join(cands, "vod_id", "left")
         .join(_sentinel_targets(manifest, budgets, sentinel_ratio), "vod_id", "left")
-        .where(F.col("budget") > 0)
+        .withColumn("cands", F.coalesce("cands", no_cands))
         .withColumn("k", F.coalesce("k", F.lit(0)).cast("int"))
     )
     no_turn = F.lit(None).cast("int")
