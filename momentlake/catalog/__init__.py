@@ -12,7 +12,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 CHECKS: dict[str, str] = {}
 
-MODULES = ("chat_queries", "fusion_queries", "manifest_queries", "speaker_queries", "context_queries", "scoring_queries", "triage_queries", "text_queries", "stitching_queries", "selection_queries")
+MODULES = ("chat_queries", "fusion_queries", "manifest_queries", "speaker_queries", "context_queries", "scoring_queries", "triage_queries", "text_queries", "stitching_queries", "selection_queries", "profile_queries", "game_queries", "compare_queries", "quality_queries", "source_queries")
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:

@@ -24,6 +24,7 @@ def round_half_even(c: Column | str, digits: int) -> Column:
 
 
 def clamp(c: Column | str, low: float, high: float) -> Column:
+    """The value kept between ``low`` and ``high``; it must not be NULL."""
     return F.greatest(F.lit(float(low)), F.least(F.lit(float(high)), _col(c)))
 
 
@@ -65,9 +66,8 @@ def clean_list(c: Column | str) -> Column:
 
 def number_signal(c: Column | str, full_scale: float) -> Column:
     """Values up to 1 are clamped, larger ones divided by ``full_scale``."""
-    v = _col(c).cast("double")
-    scaled = F.when(v <= 1.0, v).otherwise(v / max(full_scale, 1.0))
-    return F.coalesce(clamp(scaled, 0, 1), F.lit(0.0))
+    v = F.coalesce(_col(c).cast("double"), F.lit(0.0))
+    return clamp(F.when(v <= 1.0, v).otherwise(v / max(full_scale, 1.0)), 0, 1)
 
 
 def text_signal(c: Column | str) -> Column:

@@ -373,7 +373,7 @@ def stitch(
     )
     top_kind = F.get(F.filter(tally, lambda t: t["n"] == F.array_max(F.transform(tally, lambda x: x["n"]))), 0)["k"]
     best = F.get(F.filter(m, lambda x: x["worth"] == F.array_max(of("worth"))), 0)
-    lines = F.transform(F.flatten(F.transform(m, lambda x: F.coalesce(x["evidence_lines"], F.array().cast("array<string>")))), F.trim)
+    lines = F.transform(F.flatten(F.transform(m, lambda x: F.coalesce(x["evidence_lines"], F.array().cast("array<string>")))), lambda x: F.trim(x))
     evidence = F.array_distinct(F.filter(lines, lambda x: x != ""))
     filled = lambda c, d: F.coalesce(F.when(c != "", c), F.lit(d))
     arcs = arcs.select(
