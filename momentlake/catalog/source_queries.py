@@ -174,7 +174,7 @@ def _detection_documents(spark, sf_dir):
         .when(part == 1, as_object)
         .when(part == 2, F.concat(F.lit("["), listed, F.lit("]")))
         .when(part == 3, F.concat(F.lit('{"total":1,"frames":['), listed, F.lit("]}")))
-        .otherwise(F.array_join(F.transform("l", lambda p: p["x"]), "\n"))
+        .otherwise(F.concat(F.array_join(F.transform("l", lambda p: p["x"]), "\n"), F.lit("\n[]")))
     )
     return rows.select("vod_id", "part", doc.alias("doc"))
 
@@ -186,7 +186,7 @@ def _detection_documents(spark, sf_dir):
     from detections where second_s > 0 group by all"""),
 )
 def detection_documents_source(spark, sf_dir):
-    out = documents.detections_from_documents(_detection_documents(spark, sf_dir)).where("second_s > 0")
+    out = documents.detections_from_documents(_detection_documents(spark, sf_dir)).where("second_s > 0 and size(labels) > 0")
     return out.withColumn("labels", F.array_join("labels", ","))
 
 

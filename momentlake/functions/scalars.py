@@ -51,7 +51,7 @@ def clean_text(c: Column | str, default: Column | str) -> Column:
     """Trimmed text, or ``default`` where nothing is left."""
     fallback = F.lit(default) if isinstance(default, str) else default
     trimmed = F.regexp_replace(_col(c), r"^\s+|\s+$", "")
-    return F.coalesce(F.when(trimmed != "", trimmed), fallback)
+    return F.coalesce(F.nullif(trimmed, F.lit("")), fallback)
 
 
 def clean_list(c: Column | str) -> Column:

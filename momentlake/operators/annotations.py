@@ -191,44 +191,58 @@ def signal_counts(pairs: DataFrame) -> DataFrame:
 
 def signal_summary(pairs: DataFrame) -> DataFrame:
     """One row per span with annotations: totals, largest likelihoods, alert and
-    reaction flags, and up to 20 distinct evidence lines in order."""
-    totals = pairs.groupBy("vod_id", "span_id").agg(
+    reaction flags, and up to 20 distinct evidence lines in order.
+
+    Flags are taken from the event lists of each annotation; only the events
+    that count as evidence become rows.
+    """
+    key = ["vod_id", "span_id"]
+    any_event = lambda kind, types: F.exists(
+        f"ann.{kind}_events", lambda e: clean_text(e["type"], "unknown").isin(*types)
+    )
+    refs = F.array_sort(F.collect_list(F.struct(F.col("ann.pos").alias("p"), F.col("ann.window_id").alias("w"))))
+    totals = pairs.groupBy(*key).agg(
         F.count(F.lit(1)).alias("annotation_count"),
         F.count_if(~F.col("ann.parse_ok")).alias("parse_failures"),
         *[
             round_half_even(F.max(f"ann.{c}"), 4).alias(c)
             for c in ("streamer_led_likelihood", "transactional_alert_likelihood", "organic_reaction_likelihood")
         ],
-        F.array_distinct(
-            F.transform(
-                F.array_sort(F.collect_list(F.struct(F.col("ann.pos").alias("p"), F.col("ann.window_id").alias("w")))),
-                lambda x: x["w"],
-            )
-        ).alias("annotation_refs"),
-    )
-    events = _events(pairs)
-    audio, visual = F.col("kind") == "audio", F.col("kind") == "visual"
-    flags = events.groupBy("vod_id", "span_id").agg(
-        F.max(audio & F.col("type").isin(*ALERT_SOUNDS)).alias("has_audio_alert"),
-        F.max(visual & F.col("type").isin(*REACTIONS)).alias("has_visual_reaction"),
-    )
-    telling = events.where(
-        (audio & F.col("type").isin(*AUDIO_SIGNALS)) | (visual & F.col("type").isin(*VISUAL_SIGNALS))
+        F.array_distinct(F.transform(refs, lambda x: x["w"])).alias("annotation_refs"),
+        F.max(any_event("audio", ALERT_SOUNDS)).alias("has_audio_alert"),
+        F.max(any_event("visual", REACTIONS)).alias("has_visual_reaction"),
     )
-    lines = (
-        telling.groupBy(
-            "vod_id", "span_id", F.concat("kind", F.lit(":"), "type", F.lit("@"), F.col("t").cast("string")).alias("line")
+
+    def telling(kind: str, rank: int, types: tuple[str, ...]) -> Column:
+        rows = F.transform(
+            f"ann.{kind}_events",
+            lambda e, i: F.struct(
+                F.col("ann.pos").alias("pos"), F.lit(rank).alias("k"), i.alias("i"),
+                clean_text(e["type"], "unknown").alias("type"), e["timestamp"].alias("t"),
+            ),
+        )
+        hits = F.filter(rows, lambda r: r["type"].isin(*types))
+        return F.transform(
+            hits,
+            lambda r: F.struct(
+                F.concat(F.lit(f"{kind}:"), r["type"], F.lit("@"), r["t"].cast("string")).alias("line"),
+                F.struct(r["pos"].alias("pos"), r["k"].alias("k"), r["i"].alias("i")).alias("ord"),
+            ),
         )
-        .agg(F.min(F.struct("pos", "kind_rank", "i")).alias("ord"))
-        .withColumn("_rank", F.row_number().over(Window.partitionBy("vod_id", "span_id").orderBy("ord")))
+
+    found = F.concat(telling("audio", 0, AUDIO_SIGNALS), telling("visual", 1, VISUAL_SIGNALS))
+    lines = (
+        pairs.select(*key, F.explode(found).alias("e"))
+        .groupBy(*key, F.col("e.line").alias("line"))
+        .agg(F.min("e.ord").alias("ord"))
+        .withColumn("_rank", F.row_number().over(Window.partitionBy(*key).orderBy("ord")))
         .where(F.col("_rank") <= MAX_EVIDENCE_LINES)
-        .groupBy("vod_id", "span_id")
+        .groupBy(*key)
         .agg(F.array_sort(F.collect_list(F.struct("_rank", "line"))).alias("_lines"))
-        .select("vod_id", "span_id", F.col("_lines.line").alias("evidence_lines"))
+        .select(*key, F.col("_lines.line").alias("evidence_lines"))
     )
     return (
-        totals.join(flags, ["vod_id", "span_id"], "left")
-        .join(lines, ["vod_id", "span_id"], "left")
+        totals.join(lines, key, "left")
         .fillna(False, ["has_audio_alert", "has_visual_reaction"])
         .withColumn("evidence_lines", F.coalesce("evidence_lines", F.array().cast("array<string>")))
     )

@@ -91,10 +91,9 @@ def running_context(found: DataFrame, top: int = 5, sure: float = 0.7) -> DataFr
 
 def story_tokens(*texts: Column) -> Column:
     """Distinct words of at least three letters without stop words."""
-    text = F.lower(F.concat_ws(" ", *texts))
-    words = F.regexp_extract_all(text, F.lit("([a-z0-9']+)"), F.lit(1))
+    words = F.split(F.lower(F.concat_ws(" ", *texts)), "[^a-z0-9']+")
     stop = F.array(*[F.lit(w) for w in STOP_WORDS])
-    return F.array_distinct(F.filter(words, lambda w: (F.length(w) >= 3) & ~F.array_contains(stop, w)))
+    return F.filter(F.array_except(words, stop), lambda w: F.length(w) >= 3)
 
 
 def stitch_pairs(
@@ -250,7 +249,7 @@ def stitch_groups(
     ends = [
         edges.select("vod_id", *[F.col(f"{s}_{c}").alias(c) for c in ("pos", "start_s", "end_s")]) for s in "lr"
     ]
-    members = checkpointed(ends[0].unionAll(ends[1]).distinct().withColumn("group_pos", F.col("pos")))
+    members = ends[0].unionAll(ends[1]).distinct().withColumn("group_pos", F.col("pos"))
     open_edges = edges.select("vod_id", "rank", "l_pos", "r_pos")
     accepted: DataFrame | None = None
     schema = _DECISIONS.format(t=dict(edges.dtypes)["vod_id"])
@@ -303,6 +302,8 @@ def stitch_groups(
         # A group may be joined several times in a round: follow the links to the last one.
         moves = decided.where("kind = 'group'").select("vod_id", F.col("a").alias("group_pos"), F.col("b").alias("to"))
         members = checkpointed(_follow(members, moves, max_members))
+        if settled.count() == count:
+            break
         open_edges = live.join(settled.select("vod_id", "rank"), ["vod_id", "rank"], "left_anti").select(
             "vod_id", "rank", "l_pos", "r_pos"
         )

@@ -130,34 +130,37 @@ def detections_from_documents(documents: DataFrame) -> DataFrame:
     record per line.  A record's second is the first of several fields, else its
     key or place.
     """
-    whole = documents.withColumn("v", strict_json(F.col("doc")))
-    by_line = (
-        whole.where("v is null")
-        .select("vod_id", F.posexplode(F.split("doc", "\n")).alias("place", "line"))
-        .withColumn("v", strict_json(F.col("line")))
-        .where("v is not null")
-        .select("vod_id", F.col("place").cast("bigint").alias("fallback"), "v")
-    )
-    inner = whole.where("v is not null")
-    for _ in range(2):  # results may hold frames
-        wrapped = F.coalesce(_field(F.col("v"), "results"), _field(F.col("v"), "frames"))
-        inner = inner.withColumn("v", F.coalesce(wrapped, "v"))
-    listed = inner.where(_is_array(F.col("v"))).select(
-        "vod_id", F.posexplode(_items(F.col("v"))).alias("place", "v")
-    ).select("vod_id", F.col("place").cast("bigint").alias("fallback"), "v")
-    keyed = inner.where(_is_object(F.col("v"))).select("vod_id", F.explode(_entries(F.col("v"))).alias("key", "v")).select(
-        "vod_id", frame_second(F.col("key")).alias("fallback"), "v"
-    )
-    single = inner.where(~_is_array(F.col("v")) & ~_is_object(F.col("v"))).select(
-        "vod_id", F.lit(0).cast("bigint").alias("fallback"), "v"
-    )
-    v = F.col("v")
-    stated = F.try_variant_get(_first(v, _SECOND_FIELDS), "$", "double")
-    second = F.when(_is_object(v), F.coalesce(stated.try_cast("bigint"), F.col("fallback"))).otherwise(F.col("fallback"))
-    labels = F.when(_is_object(v), _labels(_first(v, _LABEL_LISTS))).otherwise(_labels(v))
+    def unwrapped(v: Column) -> Column:
+        return let(v, lambda x: F.coalesce(_field(x, "results"), _field(x, "frames"), x))
+
+    def record(place: Column, v: Column) -> Column:
+        return F.struct(place.cast("bigint").alias("fallback"), v.alias("v"))
+
+    def records(v: Column) -> Column:
+        return (
+            F.when(_is_array(v), F.transform(_items(v), lambda x, i: record(i, x)))
+            .when(
+                _is_object(v),
+                F.transform(F.map_entries(_entries(v)), lambda e: record(frame_second(e["key"]), e["value"])),
+            )
+            .otherwise(F.array(record(F.lit(0), v)))
+        )
+
+    per_line = F.transform(F.split("doc", "\n"), lambda line, i: record(i, strict_json(line)))
+    whole = documents.withColumn("v", unwrapped(unwrapped(strict_json(F.col("doc")))))  # results may hold frames
+    rows = whole.select("vod_id", F.explode(F.when(F.col("v").isNull(), per_line).otherwise(records(F.col("v")))).alias("r"))
+    v, fallback = F.col("r.v"), F.col("r.fallback")
+
+    def second(x: Column) -> Column:
+        stated = F.try_variant_get(_first(x, _SECOND_FIELDS), "$", "double").try_cast("bigint")
+        return F.when(_is_object(x), F.coalesce(stated, fallback)).otherwise(fallback)
+
+    def labels(x: Column) -> Column:
+        return F.when(_is_object(x), _labels(_first(x, _LABEL_LISTS))).otherwise(_labels(x))
+
     return (
-        listed.unionAll(keyed).unionAll(single).unionAll(by_line)
-        .select("vod_id", second.alias("second_s"), F.explode_outer(labels).alias("label"))
+        rows.where(v.isNotNull())
+        .select("vod_id", let(v, second).alias("second_s"), F.explode_outer(let(v, labels)).alias("label"))
         .groupBy("vod_id", "second_s")
         .agg(F.array_sort(F.collect_set("label")).alias("labels"))
     )
