@@ -3,7 +3,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..adapters import entity, with_entities
-from ..operators import scoring, selection
+from ..operators import scoring, selection, trim
+from ..plans.publish import published_clips as publish
+from ..plans.publish import scored_arcs
 from . import query
 from .scoring_queries import _SCORED
 from .scoring_queries import _clips as _scoring_clips
@@ -212,3 +214,31 @@ def rescored_selection(spark, sf_dir):
     rescored = rows.withColumn("final_score", lowered).join(chosen, ["vod_id", "clip_id"])
     kept, _ = selection.regate(rescored)
     return kept.select("vod_id", "clip_id", "rank", "final_score")
+
+
+# No check SQL: the whole job from stitching to re-scored clips; its steps are checked one by one.
+@query("published_clips")
+def published_clips(spark, sf_dir):
+    candidates = entity(spark, sf_dir, "candidates").select(
+        "vod_id", "pos", "candidate_id", "start_s", "end_s", "narrative_type", F.col("trigger_text").alias("trigger"),
+        F.col("payoff_text").alias("payoff"), F.array("trigger_text").alias("evidence_lines"),
+        F.col("confidence").cast("double").alias("confidence"), "worthiness",
+    )
+    analyses = (
+        _scoring_clips(spark, sf_dir)
+        .select(
+            "vod_id", F.concat(F.lit("cand_"), F.col("pos").cast("string")).alias("candidate_id"), "clip_worthiness",
+            "trim_start", "trim_end", "has_payoff", "requires_context", "transactional", "narrative_arc", "trim_reason",
+            "platform_scores", "platform_recommendations", "suggested_penalties", "audio_dead_air", "music_only",
+            "trim_source", F.col("trim_reason").alias("trim_start_reason"),
+        )
+        .withColumn("trim_end_reason", F.lit(None).cast("string"))
+        .withColumn("clip_point", F.lit(None).cast("string"))
+    )
+    scored = scored_arcs(candidates, analyses, entity(spark, sf_dir, "segments"), entity(spark, sf_dir, "turns"))
+    energies = trim.second_energies(entity(spark, sf_dir, "samples"))
+    out = publish(scored, energies, "https://video.example/v")
+    return out.select(
+        "vod_id", "rank", "clip_id", "start_s", "end_s", "trim_start", "trim_end", "trim_source", "score", "raw_score",
+        "title", "start_s_hms", "vod_url", "is_fallback",
+    )

@@ -18,7 +18,11 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def round_half_even(c: Column | str, digits: int) -> Column:
-    """Rounds the binary value half to even, as Python's ``round`` does."""
+    """Rounds half to even after scaling by a power of ten.
+
+    Agrees with Python's ``round`` but for values whose scaled product is only
+    a tie because the product itself was rounded (2.675 gives 2.68, not 2.67).
+    """
     scale = float(10**digits)
     return F.rint(_col(c) * scale) / scale
 

@@ -44,7 +44,7 @@ def align_speakers(segments: DataFrame, turns: DataFrame, min_ratio: float = 0.3
             F.min_by(F.struct("_label", "_shared"), F.struct(-F.col("_shared"), "_ts", "_te", "_label")).alias("_best")
         )
     )
-    covered = F.col("_best._shared") / (F.col("end_s") - F.col("start_s")) >= min_ratio
+    covered = F.try_divide(F.col("_best._shared"), F.col("end_s") - F.col("start_s")) >= min_ratio
     plain = segments.drop("speaker_label")
     return (
         salted_lookup(plain, best, ["vod_id", "start_s", "end_s"], spread_by=["pos"])
