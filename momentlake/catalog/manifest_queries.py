@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from ..adapters import entity, with_entities
 from ..operators import chat, crossref, fusion, intervals, manifest, objects
+from ..runtime import checkpointed
 from . import query
 from .chat_queries import _SPIKE_CTES
 from .fusion_queries import _SCENES
@@ -63,8 +64,9 @@ def _timeline(spark, sf_dir):
 
 
 def _durations(spark, sf_dir):
-    return manifest.video_durations(
-        [(entity(spark, sf_dir, "speech"), "end_s"), (entity(spark, sf_dir, "chat"), "t")]
+    # One row per video, read several times by the windows made of it.
+    return checkpointed(
+        manifest.video_durations([(entity(spark, sf_dir, "speech"), "end_s"), (entity(spark, sf_dir, "chat"), "t")])
     )
 
 

@@ -108,7 +108,7 @@ def scene_candidates(
     )
     lines = point_join(
         segments.select("vod_id", "pos", F.col("start_s").alias("_line_s"), "text"),
-        bounds, bucket=600, at="_line_s", span=("_lo", "_hi"),
+        bounds, bucket=600, at="_line_s", span=("_lo", "_hi"), spread_by=["pos"],
     )
     spoken = text_preview(
         lines, keys=["vod_id", "span_id"], order=["pos"], text="text", max_chars=preview_chars, out="text_preview"

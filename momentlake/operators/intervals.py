@@ -14,6 +14,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BLOCK_SECONDS = 3600
+# Raw rows of one time bucket are spread over this many join keys.
+JOIN_SALTS = 4
+
+
+def _salted(many: DataFrame, few: DataFrame, spread_by: Sequence[str]) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Spreads ``many`` by a hash of ``spread_by`` and repeats ``few`` to match."""
+    if not spread_by:
+        return many, few, []
+    salt = F.pmod(F.xxhash64(*spread_by), F.lit(JOIN_SALTS)).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.lit(JOIN_SALTS - 1)))
+    return many.withColumn("_salt", salt), few.withColumn("_salt", every), ["_salt"]
 
 
 def overlap_join(
@@ -25,13 +36,15 @@ def overlap_join(
     right_span: tuple[str, str],
     closed: bool = False,
     keys: Sequence[str] = ("vod_id",),
+    spread_right_by: Sequence[str] = (),
 ) -> DataFrame:
     """All pairs of intervals of one video that overlap, each pair once.
 
     Both sides are repeated for the time buckets they touch and joined on
     ``(keys, bucket)``; a pair is kept only in the bucket where its overlap
     begins.  ``closed`` also keeps pairs that touch in one point.  Column names
-    other than ``keys`` must differ between the sides.
+    other than ``keys`` must differ between the sides.  Raw rows on the right
+    name columns in ``spread_right_by``: a hash of them spreads a busy bucket.
     """
     ls, le = map(F.col, left_span)
     rs, re_ = map(F.col, right_span)
@@ -42,11 +55,11 @@ def overlap_join(
         return df.withColumn("_bucket", F.explode(F.sequence(first, last)))
 
     hit = (ls <= re_) & (rs <= le) if closed else (ls < re_) & (rs < le)
+    many, few, salt = _salted(spread(right, rs, re_), spread(left, ls, le), spread_right_by)
     return (
-        spread(left, ls, le)
-        .join(spread(right, rs, re_), [*keys, "_bucket"])
+        few.join(many, [*keys, "_bucket", *salt])
         .where(hit & (F.col("_bucket") == F.floor(F.greatest(ls, rs) / bucket)))
-        .drop("_bucket")
+        .drop("_bucket", *salt)
     )
 
 
@@ -59,22 +72,21 @@ def point_join(
     span: tuple[str, str],
     closed: bool = True,
     keys: Sequence[str] = ("vod_id",),
+    spread_by: Sequence[str] = (),
 ) -> DataFrame:
     """Pairs (point, interval) with ``lo <= at <= hi`` (or ``at < hi``).
 
     Only the intervals are repeated over buckets; a point has one bucket.
+    Points that are raw rows name columns in ``spread_by``: a hash of them
+    spreads a busy bucket.
     """
     t, lo, hi = F.col(at), F.col(span[0]), F.col(span[1])
     wide = spans.withColumn(
         "_bucket", F.explode(F.sequence(F.floor(lo / bucket), F.floor(F.greatest(lo, hi) / bucket)))
     )
     inside = (t >= lo) & ((t <= hi) if closed else (t < hi))
-    return (
-        points.withColumn("_bucket", F.floor(t / bucket))
-        .join(wide, [*keys, "_bucket"])
-        .where(inside)
-        .drop("_bucket")
-    )
+    many, few, salt = _salted(points.withColumn("_bucket", F.floor(t / bucket)), wide, spread_by)
+    return many.join(few, [*keys, "_bucket", *salt]).where(inside).drop("_bucket", *salt)
 
 
 def running_max_before(
@@ -231,12 +243,14 @@ def overlapping_chunks(
 def scenes_from_cuts(cuts: DataFrame, tail_seconds: int = 300) -> DataFrame:
     """Cut times to scene intervals: a scene ends at the next cut, the last one
     after ``tail_seconds``.  ``scene_index`` counts from 0 in time order."""
-    per_video = Window.partitionBy("vod_id").orderBy("t", "pos")
+    hour = F.floor(F.col("t") / BLOCK_SECONDS)
+    followed = neighbour(cuts, order=["t", "pos"], block=hour, take=["t"], out="_next", following=True)
     return (
-        cuts.withColumn("scene_index", F.row_number().over(per_video) - 1)
-        .withColumn("end_s", F.coalesce(F.lead("t").over(per_video), F.col("t") + tail_seconds))
+        numbered(followed, order=["t", "pos"], block=hour, out="scene_index")
+        .withColumn("end_s", F.coalesce("_next.t", F.col("t") + tail_seconds))
         .withColumnRenamed("t", "start_s")
         .withColumn("duration_s", F.col("end_s") - F.col("start_s"))
+        .drop("_next")
     )
 
 

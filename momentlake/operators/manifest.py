@@ -251,7 +251,8 @@ def coverage_manifest(
         "vod_id", "pos", "text", F.col("start_s").alias("_ss"), F.col("end_s").alias("_se")
     ).where(F.col("_se") > F.col("_ss"))
     lines = overlap_join(
-        windows, spans, bucket=_BUCKET, left_span=("start_s", "end_s"), right_span=("_ss", "_se")
+        windows, spans, bucket=_BUCKET, left_span=("start_s", "end_s"), right_span=("_ss", "_se"),
+        spread_right_by=["pos"],
     )
     preview = text_preview(lines, keys=_WINDOW, order=["pos"], text="text", max_chars=220, out="_preview")
     chat = mean_intensity(

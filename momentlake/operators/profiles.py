@@ -159,6 +159,8 @@ def context_facts(facts: DataFrame) -> DataFrame:
     return (
         facts.where((F.col("confidence") >= CONTEXT_CONFIDENCE) & (F.size("evidence_refs") > 0))
         .withColumn("rank", F.row_number().over(order))
+        # The common limit runs before the shuffle, the one per kind after it.
+        .where(F.col("rank") <= max(CONTEXT_LIMITS.values()))
         .where(F.col("rank") <= F.try_element_at(limits, F.col("kind")))
     )
 

@@ -67,7 +67,7 @@ def triage_prompt_parts(chunks: DataFrame, segments: DataFrame, messages: DataFr
 
     def inside(rows: DataFrame, at: str, section: str, payload: Column) -> DataFrame:
         return point_join(
-            rows, spans, bucket=600, at=at, span=("chunk_start", "chunk_end"), closed=False
+            rows, spans, bucket=600, at=at, span=("chunk_start", "chunk_end"), closed=False, spread_by=["pos"]
         ).select("vod_id", "chunk_index", F.lit(section).alias("section"), F.col(at).alias("ord_s"), "pos", F.to_json(payload).alias("body"))
 
     lines = inside(

@@ -216,7 +216,7 @@ def overlay_ranking(clips: DataFrame, model_clips: DataFrame, fields: list[str])
     inside = (
         point_join(
             model.where(F.col("start_s").isNotNull()).select("vod_id", "pos", F.col("start_s").alias("_t"), "_f"),
-            spans, bucket=300, at="_t", span=("_lo", "_hi"),
+            spans, bucket=300, at="_t", span=("_lo", "_hi"), spread_by=["pos"],
         )
         .groupBy("vod_id", "clip_id")
         .agg(F.min_by("_f", "pos").alias("_range"))

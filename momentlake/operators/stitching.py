@@ -65,7 +65,8 @@ def running_context(found: DataFrame, top: int = 5, sure: float = 0.7) -> DataFr
     """After each batch: rows so far, rows at or above ``sure`` and the ``top`` most
     confident ones.  ``found``: vod_id, pos, batch, candidate_id, confidence.
 
-    Rows are first reduced to one per batch with its own top list.
+    Rows are first reduced to one per batch with its own top list; a video has
+    few batches, as each holds many analysed clips.
     """
     best = Window.partitionBy("vod_id", "batch").orderBy(F.desc("confidence"), "pos")
     item = F.struct((-F.col("confidence")).alias("neg"), "pos", "candidate_id")
@@ -144,7 +145,7 @@ def stitch_pairs(
         )
     )
     return (
-        point_join(right, left, bucket=300, at="r_start_s", span=("l_start_s", "_reach"))
+        point_join(right, left, bucket=300, at="r_start_s", span=("l_start_s", "_reach"), spread_by=["r_pos"])
         .where(later)
         .withColumn("gap_s", gap)
         .withColumn("type_match", same_kind)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import annotations, intervals, manifest, triage
+from ..runtime import checkpointed
 
 
 @dataclass(frozen=True)
@@ -29,7 +30,8 @@ def prepare(
     step_seconds: int = 60,
 ) -> Prepared:
     """Scored windows, triage chunks and the windows to annotate for all videos."""
-    durations = manifest.video_durations([(segments, "end_s"), (messages, "t"), (timeline, "t")])
+    # One row per video, read by every step below.
+    durations = checkpointed(manifest.video_durations([(segments, "end_s"), (messages, "t"), (timeline, "t")]))
     windows = intervals.sliding_windows(durations, window_seconds, step_seconds).select(
         "vod_id", "window_index", "start_s", "end_s"
     )
