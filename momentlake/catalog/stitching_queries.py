@@ -22,7 +22,8 @@ def _candidates(spark, sf_dir):
     select vod_id, pos, concat('cand_', start_s) as candidate_id, start_s, end_s,
            case when pos % 4 = 0 then 'unknown' else 'story' end as narrative_type,
            case when pos % 5 = 0 then 'Model did not provide explicit trigger' else 'a trigger' end as trigger,
-           case when pos % 3 = 0 then 'a payoff' else cast(has_payoff as varchar) end as payoff,
+           case when pos % 3 = 0 then 'a payoff' when has_payoff then 'True'
+                else 'Model did not provide explicit payoff' end as payoff,
            case when pos % 6 = 0 then 'No direct evidence provided by model output'
                 else concat_ws('|', case when pos % 6 > 2 then 'because' end, case when pos % 6 > 1 then
                      concat('narrative_arc: ', narrative_arc) end, concat('clip_point: ', 'point ', pos)) end as evidence_lines,
@@ -40,7 +41,6 @@ def discoveries(spark, sf_dir):
         .withColumn("narrative_arc", F.when(p % 6 > 1, F.col("narrative_arc")).otherwise(""))
         .withColumn("trigger", F.when(p % 5 > 0, "a trigger"))
         .withColumn("payoff", F.when(p % 3 == 0, "a payoff"))
-        .withColumn("has_payoff_text", F.col("has_payoff").cast("string"))
         .withColumn("clip_point", F.when(p % 6 > 0, F.concat(F.lit("  point "), p.cast("string"))))
         .withColumn("confidence", F.when(p % 7 == 0, (p % 40) / 20))
     )
@@ -50,7 +50,7 @@ def discoveries(spark, sf_dir):
 @query(
     "running_discovery_context",
     with_entities("candidates", """,
-    rows as (select vod_id, pos, start_s // 100 as batch, candidate_id, confidence from candidates),
+    rows as (select vod_id, pos, start_s // 5 as batch, candidate_id, confidence from candidates),
     batches as (select distinct vod_id, batch from rows),
     upto as (
         select b.vod_id, b.batch, r.candidate_id, r.confidence,
@@ -61,7 +61,7 @@ def discoveries(spark, sf_dir):
     from upto group by all"""),
 )
 def running_discovery_context(spark, sf_dir):
-    rows = _candidates(spark, sf_dir).withColumn("batch", F.floor(F.col("start_s") / 100))
+    rows = _candidates(spark, sf_dir).withColumn("batch", F.floor(F.col("start_s") / 5))
     out = stitching.running_context(rows)
     return out.withColumn("top_candidates", F.array_join("top_candidates", ","))
 

@@ -16,6 +16,7 @@ MAX_GAP, MAX_BRIDGE_GAP, MIN_SHARED = 20, 45, 2
 MAX_SPAN, MAX_MEMBERS = 240, 2
 BLOCK_SECONDS = 3600
 EDGES_PER_TASK = 50_000
+BATCHES_PER_BLOCK = 64
 
 # Words that do not tie two stories together.
 STOP_WORDS = (
@@ -31,8 +32,9 @@ def discoveries(analyses: DataFrame) -> DataFrame:
     """Discovery rows from clip analyses.
 
     ``analyses``: vod_id, pos, start_s, end_s, narrative_type, narrative_arc,
-    reason, trigger, payoff, has_payoff_text, clip_point, confidence,
-    clip_worthiness (text or numbers).
+    reason, trigger, payoff, has_payoff (boolean), clip_point, confidence,
+    clip_worthiness (text or numbers).  Without a payoff text the flag itself
+    is shown.
     """
     filled = lambda c: F.when(F.col(c) != "", F.col(c))
     start = F.coalesce(F.col("start_s").cast("bigint"), F.lit(0).cast("bigint"))
@@ -55,7 +57,7 @@ def discoveries(analyses: DataFrame) -> DataFrame:
         F.coalesce(F.col("end_s").cast("bigint"), start).alias("end_s"),
         F.coalesce(filled("narrative_type"), F.lit("unknown")).alias("narrative_type"),
         F.coalesce(filled("trigger"), F.lit(NO_TRIGGER)).alias("trigger"),
-        F.coalesce(filled("payoff"), filled("has_payoff_text"), F.lit(NO_PAYOFF)).alias("payoff"),
+        F.coalesce(filled("payoff"), F.when(F.col("has_payoff"), "True"), F.lit(NO_PAYOFF)).alias("payoff"),
         F.when(F.size(evidence) > 0, evidence).otherwise(F.array(F.lit(NO_EVIDENCE))).alias("evidence_lines"),
         round_half_even(F.when(F.col("confidence").isNotNull(), stated).otherwise(derived), 4).alias("confidence"),
     )
@@ -65,28 +67,40 @@ def running_context(found: DataFrame, top: int = 5, sure: float = 0.7) -> DataFr
     """After each batch: rows so far, rows at or above ``sure`` and the ``top`` most
     confident ones.  ``found``: vod_id, pos, batch, candidate_id, confidence.
 
-    Rows are first reduced to one per batch with its own top list; a video has
-    few batches, as each holds many analysed clips.
+    Rows are first reduced to one per batch with its own top list; those lists
+    are merged inside blocks of batches and then over the earlier blocks.
     """
     best = Window.partitionBy("vod_id", "batch").orderBy(F.desc("confidence"), "pos")
     item = F.struct((-F.col("confidence")).alias("neg"), "pos", "candidate_id")
+    merged = lambda lists: F.slice(F.array_sort(F.flatten(lists)), 1, top)
     tops = (
         found.withColumn("_r", F.row_number().over(best))
         .where(F.col("_r") <= top)
         .groupBy("vod_id", "batch")
         .agg(F.collect_list(item).alias("_top"))
+        .withColumn("_block", F.floor(F.col("batch") / BATCHES_PER_BLOCK))
     )
+    inside = Window.partitionBy("vod_id", "_block").orderBy("batch").rowsBetween(Window.unboundedPreceding, 0)
+    earlier = Window.partitionBy("vod_id").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    carried = (
+        tops.groupBy("vod_id", "_block")
+        .agg(merged(F.collect_list("_top")).alias("_b"))
+        .select("vod_id", "_block", merged(F.collect_list("_b").over(earlier)).alias("_carry"))
+    )
+    ranked = tops.withColumn("_local", F.collect_list("_top").over(inside)).join(carried, ["vod_id", "_block"])
     counts = found.groupBy("vod_id", "batch").agg(
         F.count(F.lit(1)).alias("_n"), F.count_if(F.col("confidence") >= sure).alias("_sure")
     )
     so_far = Window.partitionBy("vod_id").orderBy("batch").rowsBetween(Window.unboundedPreceding, 0)
-    merged = F.slice(F.array_sort(F.flatten(F.collect_list("_top").over(so_far))), 1, top)
-    return counts.join(tops, ["vod_id", "batch"]).select(
+    names = F.transform(
+        F.slice(F.array_sort(F.concat(F.flatten("_local"), "_carry")), 1, top), lambda x: x["candidate_id"]
+    )
+    return counts.join(ranked, ["vod_id", "batch"]).select(
         "vod_id",
         "batch",
         F.sum("_n").over(so_far).alias("analysed"),
         F.sum("_sure").over(so_far).alias("confident"),
-        F.transform(merged, lambda x: x["candidate_id"]).alias("top_candidates"),
+        names.alias("top_candidates"),
     )
 
 
