@@ -81,6 +81,27 @@ def video_durations(spark, sf_dir):
     return _durations(spark, sf_dir)
 
 
+@query(
+    "known_durations",
+    with_entities("chat speech", """,
+    stated as (select c_custkey as vod_id, case when c_custkey % 3 = 0 then 0 else 1000 + c_custkey end as d from customer),
+    seen as (select vod_id, max(t) as t from (select vod_id, end_s as t from speech union all select vod_id, t from chat) group by all)
+    select coalesce(a.vod_id, b.vod_id) as vod_id,
+           cast(case when d > 0 then d else coalesce(t, 0) end as double) as duration_s
+    from stated a full join seen b on a.vod_id = b.vod_id"""),
+)
+def known_durations(spark, sf_dir):
+    from ..adapters import table
+
+    k = F.col("c_custkey")
+    stated = table(spark, sf_dir, "customer").select(
+        k.alias("vod_id"), F.when(k % 3 == 0, 0).otherwise(1000 + k).alias("duration_s")
+    )
+    return manifest.first_known_durations(
+        stated, [(entity(spark, sf_dir, "speech"), "end_s"), (entity(spark, sf_dir, "chat"), "t")]
+    )
+
+
 @query("sliding_windows", with_entities("chat speech", f",{_TIMELINE},{_WINDOWS} select * from windows"))
 def sliding_windows(spark, sf_dir):
     return _windows(spark, sf_dir)

@@ -546,10 +546,10 @@ def enrolment_ranges(spark, sf_dir):
 def export_files(spark, sf_dir):
     words = entity(spark, sf_dir, "candidates").select("vod_id", "pos", "trigger_text", "payoff_text")
     title = F.concat("trigger_text", F.lit(' & "'), "payoff_text", F.lit('" é!'))
-    start = F.coalesce("trim_start", "start_s")
+    analyses = entity(spark, sf_dir, "analyses").withColumn("score", F.col("clip_worthiness"))
     return (
-        entity(spark, sf_dir, "analyses").where("clip_worthiness >= 7").join(words, ["vod_id", "pos"])
-        .select("vod_id", "pos", X.clip_file_name(F.col("pos") % 20, title, start).alias("file_name"))
+        selection.exportable_clips(analyses).join(words, ["vod_id", "pos"])
+        .select("vod_id", "pos", X.clip_file_name(F.col("pos") % 20, title, F.col("trim_start")).alias("file_name"))
     )
 
 

@@ -253,6 +253,15 @@ def overlay_reviews(analyses: DataFrame, reviews: DataFrame, fields: list[str],
     )
 
 
+def exportable_clips(clips: DataFrame, min_score: float = 7.0) -> DataFrame:
+    """Clips worth cutting: a score of at least ``min_score``; a missing trim is the whole clip."""
+    return (
+        clips.where(F.coalesce("score", F.lit(0.0)) >= min_score)
+        .withColumn("trim_start", F.coalesce("trim_start", "start_s"))
+        .withColumn("trim_end", F.coalesce("trim_end", "end_s"))
+    )
+
+
 def top_for_audio(analyses: DataFrame, k: int) -> DataFrame:
     """The ``k`` most worthy clips of each video, equal ones in input order."""
     order = Window.partitionBy("vod_id").orderBy(F.desc(F.coalesce("clip_worthiness", F.lit(0.0))), "pos")

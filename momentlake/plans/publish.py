@@ -39,6 +39,8 @@ def scored_arcs(
         .join(analysed, _KEY)
         .join(context.dead_air(bounds, segments), _KEY)
         .join(context.speaker_stats(bounds, turns, names), _KEY)
+        # A clip without any turn has an unknown voice; titles are then guarded as well.
+        .withColumn("primary_speaker_identity", F.coalesce("primary_speaker_identity", F.lit("unknown")))
     )
     return scoring.score_clips(rows)
 

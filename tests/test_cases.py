@@ -141,13 +141,13 @@ def test_dead_air_of_seventeen_seconds(spark):
 
 def test_read_aloud_by_prefix_and_by_words(spark):
     lines = spark.createDataFrame(
-        [(1, 0, 0.0, 5.0, "she says I met the F1 McLaren", "S"), (1, 1, 5.0, 9.0, "owner at a local cafe", "S")], LINES
+        [(1, 0, 0.0, 5.0, "she says I met the red race car", "S"), (1, 1, 5.0, 9.0, "owner at a local cafe", "S")], LINES
     )
     messages = spark.createDataFrame(
-        [(1, 0, 1.0, "a", "I met the F1 McLaren owner at a local cafe yesterday", None),
+        [(1, 0, 1.0, "a", "I met the red race car owner at a local cafe yesterday", None),
          (1, 1, 2.0, "b", "yesterday my cafe owner met local people", None),
          (1, 2, 2.0, "c", "nothing of this sort was ever said here", None),
-         (1, 3, 2.0, "d", "McLaren owner", None)], CHAT,
+         (1, 3, 2.0, "d", "car owner", None)], CHAT,
     )
     clips = context.clip_bounds(spark.createDataFrame([(1, "c", 3.0)], "vod_id bigint, clip_id string, t double"), "t", 20)
     assert rows(context.read_aloud(clips, lines, messages), "usr") == [("a",), ("b",)]
@@ -355,10 +355,10 @@ def test_alignment_needs_thirty_percent(spark):
 
 def test_recognition_thresholds(spark):
     clusters = spark.createDataFrame([(1, "A", [1.0, 0.0]), (1, "B", [0.0, 1.0]), (1, "C", [0.75, 0.661437827766])], "vod_id bigint, speaker_label string, embedding array<double>")
-    profs = spark.createDataFrame([(0, "streamer_skitch", "streamer", [1.0, 0.0], 0.72, 0.8)], "pos bigint, profile_id string, role string, embedding array<double>, accept_similarity double, high_confidence_similarity double")
+    profs = spark.createDataFrame([(0, "host_marlow", "streamer", [1.0, 0.0], 0.72, 0.8)], "pos bigint, profile_id string, role string, embedding array<double>, accept_similarity double, high_confidence_similarity double")
     turns = spark.createDataFrame([(1, x) for x in "ABCD"], "vod_id bigint, speaker_label string")
     out = {r.speaker_label: r for r in speakers.recognise_clusters(clusters, profs, turns).collect()}
-    assert (out["A"].identity, out["A"].confidence, out["A"].profile_id) == ("streamer", 1.0, "streamer_skitch")
+    assert (out["A"].identity, out["A"].confidence, out["A"].profile_id) == ("streamer", 1.0, "host_marlow")
     assert (out["B"].identity, out["B"].cosine_similarity) == ("unknown", 0.0)
     assert out["C"].confidence == pytest.approx((0.75 - 0.72) / 0.28) and out["D"].cosine_similarity is None
 
@@ -371,14 +371,14 @@ def test_mixed_dimensions_are_reported(spark):
 
 def test_names_from_dialogue(spark):
     lines = spark.createDataFrame(
-        [(1, 0, 10.0, 11.0, "hey Skitch", "S0"), (1, 1, 12.0, 13.0, "yeah thanks", "S1"), (1, 2, 20.0, 21.0, "I'm Nova", "S1"),
+        [(1, 0, 10.0, 11.0, "hey Marlow", "S0"), (1, 1, 12.0, 13.0, "yeah thanks", "S1"), (1, 2, 20.0, 21.0, "I'm Nova", "S1"),
          (1, 3, 30.0, 31.0, "hey bob hey alice", "S0"), (1, 4, 60.0, 61.0, "later", "S1")], LINES,
     )
-    messages = spark.createDataFrame([(1, 0, 29.0, "Skitch", "", None)], CHAT)
+    messages = spark.createDataFrame([(1, 0, 29.0, "Marlow", "", None)], CHAT)
     out = speakers.merge_name_candidates(speakers.infer_names(lines, messages))
-    assert rows(out, "speaker_label", "name", "confidence") == [("S1", "Nova", 0.95), ("S1", "Skitch", 0.72)]
-    assert "chat usernames" in out.where("name = 'Skitch'").first().first_evidence
-    assert one(spark, names.name_mentions(F.lit("hey Skitch, what do you think? I'm Nova"))) == ["Skitch", "Nova"]
+    assert rows(out, "speaker_label", "name", "confidence") == [("S1", "Marlow", 0.72), ("S1", "Nova", 0.95)]
+    assert "chat usernames" in out.where("name = 'Marlow'").first().first_evidence
+    assert one(spark, names.name_mentions(F.lit("hey Marlow, what do you think? I'm Nova"))) == ["Marlow", "Nova"]
 
 
 # Profiles, games
