@@ -64,7 +64,7 @@ def excited_lines(spark, sf_dir):
 @query(
     "document_excitement",
     with_entities("titles", """
-    select clip_id, case when upper(title) = title and lower(title) <> title and length(title) > 5 then 20 else 0 end
+    select clip_id, 0::bigint + case when upper(title) = title and lower(title) <> title and length(title) > 5 then 20 else 0 end
         + case when contains(title, '!!!') or contains(title, '???') or contains(title, '...') then 15 else 0 end
         + case when len(list_filter(regexp_split_to_array(title, '\\s+'), lambda w: w <> '')) < 5
                then 10 else 0 end as excitement
@@ -78,7 +78,7 @@ def document_excitement(spark, sf_dir):
     "moment_signals",
     with_entities(
         "chat speech", "," + _MOMENTS + """
-    select vod_id, src, pos, start_s, end_s, score, signal, message_count, text from moments"""),
+    select vod_id, src::bigint as src, pos, start_s, end_s, score, signal, message_count, text from moments"""),
 )
 def moment_signals(spark, sf_dir):
     spikes = chat.spikes(entity(spark, sf_dir, "chat"), 600)

@@ -138,9 +138,9 @@ def rejected_clips(spark, sf_dir):
 @query(
     "duration_penalties",
     with_entities("analyses", """
-    select vod_id, pos, case when d <= 0 then 3 when d <= 60 then 0 when d <= 75 then 1 when d <= 90 then 2 else 3 end
+    select vod_id, pos, 0::bigint + case when d <= 0 then 3 when d <= 60 then 0 when d <= 75 then 1 when d <= 90 then 2 else 3 end
                as penalty,
-           case when d between 25 and 60 then 0 when d between 20 and 24 or d between 61 and 75 then 1
+           0::bigint + case when d between 25 and 60 then 0 when d between 20 and 24 or d between 61 and 75 then 1
                 when d between 15 and 19 or d between 76 and 90 then 2 else 3 end as banded_penalty,
            concat(d, 's ', case when d between 25 and 60 then 'optimal (25-60s band)'
                 when d between 20 and 24 or d between 61 and 75 then 'acceptable with minor duration penalty'
@@ -264,7 +264,7 @@ def second_energies(spark, sf_dir):
                case when s_suppkey % 7 = 3 then 10 else 0 end as trim_start,
                case when s_suppkey % 5 = 4 then 100 else 120 end as trim_end
         from supplier)
-    select c.vod_id, clip_id, start_s, end_s,
+    select c.vod_id, clip_id, start_s, end_s::bigint as end_s,
            case when due and n >= 15 then start_s + a when due and n is null then 38 else trim_start end as trim_start,
            case when due and n >= 15 then start_s + b when due and n is null then 83 else trim_end end as trim_end,
            case when due and (n >= 15 or n is null) then 'rms_fallback' else 'qwen' end as trim_source
