@@ -42,6 +42,24 @@ def bounded_lookup(fact: DataFrame, table: DataFrame, on: list[str], spread_by:
     return salted_lookup(fact, table, on, spread_by=spread_by)
 
 
+#: A group with at least this fraction of all rows counts as hot: there are at most as many such groups.
+HOT_GROUPS = 1000
+
+
+def attach_groups(slim: DataFrame, groups: DataFrame, key: str) -> DataFrame:
+    """Left join rows with the written table of their groups (``key``, ``group_size``, ...).
+
+    Hot groups, at most ``HOT_GROUPS`` by their share of the rows, are broadcast; no other key has
+    more than that share, so the shuffled join is even.
+    """
+    total = groups.agg(F.coalesce(F.sum("group_size"), F.lit(0)).alias("n")).first()["n"]
+    others = [c for c in groups.columns if c != key]
+    hot = groups.where((F.col("group_size") * HOT_GROUPS >= total) & (F.col("group_size") > 1))
+    marked = slim.join(F.broadcast(hot.select(key, F.struct(*others).alias("_hot"))), key, "left")
+    rest = marked.where(F.col("_hot").isNull()).drop("_hot").join(groups, key, "left")
+    return marked.where(F.col("_hot").isNotNull()).select(*slim.columns, "_hot.*").unionByName(rest)
+
+
 def words_in(text: Column) -> Column:
     """Number of words, 0 for null."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD_PATTERN)), F.lit(0)).cast("long")

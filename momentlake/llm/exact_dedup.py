@@ -8,10 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from momentlake.llm.common import SPACES, shared_table
+from momentlake.llm.common import SPACES, attach_groups, shared_table
 
-#: A group with at least this share of all rows counts as hot; there are at most as many such groups.
-HOT_GROUPS = 1000
 _ID_TOP, _ID_BASE = Decimal(1 << 63), Decimal(1 << 65)
 
 
@@ -77,7 +75,7 @@ def exact_duplicates(
     )
     slim = rows.drop("content")
     single = groups.where(F.col("content").isNull()).drop("content")
-    joined = _with_group(slim, single)
+    joined = attach_groups(slim, single, "digest")
     if not groups.where(F.col("content").isNotNull()).isEmpty():
         clashing = groups.where(F.col("content").isNotNull())
         joined = joined.where(F.col("group_size").isNotNull()).unionByName(
@@ -90,17 +88,6 @@ def exact_duplicates(
     )
 
 
-def _with_group(slim: DataFrame, groups: DataFrame) -> DataFrame:
-    """Attach each row's group.  Hot groups, at most ``HOT_GROUPS`` by their share, are broadcast;
-    no other key has more than that share of the rows."""
-    total = groups.agg(F.coalesce(F.sum("group_size"), F.lit(0)).alias("n")).first()["n"]
-    hot = groups.where(F.col("group_size") * HOT_GROUPS >= total).where(F.col("group_size") > 1)
-    named = F.broadcast(hot.select(F.col("digest"), F.struct("keep_id", "keep_chars", "group_size").alias("hot")))
-    marked = slim.join(named, "digest", "left")
-    rest = marked.where(F.col("hot").isNull()).drop("hot").join(groups, "digest", "left")
-    return marked.where(F.col("hot").isNotNull()).select(*slim.columns, "hot.*").unionByName(rest)
-
-
 def deduplicated(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns, one per content."""
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_id")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from momentlake.llm import exact_dedup, mixing, packing, sharding
+from momentlake.llm import chat_format, exact_dedup, jaccard_join, mixing, packing, pitman_yor, quality, secrets, sharding, winnowing
 from momentlake.llm.common import documents
 from momentlake.runtime import configure
 
@@ -27,6 +27,35 @@ def _query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+@_query("op1_quality_nbsvm")
+def quality_nbsvm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    scored = quality.classify(docs, documents(spark, sf_dir, "labels"))
+    return scored.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+@_query("op2_winnow")
+def winnow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = winnowing.edited_fingerprints(documents(spark, sf_dir))
+    own, edited, following = (winnowing.hash_set(F.col(c)) for c in ("fingerprint", "edited_fingerprint", "next_fingerprint"))
+    return rows.select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        winnowing.as_text(F.col("fingerprint")).alias("fingerprint"),
+        winnowing.as_text(F.col("edited_fingerprint")).alias("edited_fingerprint"),
+        winnowing.likeness(own, edited).alias("near_edited"),
+        winnowing.likeness(own, following).alias("near_next"),
+    )
+
+
+@_query("op3_pitman_yor")
+def pitman_yor_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitman_yor.score_documents(documents(spark, sf_dir)).select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity"
+    )
+
+
 @_query(
     "op4_mix_sources",
     r"""
@@ -64,6 +93,33 @@ def pack_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), with_ids=False).drop("ids")
 
 
+@_query(
+    "op6_maximal_conversations",
+    """
+    with t as (
+      select coalesce('+' || conv_id::varchar, '-') as conv, conv_id, coalesce(role, '') as role, coalesce(text, '') as text, turn,
+        md5(md5(coalesce(role, '')) || md5(coalesce(text, ''))) as said from conversations),
+    p as (
+      select *, row_number() over (partition by conv order by turn nulls first, said) - 1 as pos from t),
+    c as (select conv, count(*) as n, string_agg(said, '' order by pos) as whole from p group by conv),
+    best as (select min(conv) as conv, n, whole from c group by n, whole),
+    kept as (
+      select conv from best a where not exists (
+        select 1 from c b where b.n > a.n and b.whole[1:32] = a.whole[1:32] and starts_with(b.whole, a.whole)))
+    select conv_id, min(pos)::bigint as first_turn, count(*) as n_turns,
+      string_agg('<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10), '' order by pos) as rendered
+    from p semi join kept using (conv) group by conv, conv_id, pos // 64
+    """,
+)
+def maximal_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_format.rendered(documents(spark, sf_dir, "conversations"))
+
+
+@_query("op7_jaccard_join")
+def jaccard_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(documents(spark, sf_dir))
+
+
 @_query("op8_longest_first_shards")
 def longest_first_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
@@ -74,6 +130,20 @@ def longest_first_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query("op9_find_secrets")
+def find_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(documents(spark, sf_dir).select("doc_id", "text"))
+    return found.select(
+        "doc_id",
+        "n_assign",
+        "n_access",
+        "n_hex",
+        F.sha2(secrets.as_text(F.array_sort("base")), 256).alias("base_sha256"),
+        secrets.as_text(F.col("spans")).alias("spans"),
+        "n_random",
+    )
+
+
 @_query(
     "op10_exact_dedup",
     r"""
