@@ -48,7 +48,7 @@ def chat_totals(spark, sf_dir):
 _SPIKE_CTES = """
     bins as (select vod_id, t // {w} as bin, count(*) as c from chat group by all),
     stats as (
-        select vod_id, max(bin) + 1 as n, cast(sum(c) as bigint) as s, cast(sum(c * c) as bigint) as q
+        select vod_id, max(bin) + 1 as n, cast(sum(c) as hugeint) as s, cast(sum(c::hugeint * c) as hugeint) as q
         from bins group by all),
     spikes as (
         select vod_id, bin * {w} as start_s, (bin + 1) * {w} as end_s,

@@ -80,8 +80,7 @@ def game_at_line(spark, sf_dir):
                concat_ws(chr(10), 'Game background', 'Active game: ' || h.game_name,
                    'Game ID: ' || h.game_id, coalesce('Profile: ' || k.game_name, 'No profile.'), k.summary) as text
         from speech s left join hits h using (vod_id, pos) left join known k on k.game_name = h.game_name)
-    select vod_id, pos, t, game_name, case when length(text) <= 60 then text else concat(substring(text, 1, 57), '...') end
-               as game_context
+    select vod_id, pos, t, game_name, text as game_context
     from texts"""),
 )
 def clip_game_context(spark, sf_dir):
@@ -89,7 +88,7 @@ def clip_game_context(spark, sf_dir):
     known = table(spark, sf_dir, "nation").select(
         F.col("n_name").alias("game_name"), F.concat(F.lit("Region "), F.col("n_regionkey").cast("string")).alias("summary")
     )
-    return games.clip_game_context(points, entity(spark, sf_dir, "game_segments"), known, 60)
+    return games.clip_game_context(points, entity(spark, sf_dir, "game_segments"), known)
 
 
 @query(
@@ -148,9 +147,7 @@ def game_search_hits(spark, sf_dir):
     select game_name, cast(game_id as varchar) as game_id, replace(game_name, ' ', '-') as slug, summary,
            case when sz is null then '' else t end as genres,
            case when sz is null then '' else concat_ws('|', brand, concat(t, ' mode')) end as common_terms,
-           rtrim(case when length(trim(summary)) > 140
-                      then regexp_replace(substring(trim(summary), 1, 140), ' [^ ]*$', '') else trim(summary) end, '.,;: ')
-               as core_objective,
+           rtrim(trim(summary), '.,;: ') as core_objective,
            case when sz is null then 'Use only directly observed on-screen evidence.'
                 else concat('Look for moments related to ', lower(t), ' gameplay.|Watch for references to ', lower(brand),
                             '.|Watch for references to ', lower(t), ' mode.') end as clip_eval_hints,

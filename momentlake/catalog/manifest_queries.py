@@ -195,7 +195,7 @@ def clip_manifest(spark, sf_dir):
         from windows w join speech s on s.vod_id = w.vod_id and s.start_s < w.end_s and w.start_s < s.end_s),
     spoken as (
         select vod_id, start_s, end_s, sum(sec) as sec,
-               substring(string_agg(line, ' ' order by pos), 1, 220) as preview
+               string_agg(line, ' ' order by pos) as preview
         from lines group by all),
     chats as (
         select w.vod_id, w.start_s, w.end_s, avg(chat_intensity) as chat
@@ -291,7 +291,7 @@ _SCENE_CROSSREF = """
         from kept k join per_second p on p.vod_id = k.vod_id and p.t between k.start_s and k.end_s
         where v > 0 group by all),
     lines as (
-        select k.vod_id, k.scene_index, substring(string_agg(trim(s.text), ' ' order by s.pos), 1, 200) as preview
+        select k.vod_id, k.scene_index, string_agg(trim(s.text), ' ' order by s.pos) as preview
         from kept k join speech s on s.vod_id = k.vod_id and s.start_s between k.start_s and k.end_s group by all),
     joined as (
         select k.*, coalesce(n, 0) as n, coalesce(person, false) as person, coalesce(device, false) as device,

@@ -164,11 +164,7 @@ _FACTS = """
                cast(c_nationkey as bigint) * 4 / 100.0 as confidence, c_custkey % 7 > 0 as has_ref,
                c_custkey % 50 as message_count, c_name as label
         from customer),
-    shown as (
-        select *, row_number() over (partition by streamer_id, kind order by
-                      case when kind = 'community_chatter' then -message_count else 0 end, pos) as rank
-        from facts where confidence >= 0.65 and has_ref),
-    kept as (select * from shown where rank <= case when kind = 'voice_profile' then 6 else 8 end)"""
+    kept as (select * from facts where confidence >= 0.65 and has_ref)"""
 
 
 def _facts(spark, sf_dir):
@@ -189,31 +185,24 @@ def _facts(spark, sf_dir):
 
 @query(
     "profile_context_facts",
-    f"with {_FACTS} select streamer_id, kind, pos, rank from kept",
+    f"with {_FACTS} select streamer_id, kind, pos from kept",
 )
 def profile_context_facts(spark, sf_dir):
-    return profiles.context_facts(_facts(spark, sf_dir)).select("streamer_id", "kind", "pos", "rank")
+    return profiles.context_facts(_facts(spark, sf_dir)).select("streamer_id", "kind", "pos")
 
 
 @query(
     "profile_context",
-    f"""with {_FACTS},
-    lines as (
-        select streamer_id, list_position(['voice_profile', 'personality_trait', 'inside_joke', 'content_pattern',
-                   'community_chatter'], kind) as k, rank,
-               concat('- ', replace(kind, '_', ' '), ': ', case kind when 'voice_profile' then label
-                   when 'personality_trait' then concat('about ', label)
-                   when 'inside_joke' then concat(label, ': about ', label)
-                   when 'content_pattern' then concat('[neutral] ', label, ' — about ', label)
-                   else concat(label, ', msgs=', message_count) end,
-                   ', conf=', printf('%.2f', confidence::double), ', ref=ref') as line
-        from kept),
-    texts as (
-        select streamer_id, concat('Streamer profile of ', streamer_id, '; what the video shows comes first.', chr(10),
-                                   string_agg(line, chr(10) order by k, rank)) as t
-        from lines group by streamer_id)
-    select streamer_id, case when length(t) <= 2000 then t else concat(rtrim(substring(t, 1, 1999)), '…') end as context
-    from texts""",
+    f"""with {_FACTS}
+    select streamer_id, list_position(['voice_profile', 'personality_trait', 'inside_joke', 'content_pattern',
+               'community_chatter'], kind)::bigint as section, kind, pos,
+           concat('- ', replace(kind, '_', ' '), ': ', case kind when 'voice_profile' then label
+               when 'personality_trait' then concat('about ', label)
+               when 'inside_joke' then concat(label, ': about ', label)
+               when 'content_pattern' then concat('[neutral] ', label, ' — about ', label)
+               else concat(label, ', msgs=', message_count) end,
+               ', conf=', printf('%.2f', confidence::double), ', ref=ref') as line
+    from kept""",
 )
 def profile_context(spark, sf_dir):
     return profiles.profile_context(_facts(spark, sf_dir))

@@ -314,9 +314,13 @@ def observation_log_source(spark, sf_dir):
 @query(
     "voice_profile_source",
     """
-    select concat('p/', vec_id % 50) as path, concat('id', vec_id % 50) as profile_id, max(len(embedding)) as dims,
+    with kept as (
+        select vec_id % 50 as k, embedding from embeddings where vec_id % 50 <> 7
+        qualify row_number() over (partition by vec_id % 50 order by vec_id) = 1)
+    select concat('p/', k) as path, concat('id', k) as profile_id, unnest(range(0, len(embedding)))::bigint as i,
+           unnest(list_transform(embedding, lambda x: round_even(x::double * 10000.0, 0) / 10000.0)) as value,
            0.5::double as accept_similarity
-    from embeddings where vec_id % 50 <> 7 group by all""",
+    from kept""",
 )
 def voice_profile_source(spark, sf_dir):
     k = F.col("vec_id") % 50
@@ -327,14 +331,15 @@ def voice_profile_source(spark, sf_dir):
         )
     )
     docs = table(spark, sf_dir, "embeddings").select(
-        F.concat(F.lit("p/"), k.cast("string")).alias("path"), F.when(k == 7, "{").otherwise(doc).alias("doc")
+        F.concat(F.lit("p/"), k.cast("string")).alias("path"), F.col("vec_id").alias("pos"),
+        F.when(k == 7, "{").otherwise(doc).alias("doc"),
     )
     known = logs.profiles_from_documents(docs)
     paths = docs.select("path").distinct()
     refs = paths.select(F.lit("s").alias("streamer_id"), "path")
     return logs.referenced_profiles(known, refs, paths).select(
-        "path", "profile_id", F.size("embedding").alias("dims"), "accept_similarity"
-    )
+        "path", "profile_id", F.posexplode("embedding").alias("i", "value"), "accept_similarity"
+    ).withColumn("value", F.bround(F.col("value") * 10000.0) / 10000.0)
 
 
 @query(
@@ -538,8 +543,8 @@ def enrolment_ranges(spark, sf_dir):
 @query(
     "export_files",
     with_entities("analyses candidates", r"""
-    select a.vod_id, a.pos, concat('clip_rank', a.pos % 20, '_', left(replace(trim(regexp_replace(
-               concat(c.trigger_text, ' & "', c.payoff_text, '" é!'), '[^\p{L}\p{N}_\s-]', '', 'g')), ' ', '_'), 40), '_', a.trim_start, 's.mp4')
+    select a.vod_id, a.pos, concat('clip_rank', a.pos % 20, '_', replace(trim(regexp_replace(
+               concat(c.trigger_text, ' & "', c.payoff_text, '" é!'), '[^\p{L}\p{N}_\s-]', '', 'g')), ' ', '_'), '_', a.trim_start, 's.mp4')
                as file_name
     from analyses a join candidates c on c.vod_id = a.vod_id and c.pos = a.pos where a.clip_worthiness >= 7"""),
 )
@@ -616,14 +621,11 @@ def triage_prompt_parts(spark, sf_dir):
 
 @query(
     "name_prompts",
-    with_entities("segments echo_chat", """,
-    a as (
-        select vod_id, string_agg(concat('[', printf('%.1f', start_s::double), 's] ', speaker_label, ': ', text), chr(10) order by pos) as b
-        from (select * from segments qualify row_number() over (partition by vod_id order by pos) <= 200) group by vod_id),
-    c as (
-        select vod_id, string_agg(concat('[', printf('%.1f', t::double), 's] @', usr, ': ', message), chr(10) order by pos) as b
-        from (select * from echo_chat qualify row_number() over (partition by vod_id order by pos) <= 100) group by vod_id)
-    select vod_id, coalesce(a.b, '') as transcript_block, coalesce(c.b, '') as chat_block from a full join c using (vod_id)"""),
+    with_entities("segments echo_chat", """
+    select vod_id, 'transcript' as section, pos, concat('[', printf('%.1f', start_s::double), 's] ', speaker_label, ': ', text) as line
+    from segments
+    union all
+    select vod_id, 'chat', pos, concat('[', printf('%.1f', t::double), 's] @', usr, ': ', message) from echo_chat"""),
 )
 def name_prompts(spark, sf_dir):
     return prompts.name_prompts(entity(spark, sf_dir, "segments"), entity(spark, sf_dir, "echo_chat"))

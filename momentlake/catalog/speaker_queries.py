@@ -47,7 +47,7 @@ _PICKED = """
                sum(dur) over (partition by vod_id, speaker order by dur desc, pos
                               rows between unbounded preceding and current row) as acc
         from turn_embeddings where dur >= 1.5),
-    picked as (select * from ranked where rank <= 40 and (rank = 1 or acc <= 20)),
+    picked as (select * from ranked),
     cluster_dims as (
         select vod_id, speaker, i, avg(v::double) as m, count(*) as turns_used
         from (select vod_id, speaker, unnest(embedding) as v, unnest(range(0, len(embedding))) as i from picked)
@@ -104,7 +104,7 @@ def _dims(column):
     from cluster_dims"""),
 )
 def cluster_embeddings(spark, sf_dir):
-    out = speakers.cluster_embeddings(_turn_rows(spark, sf_dir), max_seconds=20)
+    out = speakers.cluster_embeddings(_turn_rows(spark, sf_dir))
     return out.select("vod_id", "speaker_label", "turns_used", F.posexplode("embedding").alias("i", "value")).withColumn(
         "value", round_half_even("value", 6)
     )
@@ -147,7 +147,7 @@ _RECOGNISED = f"""{_PICKED},{_PROFILES},
 
 def _recognition(spark, sf_dir):
     turns = _turn_rows(spark, sf_dir)
-    clusters = speakers.cluster_embeddings(turns, max_seconds=20)
+    clusters = speakers.cluster_embeddings(turns)
     return speakers.recognise_clusters(clusters, _profile_rows(spark, sf_dir), turns)
 
 

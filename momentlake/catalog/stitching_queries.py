@@ -88,8 +88,8 @@ _PAIRS = """
                gap_s <= 20 and (type_match or len(shared) >= 5) as strict_rule,
                concat_ws(';', case when gap_s <= 20 then 'temporal_gap<=20' else 'temporal_bridge_gap<=45' end,
                    case when type_match then concat('narrative_type_match:', kind) end,
-                   case when len(shared) >= 5 then concat('shared_tokens:', array_to_string(shared[1:6], ','))
-                        when len(shared) > 0 then concat('weak_shared_tokens:', array_to_string(shared[1:4], ',')) end)
+                   case when len(shared) >= 5 then concat('shared_tokens:', array_to_string(shared, ','))
+                        when len(shared) > 0 then concat('weak_shared_tokens:', array_to_string(shared, ',')) end)
                    as reasons
         from pairs0),
     decided as (select *, strict_rule or score >= 4 as merged from pairs)"""

@@ -354,7 +354,7 @@ _SUMMARY = """
         where (kind = 'audio' and type in ('laugh', 'donation_alert', 'music', 'game_audio'))
            or (kind = 'visual' and type = 'visual_payoff')
         group by 1, 2, 3
-        qualify row_number() over (partition by vod_id, span_id order by ord) <= 20),
+        ),
     evidence_lists as (
         select vod_id, span_id, list(line order by ord) as lines from evidence group by all),
     refs as (

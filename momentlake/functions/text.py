@@ -106,11 +106,11 @@ def vod_id_of_artifact(stated: Column, path: Column) -> Column:
     return F.coalesce(own, F.when(folder != "", folder), F.when(digits != "", digits))
 
 
-def clip_file_name(rank: Column, title: Column, start: Column) -> Column:
-    """``clip_rank<r>_<title>_<start>s.mp4`` with up to 40 safe title characters."""
+def clip_file_name(rank: Column, title: Column, start: Column, max_title: int | None = None) -> Column:
+    """``clip_rank<r>_<title>_<start>s.mp4`` with the safe characters of the title, at most ``max_title`` of them."""
     safe = F.replace(F.trim(F.regexp_replace(title, r"(?U)[^\w\s-]", "")), F.lit(" "), F.lit("_"))
     return F.concat(
-        F.lit("clip_rank"), rank.cast("string"), F.lit("_"), safe.substr(1, 40), F.lit("_"),
+        F.lit("clip_rank"), rank.cast("string"), F.lit("_"), safe if max_title is None else safe.substr(1, max_title), F.lit("_"),
         start.cast("bigint").cast("string"), F.lit("s.mp4"),
     )
 
@@ -132,10 +132,13 @@ def enrolment_ranges(spec: Column) -> Column:
     return F.transform(parts, one)
 
 
-def clip_text(value: Column, max_len: int = 160) -> Column:
-    """Single-spaced text, cut with an ellipsis."""
+def clip_text(value: Column, max_len: int | None = None) -> Column:
+    """Single-spaced text; with ``max_len`` cut with an ellipsis."""
+    single = F.trim(F.regexp_replace(value, r"(?U)\s+", " "))
+    if max_len is None:
+        return single
     return let(
-        F.trim(F.regexp_replace(value, r"(?U)\s+", " ")),
+        single,
         lambda t: F.when(F.length(t) <= max_len, t).otherwise(F.concat(F.rtrim(t.substr(1, max_len - 1)), F.lit("…"))),
     )
 
@@ -160,13 +163,14 @@ def audio_flags(analysis: Column, stated_confidence: Column) -> Column:
     """
     text = F.coalesce(analysis, F.lit(""))
     low = F.lower(text)
+    # The words of each flag below.
     any_of = lambda words: low.rlike("|".join(words))
     lines = F.filter(F.split(text, r"\r\n|\r|\n"), lambda x: F.trim(F.replace(x, F.lit("\t"), F.lit(" "))) != "")
     tail = F.element_at(F.split(low, "confidence"), -1)
     number = F.when(low.contains("confidence"), F.regexp_extract(tail, r"(\d+(?:\.\d+)?)", 1).try_cast("double"))
     return F.struct(
-        text.substr(1, 1000).alias("summary"),
-        F.transform(F.slice(lines, 1, 5), lambda x: F.btrim(x, F.lit("- •\t "))).alias("key_events"),
+        text.alias("summary"),
+        F.transform(lines, lambda x: F.btrim(x, F.lit("- •\t "))).alias("key_events"),
         any_of(("dead air", "long silence", "extended silence", "silence gap")).alias("dead_air_detected"),
         any_of(("laugh", "giggle", "cackle")).alias("laughter_detected"),
         any_of(("shout", "yell", "raised voice", "screams")).alias("raised_voice_detected"),

@@ -15,7 +15,6 @@ AUDIO_SIGNALS = ("donation_alert", "tts_alert", "laugh", "game_audio", "music",
 VISUAL_SIGNALS = ("visual_payoff", "scene_change", "streamer_visible", "face_visible", "gameplay_event")
 ALERT_SOUNDS = ("donation_alert", "tts_alert", "laugh")
 REACTIONS = ("laughing", "surprised", "focused", "visual_payoff")
-MAX_EVIDENCE_LINES = 20
 
 
 def _windows_over(spans: DataFrame, window_seconds: int, stride_seconds: int) -> DataFrame:
@@ -103,7 +102,7 @@ def normalise_annotations(raw: DataFrame) -> DataFrame:
             stamp.alias("timestamp"),
             F.lower(clean_text(e["type"], "unknown")).alias("type"),
             round_half_even(unit(e["confidence"]), 4).alias("confidence"),
-            F.substring(clean_text(e["evidence"], ""), 1, 240).alias("evidence"),
+            clean_text(e["evidence"], "").alias("evidence"),
         ]
         if with_speaker:
             fields.append(F.lower(clean_text(e["speaker_guess"], "unknown")).alias("speaker_guess"))
@@ -115,7 +114,7 @@ def normalise_annotations(raw: DataFrame) -> DataFrame:
 
     notes = F.transform(
         F.filter("clip_relevance_notes", lambda n: F.length(F.trim(n)) > 0),
-        lambda n: F.substring(clean_text(n, ""), 1, 240),
+        lambda n: clean_text(n, ""),
     )
     return raw.select(
         "vod_id",
@@ -132,7 +131,7 @@ def normalise_annotations(raw: DataFrame) -> DataFrame:
         clean_text("streamer_affect", "unknown").alias("streamer_affect"),
         unit("organic_reaction_likelihood").alias("organic_reaction_likelihood"),
         unit("transactional_alert_likelihood").alias("transactional_alert_likelihood"),
-        F.substring(clean_text("emotion_evidence", ""), 1, 240).alias("emotion_evidence"),
+        clean_text("emotion_evidence", "").alias("emotion_evidence"),
         F.coalesce(notes, F.array().cast("array<string>")).alias("clip_relevance_notes"),
         clean_list("risk_flags").alias("risk_flags"),
         F.coalesce("parse_ok", F.coalesce("error", F.lit("")) == "").alias("parse_ok"),
@@ -144,63 +143,63 @@ def windows_in(spans: DataFrame, annotations: DataFrame, *, closed: bool = False
     """Annotations that overlap each span ``(vod_id, span_id, lo, hi)``; with
     ``closed`` also those that only touch it.
 
-    Annotations have distinct bounds on a window grid, so a span meets a number
-    bounded by its length.
+    Any number of annotations may share a window, so those of a busy bucket are spread by ``pos``.
     """
     windows = annotations.select(
         "vod_id",
         F.col("start_s").alias("_ws"),
         F.col("end_s").alias("_we"),
+        F.col("pos").alias("_p"),
         F.struct(*[c for c in annotations.columns if c != "vod_id"]).alias("ann"),
     )
     return overlap_join(
         spans.select("vod_id", "span_id", "lo", "hi"), windows, bucket=600, left_span=("lo", "hi"),
-        right_span=("_ws", "_we"), closed=closed,
+        right_span=("_ws", "_we"), closed=closed, spread_right_by=["_p"],
     ).select("vod_id", "span_id", "ann")
 
 
-def _events(pairs: DataFrame) -> DataFrame:
-    """All audio and visual events of the spans as rows with their order."""
-
-    def kind(name: str, rank: int) -> DataFrame:
-        return pairs.select(
-            "vod_id", "span_id", F.col("ann.pos").alias("pos"), F.lit(name).alias("kind"), F.lit(rank).alias("kind_rank"),
-            F.posexplode(f"ann.{name}_events").alias("i", "e"),
-        ).select(
-            "vod_id", "span_id", "pos", "kind", "kind_rank", "i",
-            clean_text(F.col("e.type"), "unknown").alias("type"), F.col("e.timestamp").alias("t"),
-        )
-
-    return kind("audio", 0).unionAll(kind("visual", 1))
-
-
 def signal_counts(pairs: DataFrame) -> DataFrame:
     """Counts per span of each audio event type, visual event type and risk flag,
-    with the place of the first one."""
-    flags = pairs.select(
-        "vod_id", "span_id", F.col("ann.pos").alias("pos"), F.posexplode("ann.risk_flags").alias("i", "type")
-    ).select("vod_id", "span_id", F.lit("risk").alias("kind"), F.trim("type").alias("type"), "pos", "i")
+    with the place of the first one.  One pass: the signals of an annotation are
+    one list."""
+
+    def named(kind: str, types: Column) -> Column:
+        return F.transform(types, lambda t, i: F.struct(F.lit(kind).alias("kind"), t.alias("type"), i.alias("i")))
+
+    typed = lambda name: F.transform(name, lambda e: clean_text(e["type"], "unknown"))
+    signals = F.concat(
+        named("audio", typed("ann.audio_events")),
+        named("visual", typed("ann.visual_events")),
+        F.filter(named("risk", F.transform("ann.risk_flags", lambda t: F.trim(t))), lambda s: s["type"] != ""),
+    )
     return (
-        _events(pairs)
-        .select("vod_id", "span_id", "kind", "type", "pos", "i")
-        .unionAll(flags.where(F.col("type") != ""))
-        .groupBy("vod_id", "span_id", "kind", "type")
-        .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("pos", "i")).alias("first_seen"))
+        pairs.select("vod_id", "span_id", F.col("ann.pos").alias("pos"), F.explode(signals).alias("s"))
+        .groupBy("vod_id", "span_id", F.col("s.kind").alias("kind"), F.col("s.type").alias("type"))
+        .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("pos", "s.i")).alias("first_seen"))
     )
 
 
+def _first_order(rows: DataFrame, key: list[str], out: str) -> DataFrame:
+    """The distinct items of each key as a list in the order of their first ``ord``."""
+    distinct = rows.groupBy(*key, "item").agg(F.min("ord").alias("ord"))
+    listed = F.array_sort(F.collect_list(F.struct("ord", "item")))
+    return distinct.groupBy(*key).agg(F.transform(listed, lambda x: x["item"]).alias(out))
+
+
 def signal_summary(pairs: DataFrame) -> DataFrame:
     """One row per span with annotations: totals, largest likelihoods, alert and
-    reaction flags, and up to 20 distinct evidence lines in order.
+    reaction flags, and the distinct references and evidence lines in order.
 
     Flags are taken from the event lists of each annotation; only the events
-    that count as evidence become rows.
+    that count as evidence become rows.  References and lines are made distinct
+    before they are gathered: their number is bounded by the windows, seconds
+    and event types of a span, however many annotations there are.
     """
     key = ["vod_id", "span_id"]
     any_event = lambda kind, types: F.exists(
         f"ann.{kind}_events", lambda e: clean_text(e["type"], "unknown").isin(*types)
     )
-    refs = F.array_sort(F.collect_list(F.struct(F.col("ann.pos").alias("p"), F.col("ann.window_id").alias("w"))))
+    refs = _first_order(pairs.select(*key, F.col("ann.window_id").alias("item"), F.struct("ann.pos").alias("ord")), key, "annotation_refs")
     totals = pairs.groupBy(*key).agg(
         F.count(F.lit(1)).alias("annotation_count"),
         F.count_if(~F.col("ann.parse_ok")).alias("parse_failures"),
@@ -208,7 +207,6 @@ def signal_summary(pairs: DataFrame) -> DataFrame:
             round_half_even(F.max(f"ann.{c}"), 4).alias(c)
             for c in ("streamer_led_likelihood", "transactional_alert_likelihood", "organic_reaction_likelihood")
         ],
-        F.array_distinct(F.transform(refs, lambda x: x["w"])).alias("annotation_refs"),
         F.max(any_event("audio", ALERT_SOUNDS)).alias("has_audio_alert"),
         F.max(any_event("visual", REACTIONS)).alias("has_visual_reaction"),
     )
@@ -231,18 +229,13 @@ def signal_summary(pairs: DataFrame) -> DataFrame:
         )
 
     found = F.concat(telling("audio", 0, AUDIO_SIGNALS), telling("visual", 1, VISUAL_SIGNALS))
-    lines = (
-        pairs.select(*key, F.explode(found).alias("e"))
-        .groupBy(*key, F.col("e.line").alias("line"))
-        .agg(F.min("e.ord").alias("ord"))
-        .withColumn("_rank", F.row_number().over(Window.partitionBy(*key).orderBy("ord")))
-        .where(F.col("_rank") <= MAX_EVIDENCE_LINES)
-        .groupBy(*key)
-        .agg(F.array_sort(F.collect_list(F.struct("_rank", "line"))).alias("_lines"))
-        .select(*key, F.col("_lines.line").alias("evidence_lines"))
+    lines = _first_order(
+        pairs.select(*key, F.explode(found).alias("e")).select(*key, F.col("e.line").alias("item"), F.col("e.ord").alias("ord")),
+        key, "evidence_lines",
     )
     return (
-        totals.join(lines, key, "left")
+        totals.join(refs, key, "left")
+        .join(lines, key, "left")
         .fillna(False, ["has_audio_alert", "has_visual_reaction"])
         .withColumn("evidence_lines", F.coalesce("evidence_lines", F.array().cast("array<string>")))
     )
@@ -254,15 +247,10 @@ def chunk_annotations(chunks: DataFrame, annotations: DataFrame) -> DataFrame:
         "vod_id", F.col("chunk_index").alias("span_id"), F.col("chunk_start").alias("lo"), F.col("chunk_end").alias("hi")
     )
     pairs = windows_in(spans, annotations)
-    notes = pairs.groupBy("vod_id", "span_id").agg(
-        F.array_sort(
-            F.collect_list(F.struct(F.col("ann.pos").alias("p"), F.col("ann.clip_relevance_notes").alias("n")))
-        ).alias("_notes")
-    )
-    merged = F.array_distinct(F.flatten(F.transform("_notes", lambda x: x["n"])))
-    found = signal_summary(pairs).join(
-        notes.select("vod_id", "span_id", merged.alias("notes")), ["vod_id", "span_id"]
-    )
+    key = ["vod_id", "span_id"]
+    noted = pairs.select(*key, F.col("ann.pos").alias("p"), F.posexplode("ann.clip_relevance_notes").alias("i", "item"))
+    notes = _first_order(noted.select(*key, "item", F.struct("p", "i").alias("ord")), key, "notes")
+    found = signal_summary(pairs).join(notes, key, "left")
     none = F.array().cast("array<string>")
     return (
         chunks.withColumn("span_id", F.col("chunk_index"))
@@ -307,7 +295,7 @@ def fallback_candidates(clips: DataFrame, annotations: DataFrame, known: DataFra
     lines = F.coalesce("evidence_lines", none)
     evidence = F.concat(
         F.array(F.format_string("[%ds] clip window %d-%ds", "start_s", "start_s", "end_s")),
-        F.slice(lines, 1, 3),
+        lines,
         F.array_compact(
             F.array(
                 F.when(alert, "gemma_audio_alert"),

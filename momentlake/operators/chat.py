@@ -70,17 +70,19 @@ def spikes(messages: DataFrame, bin_seconds: int = 10, z_threshold: float = 2.0)
 
     Silent bins enter through the number of bins only, so no spine of empty
     rows is built: with n bins, sum S and sum of squares Q the z-score of a
-    count c is ``(c*n - S) / sqrt(n*Q - S*S)``.
+    count c is ``(c*n - S) / sqrt(n*Q - S*S)``.  Sums and products are decimal,
+    exact to 38 digits, as they leave 64 bits on very busy videos.
     """
     bins = messages.groupBy("vod_id", F.floor(F.col("t") / bin_seconds).alias("bin")).agg(
         F.count(F.lit(1)).alias("message_count")
     )
-    c = F.col("message_count")
+    wide = lambda x: x.cast("decimal(38,0)")
+    c = F.col("message_count").cast("decimal(19,0)")
     stats = bins.groupBy("vod_id").agg(
-        (F.max("bin") + 1).alias("n"), F.sum(c).alias("s"), F.sum(c * c).alias("q")
+        wide(F.max("bin") + 1).alias("n"), wide(F.sum(c)).alias("s"), wide(F.sum(c * c)).alias("q")
     )
-    spread = F.col("n") * F.col("q") - F.col("s") * F.col("s")
-    intensity = (c * F.col("n") - F.col("s")) / F.sqrt(spread.cast("double"))
+    spread = wide(F.col("n") * F.col("q")) - wide(F.col("s") * F.col("s"))
+    intensity = (wide(c * F.col("n")) - F.col("s")).cast("double") / F.sqrt(spread.cast("double"))
     return (
         bins.join(stats.where(spread > 0), "vod_id")
         .withColumn("intensity", intensity)

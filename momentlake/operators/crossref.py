@@ -72,7 +72,7 @@ def scene_candidates(
     scheme: str = "category",
     min_seconds: int = 30,
     k: int | None = 10,
-    preview_chars: int = 200,
+    preview_chars: int | None = None,
 ) -> DataFrame:
     """Scores scenes of at least ``min_seconds`` and keeps the best ``k`` per video.
 

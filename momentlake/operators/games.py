@@ -93,8 +93,10 @@ def pick_search_hit(hits: DataFrame) -> DataFrame:
     )
 
 
-def _objective(text: Column, limit: int = 140) -> Column:
-    """At most ``limit`` characters, cut at a word, without closing punctuation."""
+def _objective(text: Column, limit: int | None = None) -> Column:
+    """The text without closing punctuation; with ``limit`` cut at a word."""
+    if limit is None:
+        return F.rtrim(text, F.lit(".,;: "))
     cut = F.regexp_replace(text.substr(1, limit), r"(?s) [^ ]*$", "")
     return F.rtrim(F.when(F.length(text) > limit, cut).otherwise(text), F.lit(".,;: "))
 
@@ -120,11 +122,11 @@ def game_profiles(catalogue: DataFrame, articles: DataFrame) -> DataFrame:
     hints = distinct_ignoring_case(
         F.concat(
             F.transform(
-                F.slice("genres", 1, 2),
+                "genres",
                 lambda g: F.concat(F.lit("Look for moments related to "), F.lower(g), F.lit(" gameplay.")),
             ),
             F.transform(
-                F.slice("common_terms", 1, 3), lambda t: F.concat(F.lit("Watch for references to "), F.lower(t), F.lit("."))
+                "common_terms", lambda t: F.concat(F.lit("Watch for references to "), F.lower(t), F.lit("."))
             ),
         )
     )
@@ -171,8 +173,8 @@ def cache_status(
     )
 
 
-def clip_game_context(points: DataFrame, segments: DataFrame, profiles: DataFrame, max_chars: int = 1800) -> DataFrame:
-    """Per point a short text on the game that is on, cut with dots."""
+def clip_game_context(points: DataFrame, segments: DataFrame, profiles: DataFrame, max_chars: int | None = None) -> DataFrame:
+    """Per point a text on the game that is on; with ``max_chars`` cut with dots."""
     on = game_at(points, segments)
     known = profiles.select("game_name", F.col("summary").alias("_summary"), F.lit(True).alias("_known"))
     joined = salted_lookup(on, known, ["game_name"], spread_by=["pos"])
@@ -185,12 +187,11 @@ def clip_game_context(points: DataFrame, segments: DataFrame, profiles: DataFram
         F.when(F.col("_known"), F.concat(F.lit("Profile: "), "game_name")).otherwise("No profile."),
         filled("_summary", ""),
     )
-    return joined.withColumn("_t", text).select(
-        "vod_id", "pos", "t", "game_name",
-        F.when(F.length("_t") <= max_chars, F.col("_t"))
-        .otherwise(F.concat(F.col("_t").substr(1, max(0, max_chars - 3)), F.lit("...")))
-        .alias("game_context"),
-    )
+    out = joined.select("vod_id", "pos", "t", "game_name", text.alias("game_context"))
+    if max_chars is None:
+        return out
+    dotted = F.concat(F.col("game_context").substr(1, max(0, max_chars - 3)), F.lit("..."))
+    return out.withColumn("game_context", F.when(F.length("game_context") <= max_chars, F.col("game_context")).otherwise(dotted))
 
 
 def run_game_lines(segments: DataFrame, statuses: DataFrame) -> DataFrame:

@@ -217,23 +217,21 @@ def clip_manifest(
 
 
 def text_preview(
-    pairs: DataFrame, *, keys: list[str], order: list[str], text: str, max_chars: int, out: str
+    pairs: DataFrame, *, keys: list[str], order: list[str], text: str, out: str, max_chars: int | None = None
 ) -> DataFrame:
-    """The first ``max_chars`` characters of the texts of a group, joined by spaces.
+    """The texts of a group joined by spaces; with ``max_chars`` only so many characters.
 
     A line adds at least two characters with its space, so the first
-    ``max_chars / 2 + 1`` lines decide; the limit is applied before the shuffle.
+    ``max_chars / 2 + 1`` lines then decide and the limit runs before the shuffle.
     """
-    first = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    kept = pairs.where(F.length(F.trim(text)) > 0).withColumn("_rank", first)
-    lines = F.transform(
-        F.array_sort(F.collect_list(F.struct("_rank", F.trim(text).alias("line")))), lambda x: x["line"]
-    )
-    return (
-        kept.where(F.col("_rank") <= max_chars // 2 + 1)
-        .groupBy(*keys)
-        .agg(F.substring(F.array_join(lines, " "), 1, max_chars).alias(out))
-    )
+    line = F.trim(F.col(text))
+    kept = pairs.where(F.length(line) > 0).withColumn("_order", F.struct(*order))
+    if max_chars is not None:
+        rank = F.row_number().over(Window.partitionBy(*keys).orderBy("_order"))
+        kept = kept.withColumn("_rank", rank).where(F.col("_rank") <= max_chars // 2 + 1)
+    lines = F.array_sort(F.collect_list(F.struct("_order", line.alias("line"))))
+    joined = kept.groupBy(*keys).agg(F.array_join(F.transform(lines, lambda x: x["line"]), " ").alias(out))
+    return joined if max_chars is None else joined.withColumn(out, F.substring(out, 1, max_chars))
 
 
 def coverage_manifest(
@@ -254,7 +252,7 @@ def coverage_manifest(
         windows, spans, bucket=_BUCKET, left_span=("start_s", "end_s"), right_span=("_ss", "_se"),
         spread_right_by=["pos"],
     )
-    preview = text_preview(lines, keys=_WINDOW, order=["pos"], text="text", max_chars=220, out="_preview")
+    preview = text_preview(lines, keys=_WINDOW, order=["pos"], text="text", out="_preview")
     chat = mean_intensity(
         windows, timeline.select("vod_id", "t", F.coalesce("chat_intensity", F.lit(0.0)).alias("value"))
     )

@@ -10,10 +10,8 @@ from ..functions.text import clip_text, is_sensitive, normalise_claim
 
 AUTO_CONFIDENCE, QUEUE_CONFIDENCE, MIN_EVIDENCE = 0.80, 0.60, 2
 CONTEXT_CONFIDENCE = 0.65
-# Facts shown per kind in a profile context.
-CONTEXT_LIMITS = {
-    "voice_profile": 6, "personality_trait": 8, "inside_joke": 8, "content_pattern": 8, "community_chatter": 8,
-}
+# The kinds of facts in a profile context, in order.
+CONTEXT_KINDS = ("voice_profile", "personality_trait", "inside_joke", "content_pattern", "community_chatter")
 
 
 def clip_observations(clips: DataFrame) -> DataFrame:
@@ -143,35 +141,37 @@ def recent_observations(log: DataFrame, limit: int = 200) -> DataFrame:
     return log.withColumn("_r", F.row_number().over(newest)).where(F.col("_r") <= max(0, limit)).drop("_r")
 
 
-def context_facts(facts: DataFrame) -> DataFrame:
-    """Facts worth showing: confident, with references, and few per kind.
+def context_facts(facts: DataFrame, limits: dict[str, int] | None = None) -> DataFrame:
+    """Facts worth showing: of a known kind, confident and with references.
 
     ``facts``: streamer_id, kind, pos, confidence, evidence_refs, message_count,
-    last_seen.  Chatters are ordered by activity, everything else by ``pos``.
+    last_seen.  With ``limits`` only so many of each kind: chatters by activity,
+    everything else by ``pos``; the largest limit runs before the shuffle.
     """
+    sure = (F.col("confidence") >= CONTEXT_CONFIDENCE) & (F.size("evidence_refs") > 0)
+    shown = facts.where(sure & F.col("kind").isin(*CONTEXT_KINDS))
+    if limits is None:
+        return shown
     chatter = F.col("kind") == "community_chatter"
     order = Window.partitionBy("streamer_id", "kind").orderBy(
         F.when(chatter, -F.coalesce("message_count", F.lit(0))).otherwise(0),
         F.desc(F.when(chatter, F.coalesce("last_seen", F.lit("")))),
         "pos",
     )
-    limits = F.create_map(*[F.lit(x) for pair in CONTEXT_LIMITS.items() for x in pair])
+    own = F.create_map(*[F.lit(x) for pair in limits.items() for x in pair])
     return (
-        facts.where((F.col("confidence") >= CONTEXT_CONFIDENCE) & (F.size("evidence_refs") > 0))
-        .withColumn("rank", F.row_number().over(order))
-        # The common limit runs before the shuffle, the one per kind after it.
-        .where(F.col("rank") <= max(CONTEXT_LIMITS.values()))
-        .where(F.col("rank") <= F.try_element_at(limits, F.col("kind")))
+        shown.withColumn("rank", F.row_number().over(order))
+        .where(F.col("rank") <= max(limits.values()))
+        .where(F.col("rank") <= F.try_element_at(own, F.col("kind")))
     )
 
 
-def profile_context(facts: DataFrame, max_chars: int = 2000) -> DataFrame:
-    """One text block per streamer from the facts chosen by :func:`context_facts`.
+def profile_context(facts: DataFrame, limits: dict[str, int] | None = None) -> DataFrame:
+    """The lines of each streamer's profile as rows (streamer_id, section, kind, pos, line)
+    from the facts chosen by :func:`context_facts`; a writer sorts them by section and pos.
 
     Extra columns: label, description, role, impact.
     """
-    chosen = context_facts(facts)
-    kinds = list(CONTEXT_LIMITS)
     conf = F.concat(
         F.lit(", conf="), F.format_string("%.2f", round_half_even("confidence", 2)), F.lit(", ref="),
         F.get("evidence_refs", 0),
@@ -187,21 +187,6 @@ def profile_context(facts: DataFrame, max_chars: int = 2000) -> DataFrame:
         )
         .otherwise(F.concat("label", role, F.lit(", msgs="), F.coalesce("message_count", F.lit(0)).cast("string")))
     )
-    order = F.array_position(F.array(*[F.lit(k) for k in kinds]), F.col("kind"))
+    section = F.array_position(F.array(*[F.lit(k) for k in CONTEXT_KINDS]), F.col("kind"))
     line = F.concat(F.lit("- "), F.replace("kind", F.lit("_"), F.lit(" ")), F.lit(": "), body, conf)
-    lines = F.array_sort(F.collect_list(F.struct(order.alias("k"), "rank", line.alias("line"))))
-    head = F.concat(
-        F.lit("Streamer profile of "), F.col("streamer_id"), F.lit("; what the video shows comes first.")
-    )
-    text = F.concat_ws("\n", head, F.array_join(F.transform("_l", lambda x: x["line"]), "\n"))
-    return (
-        chosen.groupBy("streamer_id")
-        .agg(lines.alias("_l"))
-        .withColumn("context", text)
-        .select(
-            "streamer_id",
-            F.when(F.length("context") <= max_chars, F.col("context"))
-            .otherwise(F.concat(F.rtrim(F.col("context").substr(1, max_chars - 1)), F.lit("…")))
-            .alias("context"),
-        )
-    )
+    return context_facts(facts, limits).select("streamer_id", section.alias("section"), "kind", "pos", line.alias("line"))

@@ -4,20 +4,18 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .intervals import point_join
 
-MAX_PROMPT_LINES, MAX_PROMPT_MESSAGES = 200, 100
-
 
 def _shown(c: str) -> Column:
     return F.coalesce(F.col(c).cast("string"), F.lit("?"))
 
 
-def _cut(c: str, n: int) -> Column:
-    return F.coalesce(F.col(c), F.lit("")).substr(1, n)
+def _text(c: str) -> Column:
+    return F.coalesce(F.col(c), F.lit(""))
 
 
 def analysis_log(analyses: DataFrame) -> DataFrame:
@@ -37,7 +35,7 @@ def analysis_log(analyses: DataFrame) -> DataFrame:
         revised,
         F.concat(_shown("revised_clip_worthiness"), F.lit("/10 (revised from "), _shown("clip_worthiness"), F.lit(")")),
     ).otherwise(F.concat(_shown("clip_worthiness"), F.lit("/10")))
-    reason = F.when(revised & F.col("revised_reason").isNotNull(), _cut("revised_reason", 120)).otherwise(_cut("reason", 120))
+    reason = F.when(revised & F.col("revised_reason").isNotNull(), _text("revised_reason")).otherwise(_text("reason"))
     line = F.concat(
         F.lit("Clip at "), _shown("start_s"), F.lit("s (clip_id="), _shown("start_s"), F.lit("): score="), score,
         F.lit(", energy="), value("emotional_energy", "revised_emotional_energy"),
@@ -45,8 +43,8 @@ def analysis_log(analyses: DataFrame) -> DataFrame:
         F.lit("/10, expr="), value("primary_expression", "revised_expression"),
         F.lit(", narrative="), _shown("narrative_type"), F.lit(", payoff="), _shown("has_payoff"),
         F.lit(", trim="), _shown("trim_start"), F.lit("-"), _shown("trim_end"),
-        F.lit("s, reason="), _cut("trim_start_reason", 40), F.lit("->"), _cut("trim_end_reason", 40),
-        F.lit(", arc="), _cut("narrative_arc", 60), F.lit(", point="), _cut("clip_point", 80), F.lit(", reason="), reason,
+        F.lit("s, reason="), _text("trim_start_reason"), F.lit("->"), _text("trim_end_reason"),
+        F.lit(", arc="), _text("narrative_arc"), F.lit(", point="), _text("clip_point"), F.lit(", reason="), reason,
     )
     return analyses.select("vod_id", "pos", line.alias("entry"))
 
@@ -81,27 +79,15 @@ def triage_prompt_parts(chunks: DataFrame, segments: DataFrame, messages: DataFr
     return reduce(DataFrame.unionAll, [bounds, lines, chat])
 
 
-def _first_lines(rows: DataFrame, limit: int, line: Column, out: str) -> DataFrame:
-    rank = F.row_number().over(Window.partitionBy("vod_id").orderBy("pos"))
-    kept = rows.withColumn("_r", rank).where(F.col("_r") <= limit)
-    lines = F.array_sort(F.collect_list(F.struct("_r", line.alias("line"))))
-    return kept.groupBy("vod_id").agg(F.array_join(F.transform(lines, lambda x: x["line"]), "\n").alias(out))
-
-
 def name_prompts(lines: DataFrame, messages: DataFrame) -> DataFrame:
-    """Blocks for resolving speaker names: the first 200 transcript lines and the
-    first 100 chat messages of each video.  The limits run before the shuffle."""
+    """Evidence for resolving speaker names as rows (vod_id, section, pos, line): all
+    ``transcript`` lines and ``chat`` messages of each video."""
     one = lambda c: F.format_string("%.1f", F.coalesce(F.col(c).cast("double"), F.lit(0.0)))
     spoken = F.concat(
-        F.lit("["), one("start_s"), F.lit("s] "), F.coalesce("speaker_label", F.lit("UNKNOWN")), F.lit(": "),
-        F.coalesce("text", F.lit("")),
+        F.lit("["), one("start_s"), F.lit("s] "), F.coalesce("speaker_label", F.lit("UNKNOWN")), F.lit(": "), _text("text")
     )
     typed = F.concat(
-        F.lit("["), one("t"), F.lit("s] @"), F.coalesce("usr", F.lit("unknown")), F.lit(": "),
-        F.coalesce("message", F.lit("")),
-    )
-    return (
-        _first_lines(lines, MAX_PROMPT_LINES, spoken, "transcript_block")
-        .join(_first_lines(messages, MAX_PROMPT_MESSAGES, typed, "chat_block"), "vod_id", "full")
-        .fillna("", ["transcript_block", "chat_block"])
+        F.lit("["), one("t"), F.lit("s] @"), F.coalesce("usr", F.lit("unknown")), F.lit(": "), _text("message")
     )
+    rows = lambda df, section, line: df.select("vod_id", F.lit(section).alias("section"), "pos", line.alias("line"))
+    return rows(lines, "transcript", spoken).unionAll(rows(messages, "chat", typed))

@@ -7,12 +7,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .profiles import CONTEXT_LIMITS
+from .profiles import CONTEXT_KINDS
 from .scoring import AUDIO_TRIM, CORRECTED_TRIM, MODEL_TRIM
 from .speakers import IDENTITIES
 
 # Enumerations of the contracts.
-OBSERVATION_TYPES = (*CONTEXT_LIMITS, "guest_identity", "clip_quality_lesson", "other")
+OBSERVATION_TYPES = (*CONTEXT_KINDS, "guest_identity", "clip_quality_lesson", "other")
 OBSERVATION_SOURCES = ("transcript", "chat", "speaker_attribution", "fusion", "llm_summary", "manual")
 CLIP_FIELDS = (
     "start", "end", "title", "score", "objects_detected", "summary", "has_speech", "chat_intensity", "label",

@@ -141,7 +141,7 @@ def final_clips(
             F.when(F.size(platforms) == 0, "no_platform_recommendation"),
         )
     )
-    evidence = F.when(F.size("evidence_lines") > 0, F.slice("evidence_lines", 1, 5)).otherwise(
+    evidence = F.when(F.size("evidence_lines") > 0, F.col("evidence_lines")).otherwise(
         F.array(F.lit("No evidence provided"))
     )
     return ready.join(chosen, ["vod_id", "clip_id"]).select(

@@ -67,36 +67,33 @@ def non_overlapping_turns(turns: DataFrame) -> DataFrame:
 
 
 def cluster_embeddings(
-    turns: DataFrame, *, min_seconds: float = 1.5, max_seconds: float = 120.0, max_turns: int = 40
+    turns: DataFrame, *, min_seconds: float = 1.5, max_seconds: float | None = None, max_turns: int | None = None
 ) -> DataFrame:
-    """Mean embedding per (vod_id, speaker_label) of its longest turns.
+    """Mean embedding per (vod_id, speaker_label) of its turns.
 
-    ``turns``: vod_id, speaker_label, pos, dur, embedding.  At most
-    ``max_turns`` turns and ``max_seconds`` seconds; the longest always counts.
-    The rank limit runs before the shuffle, so a group never holds more.
+    ``turns``: vod_id, speaker_label, pos, dur, embedding.  With ``max_turns``
+    or ``max_seconds`` only the longest turns up to these limits; the longest
+    always counts.  Sums are made per dimension on the map side, so a voice may
+    have any number of turns.
     """
     key = ["vod_id", "speaker_label"]
-    longest = Window.partitionBy(*key).orderBy(F.desc("dur"), "pos")
-    ranked = (
-        turns.where(F.col("dur") >= min_seconds)
-        .withColumn("_rank", F.row_number().over(longest))
-        .where(F.col("_rank") <= max_turns)
-        .withColumn("_sum", F.sum("dur").over(longest.rowsBetween(Window.unboundedPreceding, 0)))
-        .where((F.col("_rank") == 1) | (F.col("_sum") <= max_seconds))
+    chosen = turns.where(F.col("dur") >= min_seconds)
+    if max_turns is not None or max_seconds is not None:
+        longest = Window.partitionBy(*key).orderBy(F.desc("dur"), "pos")
+        chosen = chosen.withColumn("_rank", F.row_number().over(longest))
+        if max_turns is not None:
+            chosen = chosen.where(F.col("_rank") <= max_turns)
+        if max_seconds is not None:
+            spoken = F.sum("dur").over(longest.rowsBetween(Window.unboundedPreceding, 0))
+            chosen = chosen.withColumn("_sum", spoken).where((F.col("_rank") == 1) | (F.col("_sum") <= max_seconds))
+    dims = (
+        chosen.select(*key, F.posexplode("embedding").alias("i", "x"))
+        .groupBy(*key, "i")
+        .agg((F.sum(F.col("x").cast("double")) / F.count(F.lit(1))).alias("x"), F.count(F.lit(1)).alias("n"))
     )
-    vectors = F.array_sort(F.collect_list(F.struct("_rank", "embedding")))
-    mean_at = lambda i: F.aggregate(
-        F.col("_vectors"), F.lit(0.0), lambda acc, v: acc + F.get(v["embedding"], i).cast("double")
-    ) / F.size("_vectors")
-    return (
-        ranked.groupBy(*key)
-        .agg(vectors.alias("_vectors"))
-        .withColumn("_last", F.size(F.col("_vectors")[0]["embedding"]) - 1)
-        .select(
-            *key,
-            F.transform(F.sequence(F.lit(0), F.col("_last")), mean_at).alias("embedding"),
-            F.size("_vectors").alias("turns_used"),
-        )
+    vector = F.array_sort(F.collect_list(F.struct("i", "x")))
+    return dims.groupBy(*key).agg(
+        F.transform(vector, lambda v: v["x"]).alias("embedding"), F.max("n").cast("int").alias("turns_used")
     )
 
 

@@ -148,13 +148,13 @@ def stitch_pairs(
         + F.when(F.col("type_match"), 2).otherwise(0)
         + F.when(n >= min_shared, 2).when(n > 0, 1).otherwise(0)
     )
-    some = lambda k: F.array_join(F.slice("shared_tokens", 1, k), ",")
+    shown = F.array_join("shared_tokens", ",")
     reasons = F.array_compact(
         F.array(
             F.when(near, f"temporal_gap<={max_gap}").when(bridge, f"temporal_bridge_gap<={max_bridge_gap}"),
             F.when(F.col("type_match"), F.concat(F.lit("narrative_type_match:"), F.col("l_kind"))),
-            F.when(n >= min_shared, F.concat(F.lit("shared_tokens:"), some(6))).when(
-                n > 0, F.concat(F.lit("weak_shared_tokens:"), some(4))
+            F.when(n >= min_shared, F.concat(F.lit("shared_tokens:"), shown)).when(
+                n > 0, F.concat(F.lit("weak_shared_tokens:"), shown)
             ),
         )
     )
@@ -439,14 +439,15 @@ def representative_analyses(arcs: DataFrame, analyses: DataFrame) -> DataFrame:
     )
 
 
-def stitch_report(pairs: DataFrame) -> DataFrame:
-    """Pair counts per video, decision and first reason, most frequent first."""
+def stitch_report(pairs: DataFrame, k: int | None = None) -> DataFrame:
+    """Pair counts per video, decision and first reason, most frequent first; with ``k`` only so many."""
     first = F.coalesce(F.get("reasons", 0), F.lit("none"))
     counts = pairs.groupBy("vod_id", "merged", first.alias("primary_reason")).agg(
         F.count(F.lit(1)).alias("pairs"), F.min(F.struct("l_start_s", "l_end_s", "l_pos", "r_start_s", "r_end_s", "r_pos")).alias("_first")
     )
     order = Window.partitionBy("vod_id", "merged").orderBy(F.desc("pairs"), "_first")
-    return counts.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= 8).drop("_first")
+    ranked = counts.withColumn("rank", F.row_number().over(order)).drop("_first")
+    return ranked if k is None else ranked.where(F.col("rank") <= k)
 
 
 def notable_pairs(pairs: DataFrame, limit: int = 20, near_miss_score: int = 3) -> DataFrame:

@@ -44,10 +44,12 @@ def append_observations(observations: DataFrame, path: str) -> DataFrame:
 
 
 def profiles_from_documents(documents: DataFrame) -> DataFrame:
-    """Voice profiles from JSON documents (path, doc); malformed ones are skipped and
-    a path counts once."""
+    """Voice profiles from JSON documents (path, doc, optionally pos); malformed ones are
+    skipped.  Of several under a path the one with the smallest pos counts, then the
+    least document."""
     rows = _parsed(documents, "doc", VOICE_PROFILE)
-    return rows.groupBy("path").agg(F.first("_o").alias("o")).select(
+    first = F.struct("pos", "doc") if "pos" in documents.columns else F.struct("doc")
+    return rows.groupBy("path").agg(F.min_by("_o", first).alias("o")).select(
         "path",
         "o.profile_id",
         "o.display_name",

@@ -99,6 +99,6 @@ def parse_sections(replies: DataFrame, text: str = "reply") -> DataFrame:
         F.when(_has(e, "alert|donation|tts|transactional"), F.greatest(paid, F.lit(0.3)))
         .otherwise(paid)
         .alias("transactional_alert_likelihood"),
-        F.coalesce(e.substr(1, 200), F.lit("")).alias("emotion_evidence"),
+        F.coalesce(e, F.lit("")).alias("emotion_evidence"),
         flags.alias("risk_flags"),
     )
