@@ -76,6 +76,11 @@ def spikes(messages: DataFrame, bin_seconds: int = 10, z_threshold: float = 2.0)
     bins = messages.groupBy("vod_id", F.floor(F.col("t") / bin_seconds).alias("bin")).agg(
         F.count(F.lit(1)).alias("message_count")
     )
+    return bin_spikes(bins, bin_seconds, z_threshold)
+
+
+def bin_spikes(bins: DataFrame, bin_seconds: int = 10, z_threshold: float = 2.0) -> DataFrame:
+    """:func:`spikes` from counted bins (vod_id, bin, message_count)."""
     wide = lambda x: x.cast("decimal(38,0)")
     c = F.col("message_count").cast("decimal(19,0)")
     stats = bins.groupBy("vod_id").agg(

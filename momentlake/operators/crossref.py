@@ -19,11 +19,14 @@ INTERACTIVE_LABELS = ("interaction", "intro", "outro")
 
 # Words that tie a topic to what is on screen, with the points for a match.
 TOPIC_WORDS = {
-    "food": (3.0, "food eat snack cook meal dinner lunch breakfast drink coffee tea".split()),
-    "person": (2.0, "person people face someone i me we our my".split()),
-    "device/screen": (2.0, "screen computer phone laptop code type watch video".split()),
-    "animal": (3.0, "pet dog cat animal cute".split()),
+    "food": (
+        3.0, ("food", "eat", "snack", "cook", "meal", "dinner", "lunch", "breakfast", "drink", "coffee", "tea"),
+    ),
+    "person": (2.0, ("person", "people", "face", "someone", "i", "me", "we", "our", "my")),
+    "device/screen": (2.0, ("screen", "computer", "phone", "laptop", "code", "type", "watch", "video")),
+    "animal": (3.0, ("pet", "dog", "cat", "animal", "cute")),
 }
+# Points per emotion.
 EMOTION_WEIGHTS = {
     "happy": 3, "excited": 4, "funny": 5, "surprised": 3, "sad": 2, "frustrated": 2, "angry": 2, "neutral": 1,
 }

@@ -328,8 +328,12 @@ def test_title_forms(spark):
     norm = one(spark, titles.normalise_title(F.lit("  The moment she REALIZED chat was right!!! ")))
     assert norm == "the moment she realized chat was right"
     guard = lambda t, who, a, b: one(spark, titles.guard_title(F.lit(t), F.lit(who), F.lit(a), F.lit(b)))
-    assert guard("Streamer reads chat", "guest", 'he says "we are so back now"', "laughing fit") == '"we are so back now" Makes Her Lose It'
-    assert guard("Streamer reads chat", "guest", "the helicopter spins", "blame for weight").startswith("The Helicopter")
+    assert guard("Streamer reads chat", "guest", 'he says "we are so back now"', "laughing fit") == '"we are so back now" Has Everyone Laughing'
+    assert guard("Streamer reads chat", "guest", 'the sign says "keep out now"', "a scare") == '"keep out now" Brings It All to a Halt'
+    own = (titles.Rewrite("{trigger}: {payoff}!", trigger=("door",)), titles.Rewrite("never", payoff=("absent",)))
+    rewrite = lambda a, b: one(spark, titles.rewrite_for_other_voice(F.lit("kept"), F.lit(a), F.lit(b), own))
+    assert rewrite("a door opens", "a scare") == "A door opens: A scare!"
+    assert rewrite("a door opens", "") == rewrite("a window", "a scare") == "kept"
     assert guard("Streamer reads chat", "guest", "streamer opens a door", "a scare") == "Opens a door — A scare"
     assert guard("Streamer reads chat", "streamer", "x", "y") == "Streamer reads chat"
     assert guard("A vivid title", "guest", "x", "y") == "A vivid title"
@@ -485,12 +489,46 @@ def test_prepare_job(spark):
     assert out.annotation_windows.where("vod_id = 1").count() > 0
 
 
-def test_name_prompt_limits(spark):
+def test_name_prompts_keep_all_rows(spark):
     lines = spark.createDataFrame([(1, i, float(i), i + 1.0, f"line {i}", "S") for i in range(250)], LINES)
     messages = spark.createDataFrame([(1, i, float(i), "u", f"m{i}", None) for i in range(150)], CHAT)
-    out = prompts.name_prompts(lines, messages).first()
-    assert len(out.transcript_block.split("\n")) == 200 and len(out.chat_block.split("\n")) == 100
-    assert out.transcript_block.startswith("[0.0s] S: line 0\n")
+    out = prompts.name_prompts(lines, messages)
+    assert out.where("section = 'transcript'").count() == 250 and out.where("section = 'chat'").count() == 150
+    assert out.orderBy(F.desc("section"), "pos").first().line == "[0.0s] S: line 0"
+
+
+def test_spikes_of_a_very_busy_video(spark):
+    bins = spark.range(8640).select(
+        F.lit(1).cast("bigint").alias("vod_id"), F.col("id").alias("bin"),
+        (400_000 + 40_000 * (F.col("id") == 77).cast("bigint") + F.col("id") % 3).alias("message_count"),
+    )
+    (spike,) = chat.bin_spikes(bins).collect()
+    counts = [400_000 + 40_000 * (i == 77) + i % 3 for i in range(8640)]
+    mean = sum(counts) / 8640
+    assert spike.start_s == 770
+    assert spike.intensity == pytest.approx((counts[77] - mean) / (sum((c - mean) ** 2 for c in counts) / 8640) ** 0.5)
+
+
+def test_many_annotations_of_one_window(spark):
+    raw = spark.range(100_000).select(
+        F.lit(1).cast("bigint").alias("vod_id"), F.col("id").alias("pos"), F.lit(30).cast("bigint").alias("start_s"),
+        F.lit(60).cast("bigint").alias("end_s"), F.lit("w1").alias("window_id"),
+        F.array(F.struct((F.col("id") % 30 + 30).cast("string").alias("timestamp"), F.lit("laugh").alias("type"),
+                         F.lit("0.5").alias("confidence"), F.lit("heard").alias("evidence"), F.lit("guest").alias("speaker_guess"))).alias("audio_events"),
+        F.array().cast("array<struct<timestamp:string,type:string,confidence:string,evidence:string>>").alias("visual_events"),
+        *[F.lit("0.2").alias(c) for c in ("primary_speaker", "streamer_led_likelihood", "non_streamer_voice_type", "streamer_affect",
+                                          "organic_reaction_likelihood", "transactional_alert_likelihood", "emotion_evidence")],
+        F.lit(False).alias("non_streamer_voice_present"), F.array(F.lit("loud")).alias("risk_flags"),
+        F.array(F.concat(F.lit("note "), (F.col("id") % 5).cast("string"))).alias("clip_relevance_notes"),
+        F.lit(True).alias("parse_ok"), F.lit("").alias("error"),
+    )
+    chunks = spark.createDataFrame([(1, 0, 0, 600)], "vod_id bigint, chunk_index bigint, chunk_start bigint, chunk_end bigint")
+    (row,) = annotations.chunk_annotations(chunks, annotations.normalise_annotations(raw)).collect()
+    assert (row.annotation_count, row.annotation_refs, row.notes) == (100_000, ["w1"], [f"note {i}" for i in range(5)])
+    assert row.evidence_lines == [f"audio:laugh@{30 + i}" for i in range(30)]
+    spans = chunks.select("vod_id", F.col("chunk_index").alias("span_id"), F.col("chunk_start").alias("lo"), F.col("chunk_end").alias("hi"))
+    counts = annotations.signal_counts(annotations.windows_in(spans, annotations.normalise_annotations(raw)))
+    assert {(r.kind, r.type): r.n for r in counts.collect()} == {("audio", "laugh"): 100_000, ("risk", "loud"): 100_000}
 
 
 # Runtime
