@@ -108,6 +108,25 @@ def run_game_lines(spark, sf_dir):
     return games.run_game_lines(segments, statuses)
 
 
+@query(
+    "run_game_warnings",
+    with_entities("game_segments", """,
+    warned as (
+        select n_name as game_name, i, case when i = 1 then ' ' else concat('lookup ', i, ' failed for ', n_name) end as warning
+        from (select *, unnest(range(0, n_nationkey % 4)) as i from nation))
+    select vod_id, game_name, i, warning
+    from (select distinct vod_id, game_name from game_segments) join warned using (game_name) where trim(warning) <> ''"""),
+)
+def run_game_warnings(spark, sf_dir):
+    n = (F.col("n_nationkey") % 4).cast("int")
+    said = lambda i: F.when(i == 1, " ").otherwise(F.concat(F.lit("lookup "), i.cast("string"), F.lit(" failed for "), "n_name"))
+    statuses = table(spark, sf_dir, "nation").select(
+        F.col("n_name").alias("game_name"),
+        F.when(n > 0, F.transform(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), said)).otherwise(F.array().cast("array<string>")).alias("warnings"),
+    )
+    return games.run_game_warnings(entity(spark, sf_dir, "game_segments"), statuses)
+
+
 @query(
     "game_search_hits",
     r"""

@@ -2,8 +2,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..adapters import entity, with_entities
+from ..adapters import entity, table, with_entities
 from ..operators import quality
+from ..runtime import shared_folder
+from ..sources import logs
 from . import query
 
 
@@ -171,3 +173,152 @@ def videos_without_clips(spark, sf_dir):
 
     videos = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("vod_id"))
     return quality.videos_without_clips(videos, entity(spark, sf_dir, "candidates").where("worthiness >= 9"))
+
+
+# The rows of other stages, made from candidates with some values out of contract, and what breaks them.
+_LOOSE = """
+    loose as (
+        select pos, narrative_type, trigger_text, payoff_text, confidence,
+               case when pos % 10 = 0 then -start_s else start_s end as s,
+               case when pos % 8 = 0 then case when pos % 10 = 0 then -start_s else start_s end else end_s end as e
+        from candidates)"""
+_SPAN_ERRORS = {"start_s_below_0": "s < 0", "end_s_not_positive": "e <= 0", "end_s_not_after_start_s": "e <= s"}
+
+
+def _counts_sql(errors: dict[str, str]) -> str:
+    counted = " union all ".join(f"select '{name}' as error, count(*) as n from loose where {broken}" for name, broken in errors.items())
+    return with_entities("candidates", f",{_LOOSE} select error, n from ({counted}) where n > 0")
+
+
+def _loose(spark, sf_dir):
+    p = F.col("pos")
+    start = F.when(p % 10 == 0, -F.col("start_s")).otherwise(F.col("start_s"))
+    return entity(spark, sf_dir, "candidates").select(
+        "pos", "narrative_type", F.col("trigger_text").alias("trigger"), F.col("payoff_text").alias("payoff"), "confidence",
+        start.alias("start_s"), F.when(p % 8 == 0, start).otherwise(F.col("end_s")).alias("end_s"), "candidate_id",
+    )
+
+
+def _unless(n, value):
+    return F.when(F.col("pos") % n > 0, value)
+
+
+def _list_unless(n):
+    return F.when(F.col("pos") % n > 0, F.array(F.lit("x"))).otherwise(F.array().cast("array<string>"))
+
+
+@query(
+    "stitched_contract_counts",
+    _counts_sql({
+        "stitched_id_missing": "pos % 9 = 0", **_SPAN_ERRORS, "evidence_lines_empty": "pos % 6 = 0",
+        "source_candidate_ids_empty": "pos % 5 = 0", "source_windows_empty": "pos % 4 = 0", "merge_reasons_empty": "pos % 3 = 0",
+        "confidence_outside_0_1": "confidence::double + case when pos % 7 = 0 then 0.9::double else 0.0::double end > 1",
+    }),
+)
+def stitched_contract_counts(spark, sf_dir):
+    rows = _loose(spark, sf_dir).select(
+        "*", _unless(9, F.lit("arc")).alias("stitched_id"), _list_unless(6).alias("evidence_lines"),
+        _list_unless(5).alias("source_candidate_ids"), _list_unless(4).alias("source_windows"), _list_unless(3).alias("merge_reasons"),
+    ).withColumn("confidence", (F.col("confidence") + F.when(F.col("pos") % 7 == 0, 0.9).otherwise(0.0)).cast("double"))
+    return quality.error_counts(rows, "stitched")
+
+
+@query(
+    "scored_contract_counts",
+    _counts_sql({
+        "candidate_id_missing": "pos % 9 = 0", "eligible_missing": "pos % 5 = 0", **_SPAN_ERRORS,
+        "final_score_outside_0_10": "pos % 13 > 10", "raw_score_outside_0_10": "pos % 12 > 10", "trim_source_unknown": "pos % 4 = 0",
+    }),
+)
+def scored_contract_counts(spark, sf_dir):
+    p = F.col("pos")
+    rows = _loose(spark, sf_dir).select(
+        _unless(9, F.col("candidate_id")).alias("candidate_id"), "start_s", "end_s", (p % 13).alias("final_score"),
+        (p % 12).alias("raw_score"), _unless(5, F.lit(True)).alias("eligible"),
+        F.when(p % 4 == 0, "by hand").otherwise(quality.MODEL_TRIM).alias("trim_source"),
+    )
+    return quality.error_counts(rows, "scored")
+
+
+@query(
+    "final_contract_counts",
+    _counts_sql({
+        "clip_id_missing": "pos % 9 = 0", "title_missing": "pos % 5 = 0", "rank_below_1": "pos % 3 = 0", **_SPAN_ERRORS,
+        "trim_start_below_0": "s - case when pos % 7 = 0 then 1 else 0 end < 0", "trim_end_not_positive": "e <= 0",
+        "trim_end_not_after_trim_start": "e <= s - case when pos % 7 = 0 then 1 else 0 end", "trim_outside_window": "pos % 7 = 0",
+        "score_outside_0_10": "pos % 13 > 10", "evidence_empty": "pos % 6 = 0", "trim_source_unknown": "pos % 4 = 0",
+    }),
+)
+def final_contract_counts(spark, sf_dir):
+    p = F.col("pos")
+    rows = _loose(spark, sf_dir).select(
+        _unless(9, F.col("candidate_id")).alias("clip_id"), "start_s", "end_s", "narrative_type",
+        (F.col("start_s") - F.when(p % 7 == 0, 1).otherwise(0)).alias("trim_start"), F.col("end_s").alias("trim_end"),
+        _unless(5, F.col("trigger")).alias("title"), (p % 3).alias("rank"), (p % 13).alias("score"), F.lit(5.0).alias("raw_score"),
+        _list_unless(6).alias("evidence"), F.when(p % 4 == 0, "by hand").otherwise(quality.CORRECTED_TRIM).alias("trim_source"),
+    )
+    return quality.error_counts(rows, "final_selected")
+
+
+@query(
+    "context_contract_counts",
+    _counts_sql({
+        "clip_start_missing": "pos % 11 = 0", "clip_start_below_0": "s < 0 and pos % 11 > 0", "clip_end_not_positive": "e <= 0",
+        "clip_end_not_after_clip_start": "e <= s and pos % 11 > 0", "total_dead_air_seconds_below_0": "pos % 5 = 0",
+        "dead_air_ratio_outside_0_1": "pos % 11 > 8", "streamer_speaking_ratio_outside_0_1": "pos % 10 > 8",
+        "streamer_speaking_confidence_outside_0_1": "pos % 12 > 8", "primary_speaker_identity_unknown": "pos % 6 = 0",
+    }),
+)
+def context_contract_counts(spark, sf_dir):
+    p = F.col("pos")
+    rows = _loose(spark, sf_dir).select(
+        _unless(11, F.col("start_s")).alias("clip_start"), F.col("end_s").alias("clip_end"), (p % 5 - 1).alias("total_dead_air_seconds"),
+        (p % 11 / 8).alias("dead_air_ratio"), (p % 10 / 8).alias("streamer_speaking_ratio"),
+        (p % 12 / 8).alias("streamer_speaking_confidence"),
+        F.when(p % 6 == 0, "nobody").otherwise("streamer").alias("primary_speaker_identity"),
+    )
+    return quality.error_counts(rows, "context")
+
+
+@query(
+    "recognition_contract_counts",
+    _counts_sql({
+        "identity_unknown": "pos % 6 = 0", "confidence_outside_0_1": "pos % 10 > 8", "cosine_similarity_outside_-1_1": "pos % 21 > 16 or pos % 21 = 0",
+    }),
+)
+def recognition_contract_counts(spark, sf_dir):
+    p = F.col("pos")
+    rows = _loose(spark, sf_dir).select(
+        F.when(p % 6 == 0, "nobody").otherwise("guest").alias("identity"), (p % 10 / 8).alias("confidence"),
+        F.when(p % 21 == 0, -1.5).otherwise((p % 21 - 8) / 8).alias("cosine_similarity"),
+    )
+    return quality.error_counts(rows, "recognition")
+
+
+@query(
+    "appended_observations",
+    """
+    with batch as (
+        select c_custkey as pos, concat_ws(',', case when c_custkey % 9 = 0 then 'claim_missing' end,
+               case when c_custkey % 8 = 0 then 'timestamp_end_not_after_timestamp_start' end,
+               case when c_custkey % 7 = 0 then 'confidence_outside_0_1' end, case when c_custkey % 5 = 0 then 'evidence_empty' end,
+               case when c_custkey % 4 = 0 then 'type_unknown' end) as errors
+        from customer)
+    select pos, errors = '' as accepted, errors from batch""",
+)
+def appended_observations(spark, sf_dir):
+    """A batch appended to the observation log: rows read back from it, and the quarantined ones."""
+    p = F.col("c_custkey")
+    batch = table(spark, sf_dir, "customer").select(
+        F.col("c_mktsegment").alias("streamer_id"), p.alias("pos"), (p % 50).alias("vod_id"),
+        F.when(p % 9 > 0, F.col("c_name")).alias("claim"), (p % 1000 + 1).alias("timestamp_start"),
+        (p % 1000 + 1 + F.when(p % 8 == 0, 0).otherwise(10)).alias("timestamp_end"),
+        F.when(p % 7 == 0, 1.5).otherwise(0.5).alias("confidence"),
+        F.when(p % 5 > 0, F.array(F.lit("said"))).otherwise(F.array().cast("array<string>")).alias("evidence"),
+        F.array(F.lit("ref")).alias("evidence_refs"), F.when(p % 4 == 0, "rumour").otherwise("inside_joke").alias("type"),
+        F.lit("manual").alias("source"),
+    )
+    folder = shared_folder(spark, "observations")
+    refused = logs.append_observations(batch, folder)
+    taken = spark.read.parquet(folder).select("pos", F.lit(True).alias("accepted"), F.lit("").alias("errors"))
+    return taken.unionByName(refused.select("pos", F.lit(False).alias("accepted"), F.array_join("errors", ",").alias("errors")))

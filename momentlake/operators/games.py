@@ -207,3 +207,11 @@ def run_game_lines(segments: DataFrame, statuses: DataFrame) -> DataFrame:
         F.coalesce("cache_status", F.lit("unknown")), F.lit(")"),
     )
     return segments.join(statuses, "game_name", "left").select("vod_id", "pos", line.alias("line"))
+
+
+def run_game_warnings(segments: DataFrame, statuses: DataFrame) -> DataFrame:
+    """What the lookups of a run's games warned of, one row per video, game and
+    warning.  ``statuses``: game_name, warnings (array of text)."""
+    games = segments.select("vod_id", "game_name").distinct()
+    warned = statuses.select("game_name", F.posexplode("warnings").alias("i", "warning"))
+    return games.join(warned.where(F.trim("warning") != ""), "game_name").select("vod_id", "game_name", "i", "warning")

@@ -4,6 +4,7 @@ checkpoints and skew-safe lookups."""
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -54,6 +55,12 @@ def _ensure_checkpoint_dir(spark: SparkSession) -> None:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new path in the folder that the driver and all executors share."""
+    _ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and cut its lineage, so a
     lost executor re-reads the files instead of replaying earlier rounds."""
