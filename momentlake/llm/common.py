@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterable, Iterator
 
 import numpy as np
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,23 +65,9 @@ def words_in(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD_PATTERN)), F.lit(0)).cast("long")
 
 
-class WordHashes(dict):
-    """64-bit hashes of words, remembered for at most ``limit`` of them."""
-
-    def __init__(self, limit: int = 1 << 19) -> None:
-        super().__init__()
-        self.limit = limit
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.limit:
-            self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word)
-        return value
-
-    def of(self, text: str | None) -> np.ndarray:
-        """Hashes of the words of a text with A-Z lowered; empty for null."""
-        words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+#: Bytes of text that are hashed at a time.
+HASH_BYTES = 1 << 20
+_BASE = 0x5851F42D4C957F2D  # odd, so its powers have inverses modulo 2^64
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -91,6 +77,78 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def _byte_tables() -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit value of each byte, the same for both cases of A-Z, and whether it is white space."""
+    values = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    values[65:91] = values[97:123]
+    space = np.zeros(256, bool)
+    space[list(SPACES.encode())] = True
+    return values, space
+
+
+_VALUES, _SPACE = _byte_tables()
+_POWERS: list[np.ndarray] = []
+
+
+def _powers(n: int) -> list[np.ndarray]:
+    """Powers of the base and of its inverse, at least n of each; those of usual length are kept."""
+    if _POWERS and len(_POWERS[0]) >= n:
+        return _POWERS
+    n = max(n, 2 * HASH_BYTES)
+    made = []
+    for base in (_BASE, pow(_BASE, -1, 1 << 64)):
+        factors = np.full(n, base, np.uint64)
+        factors[0] = 1
+        made.append(np.multiply.accumulate(factors))
+    if n <= 2 * HASH_BYTES:
+        _POWERS[:] = made
+    return made
+
+
+def _hashes(raw: list[bytes]) -> list[np.ndarray]:
+    """Hashes of the words of each text: polynomials over byte values, by differences of one running sum."""
+    joined = np.frombuffer(b"\n" + b"\n".join(raw) + b"\n", np.uint8)
+    space = _SPACE[joined]
+    starts = np.flatnonzero(space[:-1] & ~space[1:]) + 1
+    ends = np.flatnonzero(~space[:-1] & space[1:]) + 1
+    power, inverse = _powers(len(joined))
+    running = np.cumsum(_VALUES[joined] * power[: len(joined)])
+    own = (running[ends - 1] - running[starts - 1]) * inverse[starts]
+    own = mixed(own + (ends - starts).astype(np.uint64))
+    limits = np.searchsorted(starts, np.cumsum([len(r) + 1 for r in raw]) + 1)
+    return np.split(own, limits[:-1])
+
+
+def _cut(raw: bytes, most: int) -> Iterator[bytes]:
+    """Parts of a long text, cut at white space; a longer word stays whole."""
+    start = 0
+    while len(raw) - start > most:
+        at = max(raw.rfind(c, start, start + most) for c in SPACES.encode())
+        if at < 0:
+            at = min((x for c in SPACES.encode() if (x := raw.find(c, start + most)) >= 0), default=len(raw))
+        yield raw[start:at]
+        start = at + 1
+    yield raw[start:]
+
+
+def hashed_words(texts: Iterable[str | None], most: int = HASH_BYTES) -> Iterator[np.ndarray]:
+    """64-bit hashes of the words of each text in order, A-Z lowered; none for null and blank texts."""
+    held: list[bytes] = []
+    size = 0
+    for text in texts:
+        raw = (text if isinstance(text, str) else "").encode("utf-8", "surrogatepass")
+        if held and size + len(raw) > most:
+            yield from _hashes(held)
+            held, size = [], 0
+        if len(raw) > most:
+            yield np.concatenate([_hashes([part])[0] for part in _cut(raw, most)])
+            continue
+        held.append(raw)
+        size += len(raw) + 1
+    if held:
+        yield from _hashes(held)
+
+
 def gram_hashes(words: np.ndarray, n: int) -> np.ndarray:
     """Hashes of all runs of ``n`` words, in order; order within a run matters."""
     if len(words) < n:

@@ -1,12 +1,18 @@
-"""Connected components of an edge table, in rounds of large and small stars."""
+"""Connected components of an edge table: contraction inside tasks, then rounds of large and small stars."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from momentlake.llm.common import shared_table
 
+#: Nodes that a task holds while it contracts its edges.
+TASK_NODES = 1_000_000
+
 
 def _with_least(pairs: DataFrame) -> DataFrame:
     """Each (u, v) with the least of u and all its v.  The grouped side has one row per u, so a node
@@ -24,14 +30,44 @@ def _round(edges: DataFrame) -> DataFrame:
     return down.where("u > v").distinct()
 
 
+def _contracted(edges: DataFrame) -> DataFrame:
+    """The edges of each task replaced by stars around the least nodes of what they connect there."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        root: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            top = x
+            while (up := root.get(top, top)) != top:
+                top = up
+            while x != top:
+                root[x], x = top, root.get(x, x)
+            return top
+
+        def stars() -> pd.DataFrame:
+            pairs = [(u, find(u)) for u in list(root)]
+            return pd.DataFrame([p for p in pairs if p[0] != p[1]], columns=["u", "v"])
+
+        for batch in batches:
+            for a, b in zip(batch["u"].tolist(), batch["v"].tolist(), strict=True):
+                x, y = find(a), find(b)
+                if x != y:
+                    root[max(x, y)] = min(x, y)
+            if len(root) > TASK_NODES:
+                yield stars()
+                root.clear()
+        yield stars()
+
+    return edges.mapInPandas(run, "u long, v long")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of ``edges`` (a, b: long) that is not the least of its component.
 
     Rounds end when the edge set no longer changes; it is compared by count and two checksums.
     """
-    now = shared_table(
-        edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u > v").distinct()
-    )
+    ordered = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u > v")
+    now = shared_table(_contracted(_contracted(ordered).repartition("v")).distinct())
     before = None
     while True:
         mark = now.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.bit_xor(F.xxhash64("v", "u", F.lit(1)))).first()

@@ -7,7 +7,9 @@ exactly the pivots it holds; of those, all equally near, the rarest is its home.
 the radius misses at most a known number of its shingles (the triangle inequality on set sizes), so
 replicating it to that many next pivots makes every linked pair meet in a region.
 
-Regions that share documents join into cells.  A cell that fits in a task is joined there exactly, by
+Inside a region two documents are compared by bitmaps that hold the parity of their shingles' hashes: the
+Hamming distance of bitmaps is never above the number of shingles in which the sets differ, so what it rules out is not
+linked.  Documents that it leaves linked join into cells.  A cell that fits in a task is joined there exactly, by
 pivot rows: one document against all, until those left are known to be connected.  In a cell that does
 not fit, each region is joined for itself, and a region that still does not fit is divided again by
 document pivots: Voronoi homes, windows of twice the radius, recursively; what does not
@@ -16,7 +18,7 @@ shrink is joined by pairs of blocks.  Only links that join components leave a ta
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,13 +27,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from momentlake.llm.common import WordHashes, attach_groups, gram_hashes, shared_table
+from momentlake.llm.common import attach_groups, gram_hashes, hashed_words, shared_table
 from momentlake.llm.components import components
 
-#: Counters in which shingle frequencies are kept (hashed; the order needs no exact counts).
+#: Counters in which word frequencies are kept (hashed; the order of shingles needs no exact counts).
 COUNTERS = 1 << 18
 #: Shingles of all documents of a cell, region or block that one task joins.
 TASK_SHINGLES = 4_000_000
+#: Documents of a region's block.
+BLOCK_DOCS = 2048
+#: Documents that share a region with others up to which their ids are broadcast.
+BROADCAST_CHOSEN = 500_000
 #: Document pivots of a region that is divided, and how often it is divided again.
 PIVOTS, LEVELS = 16, 2
 
@@ -44,10 +50,22 @@ class Rule:
     least: int = 90
     of: int = 100
 
-    def shingles(self, hashes: WordHashes, text: str | None) -> np.ndarray:
-        """Sorted distinct hashes of a text's shingles; of fewer words, the whole sequence as one."""
-        words = hashes.of(text)
-        return np.unique(gram_hashes(words, self.gram if len(words) >= self.gram else max(1, len(words))))
+    def sets(self, texts: Iterable[str | None]) -> Iterator[np.ndarray]:
+        """Sorted distinct hashes of each text's shingles; of fewer words, the whole sequence as one."""
+        for words in hashed_words(texts):
+            yield self.of_words(words)[0]
+
+    def of_words(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """A text's set, and where each shingle first stands."""
+        return np.unique(gram_hashes(words, self.length(words)), return_index=True)
+
+    def length(self, words: np.ndarray) -> int:
+        return self.gram if len(words) >= self.gram else max(1, len(words))
+
+    def rarity(self, words: np.ndarray, at: np.ndarray, commonness: np.ndarray) -> np.ndarray:
+        """Order of the shingles that stand at ``at``: how common they would be if words were independent."""
+        each = commonness[_counter(words)]
+        return sum(each[at + i] for i in range(self.length(words)))
 
     def window(self, n: int) -> int:
         """Pivots of a set of n shingles among which the first shared with a linked set must be."""
@@ -56,13 +74,39 @@ class Rule:
     def linked(self, common: np.ndarray, n: int, sizes: np.ndarray) -> np.ndarray:
         return self.of * common >= self.least * (n + sizes - common)
 
+    def size_class(self, n: int) -> int:
+        """Sets of linked documents are in the same class or in adjacent ones."""
+        return int(np.log(n) / (np.log(self.of / self.least) * (1 + 1e-9))) if self.least < self.of else n
+
+    def bitmap(self, shingles: np.ndarray) -> bytes:
+        """Parity of the hashes by their last bits, in as many bits as the next power of two (64 at least)."""
+        bits = max(64, 1 << (len(shingles) - 1).bit_length())
+        odd = np.bincount((shingles & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+        return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+    def may_link(self, n: int, bits: bytes, m: int, other: bytes) -> bool:
+        """False only for sets that are not linked: sizes and the distance of bitmaps tell."""
+        if self.of * min(n, m) < self.least * max(n, m):
+            return False
+        x, y, width = int.from_bytes(bits, "little"), int.from_bytes(other, "little"), 8 * min(len(bits), len(other))
+        differ = (_folded(x, 8 * len(bits), width) ^ _folded(y, 8 * len(other), width)).bit_count()
+        return differ * (self.of + self.least) <= (n + m) * (self.of - self.least)
+
     @property
     def radius(self) -> float:
         return 1 - self.least / self.of
 
 
-def _counter(shingles: np.ndarray) -> np.ndarray:
-    return (shingles >> np.uint64(46)).astype(np.int64)
+def _counter(words: np.ndarray) -> np.ndarray:
+    return (words >> np.uint64(46)).astype(np.int64)
+
+
+def _folded(bits: int, width: int, to: int) -> int:
+    """The bitmap of ``to`` bits that the one of ``width`` bits implies."""
+    while width > to:
+        width //= 2
+        bits = (bits >> width) ^ (bits & ((1 << width) - 1))
+    return bits
 
 
 def _node(shingles: np.ndarray) -> int:
@@ -73,15 +117,22 @@ def _node(shingles: np.ndarray) -> int:
 
 
 def _describe(docs: DataFrame, rule: Rule) -> DataFrame:
-    """Per row doc_id, n and node (null for an empty set), and per task counts of shingles by counter."""
+    """Per row doc_id, n, node and bitmap (null for an empty set), and per task counts of words by counter."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes, counts = WordHashes(), np.zeros(COUNTERS, np.int64)
+        counts = np.zeros(COUNTERS, np.int64)
         for batch in batches:
-            sets = [rule.shingles(hashes, text) for text in batch["text"]]
-            counts += np.bincount(_counter(np.concatenate(sets)), minlength=COUNTERS) if sets else 0
-            nodes = pd.array([_node(s) if len(s) else None for s in sets], "Int64")
-            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "n": [len(s) for s in sets], "node": nodes})
+            ns, nodes, bits, held = [], [], [], []
+            for words in hashed_words(batch["text"]):
+                s, _ = rule.of_words(words)
+                ns.append(len(s))
+                nodes.append(_node(s) if len(s) else None)
+                bits.append(rule.bitmap(s) if len(s) else None)
+                held.append(_counter(words))
+                if sum(map(len, held)) >= COUNTERS or len(ns) == len(batch):
+                    counts += np.bincount(np.concatenate(held), minlength=COUNTERS)
+                    held = []
+            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "n": ns, "node": pd.array(nodes, "Int64"), "bits": bits})
         full = np.flatnonzero(counts)
         for at in range(0, len(full), 65536):
             part = full[at : at + 65536]
@@ -89,41 +140,50 @@ def _describe(docs: DataFrame, rule: Rule) -> DataFrame:
 
     def filled(batches):
         for out in run(batches):
-            yield out.reindex(columns=["doc_id", "n", "node", "counter", "count"]).astype("Int64")
+            out = out.reindex(columns=["doc_id", "n", "node", "counter", "count", "bits"])
+            numbers = {c: "Int64" for c in out.columns if c != "bits"}
+            yield out.assign(bits=out["bits"].astype(object).where(out["bits"].notna(), None)).astype(numbers)
 
-    return docs.select("doc_id", "text").mapInPandas(filled, "doc_id long, n long, node long, counter long, count long")
+    return docs.select("doc_id", "text").mapInPandas(filled, "doc_id long, n long, node long, counter long, count long, bits binary")
 
 
 def _region_rows(docs: DataFrame, rule: Rule, order) -> DataFrame:
-    """(pivot, node, n): each document in the regions of its window."""
+    """(pivot, class, node, n): each document in the regions of its window, with its class of size."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes, ranks, seen = WordHashes(), np.frombuffer(order.value, np.int64), set()
+        commonness, seen = np.frombuffer(order.value, np.int64), set()
         for batch in batches:
-            pivots, nodes, ns = [], [], []
-            for text in batch["text"]:
-                s = rule.shingles(hashes, text)
+            pivots, classes, nodes, ns = [], [], [], []
+            for words in hashed_words(batch["text"]):
+                s, at = rule.of_words(words)
                 if not len(s) or (node := _node(s)) in seen:
                     continue
                 if len(seen) >= 1 << 20:
                     seen.clear()
                 seen.add(node)
-                first = np.lexsort((s, ranks[_counter(s)]))[: rule.window(len(s))]
+                first = np.lexsort((s, rule.rarity(words, at, commonness)))[: rule.window(len(s))]
                 pivots.append(s[first].view(np.int64))
+                classes.append(np.full(len(first), rule.size_class(len(s))))
                 nodes.append(np.full(len(first), node))
                 ns.append(np.full(len(first), len(s)))
             if pivots:
-                yield pd.DataFrame({"pivot": np.concatenate(pivots), "node": np.concatenate(nodes), "n": np.concatenate(ns)})
+                yield pd.DataFrame({"pivot": np.concatenate(pivots), "class": np.concatenate(classes), "node": np.concatenate(nodes), "n": np.concatenate(ns)})
 
-    return docs.select("text").mapInPandas(run, "pivot long, node long, n long")
+    return docs.select("text").mapInPandas(run, "pivot long, class int, node long, n int")
 
 
 def _regions(rows: DataFrame) -> DataFrame:
-    """(region, node, n, least): regions of two or more documents, one of those with equal documents."""
+    """(region, node, n, docs): regions of two or more documents, one of those with equal documents.
+
+    The empty set is one more pivot: distances to it are sizes, and its windows cut each region
+    into classes of size, where a document is in its own class and, as a visitor, in the next one.
+    """
     distinct = rows.repartition("pivot").dropDuplicates(["pivot", "node"])
-    whole = Window.partitionBy("pivot")
+    windows = F.explode(F.array(F.col("class"), F.col("class") + 1)).alias("class")
+    distinct = distinct.select("pivot", "node", "n", windows)
+    whole = Window.partitionBy("pivot", "class")
     marked = distinct.select(
-        F.col("pivot").alias("region"),
+        F.xxhash64("pivot", "class").alias("region"),
         "node",
         "n",
         F.count("*").over(whole).alias("docs"),
@@ -134,7 +194,59 @@ def _regions(rows: DataFrame) -> DataFrame:
     marked = shared_table(marked.where("docs > 1"))
     same = ["docs", "least", "mark_a", "mark_b"]
     first = marked.groupBy(*same).agg(F.min("region").alias("region")).select("region")
-    return marked.join(first, "region", "left_semi").select("region", "node", "n", "least")
+    return marked.join(first, "region", "left_semi").select("region", "node", "n", "docs")
+
+
+def _near(regions: DataFrame, marks: DataFrame, rule: Rule) -> DataFrame:
+    """(a, b): what connects the documents of each region that sizes and bitmaps do not tell apart.
+
+    A region of many documents is compared by pairs of blocks, so a task holds two blocks at most.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        now, held, out = None, [], []
+        for batch in batches:
+            for region, first, second, node, n, bits in batch.itertuples(index=False, name=None):
+                if (region, first, second) != now:
+                    out += _close(held, rule)
+                    now, held = (region, first, second), []
+                held.append((n, node, bits))
+            if out:
+                yield pd.DataFrame(out, columns=["a", "b"])
+                out = []
+        if out := _close(held, rule):
+            yield pd.DataFrame(out, columns=["a", "b"])
+
+    blocks = F.ceil(F.col("docs") / BLOCK_DOCS)
+    cut = regions.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    paired = cut.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select(
+        "region", F.least("block", "other").alias("first"), F.greatest("block", "other").alias("second"), "node"
+    )
+    key = ["region", "first", "second"]
+    ordered = paired.join(marks, "node").select(*key, "node", "n", "bits").repartition("region", "first", "second")
+    return ordered.sortWithinPartitions(*key, "n", "node").mapInPandas(run, "a long, b long")
+
+
+def _close(held: list[tuple[int, int, bytes]], rule: Rule) -> list[tuple[int, int]]:
+    """Links that connect what may be linked among (n, node, bitmap) in the order of n."""
+    label = list(range(len(held)))
+
+    def find(i: int) -> int:
+        while label[i] != i:
+            label[i] = label[label[i]]
+            i = label[i]
+        return i
+
+    out = []
+    for i, (n, node, bits) in enumerate(held):
+        for j in range(i + 1, len(held)):
+            m, other, more = held[j]
+            if rule.of * n < rule.least * m:
+                break
+            if (x := find(i)) != (y := find(j)) and rule.may_link(n, bits, m, more):
+                label[max(x, y)] = min(x, y)
+                out.append((node, other))
+    return out
 
 
 class Sets:
@@ -199,18 +311,17 @@ def _join_groups(texts: DataFrame, key: list[str], rule: Rule) -> DataFrame:
     and hold one at a time; its size is bounded by the callers."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes, now, held, out = WordHashes(), None, {}, []
+        now, held, out = None, {}, []
 
         def links() -> list[tuple[int, int]]:
-            return _links(list(held), joined(rule, list(held.values()))) if len(held) > 1 else []
+            return _links(list(held), joined(rule, list(rule.sets(held.values())))) if len(held) > 1 else []
 
         for batch in batches:
             for group, node, text in zip(batch[key].itertuples(index=False, name=None), batch["node"], batch["text"], strict=True):
                 if group != now:
                     out += links()
                     now, held = group, {}
-                if node not in held:
-                    held[node] = rule.shingles(hashes, text)
+                held.setdefault(node, text)
             if out:
                 yield pd.DataFrame(out, columns=["a", "b"])
                 out = []
@@ -229,20 +340,19 @@ def _divided(texts: DataFrame, rule: Rule, level: int) -> tuple[DataFrame, DataF
     """
     by_hash = Window.partitionBy("region").orderBy(F.xxhash64(F.lit(level), "node"))
     slim = texts.select("region", "node").withColumn("rank", F.row_number().over(by_hash)).where(F.col("rank") <= PIVOTS)
-    pivots = texts.join(slim, ["region", "node"]).select("region", F.col("node").alias("pivot"), F.col("text").alias("pivot_text"))
+    pivots = texts.join(slim, ["region", "node"]).select(
+        F.col("region").alias("region"), F.col("node").alias("pivot"), F.col("text").alias("pivot_text")
+    )
     chunk = F.pmod(F.xxhash64("node"), F.lit(64))
     members = texts.withColumn("chunk", chunk)
-    pivots = pivots.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(63))).cast("long"))
+    pivots = pivots.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(63).cast("long"))))
 
     def assign(member: pd.DataFrame, pivot: pd.DataFrame) -> pd.DataFrame:
         rows = []
         if len(member) and len(pivot):
-            hashes = WordHashes()
             pivot = pivot.sort_values("pivot")
-            own = [rule.shingles(hashes, t) for t in pivot["pivot_text"]]
-            names = pivot["pivot"].to_numpy()
-            for m in member.itertuples():
-                s = rule.shingles(hashes, m.text)
+            own, names = list(rule.sets(pivot["pivot_text"])), pivot["pivot"].to_numpy()
+            for m, s in zip(member.itertuples(), rule.sets(member["text"]), strict=True):
                 common = np.array([len(np.intersect1d(s, p, assume_unique=True)) for p in own])
                 sizes = np.array([len(p) for p in own])
                 away = 1 - common / (len(s) + sizes - common)
@@ -255,7 +365,7 @@ def _divided(texts: DataFrame, rule: Rule, level: int) -> tuple[DataFrame, DataF
     placed = shared_table(
         members.groupBy("region", "chunk")
         .cogroup(pivots.groupBy("region", "chunk"))
-        .applyInPandas(assign, "region long, node long, n long, pivot long, link boolean")
+        .applyInPandas(assign, "region long, node long, n int, pivot long, link boolean")
     )
     links = placed.where("link").select(F.col("node").alias("a"), F.col("pivot").alias("b"))
     inner = placed.withColumn("region", F.xxhash64("region", "pivot"))
@@ -303,29 +413,34 @@ def jaccard_components(docs: DataFrame, *, rule: Rule | None = None, task_shingl
     rule = rule or Rule()
     spark = docs.sparkSession
     described = shared_table(_describe(docs, rule))
-    rows = described.where("counter is null").select("doc_id", "n", "node")
+    rows = described.where("counter is null").select("doc_id", "n", "node", "bits")
     totals = described.where("counter is not null").groupBy("counter").agg(F.sum("count").alias("count"))
     ranks = np.zeros(COUNTERS, np.int64)
     for r in totals.collect():  # at most COUNTERS rows
         ranks[r["counter"]] = r["count"]
-    order = spark.sparkContext.broadcast(ranks.tobytes())
+    # In steps of 1/64 of a doubling.
+    commonness = np.rint(64 * np.log2(ranks + 1)).astype(np.int64)
+    order = spark.sparkContext.broadcast(commonness.tobytes())
     regions = shared_table(_regions(_region_rows(docs, rule, order)))
-    cells = components(regions.select(F.col("node").alias("a"), F.col("least").alias("b")))
-    sizes = regions.groupBy("node").agg(F.max("n").alias("n"))
-    cells = sizes.join(cells, "node", "left").withColumn("cell", F.coalesce("root", "node")).drop("root")
+    marks = rows.where("node is not null").groupBy("node").agg(F.max("n").alias("n"), F.max("bits").alias("bits"))
+    roots = components(_near(regions, marks, rule))
+    least = roots.select(F.col("root").alias("node"), "root")
+    sizes = rows.where("node is not null").groupBy("node").agg(F.max("n").alias("n"))
+    cells = sizes.join(roots.unionByName(least).distinct(), "node").withColumnRenamed("root", "cell")
     weight = cells.groupBy("cell").agg((F.sum("n") <= task_shingles).alias("whole"))
     cells = shared_table(cells.join(weight, "cell"))
     # One text per node that shares a region.
-    chosen = rows.join(cells.select("node"), "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    node_texts = shared_table(_texts_of(docs, chosen, rule))
-    labels = _join_groups(cells.where("whole").join(node_texts, "node"), ["cell"], rule)
+    chosen = rows.join(cells, "node").groupBy("node", "cell", "whole").agg(F.min("doc_id").alias("doc_id"))
+    chosen = shared_table(chosen.where("doc_id is not null"))
+    labels = _join_groups(_texts_of(docs, chosen.where("whole"), rule), ["cell"], rule)
     labels = labels.select(F.col("a").alias("node"), F.col("b").alias("root"))
-    if not cells.where("not whole").isEmpty():
-        apart = regions.join(cells.where("not whole").select("node"), "node", "left_semi").select("region", "node", "n")
-        more = components(_large_links(apart, node_texts, rule, task_shingles))
-        labels = labels.unionByName(more)
+    large = chosen.where("not whole")
+    if not large.isEmpty():
+        node_texts = shared_table(_texts_of(docs, large, rule).select("node", "text"))
+        apart = regions.join(large.select("node"), "node", "left_semi").select("region", "node", "n")
+        labels = labels.unionByName(components(_large_links(apart, node_texts, rule, task_shingles)))
     labels = shared_table(labels)
-    named = rows.join(labels, "node", "left").withColumn("component", F.coalesce("root", "node"))
+    named = rows.drop("bits").join(labels, "node", "left").withColumn("component", F.coalesce("root", "node"))
     groups = shared_table(
         named.where("component is not null").groupBy("component").agg(F.min("doc_id").alias("least"), F.count("*").alias("group_size"))
     )
@@ -336,19 +451,29 @@ def jaccard_components(docs: DataFrame, *, rule: Rule | None = None, task_shingl
 
 
 def _texts_of(docs: DataFrame, chosen: DataFrame, rule: Rule) -> DataFrame:
-    """(node, text) of the chosen (node, doc_id); of rows repeated under one id, those with that set."""
+    """(cell, node, text) of the chosen (cell, node, doc_id); of rows repeated under one id, those with that set."""
 
     def checked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes = WordHashes()
         for batch in batches:
-            sets = (rule.shingles(hashes, text) for text in batch["text"])
+            sets = rule.sets(batch["text"])
             yield batch[[bool(len(s)) and _node(s) == node for s, node in zip(sets, batch["node"], strict=True)]]
 
-    found = docs.select("doc_id", "text").join(chosen.where("doc_id is not null"), "doc_id")
-    return found.select("node", "text").mapInPandas(checked, "node long, text string")
+    named = chosen.select("doc_id", "node", "cell")
+    # Beyond the bound both sides are shuffled by their unique ids.
+    if chosen.limit(BROADCAST_CHOSEN + 1).count() <= BROADCAST_CHOSEN:
+        named = F.broadcast(named)
+    found = docs.select("doc_id", "text").join(named, "doc_id")
+    return found.select("cell", "node", "text").mapInPandas(checked, "cell long, node long, text string")
 
 
 def one_per_component(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` whose ``doc_id`` is the smallest of their component."""
-    kept = jaccard_components(docs, **options).where("doc_id = component_id or component_id is null").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
+    """The rows of ``docs`` whose ``doc_id`` is the smallest of their component, one row of each id.
+
+    Of rows repeated under an id the one with the least text stays.  Rows with a null ``doc_id``
+    cannot be named by a component and all stay.
+    """
+    kept = jaccard_components(docs, **options).where("doc_id = component_id").select("doc_id").distinct()
+    named = docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
+    first = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
+    named = named.withColumn("_first", first).where("_first = 1").drop("_first")
+    return named.unionByName(docs.where("doc_id is null"))

@@ -9,7 +9,7 @@ with hinge loss is fitted to them by dual coordinate descent.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from momentlake.llm.common import WordHashes, gram_hashes, mixed
+from momentlake.llm.common import gram_hashes, hashed_words, mixed
 
 #: Hashed features of words and, after them, of shapes.
 WORD_FEATURES, SHAPE_FEATURES = 1 << 18, 1 << 16
@@ -29,11 +29,14 @@ MAX_ROWS = 20_000
 _RUNS = (re.compile(r"[^\W\d_a-zß-öø-ÿ]+"), re.compile(r"[^\W\d_X]+"), re.compile(r"\d+"))
 
 
-class ShapeHashes(WordHashes):
-    """Hashes of word shapes: runs of capitals X, of other letters x, of digits 0, symbols as they are."""
+class ShapeHashes(dict):
+    """Hashes of word shapes: runs of capitals X, of other letters x, of digits 0, symbols as they are.
+
+    Remembers a bounded number of words.
+    """
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.limit:
+        if len(self) >= 1 << 19:
             self.clear()
         shape = word.decode("utf-8", "replace")
         for run, sign in zip(_RUNS, "Xx0", strict=True):
@@ -43,19 +46,19 @@ class ShapeHashes(WordHashes):
 
 
 class Features:
-    """The features of texts; keeps its caches from text to text."""
+    """The features of texts; keeps the hashes of shapes from text to text."""
 
     def __init__(self) -> None:
-        self.words, self.shapes = WordHashes(), ShapeHashes()
-
-    def of(self, text: str | None) -> np.ndarray:
-        """Sorted distinct feature numbers; none for null, empty and blank texts."""
-        split = (text or "").encode("utf-8", "surrogatepass").split()
-        n = len(split)
-        words = np.fromiter(map(self.words.__getitem__, (w.lower() for w in split)), np.uint64, n)
-        shapes = np.fromiter(map(self.shapes.__getitem__, split), np.uint64, n)
-        if n > 1:
-            shapes[1:][words[1:] == words[:-1]] = 1
+        self.shapes = ShapeHashes()
+
+    def of(self, texts: Sequence[str | None]) -> Iterator[np.ndarray]:
+        """Sorted distinct feature numbers of each text; none for null, empty and blank ones."""
+        for text, words in zip(texts, hashed_words(texts), strict=True):
+            yield self._one(text if isinstance(text, str) else "", words)
+
+    def _one(self, text: str, words: np.ndarray) -> np.ndarray:
+        shapes = np.fromiter(map(self.shapes.__getitem__, text.encode("utf-8", "surrogatepass").split()), np.uint64, len(words))
+        shapes[1:][words[1:] == words[:-1]] = 1
         found = [(gram_hashes(words, k) + np.uint64(k)) % np.uint64(WORD_FEATURES) for k in WORD_GRAMS]
         found += [np.uint64(WORD_FEATURES) + (mixed(gram_hashes(shapes, k) + np.uint64(k))) % np.uint64(SHAPE_FEATURES) for k in SHAPE_GRAMS]
         return np.unique(np.concatenate(found)).astype(np.int32)
@@ -128,10 +131,11 @@ def fit(labelled: DataFrame, *, cost: float = 1.0, steepness: float = 4.0) -> Mo
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         features = Features()
         for batch in batches:
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "label": batch["label"], "f": [features.of(t).tobytes() for t in batch["text"]]})
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "label": batch["label"], "f": [f.tobytes() for f in features.of(batch["text"])]})
 
     def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        got = pd.concat(list(batches), ignore_index=True).sort_values(["doc_id", "label", "f"])
+        none = pd.DataFrame({"doc_id": [], "label": [], "f": []})
+        got = pd.concat([none, *batches], ignore_index=True).sort_values(["doc_id", "label", "f"])
         rows, label = [np.frombuffer(f, np.int32) for f in got["f"]], got["label"].to_numpy()
         if len(set(label)) < 2:
             return
@@ -171,7 +175,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     def scored(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         features = Features()
         for batch in texts:
-            yield pd.Series([shared.value.score(features.of(t)) for t in batch], dtype="float64")
+            yield pd.Series([shared.value.score(f) for f in features.of(batch)], dtype="float64")
 
     rows = docs.drop(*[c for c in docs.columns if c in ("score", "predicted")]).withColumn("score", scored(F.col("text")))
     return rows.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))

@@ -37,7 +37,8 @@ def _joined(factor: int):
 
 def _roll(df: DataFrame, words: str, out: str, gram: int) -> DataFrame:
     """Polynomial hashes of all runs of ``gram`` words from the word hashes, by doubling run lengths."""
-    names = {1: words}
+    df = df.withColumn(f"{out}_1", F.col(words))
+    names = {1: f"{out}_1"}
     length = 1
     while length * 2 <= gram:
         a, b = _shifted(names[length], length)
