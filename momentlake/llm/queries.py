@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from momentlake.llm import chat_format, exact_dedup, jaccard_join, mixing, packing, pitman_yor, quality, secrets, sharding, winnowing
 from momentlake.llm.common import documents
 from momentlake.runtime import configure
@@ -156,3 +157,8 @@ def find_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def exact_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, sf_dir))
+
+
+QUERIES["pipeline"] = lambda spark, sf_dir: corpus_pipeline.run(configure(spark), sf_dir)
+if corpus_pipeline.ORACLE_SQL:
+    CHECKS["pipeline"] = corpus_pipeline.ORACLE_SQL
