@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from ..adapters import entity, table, with_entities
 from ..functions import scalars
 from ..functions import text as X
-from ..operators import prompts, selection
+from ..operators import manifest, prompts, selection
 from ..sources import chat as chat_source
 from ..sources import documents, logs, replies
 from . import query
@@ -232,11 +232,81 @@ def fusion_points_source(spark, sf_dir):
     "fusion_windows_source",
     with_entities("segments", """
     select vod_id, pos as window_index, case when start_s = 0 then pos else start_s end::double as start_s,
-           end_s::double as end_s, concat('w', pos) as title
+           end_s::double as end_s, concat('w', pos) as title, null::varchar as summary, '' as labels,
+           0.0::double as speech_hint, 0.0::double as chat_hint
     from segments where vod_id % 3 = 0"""),
 )
 def fusion_windows_source(spark, sf_dir):
-    return _fusion_documents(spark, sf_dir)["windows"]
+    return _fusion_documents(spark, sf_dir)["windows"].withColumn("labels", F.array_join("labels", ","))
+
+
+def _signal_windows(spark, sf_dir):
+    """Windows that carry their own signals under changing names, one document per conversation."""
+    p = F.col("pos")
+    text = lambda *parts: F.concat(*[F.lit(x) if isinstance(x, str) else x for x in parts])
+    objects = (
+        F.when(p % 4 == 0, '"objects":["Cup "," laptop","cup"]').when(p % 4 == 1, '"objects":[],"objects_detected":" Face"')
+        .when(p % 4 == 2, '"detections":{"a":{"class_name":"Chair"},"plant":1}').otherwise('"objects":null')
+    )
+    speech = (
+        F.when(p % 3 == 0, '"speech":0,"speech_ratio":0.25').when(p % 3 == 1, '"speech":"yes"').otherwise('"transcript":[1,2]')
+    )
+    chat = F.when(p % 5 == 0, '"chat":true').when(p % 5 == 1, '"chat":"","message_count":30').otherwise('"chat_intensity":0.125')
+    window = text(
+        '{"start":', (p * 40 + 1).cast("string"), ',"end":', (p * 40 + 31).cast("string"), ",", objects, ",", speech, ",", chat,
+        F.when(p % 2 == 0, ',"summary":"told"').otherwise(""), "}",
+    )
+    docs = entity(spark, sf_dir, "segments").groupBy("vod_id").agg(F.array_sort(F.collect_list(F.struct("pos", window.alias("w")))).alias("l"))
+    doc = text('{"clips":[', F.array_join(F.transform("l", lambda x: x["w"]), ","), "]}")
+    return documents.split_fusion(docs.select("vod_id", doc.alias("doc")))["windows"]
+
+
+_SIGNAL_WINDOWS = """
+    carried as (
+        select vod_id, pos as window_index, pos * 40 + 1.0::double as start_s, pos * 40 + 31.0::double as end_s,
+               case when pos % 2 = 0 then 'told' end as summary,
+               case cast(pos % 4 as int) when 0 then ['cup', 'laptop'] when 1 then ['face'] when 2 then ['chair', 'plant']
+                    else [] end::varchar[] as labels,
+               case cast(pos % 3 as int) when 0 then 0.25::double when 1 then 1.0::double else 2.0::double / 30.0::double end as speech,
+               case when pos % 5 = 0 then 1.0::double when pos % 5 = 1 then 0.25::double else 0.125::double end as chat
+        from segments)"""
+
+
+@query(
+    "carried_window_signals",
+    with_entities("segments", f""",{_SIGNAL_WINDOWS}
+    select vod_id, window_index, start_s, end_s, null::varchar as title, summary, array_to_string(labels, ',') as labels,
+           speech as speech_hint, chat as chat_hint from carried"""),
+)
+def carried_window_signals(spark, sf_dir):
+    return _signal_windows(spark, sf_dir).withColumn("labels", F.array_join("labels", ","))
+
+
+@query(
+    "carried_signal_manifest",
+    with_entities("segments detections", f""",{_SIGNAL_WINDOWS},
+    seen as (
+        select c.vod_id, window_index, lower(trim(class_name)) as label
+        from carried c join detections d on d.vod_id = c.vod_id and d.second_s between floor(start_s) and floor(end_s)
+        union select vod_id, window_index, unnest(labels) from carried),
+    found as (
+        select vod_id, window_index, string_agg(label, ',' order by label) as objects,
+               sum(case label when 'cup' then 5 when 'laptop' then 8 when 'face' then 10 when 'person' then 8 else 0 end) as tenths
+        from seen group by all),
+    scored as (
+        select c.*, coalesce(objects, '') as objects,
+               1.0::double + speech * 3 + chat * 3 + least(2.0::double, coalesce(tenths, 0) / 10.0::double) as raw
+        from carried c left join found using (vod_id, window_index))
+    select vod_id, window_index, objects as objects_detected,
+           round_even(greatest(0.0::double, least(10.0::double, raw)) * 100.0, 0) / 100.0 as score, speech > 0 as has_speech,
+           round_even(chat * 1000.0, 0) / 1000.0 as chat_intensity
+    from scored"""),
+)
+def carried_signal_manifest(spark, sf_dir):
+    none = entity(spark, sf_dir, "segments").select("vod_id", "pos", "start_s", "end_s", "text").where("false")
+    points = entity(spark, sf_dir, "segments").select("vod_id", F.col("start_s").alias("t"), F.lit(0.0).alias("chat_intensity")).where("false")
+    out = manifest.clip_manifest(_signal_windows(spark, sf_dir), none, points, entity(spark, sf_dir, "detections"))
+    return out.select("vod_id", "window_index", F.array_join("objects_detected", ",").alias("objects_detected"), "score", "has_speech", "chat_intensity")
 
 
 @query(

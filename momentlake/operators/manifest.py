@@ -97,7 +97,8 @@ def chat_intensity(windows: DataFrame, timeline: DataFrame) -> DataFrame:
 
 
 def window_objects(windows: DataFrame, detections: DataFrame) -> DataFrame:
-    """Distinct labels seen from ``int(start)`` to ``int(end)``, both seconds included."""
+    """Distinct labels seen from ``int(start)`` to ``int(end)``, both seconds included,
+    and those that the windows carry themselves (``labels``, optional)."""
     labels = compact_detections(detections)
     frame = (
         windows.select(*_WINDOW)
@@ -105,10 +106,11 @@ def window_objects(windows: DataFrame, detections: DataFrame) -> DataFrame:
         .withColumn("_from", F.floor("start_s"))
         .withColumn("_to", F.greatest(F.floor("start_s"), F.floor("end_s")))
     )
+    seen = point_join(labels, frame, bucket=_BUCKET, at="second_s", span=("_from", "_to")).select(*_WINDOW, "label")
+    if "labels" in windows.columns:
+        seen = seen.unionAll(windows.select(*_WINDOW, F.explode("labels").alias("label")))
     return (
-        point_join(labels, frame, bucket=_BUCKET, at="second_s", span=("_from", "_to"))
-        .select(*_WINDOW, "label")
-        .distinct()
+        seen.distinct()
         .groupBy(*_WINDOW)
         .agg(
             F.array_sort(F.collect_list("label")).alias("objects_detected"),
@@ -137,10 +139,15 @@ def clip_manifest(
 ) -> DataFrame:
     """Scores every window from speech, chat and useful objects.
 
-    ``windows``: vod_id, window_index, start_s, end_s, optional title, summary.
-    For videos without any transcript line (or timeline point) the hints, 0..1
-    columns of ``windows``, stand in for the measured signal.
+    ``windows``: vod_id, window_index, start_s, end_s, optional title, summary,
+    labels, speech_hint, chat_hint.  For videos without any transcript line (or
+    timeline point) the hints, 0..1 columns of ``windows``, stand in for the
+    measured signal.
     """
+    if speech_hint is None and "speech_hint" in windows.columns:
+        speech_hint = F.col("speech_hint")
+    if chat_hint is None and "chat_hint" in windows.columns:
+        chat_hint = F.col("chat_hint")
     lo, hi = F.least("start_s", "end_s"), F.greatest("start_s", "end_s")
     frame = windows.withColumn("_lo", lo).withColumn("end_s", hi).withColumn("start_s", F.col("_lo")).drop("_lo")
     no_hint = F.lit(0.0)

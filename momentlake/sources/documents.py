@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import let
+from ..functions.scalars import clamp, let
 from ..functions.text import vod_id_of_url
 from .chat import is_list
 
@@ -94,6 +94,10 @@ def _first(v: Column, names: tuple[str, ...]) -> Column:
 _SECOND_FIELDS = ("timestamp_sec", "frame", "frame_idx", "frame_index", "second", "timestamp")
 _LABEL_LISTS = ("objects", "labels", "classes", "detections")
 _LABEL_FIELDS = ("label", "name", "class", "class_name")
+_OBJECT_FIELDS = ("objects", "objects_detected", "detections")
+_SPEECH_FIELDS = ("speech", "speech_score", "speech_ratio", "speech_activity", "transcript")
+_CHAT_FIELDS = ("chat", "chat_activity", "chat_messages", "message_count", "chat_intensity")
+CHAT_FULL_SCALE = 120.0
 _START_FIELDS, _END_FIELDS = ("start", "start_seconds", "t0"), ("end", "end_seconds", "t1")
 
 
@@ -170,6 +174,22 @@ def _number(v: Column, names: tuple[str, ...], default: Column) -> Column:
     return F.coalesce(safe_number(_first(v, names)), default)
 
 
+def _signal(v: Column, full_scale: Column) -> Column:
+    """0..1 from a value of any kind: numbers up to 1 as they are, larger ones and sizes of lists and
+    objects by ``full_scale``, text and flags by whether they say anything."""
+    scale = F.greatest(full_scale, F.lit(1.0))
+    number = safe_number(v)
+    size = F.coalesce(F.size(_items(v)), F.size(_entries(v))).cast("double")
+    found = (
+        F.when(_kind(v) == "BOOLEAN", F.try_variant_get(v, "$", "boolean").cast("double"))
+        .when(_is_text(v), (F.length(F.trim(_text(v))) > 0).cast("double"))
+        .when(_is_array(v) | _is_object(v), size / scale)
+        .when(number <= 1, number)
+        .otherwise(number / scale)
+    )
+    return clamp(F.coalesce(found, F.lit(0.0)), 0, 1)
+
+
 def safe_number(v: Column) -> Column:
     return F.try_variant_get(v, "$", "double")
 
@@ -178,7 +198,8 @@ def split_fusion(documents: DataFrame) -> dict[str, DataFrame]:
     """Windows, transcript lines, timeline points and stated durations of fusion documents.
 
     ``documents``: vod_id, doc.  Windows come from ``windows``, ``segments`` or
-    ``clips``.  Blank lines and lines without length are left out; points without
+    ``clips`` and carry their own title, summary and labels, and speech and chat
+    hints (0..1) for videos without transcript or timeline.  Blank lines and lines without length are left out; points without
     a time, or at exactly 0, are too.
     """
     docs = documents.select("vod_id", strict_json(F.col("doc")).alias("v"))
@@ -190,6 +211,10 @@ def split_fusion(documents: DataFrame) -> dict[str, DataFrame]:
         .withColumn("start_s", _number(row, _START_FIELDS, F.col("window_index").cast("double")))
         .withColumn("end_s", _number(row, _END_FIELDS, F.col("start_s")))
         .withColumn("title", F.try_variant_get(row, "$.title", "string"))
+        .withColumn("summary", F.try_variant_get(row, "$.summary", "string"))
+        .withColumn("labels", F.array_sort(F.array_distinct(_labels(_first(row, _OBJECT_FIELDS)))))
+        .withColumn("speech_hint", _signal(_first(row, _SPEECH_FIELDS), F.abs(F.col("end_s") - F.col("start_s"))))
+        .withColumn("chat_hint", _signal(_first(row, _CHAT_FIELDS), F.lit(CHAT_FULL_SCALE)))
         .drop("r")
     )
     spoken = _field(v, "transcript")
