@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BLOCK_SECONDS = 3600
+# Rows of one time that are scanned together.
+CELL_ROWS = 4096
 # Raw rows of one time bucket are spread over this many join keys.
 JOIN_SALTS = 4
 
@@ -147,6 +149,15 @@ def last_marked(
     )
 
 
+def _cell(rows: DataFrame, order: Sequence[str]) -> Column:
+    """A key that does not decrease in ``order``: the values before the last one, and the last one in
+    steps.  A whole number that tells rows apart leaves at most ``CELL_ROWS`` rows to a cell; text has
+    one step, so rows that are equal but for it share a cell."""
+    whole = dict(rows.dtypes)[order[-1]] in ("bigint", "int", "smallint", "tinyint")
+    step = F.floor(F.col(order[-1]) / CELL_ROWS) if whole else F.lit(0)
+    return F.struct(*order[:-1], step.alias("_step"))
+
+
 def neighbour(
     rows: DataFrame,
     *,
@@ -159,28 +170,30 @@ def neighbour(
 ) -> DataFrame:
     """Adds a struct of the ``take`` columns of the previous (or following) row.
 
-    Same as ``lag``/``lead`` over the whole video, but scanned inside blocks;
-    ``block`` must not decrease in ``order``.  The first row of a block gets
-    the edge row of the nearest non-empty block.
+    Same as ``lag``/``lead`` over the whole video.  Rows are scanned inside cells
+    of bounded size, so that all rows of one second are many tasks; cells, one row
+    each, inside blocks; and blocks over the video.  ``block`` must not decrease
+    in ``order``, whose last column tells rows apart (best a whole number).  The
+    first row of a cell gets the edge row of the nearest cell before it.
     """
-    tagged = rows.withColumn("_block", block)
-    payload, rank = F.struct(*take), F.struct(*order)
-    inside = Window.partitionBy(*keys, "_block").orderBy(*order)
-    over_blocks = Window.partitionBy(*keys).orderBy("_block")
-    if following:
-        local, edge = F.lead(payload).over(inside), F.min_by(payload, rank)
-        carry = F.lead("_edge").over(over_blocks)
-    else:
-        local, edge = F.lag(payload).over(inside), F.max_by(payload, rank)
-        carry = F.lag("_edge").over(over_blocks)
-    edges = (
-        tagged.groupBy(*keys, "_block").agg(edge.alias("_edge")).select(*keys, "_block", carry.alias("_carry"))
+    tagged = rows.withColumn("_cell", _cell(rows, order)).withColumn("_block", block)
+    payload = F.struct(*take)
+    beside, edge = (F.lead, F.min_by) if following else (F.lag, F.max_by)
+    local = beside(payload).over(Window.partitionBy(*keys, "_cell").orderBy(order[-1]))
+    cells = tagged.groupBy(*keys, "_block", "_cell").agg(edge(payload, F.col(order[-1])).alias("_edge"))
+    blocks = cells.groupBy(*keys, "_block").agg(edge("_edge", F.col("_cell")).alias("_far"))
+    far = blocks.select(*keys, "_block", beside("_far").over(Window.partitionBy(*keys).orderBy("_block")).alias("_far"))
+    near = beside("_edge").over(Window.partitionBy(*keys, "_block").orderBy("_cell"))
+    carried = (
+        cells.withColumn("_near", near)
+        .join(far, [*keys, "_block"], "left")
+        .select(*keys, "_cell", F.coalesce("_near", "_far").alias("_carry"))
     )
     return (
         tagged.withColumn("_local", local)
-        .join(edges, [*keys, "_block"], "left")
+        .join(carried, [*keys, "_cell"], "left")
         .withColumn(out, F.coalesce("_local", "_carry"))
-        .drop("_block", "_local", "_carry")
+        .drop("_cell", "_block", "_local", "_carry")
     )
 
 
@@ -282,19 +295,24 @@ def surrounding_times(
 def numbered(
     rows: DataFrame, *, order: Sequence[str], block: Column, out: str, keys: Sequence[str] = ("vod_id",)
 ) -> DataFrame:
-    """Row numbers from 0 per key in ``order``, counted inside blocks plus the
-    sizes of the earlier blocks; ``block`` must not decrease in ``order``."""
-    tagged = rows.withColumn("_block", block)
-    inside = Window.partitionBy(*keys, "_block").orderBy(*order)
-    earlier = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    """Row numbers from 0 per key in ``order``, counted inside cells of bounded size, plus
+    the sizes of the earlier cells and blocks; see :func:`neighbour` for ``order`` and ``block``."""
+    tagged = rows.withColumn("_cell", _cell(rows, order)).withColumn("_block", block)
+    before = lambda name, *over: F.coalesce(
+        F.sum(name).over(Window.partitionBy(*over[:-1]).orderBy(over[-1]).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
+    )
+    cells = tagged.groupBy(*keys, "_block", "_cell").agg(F.count(F.lit(1)).alias("_n"))
+    blocks = cells.groupBy(*keys, "_block").agg(F.sum("_n").alias("_m"))
+    starts = blocks.select(*keys, "_block", before("_m", *keys, "_block").alias("_start"))
     offsets = (
-        tagged.groupBy(*keys, "_block")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .select(*keys, "_block", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"))
+        cells.withColumn("_offset", before("_n", *keys, "_block", "_cell"))
+        .join(starts, [*keys, "_block"])
+        .select(*keys, "_cell", (F.col("_offset") + F.col("_start")).alias("_offset"))
     )
+    inside = F.row_number().over(Window.partitionBy(*keys, "_cell").orderBy(order[-1])) - 1
     return (
-        tagged.withColumn("_inside", F.row_number().over(inside) - 1)
-        .join(offsets, [*keys, "_block"])
+        tagged.withColumn("_inside", inside)
+        .join(offsets, [*keys, "_cell"])
         .withColumn(out, F.col("_inside") + F.col("_offset"))
-        .drop("_block", "_inside", "_offset")
+        .drop("_cell", "_block", "_inside", "_offset")
     )

@@ -338,3 +338,22 @@ def test_nearest_keys_equal_full_search(spark):
         )
         want[(v, s, e)] = best[1:] if best else (None, None)
     assert got == want
+
+
+def test_one_busy_second_is_many_cells(spark):
+    """All rows of a video in one second, and in few: numbers and neighbours as over the whole video."""
+    n = 3 * intervals.CELL_ROWS
+    busy = [(1, 50, i) for i in range(n)] + [(1, 20, n + 7), (1, 4000, n + 9), (1, 4000, n + 8), (2, 9, 3)]
+    df = spark.createDataFrame(busy, "vod_id bigint, t bigint, pos bigint")
+    block = F.floor(F.col("t") / 3600)
+    numbers = {(r.vod_id, r.t, r.pos): r.no for r in intervals.numbered(df, order=["t", "pos"], block=block, out="no").collect()}
+    wanted = sorted(busy)
+    assert numbers == {row: i - (n + 3 if row[0] == 2 else 0) for i, row in enumerate(wanted)}
+    for following in (False, True):
+        out = intervals.neighbour(df, order=["t", "pos"], block=block, take=["t", "pos"], out="o", following=following)
+        got = {(r.vod_id, r.t, r.pos): r.o and (r.vod_id, r.o.t, r.o.pos) for r in out.collect()}
+        step = 1 if following else -1
+        for i, row in enumerate(wanted):
+            other = wanted[i + step] if 0 <= i + step < len(wanted) else None
+            assert got[row] == (other if other and other[0] == row[0] else None)
+    assert df.where("t = 50").select(intervals._cell(df, ["t", "pos"])).distinct().count() == 3
