@@ -128,7 +128,7 @@ def enrolled_profiles(spark, sf_dir):
 _RECOGNISED = f"""{_PICKED},{_PROFILES},
     scores as (
         select c.vod_id, c.speaker, p.profile_id, list_cosine_similarity(c.embedding, p.embedding) as s
-        from clusters c cross join profiles p
+        from clusters c join profiles p on c.vod_id % 2 = p.profile_id % 2
         qualify row_number() over (partition by c.vod_id, c.speaker order by s desc, p.profile_id) = 1),
     thresholds as (
         select *, 0.3::double as a, case when profile_id % 2 = 0 then 0.5 else 0.8 end as h,
@@ -147,8 +147,10 @@ _RECOGNISED = f"""{_PICKED},{_PROFILES},
 
 def _recognition(spark, sf_dir):
     turns = _turn_rows(spark, sf_dir)
-    clusters = speakers.cluster_embeddings(turns)
-    return speakers.recognise_clusters(clusters, _profile_rows(spark, sf_dir), turns)
+    # Two streamers: the videos and the voices with even and with odd numbers.
+    clusters = speakers.cluster_embeddings(turns).withColumn("streamer_id", F.col("vod_id") % 2)
+    profiles = _profile_rows(spark, sf_dir).withColumn("streamer_id", F.col("profile_id") % 2)
+    return speakers.recognise_clusters(clusters, profiles, turns)
 
 
 @query(

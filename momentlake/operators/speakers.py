@@ -173,7 +173,8 @@ def _best_in_block(clusters: pd.DataFrame, profiles: pd.DataFrame) -> pd.DataFra
 def best_profiles(clusters: DataFrame, profiles: DataFrame) -> DataFrame:
     """The most similar profile of each cluster by cosine (ties: first profile).
 
-    Profiles are cut into blocks and clusters into slices of bounded size; each
+    Where both sides have a ``streamer_id`` only the profiles of a cluster's own
+    streamer compete: a join on that key.  Otherwise all do: profiles are cut into blocks and clusters into slices of bounded size; each
     (block, slice) cell is one matrix product that returns one row per cluster,
     so no cluster-profile pair is ever shuffled.
     """
@@ -184,7 +185,11 @@ def best_profiles(clusters: DataFrame, profiles: DataFrame) -> DataFrame:
         F.col("embedding").cast("array<double>").alias("embedding"),
         F.coalesce("accept_similarity", F.lit(ACCEPT_SIMILARITY)).alias("accept"),
         F.coalesce("high_confidence_similarity", F.lit(HIGH_SIMILARITY)).alias("high"),
+        *[c for c in profiles.columns if c == "streamer_id"],
     )
+    if "streamer_id" in profiles.columns and "streamer_id" in clusters.columns:
+        return _best_of_streamer(clusters, usable)
+    clusters = checkpointed(clusters)  # counted, and read once for each block
     n_blocks = max(1, math.ceil(usable.count() / PROFILES_PER_BLOCK))
     n_slices = max(1, math.ceil(clusters.count() / CLUSTERS_PER_SLICE))
     block = F.pmod(F.xxhash64("pos", "profile_id"), F.lit(n_blocks))
@@ -224,6 +229,26 @@ def best_profiles(clusters: DataFrame, profiles: DataFrame) -> DataFrame:
     )
 
 
+def _best_of_streamer(clusters: DataFrame, profiles: DataFrame) -> DataFrame:
+    voices = clusters.select("vod_id", "speaker_label", "streamer_id", F.col("embedding").cast("array<double>").alias("_v"))
+    known = profiles.withColumnRenamed("embedding", "_p")
+    pairs = salted_lookup(voices, known, ["streamer_id"], spread_by=["vod_id", "speaker_label"], how="inner")
+    dot = F.aggregate(F.zip_with("_v", "_p", lambda x, y: x * y), F.lit(0.0), lambda acc, x: acc + x)
+    norms = _norm(F.col("_v")) * _norm(F.col("_p"))
+    # Vectors of other sizes and zero vectors are at similarity 0.
+    score = F.when((F.size("_v") == F.size("_p")) & (norms > 0), dot / norms).otherwise(0.0)
+    return (
+        pairs.withColumn("score", score)
+        .groupBy("vod_id", "speaker_label")
+        .agg(
+            F.min_by(
+                F.struct("score", "profile_id", "role", "accept", "high"), F.struct(-F.col("score"), F.col("pos"))
+            ).alias("best")
+        )
+        .select("vod_id", "speaker_label", "best.*")
+    )
+
+
 def recognise_clusters(clusters: DataFrame, profiles: DataFrame, turns: DataFrame) -> DataFrame:
     """Identity, confidence and profile for every speaker label of ``turns``.
 
@@ -231,7 +256,7 @@ def recognise_clusters(clusters: DataFrame, profiles: DataFrame, turns: DataFram
     reported if not negative); at its high threshold the confidence is at
     least 0.85.  Labels without an embedding are unknown.
     """
-    best = best_profiles(checkpointed(clusters), profiles)
+    best = best_profiles(clusters, profiles)
     s, a = F.col("score"), F.col("accept")
     accepted = s >= a
     confidence = F.greatest(F.lit(0.0), F.least(F.lit(1.0), (s - a) / F.greatest(F.lit(1e-6), 1.0 - a)))
