@@ -56,7 +56,11 @@ def _selectable(spark, sf_dir):
         .withColumn("clip_point", F.when(p % 2 == 0, F.concat(F.lit("Point "), (p % 3).cast("string"), F.lit(" "), "trigger")))
         .withColumn("trim_start_reason", F.col("trim_reason"))
         .withColumn("trim_end_reason", F.lit(None).cast("string"))
-        .withColumn("primary_speaker_identity", F.lit("streamer"))
+        .withColumn("primary_speaker_identity", F.when(p % 5 == 0, "guest").otherwise("streamer"))
+        .withColumn("primary_speaker_name", F.when(p % 5 == 0, "Kim"))
+        .withColumn("streamer_speaking_ratio", p % 4 / 4)
+        .withColumn("off_streamer_voice_detected", p % 5 == 0)
+        .withColumn("platform_scores", F.create_map(F.lit("tiktok"), (p % 10).cast("double")))
         .withColumn("evidence_lines", F.array("trigger"))
     )
 
@@ -72,12 +76,16 @@ _SELECTED = _SCORED + """,
         select r.*, false as is_fallback from rows r where eligible and final_score >= 3
         union all by name select * from spare),
     titled as (
-        select *, concat('c', pos) as clip_id,
+        select * replace (case when pos % 5 = 0 and regexp_matches(title, '^(The moment|What happens when) ')
+                   then concat(upper(trigger_text[1]), trigger_text[2:], ' — ',
+                        case payoff_text when 'the streamer laughs' then 'Laughs' when 'chat loses it' then 'Chat loses it'
+                             else 'A viewer story lands' end) else title end as title)
+        from (select *, concat('c', pos) as clip_id,
                case when pos % 2 = 0 then concat('Point ', pos % 3, ' ', trigger_text)
                     when narrative_type = 'chat_reveal'
                     then concat('What happens when chat drops a message about ', trigger_text, '?')
                     else concat('The moment ', trigger_text, ' led to ', payoff_text) end as title
-        from prelim where te > ts and ts >= start_s and te <= end_s),
+        from prelim where te > ts and ts >= start_s and te <= end_s)),
     words2 as (select *, regexp_extract_all(lower(title), '[a-z0-9'']+') as w from titled),
     ranked as (
         select *, array_to_string(w, ' ') as norm,
@@ -96,8 +104,8 @@ _SELECTED = _SCORED + """,
     select r.vod_id, k.rank, r.clip_id, r.start_s, r.end_s, ts as trim_start, te as trim_end, final_score as score, title,
            narrative_type, concat_ws(',', case when recommends_tiktok then 'tiktok' end,
                case when recommends_shorts then 'shorts' end) as platforms,
-           concat('Deterministic score ', printf('%.1f', round_even(final_score * 10.0, 0) / 10.0),
-               '/10 with clear trigger/payoff evidence and non-duplicate title concept.') as why_selected,
+           concat('Scored ', printf('%.1f', round_even(final_score * 10.0, 0) / 10.0),
+               '/10 by rule; no better clip of the video has a title like this.') as why_selected,
            concat('trigger: ', trigger_text, ' -> payoff: ', payoff_text) as narrative_arc,
            concat('Start: ', case when trim_reason = '' then 'model boundary' else trim_reason end,
                   '; End: model boundary') as trim_rationale,
@@ -105,13 +113,15 @@ _SELECTED = _SCORED + """,
                 when te - ts between 20 and 24 or te - ts between 61 and 75 then 'acceptable with minor duration penalty'
                 when te - ts between 15 and 19 or te - ts between 76 and 90 then 'risky duration band'
                 else 'poor duration fit' end) as duration_fit,
-           case when recommends_tiktok or recommends_shorts then concat('Recommended for ', concat_ws(', ',
+           case when recommends_tiktok or recommends_shorts then concat('Suits ', concat_ws(', ',
                case when recommends_tiktok then 'tiktok' end, case when recommends_shorts then 'shorts' end))
-               else 'No strong platform recommendation' end as platform_fit,
+               else 'No platform stands out' end as platform_fit,
            concat_ws(',', case when requires_context then 'context_required' end,
                case when confidence < 0.7 then 'low_discovery_confidence' end,
                case when not (recommends_tiktok or recommends_shorts) then 'no_platform_recommendation' end) as risks,
-           is_fallback
+           is_fallback, final_score as normalized_score, (pos % 10)::double as tiktok_score,
+           case when pos % 5 = 0 then 'guest' else 'streamer' end as voice, case when pos % 5 = 0 then 'Kim' end as voice_name,
+           (pos % 4 / 4.0)::double as streamer_speaking_ratio, pos % 5 = 0 as off_streamer_voice_detected
     from ranked r join kept k on k.vod_id = r.vod_id and k.clip_id = r.clip_id""", recursive=True),
 )
 def final_clips(spark, sf_dir):
@@ -120,6 +130,8 @@ def final_clips(spark, sf_dir):
         "vod_id", "rank", "clip_id", "start_s", "end_s", "trim_start", "trim_end", "score", "title", "narrative_type",
         F.array_join("platform_recommendations", ",").alias("platforms"), "why_selected", "narrative_arc",
         "trim_rationale", "duration_fit", "platform_fit", F.array_join("risks", ",").alias("risks"), "is_fallback",
+        "normalized_score", F.col("platform_scores")["tiktok"].alias("tiktok_score"), F.col("speaker.identity").alias("voice"),
+        F.col("speaker.name").alias("voice_name"), "speaker.streamer_speaking_ratio", "speaker.off_streamer_voice_detected",
     )
 
 

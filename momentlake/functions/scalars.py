@@ -111,6 +111,7 @@ def banded_duration_penalty(trim_start: Column, trim_end: Column) -> Column:
 
 def duration_fit(length: Column) -> Column:
     """Wording of how well a clip length fits; whole-second bands, gaps are poor."""
+    # The bands and their wording.
     words = (
         F.when(length.between(25, 60), "optimal (25-60s band)")
         .when(length.between(20, 24) | length.between(61, 75), "acceptable with minor duration penalty")

@@ -13,6 +13,8 @@ from .scoring import MIN_FINAL_SCORE
 MAX_CLIPS = 20
 BATCH = 64
 
+FEEDBACK = "Reach the payoff early, and leave the reaction in the cut."
+
 
 def distinct_titles(
     clips: DataFrame, *, order: list[Column], title: str = "title", max_clips: int = MAX_CLIPS, batch: int = BATCH
@@ -113,7 +115,8 @@ def final_clips(
     final_trim_start, final_trim_end, trim_source, clip_point, narrative_type,
     trigger, payoff, confidence, requires_context, platform_recommendations,
     trim_start_reason, trim_end_reason, primary_speaker_identity,
-    evidence_lines.  Clips whose trim leaves their bounds are dropped before
+    evidence_lines; optional platform_scores and the voice columns of a clip's
+    context.  Clips whose trim leaves their bounds are dropped before
     titles are compared.
     """
     # Scored clips are a stage result that is read several times below.
@@ -141,6 +144,7 @@ def final_clips(
             F.when(F.size(platforms) == 0, "no_platform_recommendation"),
         )
     )
+    given = lambda c, kind, other: F.coalesce(F.col(c) if c in scored.columns else F.lit(None).cast(kind), other)
     evidence = F.when(F.size("evidence_lines") > 0, F.col("evidence_lines")).otherwise(
         F.array(F.lit("No evidence provided"))
     )
@@ -155,14 +159,24 @@ def final_clips(
         "trim_source",
         F.col("final_score").alias("score"),
         "raw_score",
+        F.col("final_score").alias("normalized_score"),
         "title",
         F.coalesce(F.when(F.col("narrative_type") != "", F.col("narrative_type")), F.lit("unknown")).alias(
             "narrative_type"
         ),
+        given("platform_scores", "map<string,double>", F.create_map().cast("map<string,double>")).alias("platform_scores"),
         platforms.alias("platform_recommendations"),
+        F.struct(
+            given("primary_speaker_identity", "string", F.lit("unknown")).alias("identity"),
+            given("primary_speaker_name", "string", F.lit(None)).alias("name"),
+            given("streamer_speaking_ratio", "double", F.lit(0.0)).alias("streamer_speaking_ratio"),
+            given("streamer_speaking_confidence", "double", F.lit(0.0)).alias("streamer_speaking_confidence"),
+            given("off_streamer_voice_detected", "boolean", F.lit(False)).alias("off_streamer_voice_detected"),
+            given("speaker_name_evidence", "array<string>", F.array().cast("array<string>")).alias("evidence"),
+        ).alias("speaker"),
         F.concat(
-            F.lit("Deterministic score "), F.format_string("%.1f", round_half_even("final_score", 1)),
-            F.lit("/10 with clear trigger/payoff evidence and non-duplicate title concept."),
+            F.lit("Scored "), F.format_string("%.1f", round_half_even("final_score", 1)),
+            F.lit("/10 by rule; no better clip of the video has a title like this."),
         ).alias("why_selected"),
         F.concat(
             F.lit("trigger: "), F.coalesce("trigger", F.lit("")), F.lit(" -> payoff: "), F.coalesce("payoff", F.lit(""))
@@ -172,10 +186,11 @@ def final_clips(
             F.lit("Start: "), reason("trim_start_reason"), F.lit("; End: "), reason("trim_end_reason")
         ).alias("trim_rationale"),
         duration_fit(te - ts).alias("duration_fit"),
-        F.when(F.size(platforms) > 0, F.concat(F.lit("Recommended for "), F.array_join(platforms, ", ")))
-        .otherwise("No strong platform recommendation")
+        F.when(F.size(platforms) > 0, F.concat(F.lit("Suits "), F.array_join(platforms, ", ")))
+        .otherwise("No platform stands out")
         .alias("platform_fit"),
         risks.alias("risks"),
+        F.lit(FEEDBACK).alias("feedback"),
         "is_fallback",
     )
 
