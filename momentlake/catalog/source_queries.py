@@ -152,10 +152,10 @@ def chat_envelope_source(spark, sf_dir):
 
 
 def _detection_documents(spark, sf_dir):
-    """Per video and day part one document of one of five layouts."""
-    d = entity(spark, sf_dir, "detections").withColumn("part", F.floor(F.col("second_s") / 3600) % 5)
+    """Per video and hour one document of one of five layouts."""
+    d = entity(spark, sf_dir, "detections").withColumn("hour", F.floor(F.col("second_s") / 3600)).withColumn("part", F.col("hour") % 5)
     found = F.struct(F.col("class_name").alias("class_name"), F.lit(0.5).alias("confidence"))
-    per = d.groupBy("vod_id", "part", "second_s").agg(
+    per = d.groupBy("vod_id", "hour", "part", "second_s").agg(
         F.sort_array(F.collect_list(found)).alias("found"), F.sort_array(F.collect_list("class_name")).alias("names")
     )
     part, s = F.col("part"), F.col("second_s")
@@ -164,7 +164,7 @@ def _detection_documents(spark, sf_dir):
     keyed = F.struct(s.cast("string").alias("k"), F.to_json("names").alias("x"))
     record = F.to_json(F.struct(s.alias("frame_idx"), F.transform("found", lambda f: F.struct(F.lit("").alias("label"), f["class_name"].alias("name"))).alias("objects")))
     pair = F.when(part == 0, detector).when(part == 1, keyed).otherwise(F.struct(name.alias("k"), record.alias("x")))
-    rows = per.groupBy("vod_id", "part").agg(F.sort_array(F.collect_list(pair)).alias("l"))
+    rows = per.groupBy("vod_id", "hour", "part").agg(F.sort_array(F.collect_list(pair)).alias("l"))
     as_object = F.concat(
         F.lit("{"), F.array_join(F.transform("l", lambda p: F.concat(F.lit('"'), p["k"], F.lit('":'), p["x"])), ","), F.lit("}")
     )
@@ -183,10 +183,10 @@ def _detection_documents(spark, sf_dir):
     "detection_documents_source",
     with_entities("detections", """
     select vod_id, second_s, string_agg(distinct lower(trim(class_name)), ',' order by lower(trim(class_name))) as labels
-    from detections where second_s > 0 group by all"""),
+    from detections group by all"""),
 )
 def detection_documents_source(spark, sf_dir):
-    out = documents.detections_from_documents(_detection_documents(spark, sf_dir)).where("second_s > 0 and size(labels) > 0")
+    out = documents.detections_from_documents(_detection_documents(spark, sf_dir)).where("size(labels) > 0")
     return out.withColumn("labels", F.array_join("labels", ","))
 
 
