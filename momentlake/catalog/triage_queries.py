@@ -120,8 +120,104 @@ def _manifest(spark, sf_dir):
     )
 
 
-# No check SQL: the picks depend on each other; tests compare with a step-by-step restatement.
-@query("vision_shortlist")
+_MANIFEST = """
+    manifest as (
+        select vod_id, pos, concat('m', pos) as clip_id, start_s // 60 * 60 as start_s, start_s // 60 * 60 + 60 as end_s
+        from candidates)"""
+
+
+def _lane_sql(lane: str, synonyms: tuple[str, ...]) -> str:
+    words = ", ".join(f"'{w}'" for w in synonyms)
+    return f"case when list_contains(low, '{lane}') then '{lane}' else list_sort(list_intersect(low, [{words}]))[1] end"
+
+
+# The turns of the shortlist as steps of a walk: the top candidate, one step per lane, one per candidate for
+# explicit sentinels, one per spaced clip, and one per candidate to fill up.
+_LANE_STEPS, _SPACED_STEPS = len(triage.LANES), 10
+_SHORTLIST = f"""{_CANDIDATES},{_MANIFEST},
+    top as (
+        select *, row_number() over (partition by vod_id order by {_ORDER}) as r,
+               list_transform(reasons, lambda x: lower(trim(x))) as low
+        from candidates0 qualify r <= 60),
+    cands as (
+        select vod_id, list({{'r': r, 's': start_s, 'lanes': lanes, 'sent': sent}} order by r) as cands
+        from (select vod_id, r, start_s, [{", ".join(_lane_sql(n, w) for n, w in triage.LANES.items())}] as lanes,
+                     {_lane_sql(triage.SENTINEL_REASON, triage.SENTINEL_LANE)} as sent from top)
+        group by all),
+    budgets as (
+        select vod_id, cast(least(count(*), least(6, greatest(2, ceil(count(*) * 0.6::double)))) as bigint) as budget
+        from candidates0 group by all),
+    placed as (
+        select *, row_number() over (partition by vod_id order by start_s, end_s, clip_id) - 1 as idx,
+               count(*) over (partition by vod_id) as n
+        from manifest),
+    counts as (
+        select vod_id, any_value(placed.n) as n,
+               least(any_value(placed.n), greatest(1, cast(round_even(any_value(budget) * 0.4::double, 0) as bigint))) as k
+        from placed join budgets using (vod_id) group by all),
+    turns as (
+        select *, case when k = 1 then n // 2 else cast(round_even(turn * (n - 1) / (k - 1)::double, 0) as bigint) end as idx
+        from (select *, unnest(range(0, k)) as turn from counts)),
+    targets as (
+        select vod_id, any_value(t.k) as k,
+               list({{'turn': turn, 's': p.start_s, 'e': p.end_s, 'clip': p.clip_id}} order by turn) as targets
+        from turns t join placed p using (vod_id, idx) group by all),
+    videos as (
+        select vod_id, budget, cands, coalesce(k, 0) as k, targets
+        from budgets join cands using (vod_id) left join targets using (vod_id) where budget > 0),
+    walk as (
+        select vod_id, budget, cands, k, targets, 0 as step, 0 as n,
+               [{{'r': cands[1].r, 'reason': '{triage.TOP_REASON}', 'turn': null::bigint, 's': cands[1].s}}] as picks
+        from videos
+        union all
+        select vod_id, budget, cands, k, targets, step + 1, n + case when kind = 'sentinel' and ok then 1 else 0 end,
+               case when ok then list_append(picks, pick) else picks end
+        from (
+            select *, pick is not null and len(picks) < budget and (kind <> 'sentinel' or n < k) and (kind <> 'spaced' or n < k)
+                   and not list_contains(list_transform(picks, lambda x: x.s), pick.s) as ok
+            from (
+                select *, case kind
+                    when 'lane' then list_transform(list_filter(cands, lambda c: c.lanes[step + 1] is not null and
+                            not list_contains(list_transform(picks, lambda x: x.s), c.s)),
+                        lambda c: {{'r': c.r, 'reason': c.lanes[step + 1], 'turn': null::bigint, 's': c.s}})[1]
+                    when 'sentinel' then list_transform(list_filter([cands[step + 1 - {_LANE_STEPS}]], lambda c: c.sent is not null),
+                        lambda c: {{'r': c.r, 'reason': '{triage.SENTINEL_REASON}', 'turn': null::bigint, 's': c.s}})[1]
+                    when 'spaced' then list_transform(list_filter([targets[step + 1 - {_LANE_STEPS + 60}]], lambda t: t.s is not null),
+                        lambda t: {{'r': list_filter(cands, lambda c: c.s = t.s)[1].r, 'reason': '{triage.SENTINEL_REASON}',
+                                  'turn': t.turn, 's': t.s}})[1]
+                    else list_transform(list_filter([cands[step + 1 - {_LANE_STEPS + 60 + _SPACED_STEPS}]], lambda c: c.s is not null),
+                        lambda c: {{'r': c.r, 'reason': '{triage.TOP_REASON}', 'turn': null::bigint, 's': c.s}})[1] end as pick
+                from (
+                    select *, case when step < {_LANE_STEPS} then 'lane' when step < {_LANE_STEPS + 60} then 'sentinel'
+                              when step < {_LANE_STEPS + 60 + _SPACED_STEPS} then 'spaced' else 'fill' end as kind
+                    from walk where step < {_LANE_STEPS + 120 + _SPACED_STEPS})))),
+    picked as (
+        select vod_id, targets, unnest(picks) as p from walk where step = {_LANE_STEPS + 120 + _SPACED_STEPS}),
+    joined as (
+        select p.vod_id, p.p.reason as selection_reason, t.* exclude (vod_id),
+               list_filter(p.targets, lambda x: x.turn = p.p.turn)[1] as clip
+        from picked p left join top t on t.vod_id = p.vod_id and t.r = p.p.r),
+    spans as (
+        select *, candidate_id is null as made, coalesce(clip.s, start_s) as a, coalesce(clip.e, end_s) as b from joined),
+    trimmed as (
+        select *, greatest(a, least(b, trim_start)) as ta, greatest(a, least(b, trim_end)) as tb from spans)"""
+
+
+@query(
+    "vision_shortlist",
+    with_entities("triage_raw candidates", f""",{_SHORTLIST}
+    select vod_id, case when made then concat('sentinel_', clip.clip) else candidate_id end as candidate_id,
+           case when made then clip.clip else candidate_id end as source_candidate_id, a as start_s, b as end_s,
+           case when tb > ta then ta else a end as trim_start, case when tb > ta then tb else b end as trim_end,
+           coalesce(triage_score, 0.0::double) as triage_score, coalesce(triage_confidence, 0.0::double) as triage_confidence,
+           coalesce(vision_need, 'none') as vision_need, selection_reason,
+           array_to_string(case when list_contains(reasons, selection_reason) then reasons
+               else list_append(coalesce(reasons, []), selection_reason) end, '|') as selection_reasons,
+           case when made then concat('[', a, 's] sentinel coverage from manifest clip ', clip.clip)
+                else array_to_string(evidence, '|') end as evidence_lines,
+           '' as risk_flags, '' as annotation_refs, clip.clip as manifest_clip_id
+    from trimmed""", recursive=True),
+)
 def vision_shortlist(spark, sf_dir):
     candidates = _candidates(spark, sf_dir)
     budgets = triage.review_budgets(candidates, 0.6, 2, 6)
@@ -131,12 +227,6 @@ def vision_shortlist(spark, sf_dir):
     return out
 
 
-_MANIFEST = """
-    manifest as (
-        select vod_id, pos, concat('m', pos) as clip_id, start_s // 60 * 60 as start_s, start_s // 60 * 60 + 60 as end_s
-        from candidates)"""
-
-
 @query(
     "best_manifest_match",
     with_entities("candidates", f""",{_MANIFEST},
