@@ -63,6 +63,7 @@ def published_clips(scored: DataFrame, energies: DataFrame, base_url: str, *, ma
         *_KEY, "raw_score", "final_score", "eligible", "rejection_reasons", "trim_source",
         F.col("final_trim_start").alias("trim_start"), F.col("final_trim_end").alias("trim_end"),
     )
-    words = chosen.drop("raw_score", "score", "trim_start", "trim_end", "trim_source")
+    words = chosen.drop("raw_score", "score", "normalized_score", "trim_start", "trim_end", "trim_source")
     kept, _ = selection.regate(words.join(rescored, _KEY))
-    return with_times_and_link(kept.withColumnRenamed("final_score", "score"), base_url)
+    kept = kept.withColumnRenamed("final_score", "score").withColumn("normalized_score", F.col("score"))
+    return with_times_and_link(kept, base_url)
