@@ -80,13 +80,13 @@ def pitman_yor_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
         case when source_size > 0 then least(target / source_size, 3.0::double) else 0.0::double end as rate,
         ('0x' || md5('mix|' || coalesce(doc_id::varchar, ''))[1:13])::bigint / 4503599627370496.0::double as draw
       from sized join targets using (source))
-    select doc_id, size, source_size, round(target, 3) as target,
+    select doc_id, size, source_size, round(target, 6) as target,
       (size * (floor(rate) + case when draw < rate - floor(rate) then 1 else 0 end))::bigint as taken from drawn
     """,
 )
 def mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(documents(spark, sf_dir))
-    return mixed.select("doc_id", "size", "source_size", F.round("target", 3).alias("target"), (F.col("size") * F.col("copies")).alias("taken"))
+    return mixed.select("doc_id", "size", "source_size", F.round("target", 6).alias("target"), (F.col("size") * F.col("copies")).alias("taken"))
 
 
 @_query("op5_pack_tiers")
