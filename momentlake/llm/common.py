@@ -66,7 +66,7 @@ def words_in(text: Column) -> Column:
 
 
 #: Bytes of text that are hashed at a time.
-HASH_BYTES = 1 << 20
+HASH_BYTES = 1 << 18
 _BASE = 0x5851F42D4C957F2D  # odd, so its powers have inverses modulo 2^64
 
 

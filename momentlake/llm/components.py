@@ -67,7 +67,8 @@ def components(edges: DataFrame) -> DataFrame:
     Rounds end when the edge set no longer changes; it is compared by count and two checksums.
     """
     ordered = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u > v")
-    now = shared_table(_contracted(_contracted(ordered).repartition("v")).distinct())
+    # A task leaves one edge for each node but the least, so no node has more edges than there were tasks.
+    now = shared_table(_contracted(_contracted(ordered).repartition("u")).distinct())
     before = None
     while True:
         mark = now.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.bit_xor(F.xxhash64("v", "u", F.lit(1)))).first()

@@ -33,7 +33,7 @@ from momentlake.llm.components import components
 #: Counters in which word frequencies are kept (hashed; the order of shingles needs no exact counts).
 COUNTERS = 1 << 18
 #: Shingles of all documents of a cell, region or block that one task joins.
-TASK_SHINGLES = 4_000_000
+TASK_SHINGLES = 1_000_000
 #: Documents of a region's block.
 BLOCK_DOCS = 2048
 #: Documents that share a region with others up to which their ids are broadcast.

@@ -36,7 +36,7 @@ class ShapeHashes(dict):
     """
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 1 << 19:
+        if len(self) >= 1 << 16:
             self.clear()
         shape = word.decode("utf-8", "replace")
         for run, sign in zip(_RUNS, "Xx0", strict=True):
