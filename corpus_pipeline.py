@@ -59,5 +59,5 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     for _, stage in STAGES:
-        docs = shared_table(stage(spark, docs, sf_dir))
+        docs = shared_table(stage(spark, docs, sf_dir), compact=False)
     return docs

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from momentlake.runtime import _ensure_checkpoint_dir, salted_lookup
+from momentlake.runtime import salted_lookup, shared_folder
 
 #: A word is a run of anything but these; fixed by the contracts of the queries.
 SPACES = "\x20\x09\x0a\x0b\x0c\x0d"
@@ -23,15 +22,23 @@ def documents(spark: SparkSession, sf_dir: str, table: str = "documents") -> Dat
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def shared_table(df: DataFrame) -> DataFrame:
+#: A helper table is written in so many times fewer files than a shuffle has partitions.
+FILES_SHARE = 16
+
+
+def shared_table(df: DataFrame, *, compact: bool = True) -> DataFrame:
     """Write ``df`` as Parquet into the shared checkpoint folder and read it back.
 
-    Lineage ends there, so later stages survive lost executors by rereading.
+    Lineage ends there, so later stages survive lost executors by rereading.  Helper tables are
+    small beside the documents: ``compact`` deals their rows to fewer, larger files, whose row
+    groups stay small enough to be read by many tasks.  Tables of texts are written as they come.
     """
     spark = df.sparkSession
-    _ensure_checkpoint_dir(spark)
-    path = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    path = shared_folder(spark, "table")
+    if compact:
+        partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        df = df.repartition(max(1, partitions // FILES_SHARE))
+    df.write.option("parquet.block.size", 16 << 20).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

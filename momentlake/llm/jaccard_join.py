@@ -35,7 +35,7 @@ COUNTERS = 1 << 18
 #: Shingles of all documents of a cell, region or block that one task joins.
 TASK_SHINGLES = 1_000_000
 #: Documents of a region's block.
-BLOCK_DOCS = 2048
+BLOCK_DOCS = 512
 #: Documents that share a region with others up to which their ids are broadcast.
 BROADCAST_CHOSEN = 500_000
 #: Document pivots of a region that is divided, and how often it is divided again.
@@ -423,7 +423,8 @@ def jaccard_components(docs: DataFrame, *, rule: Rule | None = None, task_shingl
     order = spark.sparkContext.broadcast(commonness.tobytes())
     regions = shared_table(_regions(_region_rows(docs, rule, order)))
     marks = rows.where("node is not null").groupBy("node").agg(F.max("n").alias("n"), F.max("bits").alias("bits"))
-    roots = components(_near(regions, marks, rule))
+    # Written, so that no task holds two Python workers at once.
+    roots = components(shared_table(_near(regions, marks, rule)))
     least = roots.select(F.col("root").alias("node"), "root")
     sizes = rows.where("node is not null").groupBy("node").agg(F.max("n").alias("n"))
     cells = sizes.join(roots.unionByName(least).distinct(), "node").withColumnRenamed("root", "cell")
@@ -436,9 +437,9 @@ def jaccard_components(docs: DataFrame, *, rule: Rule | None = None, task_shingl
     labels = labels.select(F.col("a").alias("node"), F.col("b").alias("root"))
     large = chosen.where("not whole")
     if not large.isEmpty():
-        node_texts = shared_table(_texts_of(docs, large, rule).select("node", "text"))
+        node_texts = shared_table(_texts_of(docs, large, rule).select("node", "text"), compact=False)
         apart = regions.join(large.select("node"), "node", "left_semi").select("region", "node", "n")
-        labels = labels.unionByName(components(_large_links(apart, node_texts, rule, task_shingles)))
+        labels = labels.unionByName(components(shared_table(_large_links(apart, node_texts, rule, task_shingles))))
     labels = shared_table(labels)
     named = rows.drop("bits").join(labels, "node", "left").withColumn("component", F.coalesce("root", "node"))
     groups = shared_table(

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from momentlake.llm.common import gram_hashes, hashed_words, mixed
+from momentlake.llm.common import gram_hashes, hashed_words, mixed, shared_table
 
 #: Hashed features of words and, after them, of shapes.
 WORD_FEATURES, SHAPE_FEATURES = 1 << 18, 1 << 16
@@ -102,18 +102,20 @@ def dual_coordinate_descent(
     sign = np.where(label == 1, 1.0, -1.0)
     share = np.bincount((label == 1).astype(int), minlength=2)
     most = np.where(label == 1, cost * len(label) / (2 * max(share[1], 1)), cost * len(label) / (2 * max(share[0], 1)))
-    values = [ratios[f] / (float(np.sqrt(np.square(ratios[f]).sum())) or 1.0) for f in rows]
-    squares = np.array([1.0 + float(v @ v) for v in values])
+    # Rows stay feature numbers; their scaled values are looked up at each step.
+    norms = np.array([float(np.sqrt(np.square(ratios[f]).sum())) or 1.0 for f in rows])
+    squares = np.array([1.0 + float(np.square(ratios[f]).sum()) / n**2 for f, n in zip(rows, norms, strict=True)])
     weights, bias, dual = np.zeros(len(ratios)), 0.0, np.zeros(len(rows))
     shuffle = np.random.default_rng(seed)
     for _ in range(passes):
         moved = 0.0
         for i in shuffle.permutation(len(rows)):
-            slope = sign[i] * (float(weights[rows[i]] @ values[i]) + bias) - 1
+            value = ratios[rows[i]] / norms[i]
+            slope = sign[i] * (float(weights[rows[i]] @ value) + bias) - 1
             step = min(max(dual[i] - slope / squares[i], 0.0), most[i]) - dual[i]
             if step:
                 dual[i] += step
-                weights[rows[i]] += step * sign[i] * values[i]
+                weights[rows[i]] += step * sign[i] * value
                 bias += step * sign[i]
                 moved = max(moved, abs(step))
         if moved < 1e-3:
@@ -144,7 +146,8 @@ def fit(labelled: DataFrame, *, cost: float = 1.0, steepness: float = 4.0) -> Mo
         yield pd.DataFrame({"ratios": [ratios.astype("f4").tobytes()], "weights": [(weights * ratios).astype("f4").tobytes()], "bias": [bias]})
 
     size = WORD_FEATURES + SHAPE_FEATURES
-    made = labelled.select("doc_id", "text", "label").mapInPandas(run, "doc_id long, label int, f binary")
+    # Written, so that no task holds two Python workers at once.
+    made = shared_table(labelled.select("doc_id", "text", "label").mapInPandas(run, "doc_id long, label int, f binary"))
     # One task on purpose: no more rows than the sample.
     solved = made.coalesce(1).mapInPandas(solve, "ratios binary, weights binary, bias double").collect()
     if not solved:
