@@ -35,7 +35,7 @@ COUNTERS = 1 << 18
 #: Shingles of all documents of a cell, region or block that one task joins.
 TASK_SHINGLES = 1_000_000
 #: Documents of a region's block.
-BLOCK_DOCS = 512
+BLOCK_DOCS = 2048
 #: Documents that share a region with others up to which their ids are broadcast.
 BROADCAST_CHOSEN = 500_000
 #: Document pivots of a region that is divided, and how often it is divided again.
@@ -191,7 +191,7 @@ def _regions(rows: DataFrame) -> DataFrame:
         F.bit_xor(F.xxhash64("node")).over(whole).alias("mark_a"),
         F.bit_xor(F.xxhash64(F.lit(1), "node")).over(whole).alias("mark_b"),
     )
-    marked = shared_table(marked.where("docs > 1"))
+    marked = shared_table(marked.where("docs > 1"), compact=False)
     same = ["docs", "least", "mark_a", "mark_b"]
     first = marked.groupBy(*same).agg(F.min("region").alias("region")).select("region")
     return marked.join(first, "region", "left_semi").select("region", "node", "n", "docs")
@@ -412,7 +412,8 @@ def jaccard_components(docs: DataFrame, *, rule: Rule | None = None, task_shingl
     """
     rule = rule or Rule()
     spark = docs.sparkSession
-    described = shared_table(_describe(docs, rule))
+    # As it comes: a task's counts stand apart from its documents, so reads of either skip the other.
+    described = shared_table(_describe(docs, rule), compact=False)
     rows = described.where("counter is null").select("doc_id", "n", "node", "bits")
     totals = described.where("counter is not null").groupBy("counter").agg(F.sum("count").alias("count"))
     ranks = np.zeros(COUNTERS, np.int64)
