@@ -240,6 +240,25 @@ def test_gibbs_matches_the_exact_distribution_of_tables():
     assert got == pytest.approx(weights / weights.sum(), abs=0.01)
 
 
+@pytest.mark.parametrize(("customers", "a"), [(40, 30.0), (256, 5.0), (300, 30.0), (300, 150.0), (1000, 0.5), (1000, 500.0), (1500, 90.0), (2000, 9000.0)])
+def test_a_sweep_reseats_all_customers_of_large_dishes(customers, a):
+    """The mean and the spread of the exact distribution of tables after as many sweeps as by default."""
+    d, n = 0.8, 20_000
+    names = np.random.default_rng(8).integers(1, 1 << 62, n, dtype=np.uint64)
+    r = pitman_yor.Restaurant(names, np.full(n, customers), d, np.full(n, a))
+    for draw in range(1, 6):
+        r.resample(np.full(n, a), draw)
+    shares, t = np.zeros(customers + 1), np.arange(customers + 1)  # S(c, t) a^t, scaled
+    shares[1] = 1.0
+    for c in range(1, customers):
+        shares = np.append(0.0, shares[:-1]) * a + np.maximum(c - d * t, 0) * shares
+        shares /= shares.sum()
+    mean = (shares * t).sum()
+    spread = np.sqrt((shares * (t - mean) ** 2).sum())
+    assert r.tables().mean() == pytest.approx(mean, abs=0.05 * spread)
+    assert r.tables().std() == pytest.approx(spread, rel=0.03)
+
+
 # Mixing
 
 
