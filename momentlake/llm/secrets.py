@@ -1,7 +1,7 @@
 """Secret scans: pattern spans, plus strings that pass a battery of randomness tests.
 
 Built-in functions only.  A candidate is a long run of encoding characters whose encoding can be
-inferred.  Three tests take "its symbols are independent and uniform" as their hypothesis: chi-squared
+inferred; ``=`` ends a run, and of a run that has no encoding the parts between separators are tried.  Three tests take "its symbols are independent and uniform" as their hypothesis: chi-squared
 counts over the alphabet, runs above and below the middle of the alphabet, and lag-one serial
 correlation.  Fisher's method makes one p-value.  Within each length class the Benjamini-Hochberg
 step over all candidates of the corpus decides which are not random (short strings are judged
@@ -23,7 +23,6 @@ HEX = r"[0-9a-f]{24,}"
 LEAST_ASSIGN = 6
 KINDS = ("assign", "access", "hex", "random")
 
-CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 #: Encodings by the pattern their strings match, the narrowest first, and their alphabets in order of value.
 ENCODINGS = (
     ("hex", r"^(?=.*[0-9])(?=.*[a-f])[0-9a-f]+$", "0123456789abcdef"),
@@ -33,6 +32,40 @@ ENCODINGS = (
     ("base64", r"^(?=.*[0-9])(?=.*[a-z])(?=.*[A-Z])[A-Za-z0-9+/]+=*$", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"),
     ("base64 url", r"^(?=.*[0-9])(?=.*[a-z])(?=.*[A-Z])[A-Za-z0-9_-]+=*$", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_"),
 )
+#: Characters of a candidate at least, padding among them.
+LEAST_RANDOM = 20
+
+
+def _candidates() -> str:
+    """Pattern of the runs with a known encoding: whole runs first, then parts between ``/`` and ``+``, between ``_`` and ``-``, and between all four.
+
+    A part with ``/`` or ``+`` in it gives way to a long stretch of letters and digits behind one of them: a path before a key.
+    """
+    upper, lower, digit = "(?=[{0}]*[A-Z])", "(?=[{0}]*[a-z])", "(?=[{0}]*[0-9])"
+    plain = [("0-9a-f", digit + "(?=[{0}]*[a-f])"), ("0-9A-F", digit + "(?=[{0}]*[A-F])"), ("A-Z2-7", "(?=[{0}]*[2-7])" + upper), ("a-z0-9", digit + lower)]
+    either = digit + lower + upper
+    base64, url, mixed = ("A-Za-z0-9+/", either), ("A-Za-z0-9_-", either), ("A-Za-z0-9", either)
+    path = f"(?![A-Za-z0-9+/]*[+/][A-Za-z0-9]{{{LEAST_RANDOM}}})"
+    levels = (
+        ("A-Za-z0-9+/_-", "", [*plain, base64, url]),
+        ("A-Za-z0-9_-", "", [*plain, url]),
+        ("A-Za-z0-9+/", path, [*plain, base64]),
+        ("A-Za-z0-9", "", [*plain, mixed]),
+    )
+
+    def run(letters: str) -> str:
+        padded = [f"[{letters}]{{{LEAST_RANDOM - n}}}(?=={{{n}}})" for n in range(1, 7)]
+        return "(?:" + "|".join([f"[{letters}]{{{LEAST_RANDOM},}}+", *padded]) + ")"
+
+    found = [
+        f"(?<![{bounds}]){unless}(?:" + "|".join(f"{needs.format(letters)}{run(letters)}(?![{bounds}])" for letters, needs in encodings) + ")"
+        for bounds, unless, encodings in levels
+    ]
+    # Every run begins where no letter or digit stands before.
+    return f"(?<![A-Za-z0-9])(?=[A-Za-z0-9+/_=-]{{{LEAST_RANDOM}}})(?:" + "|".join(found) + ")=*+"
+
+
+CANDIDATE = _candidates()
 #: Rate of false discoveries, and the bins in which p-values are counted (per decade).
 FDR, BINS_PER_DECADE, MOST_DECADES = 0.05, 20, 300
 _BLOCK = 128

@@ -516,6 +516,33 @@ def test_random_strings_are_told_from_ordinary_ones(spark):
         assert all((s.start, s.end) == (10, 10 + len(k)) for s in rows[i].spans if s.kind == 3)
 
 
+def test_random_strings_after_names_and_in_paths(spark):
+    import base64
+
+    rng = random.Random(14)
+    keys = [base64.b64encode(rng.randbytes(45)).decode().replace("+", "x").replace("/", "y") for _ in range(20)]
+    codes = [rng.randbytes(24).hex() for _ in range(20)]
+    padded = [base64.b64encode(rng.randbytes(40)).decode() for _ in range(20)]
+    around = [("AWS_ACCESS_VALUE=", "", keys), ("https://h.org/a?sig=", "&n=1", keys), ("https://h.org/my-app/static/assets/", "", keys),
+              ("see my_app_", " here", codes), ("a=b=", "", padded), ("=", "=c", codes)]
+    cases = [(before, k, after) for before, after, some in around for k in some]
+    rows = {r.doc_id: r for r in secrets.find_secrets(table(spark, [b + k + a for b, k, a in cases])).collect()}
+    hits = collections.Counter()
+    for i, (before, k, _) in enumerate(cases):
+        code = bool(rows[i].n_hex)
+        hits[before] += any(s.start == len(before) and len(k) <= s.end - s.start <= len(k) + 1 for s in rows[i].spans if s.kind == 3 or code)
+    assert all(hits[before] >= 17 for before, _, _ in around), hits
+
+
+def test_candidates_of_names_paths_and_padding():
+    found = lambda text: [m.group() for m in re.finditer(secrets.CANDIDATE, text)]
+    assert found("AWS_SECRET_ACCESS_KEY=wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY") == ["wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY"]
+    assert found("?sig=3f9ZkQ81LmxT07vbNcRpYe5UaWqd2H") == ["3f9ZkQ81LmxT07vbNcRpYe5UaWqd2H"]
+    assert found("my-app/wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY") == ["app/wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY"]
+    assert found("x/y+1BxiMVs0XRA5-FMdKvBdBZ_gmUUqptlbs74OgvE2upms/z") == ["1BxiMVs0XRA5-FMdKvBdBZ_gmUUqptlbs74OgvE2upms"]
+    assert found("aB3xK9mQ2zL7wE5tRp== aB3xK9mQ2zL7wE5tRp= only_plain_words_in_this_name") == ["aB3xK9mQ2zL7wE5tRp=="]
+
+
 # Exact copies
 
 
