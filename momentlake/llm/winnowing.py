@@ -3,7 +3,8 @@
 The gram unit is the word: every run of ``gram`` words gets a polynomial (rolling) hash, each
 window of ``window`` consecutive grams keeps its smallest hash, the rightmost of equal ones, and
 positions stay with the hashes.  Any passage of ``gram + window - 1`` words that two texts share
-therefore leaves a common hash in both fingerprints.
+therefore leaves a common hash in both fingerprints.  Words too long to be words (text without white
+space) count by their code points, as does a text with fewer words than a gram and what it is compared with.
 """
 
 from __future__ import annotations
@@ -17,6 +18,8 @@ from pyspark.sql.window import Window
 from momentlake.llm.common import SPACES
 
 GRAM, WINDOW = 5, 4
+#: Code points from which on a word is taken apart.
+LONG_WORD = 40
 #: Modulus and base of the rolling hash: products of two residues stay below 2^62.
 _P, _BASE = (1 << 31) - 1, 1_000_003
 _POSITIONS = 1 << 31
@@ -69,15 +72,29 @@ def _window_minima(df: DataFrame, keys: str, window: int) -> DataFrame:
     return df.withColumn(keys, F.coalesce("_few", F.array_distinct(keys))).drop("_few")
 
 
-def with_fingerprint(df: DataFrame, text: str, out: str, *, gram: int = GRAM, window: int = WINDOW) -> DataFrame:
+def _words(text: str) -> Column:
+    return F.split(F.btrim(F.col(text), F.lit(SPACES)), r"[\x20\x09-\x0D]+")
+
+
+def _taken_apart(words: Column, chosen: Column) -> Column:
+    """The words, those for which ``chosen`` holds or that are long as their code points."""
+    apart = lambda w: F.when(chosen | (F.length(w) >= LONG_WORD), F.split(w, "")).otherwise(F.array(w))
+    return F.when(chosen | F.exists(words, lambda w: F.length(w) >= LONG_WORD), F.flatten(F.transform(words, apart))).otherwise(words)
+
+
+def with_fingerprint(df: DataFrame, text: str, out: str, *, gram: int = GRAM, window: int = WINDOW, points: Column | None = None) -> DataFrame:
     """Add ``out``: the chosen grams in order, each hash * 2^32 + (2^31 - 1 - position).
 
-    A text of fewer words than a gram has one entry from the whole text at position 0; an empty
-    one has none.
+    The units are words, and the code points of a word of LONG_WORD or more.  A text of fewer units than a
+    gram, or one for which ``points`` holds, counts by code points, white space aside.  One of fewer code
+    points than a gram has one entry from the whole text at position 0; an empty one has none.
     """
     words, grams = f"{out}_w", f"{out}_g"
     whole = F.pmod(F.xxhash64(text), F.lit(_P))
-    df = df.withColumn(words, F.split(F.btrim(F.col(text), F.lit(SPACES)), r"[\x20\x09-\x0D]+"))
+    df = df.withColumn(words, _words(text))
+    df = df.withColumn(words, _taken_apart(F.col(words), F.lit(False)))
+    few = F.size(words) < gram
+    df = df.withColumn(words, _taken_apart(F.col(words), few if points is None else few | points))
     df = df.withColumn(words, F.transform(words, lambda w: F.pmod(F.xxhash64(w), F.lit(_P))))
     df = _roll(df, words, grams, gram)
     # One number to compare: the smallest hash first, of equal ones the rightmost.
@@ -87,6 +104,11 @@ def with_fingerprint(df: DataFrame, text: str, out: str, *, gram: int = GRAM, wi
     return _window_minima(df, out, window)
 
 
+def few_words(text: str, gram: int = GRAM) -> Column:
+    """Whether a text has fewer units than a gram and counts by code points."""
+    return F.size(_taken_apart(_words(text), F.lit(False))) < gram
+
+
 def as_text(fingerprint: Column) -> Column:
     """hash:position pairs, hashes in hexadecimal, in text order."""
     mask = F.lit((1 << 32) - 1)
@@ -150,9 +172,19 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     """Fingerprints of each document, of its edited text and of the next document.
 
     Edited: the last floor(n / 3) code points replaced by the first as many of the next document.
+    ``near_edited`` and ``near_next`` are the likeness of the document to both, in the same units.
     """
     rows = with_next(docs).withColumn("n_chars", F.length("text").cast("long"))
     cut = F.floor(F.col("n_chars") / 3).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), F.col("n_chars").cast("int") - cut), F.substring(F.col("next_text"), F.lit(1), cut))
-    rows = rows.withColumn("edited", edited).drop("text", "next_text")
-    return with_fingerprint(rows, "edited", "edited_fingerprint")
+    rows = with_fingerprint(rows.withColumn("edited", edited), "edited", "edited_fingerprint")
+    # Beside a text that counts by code points the other one does, too.
+    for name, other, print_ in (("edited", "edited", "edited_fingerprint"), ("next", "next_text", "next_fingerprint")):
+        own, others = few_words("text"), few_words(other)
+        rows = rows.withColumn("_text", F.when(others & ~own, F.col("text")).otherwise("")).withColumn("_other", F.when(own & ~others, F.col(other)).otherwise(""))
+        for text in ("_text", "_other"):
+            rows = with_fingerprint(rows, text, f"{text}_print", points=F.lit(True))
+        mine = F.when(F.col("_text") != "", F.col("_text_print")).otherwise(F.col("fingerprint"))
+        theirs = F.when(F.col("_other") != "", F.col("_other_print")).otherwise(F.col(print_))
+        rows = rows.withColumn(f"near_{name}", likeness(hash_set(mine), hash_set(theirs))).drop("_text", "_other", "_text_print", "_other_print")
+    return rows.drop("text", "next_text")

@@ -158,6 +158,16 @@ def test_edited_text_and_neighbours(spark, corpus):
         assert rows[i].next_fingerprint == rows[(i - 1) % len(corpus)].fingerprint
 
 
+def test_short_and_unspaced_texts_share_hashes(spark):
+    rng = random.Random(9)
+    unspaced = "".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(3000))
+    texts = ["international collaboration agreements", unspaced, "a b c d e f g h i j k l m n o p", "extraordinarily long-winded considerations", unspaced[500:2500]]
+    rows = {r.doc_id: r for r in winnowing.edited_fingerprints(table(spark, texts)).collect()}
+    assert all(rows[i].near_edited > 0.2 for i in (0, 1, 3, 4))
+    shared = {x >> 32 for x in rows[1].fingerprint} & {x >> 32 for x in rows[4].fingerprint}
+    assert len(shared) > 500
+
+
 def test_neighbours_over_many_blocks(spark):
     ids = sorted(random.Random(3).sample(range(-(10**12), 10**12), 3000))
     df = spark.createDataFrame([(i, str(i)) for i in ids], "doc_id long, text string")
