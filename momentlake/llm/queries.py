@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from momentlake.llm import chat_format, exact_dedup, jaccard_join, mixing, packing, pitman_yor, quality, secrets, sharding, winnowing
+from momentlake.llm import chat_format, exact_dedup, jaccard_join, lexical, mixing, packing, pitman_yor, quality, secrets, sharding, winnowing
 from momentlake.llm.common import documents
 from momentlake.runtime import configure
 
@@ -158,6 +158,34 @@ def exact_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, sf_dir))
 
 
+@_query(
+    "op13_nra_search",
+    r"""
+    with d as (
+      select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as ts from documents),
+    q as (
+      select item_id, term, count(*) as times from (select item_id,
+        unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+          '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term from benchmark) group by all),
+    c as (select count(*) filter (where len(ts) > 0) as docs, sum(len(ts))::bigint as terms from d),
+    p as (
+      select doc_id, term, count(*) as tf from (select doc_id, unnest(ts) as term from d)
+      where term in (select term from q) group by all),
+    f as (select term, floor(1000 * ln((2 * docs + 2)::double / (2 * count(*) + 1)))::bigint as w from p, c group by term, docs),
+    m as (select doc_id, 25 + (75 * len(ts)::bigint * docs) // terms as m from d, c where terms > 0),
+    e as (select term, doc_id, (1000000000 * tf) // (1000 * tf + 8 * m) as impact from p join m using (doc_id)),
+    s as (
+      select item_id, doc_id, sum(times * w * impact)::bigint as score
+      from q join f using (term) join e using (term) group by item_id, doc_id),
+    r as (select item_id, row_number() over (partition by item_id order by score desc, doc_id)::int as rank, doc_id, score from s where score > 0)
+    select * from r where rank <= 10
+    """,
+)
+def nra_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
+
+
 QUERIES["pipeline"] = lambda spark, sf_dir: corpus_pipeline.run(configure(spark), sf_dir)
 if corpus_pipeline.ORACLE_SQL:
     CHECKS["pipeline"] = corpus_pipeline.ORACLE_SQL
