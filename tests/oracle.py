@@ -10,7 +10,7 @@ import duckdb
 
 from momentlake.adapters import TABLES
 
-TYPES = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
 
 
 def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
