@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from momentlake.llm import chat_format, exact_dedup, jaccard_join, lexical, mixing, packing, pitman_yor, quality, secrets, sharding, winnowing
+from momentlake.llm import chat_format, collocations, exact_dedup, jaccard_join, lexical, mixing, packing, pitman_yor, quality, secrets, sharding, winnowing
 from momentlake.llm.common import documents
 from momentlake.runtime import configure
 
@@ -158,6 +158,42 @@ def exact_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, sf_dir))
 
 
+@_query(
+    "op11_collocations",
+    r"""
+    with p as (
+      select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece from documents),
+    w as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as ws from p),
+    g as (
+      select lang, 1 as k, unnest(ws) as phrase from w
+      union all select lang, 2, unnest([ws[i] || ' ' || ws[i + 1] for i in range(1, len(ws))]) from w
+      union all select lang, 3, unnest([ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] for i in range(1, len(ws) - 1)]) from w),
+    f as (select lang, k, phrase, count(*) as f from g group by all),
+    c as (select lang, k, phrase, f as a, string_split(phrase, ' ') as s from f where k > 1 and f >= 10),
+    cuts as (
+      select lang, k, phrase, a, s, 1 as cut, s[1] as x, array_to_string(s[2:], ' ') as y from c
+      union all select lang, k, phrase, a, s, 2, s[1] || ' ' || s[2], s[3] from c where k = 3),
+    scored as (
+      select cuts.*, lf.f as l, rf.f as r,
+        ((1000000::hugeint * a * a) // (lf.f::hugeint * rf.f))::bigint as score
+      from cuts join f lf on lf.lang = cuts.lang and lf.phrase = x join f rf on rf.lang = cuts.lang and rf.phrase = y),
+    best as (select * from scored qualify row_number() over (partition by lang, phrase order by score, cut) = 1),
+    inner_ as (
+      select lang, s[1] || ' ' || s[2] as phrase, a from c where k = 3
+      union all select lang, s[2] || ' ' || s[3], a from c where k = 3),
+    longer as (select lang, phrase, max(a) as longer from inner_ group by all),
+    n as (select lang, sum(len(ws))::bigint as n from w group by lang),
+    ranked as (
+      select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase, a, l, r, n, score
+      from best left join longer using (lang, phrase) join n using (lang) where longer is null or 100 * longer < 50 * a)
+    select * from ranked where rank <= 2000
+    """,
+)
+def collocations_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(documents(spark, sf_dir))
+
+
 @_query(
     "op13_nra_search",
     r"""

@@ -45,26 +45,27 @@ class Cutter:
         self.gap = self.stop.copy()
         self.gap[list(gaps)] = True
 
-    def _parts(self, raw: bytes) -> Iterator[bytes]:
+    def _parts(self, raw: bytes, most: int) -> Iterator[bytes]:
         """A long text cut at stops; what holds none stays whole."""
         start = 0
-        while len(raw) - start > BUFFER:
-            at = max(raw.rfind(c, start, start + BUFFER) for c in self.stops)
+        while len(raw) - start > most:
+            at = max(raw.rfind(c, start, start + most) for c in self.stops)
             if at < 0:
-                at = min((x for c in self.stops if (x := raw.find(c, start + BUFFER)) >= 0), default=len(raw))
+                at = min((x for c in self.stops if (x := raw.find(c, start + most)) >= 0), default=len(raw))
             yield raw[start:at]
             start = at + 1
         yield raw[start:]
 
-    def words(self, texts: Iterable[str | None]) -> Iterator[Words]:
+    def words(self, texts: Iterable[str | None], most: int | None = None) -> Iterator[Words]:
         """Words of the texts, in order and in bounded buffers; a long text may span several."""
+        most = most or BUFFER
         held: list[bytes] = []
         owners: list[int] = []
         size = 0
         for i, text in enumerate(texts):
             raw = (text if isinstance(text, str) else "").encode("utf-8", "surrogatepass")
-            for part in self._parts(raw):
-                if held and size + len(part) > BUFFER:
+            for part in self._parts(raw, most):
+                if held and size + len(part) > most:
                     yield self._cut(held, owners)
                     held, owners, size = [], [], 0
                 held.append(part)
