@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from momentlake.llm import chat_format, collocations, exact_dedup, jaccard_join, lexical, mixing, packing, pitman_yor, quality, secrets, sharding, winnowing
+from momentlake.llm import chat_format, collocations, exact_dedup, hamming, jaccard_join, lexical, mixing, packing, pitman_yor, quality, secrets, sharding, winnowing
 from momentlake.llm.common import documents
 from momentlake.runtime import configure
 
@@ -194,6 +194,28 @@ def collocations_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(documents(spark, sf_dir))
 
 
+@_query(
+    "op12_itq_near_duplicates",
+    """
+    with recursive v as (
+      select vec_id, label, embedding::double[] as e from embeddings
+      where label is not null and len(embedding) > 0 and list_bool_and([x is not null and isfinite(x) for x in embedding])
+        and list_bool_or([x <> 0 for x in embedding])),
+    p as (
+      select a.vec_id as x, b.vec_id as y from v a join v b on a.label = b.label and a.vec_id <> b.vec_id and len(a.e) = len(b.e)
+      where list_cosine_similarity(a.e, b.e) >= 0.98),
+    reach as (
+      select vec_id as x, vec_id as y from embeddings union select reach.x, p.y from reach join p on reach.y = p.x),
+    least as (select x as vec_id, min(y) as component_id from reach group by x),
+    degree as (select x as vec_id, count(*) as n_links from p group by x)
+    select vec_id, coalesce(n_links, 0)::bigint as n_links, component_id, vec_id = component_id as kept
+    from least left join degree using (vec_id)
+    """,
+)
+def itq_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hamming.near_duplicates(documents(spark, sf_dir, "embeddings"))
+
+
 @_query(
     "op13_nra_search",
     r"""
