@@ -36,8 +36,8 @@ LEAST_BITS, MOST_BITS = 8, 24
 MISSED = 0.001
 #: Standard deviations above the expected Hamming distance at which a pair is given up.
 SLACK = 5.0
-#: Rows of a bucket's block.
-BLOCK = 1024
+#: Rows of a bucket's block, and of a place that is compared side by side with others.
+BLOCK, SMALL = 256, 48
 #: A substring as it is kept: four bytes, the highest first.
 _WORD = ">u4"
 
@@ -161,32 +161,69 @@ def _forest(link: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
+def _spanning(left: list[int], right: list[int]) -> list[tuple[int, int]]:
+    """The pairs that join what earlier ones have not."""
+    root: dict[int, int] = {}
+    out = []
+    for a, b in zip(left, right, strict=True):
+        x, y = a, b
+        while root.get(x, x) != x:
+            x = root[x] = root.get(root[x], root[x])
+        while root.get(y, y) != y:
+            y = root[y] = root.get(root[y], root[y])
+        if x != y:
+            root[x] = y
+            out.append((a, b))
+    return out
+
+
 _PLACE = ["label", "bucket", "table", "first", "second"]
 
 
-def _groups(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[tuple, pd.DataFrame]]:
-    """Rows of each place; a task streams them in order and holds one place at a time."""
-    held: list[pd.DataFrame] = []
-    now = None
+def _whole_places(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows of complete places, numbered by ``place``; a task streams them in order."""
+    held = None
     for batch in batches:
-        for place, rows in batch.groupby(_PLACE, sort=False):
-            if place != now:
-                if held:
-                    yield now, pd.concat(held)
-                now, held = place, []
-            held.append(rows)
-    if held:
-        yield now, pd.concat(held)
-
-
-def _met(place: tuple, rows: pd.DataFrame, most: int) -> np.ndarray:
-    """Which rows of a place are candidates of each other; of two blocks, only across."""
+        if not len(batch):
+            continue
+        rows = batch if held is None else pd.concat([held.drop(columns="place"), batch], ignore_index=True)
+        keys = rows[_PLACE]
+        rows = rows.assign(place=(keys != keys.shift()).any(axis=1).cumsum())
+        last = rows["place"] == rows["place"].iloc[-1]
+        held = rows[last]
+        if not last.all():
+            yield rows[~last].reset_index(drop=True)
+    if held is not None:
+        yield held.reset_index(drop=True)
+
+
+def _candidates(rows: pd.DataFrame, most: int) -> tuple[np.ndarray, np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+    """Candidate pairs: those of small places as (i, j) for all at once, and for each large place its rows and a matrix."""
     codes = np.frombuffer(b"".join(rows["code"]), _WORD).astype(np.uint32).reshape(len(rows), -1)
-    out = _agreement(codes, place[2], most)
-    if place[3] != place[4]:
-        block = rows["block"].to_numpy()
-        out &= block[:, None] != block[None, :]
-    return out
+    place = rows["place"].to_numpy()
+    table, block = rows["table"].to_numpy(), rows["block"].to_numpy()
+    across = (rows["first"] != rows["second"]).to_numpy()
+    place = place - place[0]
+    size = np.bincount(place)[place]
+    small = size <= SMALL
+    left, right = [], []
+    for step in range(1, int(size[small].max(initial=1))):
+        i = np.flatnonzero(small[:-step] & (place[:-step] == place[step:]))
+        j = i + step
+        differ = codes[i] ^ codes[j]
+        earlier = ((differ == 0) & (np.arange(codes.shape[1]) < table[i][:, None])).any(axis=1)
+        fits = ~earlier & (np.bitwise_count(differ).sum(axis=1) <= most) & (~across[i] | (block[i] != block[j]))
+        left.append(i[fits])
+        right.append(j[fits])
+    large = []
+    for number in np.unique(place[~small]).tolist():
+        at = np.flatnonzero(place == number)
+        met = _agreement(codes[at], int(table[at[0]]), most)
+        if across[at[0]]:
+            met &= block[at][:, None] != block[at][None, :]
+        large.append((at, met))
+    none = np.zeros(0, np.int64)
+    return np.concatenate([none, *left]), np.concatenate([none, *right]), large
 
 
 def _placed(rows: DataFrame) -> DataFrame:
@@ -208,9 +245,13 @@ def _retrieved(classes: DataFrame, bits: int, tables: int, most: int) -> DataFra
     )
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for place, group in _groups(batches):
-            if len(group) > 1:
-                yield group[_met(place, group, most).any(axis=1)][[*_PLACE, "block", "node"]]
+        for rows in _whole_places(batches):
+            i, j, large = _candidates(rows, most)
+            found = np.zeros(len(rows), bool)
+            found[i] = found[j] = True
+            for at, met in large:
+                found[at] = met.any(axis=1)
+            yield rows[found][[*_PLACE, "block", "node"]]
 
     return _placed(rows).mapInPandas(run, "label string, bucket long, table int, first long, second long, block long, node long")
 
@@ -219,19 +260,28 @@ def _reranked(found: DataFrame, classes: DataFrame, least: float, most: int) ->
     """Rows (node, links) with the linked rows of other classes, and (node, other) that connect classes."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for place, group in _groups(batches):
-            met = _met(place, group, most)
-            link = np.zeros_like(met)
-            sizes = group["unit"].map(len).to_numpy()
-            for size in np.unique(sizes).tolist():
-                at = np.flatnonzero(sizes == size)
-                unit = np.frombuffer(b"".join(group["unit"].iloc[at]), np.float64).reshape(len(at), -1)
-                link[np.ix_(at, at)] = unit @ unit.T >= least
-            link &= met
-            nodes = group["node"].to_numpy()
-            some = link.any(axis=1)
-            yield pd.DataFrame({"node": nodes[some], "links": (link @ group["copies"].to_numpy())[some]}).reindex(columns=_LINKS)
-            pairs = _forest(link)
+        for rows in _whole_places(batches):
+            units = [np.frombuffer(u, np.float64) for u in rows["unit"]]
+            nodes, copies = rows["node"].to_numpy(), rows["copies"].to_numpy()
+            links, pairs = np.zeros(len(rows), np.int64), []
+            i, j, large = _candidates(rows, most)
+            near = np.array([len(units[a]) == len(units[b]) and units[a] @ units[b] >= least for a, b in zip(i, j, strict=True)], bool)
+            i, j = i[near], j[near]
+            np.add.at(links, i, copies[j])
+            np.add.at(links, j, copies[i])
+            pairs += _spanning(i.tolist(), j.tolist())
+            for at, met in large:
+                link = np.zeros_like(met)
+                sizes = np.array([len(units[a]) for a in at])
+                for size in np.unique(sizes).tolist():
+                    same = np.flatnonzero(sizes == size)
+                    unit = np.stack([units[at[a]] for a in same])
+                    link[np.ix_(same, same)] = unit @ unit.T >= least
+                link &= met
+                links[at] += link @ copies[at]
+                pairs += [(at[a], at[b]) for a, b in _forest(link)]
+            some = links > 0
+            yield pd.DataFrame({"node": nodes[some], "links": links[some]}).reindex(columns=_LINKS)
             yield pd.DataFrame({"node": [nodes[a] for a, _ in pairs], "other": [nodes[b] for _, b in pairs]}).reindex(columns=_LINKS)
 
     full = found.join(classes.select("node", "code", "unit", "copies"), "node")
