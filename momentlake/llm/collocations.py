@@ -32,6 +32,8 @@ NO_LANG = "und"
 BUCKET, HOT = 1_000_000, 250_000
 #: Counters of leading words, and of pairs.
 COUNTERS = 1 << 16
+#: Parts in which the phrases of a language are ranked first.
+PARTS = 16
 #: Bytes of one language that a task combines at a time; a block seldom has 2^21 distinct words.
 BLOCK = 6 << 20
 _BITS = 21
@@ -296,6 +298,10 @@ def collocations(docs: DataFrame, *, longest: int = 3, least: int = 10, covered:
     inner = inner.select("lang", part(F.col("start"), F.col("length")).alias("phrase"), F.col("a").alias("longer"))
     inner = inner.groupBy("lang", "phrase").agg(F.max("longer").alias("longer"))
     kept = best.join(inner, ["lang", "phrase"], "left").where(F.expr(f"longer is null or 100 * longer < {int(covered)} * a"))
-    order = Window.partitionBy("lang").orderBy(F.desc("best.score"), F.desc("a"), "phrase")
-    top = kept.withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= k)
-    return top.join(totals, "lang").select("lang", "rank", "phrase", "a", "best.l", "best.r", "n", "best.score")
+    order = [F.desc("best.score"), F.desc("a"), "phrase"]
+    # In parts first: a language's last ranking sees k rows of each part at most.
+    near = Window.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(PARTS))).orderBy(*order)
+    parts = kept.withColumn("rank", F.row_number().over(near)).where(F.col("rank") <= k)
+    top = parts.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= k)
+    out = top.join(totals, "lang")
+    return out.select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "best.l", "best.r", "n", "best.score")
