@@ -168,6 +168,50 @@ def story_arcs(spark, sf_dir):
     )
 
 
+# Groups of up to three: the scan keeps every group with its span.
+_THREES = """
+    edges as (
+        select *, row_number() over (partition by vod_id order by score desc, gap_s, l_start_s, l_end_s, l_pos,
+                                     r_start_s, r_end_s, r_pos) as step
+        from decided where merged and greatest(l_end_s, r_end_s) - least(l_start_s, r_start_s) <= 240),
+    last_steps as (select vod_id, max(step) as n from edges group by all),
+    walk as (
+        select vod_id, 0::bigint as step, []::struct(m bigint[], lo bigint, hi bigint)[] as gs from last_steps
+        union all
+        select vod_id, step,
+               case when list_contains(a.m, r_pos) or len(a.m) + len(b.m) > 3
+                         or greatest(a.hi, b.hi) - least(a.lo, b.lo) > 240 then gs
+                    else list_append(list_filter(gs, lambda x: not list_contains(x.m, l_pos) and not list_contains(x.m, r_pos)),
+                                     {'m': list_concat(a.m, b.m), 'lo': least(a.lo, b.lo), 'hi': greatest(a.hi, b.hi)}) end
+        from (
+            select w.vod_id, e.step, gs, l_pos, r_pos,
+                   coalesce(list_filter(gs, lambda x: list_contains(x.m, l_pos))[1],
+                            {'m': [l_pos], 'lo': l_start_s::bigint, 'hi': l_end_s::bigint}) as a,
+                   coalesce(list_filter(gs, lambda x: list_contains(x.m, r_pos))[1],
+                            {'m': [r_pos], 'lo': r_start_s::bigint, 'hi': r_end_s::bigint}) as b
+            from walk w join edges e on e.vod_id = w.vod_id and e.step = w.step + 1)),
+    grown as (select vod_id, unnest(gs) as g from walk join last_steps using (vod_id) where step = n),
+    placed as (select vod_id, list_min(g.m) as g, unnest(g.m) as pos from grown),
+    arcs as (
+        select t.vod_id, min(start_s) as start_s, max(end_s) as end_s, count(*) as members,
+               string_agg(candidate_id, ',' order by start_s, end_s, t.pos) as sources
+        from toks t left join placed p on p.vod_id = t.vod_id and p.pos = t.pos
+        group by t.vod_id, coalesce(p.g, t.pos))"""
+
+
+@query(
+    "story_arcs_of_three",
+    with_entities("candidates", f""",{_PAIRS},{_THREES}
+    select vod_id, start_s, end_s, members, sources from arcs""", recursive=True),
+)
+def story_arcs_of_three(spark, sf_dir):
+    arcs = stitching.stitch(_candidates(spark, sf_dir), min_shared=_MIN_SHARED, max_members=3)
+    return arcs.select(
+        "vod_id", "start_s", "end_s", F.size("source_candidate_ids").cast("bigint").alias("members"),
+        F.array_join("source_candidate_ids", ",").alias("sources"),
+    )
+
+
 @query(
     "arc_representatives",
     with_entities("candidates", f""",{_PAIRS},{_ARCS},

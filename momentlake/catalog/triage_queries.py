@@ -548,11 +548,11 @@ def annotated_chunks(spark, sf_dir):
            concat('text_top_rank', case when alert then ',gemma_audio_alert_or_laughter' else '' end,
                   case when reaction then ',gemma_visual_reaction' else '' end) as selection_reasons,
            refs as annotation_refs
-    from (select *, list_filter([concat('[', start_s, 's] clip window ', start_s, '-', end_s, 's'), lines[1], lines[2],
-                    lines[3], case when alert then 'gemma_audio_alert' end,
+    from (select *, list_filter(list_concat([concat('[', start_s, 's] clip window ', start_s, '-', end_s, 's')], lines,
+                    [case when alert then 'gemma_audio_alert' end,
                     case when reaction then 'gemma_visual_reaction' end,
                     case when led >= 0.6 then 'streamer_led_likelihood_high' end,
-                    case when paid >= 0.6 then 'transactional_alert_likelihood_high' end],
+                    case when paid >= 0.6 then 'transactional_alert_likelihood_high' end]),
                     lambda x: x is not null) as list_distinct_in_order
           from scored)"""),
 )

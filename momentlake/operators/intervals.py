@@ -13,9 +13,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..runtime import checkpointed, salted_lookup
+
 BLOCK_SECONDS = 3600
-# Rows of one time that are scanned together.
+# Rows that are scanned together, and the most cut points of one group of rows.
 CELL_ROWS = 4096
+MOST_CUTS = 256
+# Groups with cut points up to which the table of cut points is broadcast.
+BROADCAST_CUTS = 10_000
 # Raw rows of one time bucket are spread over this many join keys.
 JOIN_SALTS = 4
 
@@ -149,13 +154,58 @@ def last_marked(
     )
 
 
-def _cell(rows: DataFrame, order: Sequence[str]) -> Column:
-    """A key that does not decrease in ``order``: the values before the last one, and the last one in
-    steps.  A whole number that tells rows apart leaves at most ``CELL_ROWS`` rows to a cell; text has
-    one step, so rows that are equal but for it share a cell."""
-    whole = dict(rows.dtypes)[order[-1]] in ("bigint", "int", "smallint", "tinyint")
-    step = F.floor(F.col(order[-1]) / CELL_ROWS) if whole else F.lit(0)
-    return F.struct(*order[:-1], step.alias("_step"))
+def _number(rows: DataFrame, name: str) -> Column:
+    """A number in the order of a column: itself, or the first seven bytes of a text."""
+    if dict(rows.dtypes)[name] != "string":
+        return F.col(name)
+    head = F.hex(F.substring(F.encode(name, "utf-8"), 1, 7))
+    return F.conv(F.rpad(head, 14, "0"), 16, 10).cast("bigint")
+
+
+def _cuts(rows: DataFrame, group: Sequence[str], x: Column) -> DataFrame:
+    """Cut points of every group of more than ``CELL_ROWS`` rows, about one per so many rows, from a
+    quantile sketch of ``x``; ``_dense`` are the values that fill a cell by themselves."""
+    fractions = [i / MOST_CUTS for i in range(1, MOST_CUTS)]
+    sketch = rows.groupBy(*group).agg(
+        F.count(F.lit(1)).alias("_n"), F.percentile_approx(x, fractions, 8 * MOST_CUTS).alias("_p")
+    )
+    stride = F.greatest(F.lit(1), F.floor(F.lit(MOST_CUTS * CELL_ROWS) / F.col("_n")))
+    points = sketch.where(F.col("_n") > CELL_ROWS).select(
+        *group, F.filter("_p", lambda _, i: (i + 1) % stride == 0).alias("_p")
+    )
+    repeated = F.filter("_p", lambda v, i: (i > 0) & (v == F.get(F.col("_p"), i - 1)))
+    return points.select(*group, F.array_distinct("_p").alias("_cuts"), F.array_distinct(repeated).alias("_dense"))
+
+
+def celled(rows: DataFrame, *, order: Sequence[str], block: Column, keys: Sequence[str] = ("vod_id",)) -> DataFrame:
+    """Adds ``_block`` and ``_cell``, which does not decrease in ``order``: parts of a block with some
+    ``CELL_ROWS`` rows (a ``MOST_CUTS``-th of a block of more).
+
+    Cut points come from sketches of the first column, and for values of it that fill a cell from
+    sketches of the next one, so one busy second is cut like a busy hour.  Where every block is
+    small a block is one cell and rows are joined with nothing.
+    """
+    # A struct, for a null time is a block as well.
+    out, path, dense = rows.withColumn("_block", F.struct(block.alias("_at"))), [], None
+    for level, name in enumerate(order):
+        x, group = _number(rows, name), [*keys, "_block", *path]
+        cuts = checkpointed(_cuts(out if dense is None else out.where(dense), group, x))
+        found = cuts.limit(BROADCAST_CUTS + 1).count()
+        if not found:
+            break
+        if found <= BROADCAST_CUTS:
+            out = out.join(F.broadcast(cuts), group, "left")
+        else:
+            out = salted_lookup(out, cuts, group, spread_by=order)
+        below = F.size(F.filter("_cuts", lambda c: c < x)) + F.size(F.filter("_cuts", lambda c: c <= x))
+        path.append(f"_cell_{level}")
+        out = out.withColumn(path[-1], F.when(F.col("_cuts").isNotNull(), below).otherwise(0))
+        out = out.withColumn(f"_dense_{level}", F.coalesce(F.array_contains("_dense", x), F.lit(False))).drop("_cuts", "_dense")
+        dense = F.col(f"_dense_{level}")
+        if cuts.where(F.size("_dense") > 0).isEmpty():
+            break
+    cell = F.struct("_block", *path).alias("_cell")
+    return out.select(*rows.columns, "_block", cell)
 
 
 def neighbour(
@@ -171,18 +221,18 @@ def neighbour(
     """Adds a struct of the ``take`` columns of the previous (or following) row.
 
     Same as ``lag``/``lead`` over the whole video.  Rows are scanned inside cells
-    of bounded size, so that all rows of one second are many tasks; cells, one row
+    (see :func:`celled`), so that all rows of one second are many tasks; cells, one row
     each, inside blocks; and blocks over the video.  ``block`` must not decrease
-    in ``order``, whose last column tells rows apart (best a whole number).  The
+    in ``order``, whose columns together tell rows apart.  The
     first row of a cell gets the edge row of the nearest cell before it.
     """
-    tagged = rows.withColumn("_cell", _cell(rows, order)).withColumn("_block", block)
-    payload = F.struct(*take)
+    tagged = celled(rows, order=order, block=block, keys=keys)
+    payload, at = F.struct(*take), F.struct(*order)
     beside, edge = (F.lead, F.min_by) if following else (F.lag, F.max_by)
-    local = beside(payload).over(Window.partitionBy(*keys, "_cell").orderBy(order[-1]))
-    cells = tagged.groupBy(*keys, "_block", "_cell").agg(edge(payload, F.col(order[-1])).alias("_edge"))
-    blocks = cells.groupBy(*keys, "_block").agg(edge("_edge", F.col("_cell")).alias("_far"))
-    far = blocks.select(*keys, "_block", beside("_far").over(Window.partitionBy(*keys).orderBy("_block")).alias("_far"))
+    local = beside(payload).over(Window.partitionBy(*keys, "_cell").orderBy(*order))
+    cells = tagged.groupBy(*keys, "_block", "_cell").agg(edge(payload, at).alias("_edge"))
+    blocks = cells.groupBy(*keys, "_block").agg(edge("_edge", F.col("_cell")).alias("_last"))
+    far = blocks.select(*keys, "_block", beside("_last").over(Window.partitionBy(*keys).orderBy("_block")).alias("_far"))
     near = beside("_edge").over(Window.partitionBy(*keys, "_block").orderBy("_cell"))
     carried = (
         cells.withColumn("_near", near)
@@ -295,9 +345,9 @@ def surrounding_times(
 def numbered(
     rows: DataFrame, *, order: Sequence[str], block: Column, out: str, keys: Sequence[str] = ("vod_id",)
 ) -> DataFrame:
-    """Row numbers from 0 per key in ``order``, counted inside cells of bounded size, plus
+    """Row numbers from 0 per key in ``order``, counted inside cells, plus
     the sizes of the earlier cells and blocks; see :func:`neighbour` for ``order`` and ``block``."""
-    tagged = rows.withColumn("_cell", _cell(rows, order)).withColumn("_block", block)
+    tagged = celled(rows, order=order, block=block, keys=keys)
     before = lambda name, *over: F.coalesce(
         F.sum(name).over(Window.partitionBy(*over[:-1]).orderBy(over[-1]).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
     )
@@ -309,7 +359,7 @@ def numbered(
         .join(starts, [*keys, "_block"])
         .select(*keys, "_cell", (F.col("_offset") + F.col("_start")).alias("_offset"))
     )
-    inside = F.row_number().over(Window.partitionBy(*keys, "_cell").orderBy(order[-1])) - 1
+    inside = F.row_number().over(Window.partitionBy(*keys, "_cell").orderBy(*order)) - 1
     return (
         tagged.withColumn("_inside", inside)
         .join(offsets, [*keys, "_cell"])

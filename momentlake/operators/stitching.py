@@ -2,20 +2,19 @@
 
 from __future__ import annotations
 
-import math
+from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import round_half_even, safe_double
 from ..runtime import checkpointed
-from .intervals import numbered, point_join
+from .intervals import last_marked, numbered, point_join, running_max_before
 
 MAX_GAP, MAX_BRIDGE_GAP, MIN_SHARED = 20, 45, 2
 MAX_SPAN, MAX_MEMBERS = 240, 2
-BLOCK_SECONDS = 3600
-EDGES_PER_TASK = 50_000
+# Edges that are decided together.
+CELL_EDGES = 512
 BATCHES_PER_BLOCK = 64
 
 # Words that do not tie two stories together.
@@ -175,171 +174,164 @@ def stitch_pairs(
 
 
 def _edge_rank() -> Column:
-    """Order of the edges of a video as text: score falling, then gap, left, right."""
-    big = 10**12
-    return F.format_string(
-        "%03d|%013d|%013d|%013d|%019d|%013d|%013d|%019d",
-        (F.lit(999) - F.col("score")).cast("bigint"), F.col("gap_s") + big,
-        F.col("l_start_s") + big, F.col("l_end_s") + big, F.col("l_pos"),
-        F.col("r_start_s") + big, F.col("r_end_s") + big, F.col("r_pos"),
+    """Order of the edges of a video: score falling, then gap, left and right candidate."""
+    return F.struct(
+        (-F.col("score")).cast("bigint").alias("worse"), F.col("gap_s").cast("bigint").alias("gap_s"),
+        *[F.col(f"{s}_{c}").cast("bigint").alias(f"{s}_{c}") for s in "lr" for c in ("start_s", "end_s", "pos")],
     )
 
 
-_DECISIONS = "vod_id {t}, kind string, rank string, a bigint, b bigint, accepted boolean"
+def _edge_cells(edges: DataFrame, cell_edges: int) -> DataFrame:
+    """Adds ``cell`` and ``alone``: edges that share a candidate lie in one island of time, and an
+    island of at most ``cell_edges`` edges is a cell, on which no edge outside bears.  A larger island is cut by
+    counts of edges, and a second of more edges by a hash of the left candidate."""
+    grid = edges.groupBy("vod_id", F.col("rank.l_start_s").alias("l_start_s")).agg(
+        F.max("rank.r_start_s").alias("_reach"), F.count(F.lit(1)).alias("_n")
+    )
+    grid = running_max_before(grid, order=["l_start_s"], value="_reach", out="_before")
+    opens = F.col("_before").isNull() | (F.col("l_start_s") > F.col("_before"))
+    grid = last_marked(grid, order="l_start_s", value=F.when(opens, F.col("l_start_s")), out="_island")
+    island = Window.partitionBy("vod_id", "_island")
+    earlier = F.sum("_n").over(island.orderBy("l_start_s")) - F.col("_n")
+    cut = grid.select(
+        "vod_id", "l_start_s", "_island", (F.sum("_n").over(island) <= cell_edges).alias("alone"),
+        F.floor(earlier / cell_edges).alias("_slice"), F.ceil(F.col("_n") / cell_edges).alias("_parts"),
+    )
+    part = F.pmod(F.xxhash64("rank.l_pos"), F.col("_parts"))
+    where = F.when(F.col("alone"), F.struct(F.lit(0).cast("bigint").alias("_slice"), F.lit(0).cast("bigint").alias("_part")))
+    return (
+        edges.withColumn("l_start_s", F.col("rank.l_start_s"))
+        .join(cut, ["vod_id", "l_start_s"])
+        .withColumn("cell", F.struct("_island", where.otherwise(F.struct("_slice", part.alias("_part"))).alias("at")))
+        .drop("l_start_s", "_island", "_slice", "_parts")
+    )
 
 
-def _decide(max_span: int, max_members: int):
-    """Decides the edges of one cell as far as the cell alone can.
+def _outside(live: DataFrame) -> DataFrame:
+    """Adds to each edge the best open edge of its groups in other cells (``l_ext``, ``r_ext``)."""
+    touch = live.select("vod_id", "cell", "rank", F.explode(F.array("l.g", "r.g")).alias("g"))
+    best = touch.groupBy("vod_id", "g", "cell").agg(F.min("rank").alias("best"))
+    group = Window.partitionBy("vod_id", "g")
+    ranked = best.withColumn("_r", F.row_number().over(group.orderBy("best")))
+    first = F.min(F.when(F.col("_r") == 1, F.col("best"))).over(group)
+    second = F.min(F.when(F.col("_r") == 2, F.col("best"))).over(group)
+    ext = ranked.select("vod_id", "g", "cell", F.when(F.col("_r") == 1, second).otherwise(first).alias("ext"))
+    ext = ext.where(F.col("ext").isNotNull())
+    for s in "lr":
+        named = ext.select("vod_id", "cell", F.col("g").alias(f"_{s}"), F.col("ext").alias(f"{s}_ext"))
+        live = live.withColumn(f"_{s}", F.col(f"{s}.g")).join(named, ["vod_id", "cell", f"_{s}"], "left").drop(f"_{s}")
+    return live
 
-    Edges are taken in rank order.  An edge waits when a better undecided edge
-    touches one of its groups, be it in another block (``*_ext``) or earlier
-    here; everything else is settled as in a scan over the whole video.
-    """
 
-    def run(edges: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        groups: dict[tuple, list] = {}  # (vod, block, group) -> [root, lo, hi, members, waiting rank]
-
-        def find(key):
-            while groups[key][0] != key:
-                key = groups[key][0]
-            return key
-
-        for e in edges.sort_values("rank", kind="stable").itertuples(index=False):
-            keys = []
-            for g, lo, hi, n, ext in (
-                (e.l_group, e.l_lo, e.l_hi, e.l_n, e.l_ext),
-                (e.r_group, e.r_lo, e.r_hi, e.r_n, e.r_ext),
-            ):
-                key = (e.vod_id, e.block, g)
-                if key not in groups:
-                    groups[key] = [key, lo, hi, n, ext if isinstance(ext, str) else None]
-                keys.append(find(key))
-            a, b = keys
-            if a == b:
-                out.append((e.vod_id, "edge", e.rank, None, None, False))
-                continue
-            ga, gb = groups[a], groups[b]
-            lo, hi, n = min(ga[1], gb[1]), max(ga[2], gb[2]), ga[3] + gb[3]
-            if hi - lo > max_span or n > max_members:
-                # Groups only grow, so this can never become possible again.
-                out.append((e.vod_id, "edge", e.rank, None, None, False))
-                continue
-            waits = [w for w in (ga[4], gb[4]) if w is not None and w < e.rank]
-            if waits:
-                for g in (ga, gb):
-                    g[4] = e.rank if g[4] is None else min(g[4], e.rank)
-                continue
-            out.append((e.vod_id, "edge", e.rank, None, None, True))
-            later = [w for w in (ga[4], gb[4]) if w is not None]
-            root, other = (a, b) if a[2] < b[2] else (b, a)
-            groups[other][0] = root
-            groups[root] = [root, lo, hi, n, min(later) if later else None]
-            out.append((e.vod_id, "group", None, other[2], root[2], None))
-        return pd.DataFrame(out, columns=["vod_id", "kind", "rank", "a", "b", "accepted"])
-
-    return run
+def _settled(live: DataFrame, max_span: int, max_members: int) -> DataFrame:
+    """Decides the edges of each cell, best first, as far as the cell can: (won, open, groups).
+
+    An edge waits if a better open one touches one of its groups, be it in another cell or
+    before it here; all else is as in a scan over the whole video.
+    """
+    rank = live.schema["rank"].dataType.simpleString()
+    side = "struct<g:bigint,lo:bigint,hi:bigint,n:bigint>"
+    edge_type = f"struct<rank:{rank},l:{side},r:{side},l_ext:{rank},r_ext:{rank}>"
+    group_type = f"struct<of:array<bigint>,lo:bigint,hi:bigint,n:bigint,ext:{rank},waits:boolean>"
+    none = lambda t: F.array().cast(f"array<{t}>")
+    state = lambda groups, won, left: F.struct(groups.alias("groups"), won.alias("won"), left.alias("open"))
+
+    def group(of: Column, lo: Column, hi: Column, n: Column, ext: Column, waits: Column) -> Column:
+        return F.struct(
+            of.alias("of"), lo.alias("lo"), hi.alias("hi"), n.alias("n"), ext.alias("ext"), waits.alias("waits")
+        ).cast(group_type)
+
+    def step(s: Column, e: Column) -> Column:
+        def found(end: str) -> Column:
+            own = e[end]
+            fresh = group(F.array(own["g"]), own["lo"], own["hi"], own["n"], e[f"{end}_ext"], F.lit(False))
+            return F.coalesce(F.get(F.filter(s["groups"], lambda x: F.array_contains(x["of"], own["g"])), 0), fresh)
+
+        def decide(pair: Column) -> Column:
+            a, b = pair["a"], pair["b"]
+            lo, hi, n = F.least(a["lo"], b["lo"]), F.greatest(a["hi"], b["hi"]), a["n"] + b["n"]
+            possible = ~F.array_contains(a["of"], e["r"]["g"]) & (n <= max_members) & (hi - lo <= max_span)
+            better = lambda x: F.coalesce(x["ext"] < e["rank"], F.lit(False))
+            waits = a["waits"] | b["waits"] | better(a) | better(b)
+            rest = F.filter(
+                s["groups"], lambda x: ~F.array_contains(x["of"], e["l"]["g"]) & ~F.array_contains(x["of"], e["r"]["g"])
+            )
+            stuck = [group(x["of"], x["lo"], x["hi"], x["n"], x["ext"], F.lit(True)) for x in (a, b)]
+            joined = group(F.concat(a["of"], b["of"]), lo, hi, n, F.least(a["ext"], b["ext"]), F.lit(False))
+            return (
+                F.when(~possible, s)
+                .when(waits, state(F.concat(rest, F.array(*stuck)), s["won"], F.concat(s["open"], F.array(e))))
+                .otherwise(state(F.concat(rest, F.array(joined)), F.concat(s["won"], F.array(e["rank"])), s["open"]))
+            )
+
+        pair = F.struct(found("l").alias("a"), found("r").alias("b"))
+        return F.get(F.transform(F.array(pair), decide), 0)
+
+    edge = F.struct("rank", "l", "r", "l_ext", "r_ext").cast(edge_type)
+    ordered = live.groupBy("vod_id", "cell", "alone").agg(F.array_sort(F.collect_list(edge)).alias("_edges"))
+    start = state(none(group_type), none(rank), none(edge_type))
+    return ordered.select("vod_id", "cell", "alone", F.aggregate("_edges", start, step).alias("s")).select(
+        "vod_id", "cell", "alone", "s.won", "s.open", F.filter("s.groups", lambda x: F.size(x["of"]) > 1).alias("groups")
+    )
 
 
 def stitch_groups(
-    pairs: DataFrame, *, max_span: int = MAX_SPAN, max_members: int = MAX_MEMBERS, block_seconds: int = BLOCK_SECONDS
+    pairs: DataFrame, *, max_span: int = MAX_SPAN, max_members: int = MAX_MEMBERS, cell_edges: int = CELL_EDGES
 ) -> tuple[DataFrame, DataFrame] | None:
     """Groups of stitched candidates and the edges that joined them.
 
     Equals taking the mergeable pairs of a video one by one, best first, and
     joining two groups if the result spans at most ``max_span`` seconds and has
-    at most ``max_members`` members.  Each round settles, in parallel per block
-    of time, all edges that no better open edge can affect; open ones at block
-    borders are settled by later rounds.  Returns ``(members, edges)`` with
+    at most ``max_members`` members.  Islands of time are settled in one round, side by side; parts of a
+    large island in rounds, each of which accepts every edge that no better open edge can affect.  Returns ``(members, edges)`` with
     ``members``: vod_id, pos, group_pos; None if no pair may merge.
     """
     span_ok = F.greatest("l_end_s", "r_end_s") - F.least("l_start_s", "r_start_s") <= max_span
     edges = checkpointed(
-        pairs.where(F.col("merged") & span_ok).select(
-            "vod_id", _edge_rank().alias("rank"), "reasons", *[f"{s}_{c}" for s in "lr" for c in ("pos", "start_s", "end_s")]
-        )
+        pairs.where(F.col("merged") & span_ok).select("vod_id", "l_pos", "r_pos", _edge_rank().alias("rank"), "reasons")
     )
     if max_members < 2 or edges.isEmpty():
         return None
-    ends = [
-        edges.select("vod_id", *[F.col(f"{s}_{c}").alias(c) for c in ("pos", "start_s", "end_s")]) for s in "lr"
-    ]
-    members = ends[0].unionAll(ends[1]).distinct().withColumn("group_pos", F.col("pos"))
-    open_edges = edges.select("vod_id", "rank", "l_pos", "r_pos")
-    accepted: DataFrame | None = None
-    schema = _DECISIONS.format(t=dict(edges.dtypes)["vod_id"])
+    side = lambda s: F.struct(
+        F.col(f"rank.{s}_pos").alias("g"), F.col(f"rank.{s}_start_s").alias("lo"), F.col(f"rank.{s}_end_s").alias("hi"),
+        F.lit(1).cast("bigint").alias("n"),
+    )
+    live = _edge_cells(edges.drop("reasons", "l_pos", "r_pos"), cell_edges).withColumns({"l": side("l"), "r": side("r")})
+    nothing = F.lit(None).cast(edges.schema["rank"].dataType)
+    unaffected = live.where("alone").withColumns({"l_ext": nothing, "r_ext": nothing})
+    settled = checkpointed(_settled(unaffected.unionByName(_outside(live.where("not alone"))), max_span, max_members))
+    won, moved = [], []
     while True:
-        groups = members.groupBy("vod_id", "group_pos").agg(
-            F.min("start_s").alias("lo"), F.max("end_s").alias("hi"), F.count(F.lit(1)).alias("n")
-        )
-        of = members.select("vod_id", "pos", "group_pos").join(groups, ["vod_id", "group_pos"])
-        side = lambda s: of.select(
-            "vod_id", F.col("pos").alias(f"{s}_pos"), F.col("group_pos").alias(f"{s}_group"),
-            F.col("lo").alias(f"{s}_lo"), F.col("hi").alias(f"{s}_hi"), F.col("n").alias(f"{s}_n"),
-        )
-        fits = (
-            (F.col("l_group") != F.col("r_group"))
-            & (F.col("l_n") + F.col("r_n") <= max_members)
-            & (F.greatest("l_hi", "r_hi") - F.least("l_lo", "r_lo") <= max_span)
+        won.append(settled.select("vod_id", F.explode("won").alias("rank")))
+        group = settled.select("vod_id", F.explode("groups").alias("_g"))
+        moves = group.select(
+            "vod_id", F.explode("_g.of").alias("group_pos"), F.array_min("_g.of").alias("to"), F.col("_g.lo").alias("lo"),
+            F.col("_g.hi").alias("hi"), F.col("_g.n").alias("n"),
         )
-        live = checkpointed(
-            open_edges.join(side("l"), ["vod_id", "l_pos"])
-            .join(side("r"), ["vod_id", "r_pos"])
-            .where(fits)
-            .withColumn("block", F.floor(F.least("l_lo", "r_lo") / block_seconds))
+        moved.append(moves)
+        left = settled.select("vod_id", "cell", "alone", F.explode("open").alias("e")).select(
+            "vod_id", "cell", "alone", "e.rank", "e.l", "e.r"
         )
-        count = live.count()
-        if count == 0:
+        if left.isEmpty():
             break
-        # Best open edge of each group outside a block: a group spans at most a few blocks.
-        touch = live.select("vod_id", "block", "rank", F.explode(F.array("l_group", "r_group")).alias("g"))
-        best = touch.groupBy("vod_id", "g", "block").agg(F.min("rank").alias("best"))
-        near = best.groupBy("vod_id", "g").agg(F.collect_list(F.struct("block", "best")).alias("all"))
-        outside = F.array_min(
-            F.transform(F.filter("all", lambda x: x["block"] != F.col("block")), lambda x: x["best"])
-        )
-        ext = (
-            best.join(near.where(F.size("all") > 1), ["vod_id", "g"])
-            .select("vod_id", "g", "block", outside.alias("ext"))
-        )
         for s in "lr":
-            renamed = ext.select("vod_id", "block", F.col("g").alias(f"{s}_group"), F.col("ext").alias(f"{s}_ext"))
-            live = live.join(renamed, ["vod_id", "block", f"{s}_group"], "left")
-        cells = max(1, math.ceil(count / EDGES_PER_TASK), edges.sparkSession.sparkContext.defaultParallelism)
-        decided = checkpointed(
-            live.withColumn("_cell", F.pmod(F.xxhash64("vod_id", "block"), F.lit(cells)))
-            .groupBy("_cell")
-            .applyInPandas(_decide(max_span, max_members), schema)
-        )
-        settled = decided.where("kind = 'edge'")
-        won = settled.where("accepted").select("vod_id", "rank")
-        accepted = won if accepted is None else accepted.unionAll(won)
-        # A group may be joined several times in a round: follow the links to the last one.
-        moves = decided.where("kind = 'group'").select("vod_id", F.col("a").alias("group_pos"), F.col("b").alias("to"))
-        members = checkpointed(_follow(members, moves, max_members))
-        if settled.count() == count:
-            break
-        open_edges = live.join(settled.select("vod_id", "rank"), ["vod_id", "rank"], "left_anti").select(
-            "vod_id", "rank", "l_pos", "r_pos"
-        )
-    if accepted is None:
-        return None
-    return members.select("vod_id", "pos", "group_pos"), edges.join(accepted, ["vod_id", "rank"])
-
-
-def _follow(members: DataFrame, moves: DataFrame, max_members: int) -> DataFrame:
-    hops = max(1, math.ceil(math.log2(max_members)))
-    for _ in range(hops):
-        # Doubling: a link to a moved group becomes a link to where that one went.
-        again = moves.select("vod_id", F.col("group_pos").alias("to"), F.col("to").alias("_further"))
-        moves = moves.join(again, ["vod_id", "to"], "left").select(
-            "vod_id", "group_pos", F.coalesce("_further", "to").alias("to")
+            now = moves.select("vod_id", F.col("group_pos").alias("_g"), F.struct(F.col("to").alias("g"), "lo", "hi", "n").alias("_now"))
+            left = left.withColumn("_g", F.col(f"{s}.g")).join(now, ["vod_id", "_g"], "left")
+            left = left.withColumn(s, F.coalesce("_now", s)).drop("_g", "_now")
+        fits = (
+            (F.col("l.g") != F.col("r.g"))
+            & (F.col("l.n") + F.col("r.n") <= max_members)
+            & (F.greatest("l.hi", "r.hi") - F.least("l.lo", "r.lo") <= max_span)
         )
-    return (
-        members.join(moves, ["vod_id", "group_pos"], "left")
-        .withColumn("group_pos", F.coalesce("to", "group_pos"))
-        .drop("to")
-    )
+        settled = checkpointed(_settled(_outside(left.where(fits)), max_span, max_members))
+    accepted = reduce(DataFrame.unionAll, won).select("vod_id", F.col("rank.l_pos").alias("l_pos"), F.col("rank.r_pos").alias("r_pos"))
+    members = moved[0].select("vod_id", F.col("group_pos").alias("pos"), F.col("to").alias("group_pos"))
+    for moves in moved[1:]:
+        # Groups of candidates that were alone before, and groups that were joined again.
+        again = moves.select("vod_id", "group_pos", "to")
+        members = members.join(again, ["vod_id", "group_pos"], "full")
+        members = checkpointed(members.select("vod_id", F.coalesce("pos", "group_pos").alias("pos"), F.coalesce("to", "group_pos").alias("group_pos")))
+    return members, edges.join(accepted, ["vod_id", "l_pos", "r_pos"])
 
 
 def stitch(

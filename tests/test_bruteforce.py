@@ -51,9 +51,9 @@ def _greedy_groups(rows, max_members, max_span):
     return out
 
 
-@pytest.mark.parametrize("max_members,block", [(2, 3600), (2, 60), (3, 90), (5, 45)])
-def test_stitching_equals_greedy(spark, max_members, block):
-    rng = random.Random(7 * max_members + block)
+@pytest.mark.parametrize("max_members,cell", [(2, 512), (2, 5), (3, 512), (3, 7), (5, 3)])
+def test_stitching_equals_greedy(spark, max_members, cell):
+    rng = random.Random(7 * max_members + cell)
     words = ["raid", "boss", "cat", "pizza", "laugh"]
     rows = []
     for pos, vod in enumerate(_videos(rng, 150)):
@@ -69,7 +69,7 @@ def test_stitching_equals_greedy(spark, max_members, block):
         "trigger string, payoff string, evidence_lines array<string>",
     )
     members, _ = stitching.stitch_groups(
-        stitching.stitch_pairs(df), max_members=max_members, max_span=240, block_seconds=block
+        stitching.stitch_pairs(df), max_members=max_members, max_span=240, cell_edges=cell
     )
     got = {}
     for r in members.collect():
@@ -340,20 +340,55 @@ def test_nearest_keys_equal_full_search(spark):
     assert got == want
 
 
-def test_one_busy_second_is_many_cells(spark):
-    """All rows of a video in one second, and in few: numbers and neighbours as over the whole video."""
-    n = 3 * intervals.CELL_ROWS
-    busy = [(1, 50, i) for i in range(n)] + [(1, 20, n + 7), (1, 4000, n + 9), (1, 4000, n + 8), (2, 9, 3)]
-    df = spark.createDataFrame(busy, "vod_id bigint, t bigint, pos bigint")
-    block = F.floor(F.col("t") / 3600)
-    numbers = {(r.vod_id, r.t, r.pos): r.no for r in intervals.numbered(df, order=["t", "pos"], block=block, out="no").collect()}
-    wanted = sorted(busy)
-    assert numbers == {row: i - (n + 3 if row[0] == 2 else 0) for i, row in enumerate(wanted)}
+def _order_cases():
+    """Rows (vod_id, t, pos, tag): one busy second with dense, sparse and text order, busy hours, few rows, repeated times."""
+    rng = random.Random(11)
+    few = [(1, 20, 7, "z"), (1, 4000, 10**12 + 9, "b"), (1, 4000, -8, "a"), (2, 9, 3, "")]
+    n = 1500
+    yield "dense", few + [(1, 50, i, "x") for i in range(n)]
+    yield "sparse", few + [(1, 50, rng.randrange(-(10**15), 10**15), "x") for _ in range(n)]
+    yield "hour", few + [(1, rng.randrange(3600), rng.randrange(10**9), "x") for _ in range(n)]
+    yield "two busy seconds", few + [(1, t, rng.randrange(10**9), "x") for t in (50, 51) for _ in range(n)] + [(1, 52, 1, "")]
+    yield "text", few + [(1, 50, 5, f"clip {rng.randrange(10**9)}") for _ in range(n)]
+    yield "nulls", few + [(1, None, i, "x") for i in range(300)] + [(1, 50, i, "x") for i in range(300)]
+
+
+@pytest.mark.parametrize("case", range(6))
+def test_busy_rows_are_many_cells(spark, monkeypatch, case):
+    """Numbers and neighbours as over the whole video; no cell holds much more than it should, and there are few cells."""
+    monkeypatch.setattr(intervals, "CELL_ROWS", 100)
+    name, rows = list(_order_cases())[case]
+    rows = list(dict.fromkeys(rows))
+    df = spark.createDataFrame(rows, "vod_id bigint, t bigint, pos bigint, tag string")
+    order, block = ["t", "pos", "tag"], F.floor(F.col("t") / 3600)
+    place = lambda r: (r[0], r[1] is not None, r[1] or 0, r[2], r[3])
+    wanted = sorted(rows, key=place)
+    first = {vod: min(i for i, r in enumerate(wanted) if r[0] == vod) for vod in (1, 2)}
+    numbers = {(r.vod_id, r.t, r.pos, r.tag): r.no for r in intervals.numbered(df, order=order, block=block, out="no").collect()}
+    assert numbers == {r: i - first[r[0]] for i, r in enumerate(wanted)}, name
     for following in (False, True):
-        out = intervals.neighbour(df, order=["t", "pos"], block=block, take=["t", "pos"], out="o", following=following)
-        got = {(r.vod_id, r.t, r.pos): r.o and (r.vod_id, r.o.t, r.o.pos) for r in out.collect()}
+        out = intervals.neighbour(df, order=order, block=block, take=order, out="o", following=following)
+        assert out.columns == [*df.columns, "o"]
+        got = {(r.vod_id, r.t, r.pos, r.tag): r.o and (r.vod_id, *r.o) for r in out.collect()}
         step = 1 if following else -1
         for i, row in enumerate(wanted):
             other = wanted[i + step] if 0 <= i + step < len(wanted) else None
-            assert got[row] == (other if other and other[0] == row[0] else None)
-    assert df.where("t = 50").select(intervals._cell(df, ["t", "pos"])).distinct().count() == 3
+            assert got[row] == (other if other and other[0] == row[0] else None), name
+    sizes = [r["count"] for r in intervals.celled(df, order=order, block=block).groupBy("vod_id", "_cell").count().collect()]
+    assert len(sizes) <= len(rows) / 25
+    if name != "nulls":
+        assert max(sizes) <= 4 * 100
+
+
+@pytest.mark.parametrize("broadcast", [0, 10_000])
+def test_cells_by_either_join(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(intervals, "CELL_ROWS", 50)
+    monkeypatch.setattr(intervals, "BROADCAST_CUTS", broadcast)
+    rng = random.Random(broadcast)
+    rows = list({(rng.randrange(3), rng.choice([5, 5, 5, rng.randrange(9000)]), rng.randrange(10**6)) for _ in range(2000)})
+    df = spark.createDataFrame(rows, "vod_id bigint, t bigint, pos bigint")
+    got = intervals.numbered(df, order=["t", "pos"], block=F.floor(F.col("t") / 3600), out="no").collect()
+    for vod in range(3):
+        own = sorted((r.t, r.pos) for r in got if r.vod_id == vod)
+        assert [(r.t, r.pos) for r in sorted((r for r in got if r.vod_id == vod), key=lambda r: r.no)] == own
+        assert sorted(r.no for r in got if r.vod_id == vod) == list(range(len(own)))
