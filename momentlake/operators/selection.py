@@ -9,6 +9,7 @@ from ..functions import titles as T
 from ..functions.scalars import duration_fit, round_half_even
 from ..runtime import checkpointed, salted_lookup
 from .scoring import MIN_FINAL_SCORE
+from .title_index import TitleIndex
 
 MAX_CLIPS = 20
 BATCH = 64
@@ -22,11 +23,12 @@ def distinct_titles(
     """Per video the first ``max_clips`` clips in ``order`` whose title resembles no
     clip kept before.  ``clips``: vod_id, clip_id and a title of any length.
 
-    Equals a scan of each video in order.  Rounds take the best ``batch`` open
-    clips of every video, scan those as one small array against the at most
-    ``max_clips`` kept ones, and then drop the open clips that resemble a kept
-    one.  Clips are compared with kept clips only, never with each other, so a
-    large group of copies costs one comparison per copy.
+    Equals a scan of each video in order.  Texts are written once; rounds hold
+    ids.  A round takes the best ``batch`` open clips of every video, scans
+    those as one small array against the at most ``max_clips`` kept ones, and
+    then drops the open clips that resemble a newly kept one, which an index of
+    the open titles finds.  Videos that a round completes are never indexed.  Clips are
+    compared with kept clips only, never with each other.
     """
     norm = T.normalise_title(F.col(title))
     keyed = clips.select(
@@ -38,9 +40,11 @@ def distinct_titles(
     group = F.when(F.col("norm") == "", F.concat(F.lit("#"), F.col("clip_id").cast("string"))).otherwise(
         F.sha2("norm", 256)
     )
-    open_clips = checkpointed(keyed.groupBy("vod_id", group.alias("_g")).agg(first).select("vod_id", "c.*"))
+    texts = checkpointed(keyed.groupBy("vod_id", group.alias("_g")).agg(first).select("vod_id", "c.*"))
+    open_clips = texts.select("vod_id", "clip_id", "_ord")
     kept_type = "array<" + keyed.select(F.struct("clip_id", "norm", "tok", "_ord").alias("s")).schema["s"].dataType.simpleString() + ">"
     kept: DataFrame | None = None
+    index: TitleIndex | None = None
 
     def alike(k: Column, c: Column) -> Column:
         return T.similar_titles(k["norm"], k["tok"], c["norm"], c["tok"])
@@ -53,7 +57,7 @@ def distinct_titles(
         ranked = open_clips.withColumn(
             "_r", F.row_number().over(Window.partitionBy("vod_id").orderBy("_ord"))
         ).where(F.col("_r") <= batch)
-        head = ranked.groupBy("vod_id").agg(
+        head = ranked.join(texts.drop("_ord"), ["vod_id", "clip_id"]).groupBy("vod_id").agg(
             F.array_sort(
                 F.collect_list(F.struct("_r", F.struct("clip_id", "norm", "tok", "_ord").alias("c")))
             ).alias("_head"),
@@ -69,18 +73,24 @@ def distinct_titles(
             state.select(
                 "vod_id",
                 F.when(F.col("_head").isNull(), F.col("kept")).otherwise(scanned).alias("kept"),
-                "_last",
+                "_last", F.size("kept").alias("_before"),
             )
         )
         unfinished = kept.where((F.size("kept") < max_clips) & F.col("_last").isNotNull())
-        rest = salted_lookup(open_clips, unfinished, ["vod_id"], spread_by=["clip_id"], how="inner").where(
-            (F.col("_ord") > F.col("_last"))
-            & ~F.exists("kept", lambda k: T.similar_titles(k["norm"], k["tok"], F.col("norm"), F.col("tok")))
-        )
-        open_clips = checkpointed(rest.select("vod_id", "clip_id", "norm", "tok", "_ord"))
+        ahead = unfinished.select("vod_id", "_last")
+        rest = salted_lookup(open_clips, ahead, ["vod_id"], spread_by=["clip_id"], how="inner")
+        rest = checkpointed(rest.where(F.col("_ord") > F.col("_last")).drop("_last"))
+        if rest.isEmpty():
+            break
+        if index is None:
+            index = TitleIndex(checkpointed(texts.join(rest.select("vod_id", "clip_id"), ["vod_id", "clip_id"], "left_semi").drop("_ord")))
+        new = unfinished.select(
+            "vod_id", F.explode(F.slice("kept", F.col("_before") + 1, F.size("kept") - F.col("_before"))).alias("k")
+        ).select("vod_id", "k.clip_id", "k.norm", "k.tok")
+        open_clips = checkpointed(rest.join(index.resembling(checkpointed(new)), ["vod_id", "clip_id"], "left_anti"))
+        kept = kept.drop("_last", "_before")
         if open_clips.isEmpty():
             break
-        kept = kept.drop("_last")
     return kept.select("vod_id", F.posexplode("kept").alias("_i", "k")).select(
         "vod_id", F.col("k.clip_id").alias("clip_id"), (F.col("_i") + 1).alias("rank")
     )

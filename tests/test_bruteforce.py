@@ -134,6 +134,53 @@ def test_distinct_titles_equal_scan(spark, batch, max_clips):
     assert {(r.vod_id, r.clip_id, r["rank"]) for r in got.collect()} == want
 
 
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_long_titles_equal_scan(spark, seed):
+    """Near copies, parts of other titles cut inside words, short titles in long ones, few rounds ahead of the index."""
+    rng = random.Random(seed)
+    vocabulary = [f"{a}{b}" for a in ("cat", "raid", "jump", "box", "play", "x") for b in ("s", "ing", "ed", "", "es", "7")]
+    base = [" ".join(rng.choices(vocabulary, k=rng.randrange(4, 14))) for _ in range(14)]
+    rows = []
+    for i in range(220):
+        words = rng.choice(base).split()
+        kind = rng.randrange(5)
+        if kind == 0:
+            words[rng.randrange(len(words))] = rng.choice(vocabulary)
+        text = " ".join(words)
+        if kind == 1:
+            at = rng.randrange(len(text))
+            text = text[at : at + rng.randrange(1, 40)]
+        elif kind == 2:
+            text = " ".join(rng.choices(vocabulary, k=rng.randrange(1, 12)))
+        elif kind == 3:
+            text = rng.choice(vocabulary) + " " + text + " " + rng.choice(vocabulary)
+        rows.append((rng.randrange(3), i, text.title() + rng.choice(["", "!", " "]), rng.randrange(0, 8)))
+    want = set()
+    for vod in range(3):
+        kept = []
+        for r in sorted((r for r in rows if r[0] == vod), key=lambda r: (-r[3], r[1])):
+            if len(kept) < 30 and not any(_similar(r[2], k[2]) for k in kept):
+                kept.append(r)
+        want |= {(vod, r[1], n) for n, r in enumerate(kept, 1)}
+    df = spark.createDataFrame(rows, "vod_id bigint, clip_id bigint, title string, score int")
+    got = selection.distinct_titles(df, order=[(-F.col("score")).alias("s")], batch=4, max_clips=30)
+    assert {(r.vod_id, r.clip_id, r["rank"]) for r in got.collect()} == want
+
+
+def test_title_index_finds_exactly_the_similar(spark):
+    from momentlake.operators.title_index import TitleIndex
+
+    rng = random.Random(9)
+    texts = [" ".join(rng.choices(["aa", "bbb", "cccc", "ing", "dd", "cats", "cat"], k=rng.randrange(0, 7))) for _ in range(120)]
+    df = spark.createDataFrame(list(enumerate(texts)), "clip_id bigint, title string").select(
+        F.lit(1).alias("vod_id"), "clip_id", T.normalise_title(F.col("title")).alias("norm"), T.title_tokens(F.col("title")).alias("tok")
+    )
+    index = TitleIndex(df)
+    for g in (0, 5, 17, 33):
+        got = {r.clip_id for r in index.resembling(df.where(F.col("clip_id") == g)).collect()}
+        assert got == {i for i, t in enumerate(texts) if _similar(texts[g], t)}
+
+
 def test_title_similarity_pairs(spark):
     pairs = [("The Cat Jumps!", "cat jumps"), ("a", ""), ("big raid today", "small raid today"), ("boxes played", "box play")]
     df = spark.createDataFrame(pairs, "a string, b string")
