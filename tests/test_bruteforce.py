@@ -2,12 +2,13 @@
 tables in which one video holds a third of the rows."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from momentlake.functions import titles as T
-from momentlake.operators import compare, fusion, intervals, selection, speakers, stitching, triage
+from momentlake.operators import compare, context, fusion, intervals, selection, speakers, stitching, triage
 
 
 def _videos(rng, n):
@@ -191,6 +192,53 @@ def test_title_similarity_pairs(spark):
     assert [r.s for r in out] == [_similar(x, y) for x, y in pairs]
 
 
+# Read-aloud chat
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_read_aloud_equals_scan(spark, seed):
+    """Quotes across lines, cut inside words, without spaces, of spaces, by nobody, twice; lines out of order; overlapping clips."""
+    rng = random.Random(seed)
+    vocabulary = ["the", "Streamer", "laughs", "ok", "at", "a", "pizza!", "incredible-moment", "x", "Überraschung", "boss7"]
+    lines, t = [], 0
+    for i in range(150):
+        t += rng.randrange(0, 9)
+        text = " ".join(rng.choices(vocabulary, k=rng.randrange(0, 9))) + rng.choice(["", " ", "  two", "\tx"])
+        lines.append((1, i, float(t + rng.randrange(-6, 7)), float(t + 3), rng.choice([text, text, None])))
+    spoken = " ".join(line[4] or "" for line in lines)
+    messages = []
+    for i in range(260):
+        at = rng.randrange(len(spoken) - 60)
+        quote = spoken[at : at + rng.randrange(18, 60)]
+        other = " ".join(rng.choices(vocabulary + ["nothing", "like", "this"], k=rng.randrange(3, 9)))
+        strange = rng.choice(["incredible-momentincredible", "credible-moment pizz", " " * 22, "a" * 25, "a  " * 8, "incredible-moment    x"])
+        text = rng.choice([quote, quote.upper(), other, strange, None])
+        messages.append((1, i, float(rng.randrange(0, t)), rng.choice(["u", None]), text))
+    messages.append(messages[0])
+    clips = [(1, c, float(lo), float(lo + rng.choice([1, 30, 240]))) for c, lo in enumerate(rng.choices(range(t), k=40))]
+    lower = lambda s: s.lower()
+
+    def tokens(text):
+        return {w for w in re.split(r"[\W_]+", lower(text)) if len(w) >= 3}
+
+    want = []
+    for vod, clip, lo, hi in clips:
+        said = lower(" ".join((x[4] or "") for x in sorted(lines, key=lambda x: x[1]) if lo <= x[2] <= hi))
+        there = any(lo <= x[2] <= hi for x in lines)
+        for m in messages:
+            if m[4] is None or len(m[4]) <= 20 or not lo <= m[2] <= hi or not there:
+                continue
+            shared, own = tokens(m[4]) & tokens(said), tokens(m[4])
+            if lower(m[4]) in said or (len(shared) >= 4 and len(shared) / max(1, len(own)) >= 0.35):
+                want.append((vod, clip, m[1], m[2], m[3], m[4]))
+    out = context.read_aloud(
+        spark.createDataFrame(clips, "vod_id bigint, clip_id bigint, lo double, hi double"),
+        spark.createDataFrame(lines, "vod_id bigint, pos bigint, start_s double, end_s double, text string"),
+        spark.createDataFrame(messages, "vod_id bigint, pos bigint, t double, usr string, message string"),
+    )
+    assert sorted((tuple(r)[:6] for r in out.collect()), key=str) == sorted(want, key=str) and len(want) > 50
+
+
 # Shortlist
 
 
