@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import round_half_even, safe_double
@@ -17,7 +17,11 @@ METRICS = (
     "trim_width_min", "trim_width_max", "duplicate_title_count", "duplicate_title_rate", "rms_fallback_count",
     "rms_fallback_rate",
 )
-FIRST_CELL, CELL_GROWTH = 64, 4
+# Cells hold FAN by FAN cells of the next level; those of so few keys are not cut further.
+FAN_BITS = 3
+FAN, LEAF = 1 << FAN_BITS, 16
+_CELL = ["_k", "_cs", "_ce"]
+_QUERY = ["vod_id", "which", "q_s", "q_e"]
 
 
 def run_metrics(clips: DataFrame) -> DataFrame:
@@ -122,53 +126,78 @@ def coverage(baseline: DataFrame, others: dict[str, DataFrame]) -> DataFrame:
     )
 
 
+def _grid(keys: DataFrame, top: int) -> tuple[DataFrame, DataFrame]:
+    """Keys in the square cells of every level 1 to ``top`` (a cell of level k is ``FAN`` to the k wide), and the
+    cells with their number of keys and bounds."""
+    width = F.expr(f"shiftleft(1L, {FAN_BITS} * _k)")
+    placed = keys.withColumn("_k", F.explode(F.sequence(F.lit(1), F.lit(top)))).select(
+        *keys.columns, "_k", F.floor(F.col("start_s") / width).alias("_cs"), F.floor(F.col("end_s") / width).alias("_ce")
+    )
+    cells = placed.groupBy("vod_id", "which", *_CELL).agg(
+        F.count(F.lit(1)).alias("_n"), F.min("start_s").alias("s0"), F.max("start_s").alias("s1"), F.min("end_s").alias("e0"),
+        F.max("end_s").alias("e1"),
+    )
+    return placed, cells
+
+
+def _closest(frontier: DataFrame) -> DataFrame:
+    """Drops the cells that are farther from their query than all of another cell."""
+    near = lambda q, lo, hi: F.greatest(F.lit(0), F.col(lo) - F.col(q), F.col(q) - F.col(hi))
+    far = lambda q, lo, hi: F.greatest(F.abs(F.col(q) - F.col(lo)), F.abs(F.col(q) - F.col(hi)))
+    best = F.min(far("q_s", "s0", "s1") + far("q_e", "e0", "e1")).over(Window.partitionBy(*_QUERY))
+    return (
+        frontier.withColumn("_best", best)
+        .where(near("q_s", "s0", "s1") + near("q_e", "e0", "e1") <= F.col("_best"))
+        .drop("_best")
+    )
+
+
 def nearest_keys(missed: DataFrame, sets: dict[str, DataFrame]) -> DataFrame:
     """For each missed key the nearest key of each set, as ``<set>_start`` and ``<set>_end``.
 
     Nearest by the sum of both distances, then start distance, end distance,
-    larger start, larger end.  Keys are looked up in square cells of (start,
-    end): a hit within one cell width is final, because anything nearer lies in
-    the same or a neighbouring cell.  Keys without such a hit go on with wider
-    cells, so only sparse surroundings are ever searched widely.
+    larger start, larger end.  The search goes down a grid of (start, end) cells
+    from the widest: a cell of more than ``LEAF`` keys is replaced by the cells in it, and cells that
+    cannot hold the nearest key, by the bounds of their keys, are dropped.  So a query meets the keys
+    of a few small cells however dense or empty its surroundings are.
     """
     sides = [clip_keys(df).withColumn("which", F.lit(n)) for n, df in sets.items()]
     keys = checkpointed(reduce(DataFrame.unionAll, sides))
     base = clip_keys(missed)
-    wanted = base.join(keys.select("vod_id", "which").distinct(), "vod_id")
-    pending = checkpointed(wanted.select("vod_id", "which", F.col("start_s").alias("q_s"), F.col("end_s").alias("q_e")))
-    found: DataFrame | None = None
-    cell = FIRST_CELL
-    ds, de = F.abs(F.col("start_s") - F.col("q_s")), F.abs(F.col("end_s") - F.col("q_e"))
-    around = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
-    while not pending.isEmpty():
-        probes = pending.withColumn("_n", F.explode(around)).select(
-            "*",
-            (F.floor(F.col("q_s") / cell) + F.col("_n.i")).alias("_cs"),
-            (F.floor(F.col("q_e") / cell) + F.col("_n.j")).alias("_ce"),
-        )
-        placed = keys.withColumn("_cs", F.floor(F.col("start_s") / cell)).withColumn(
-            "_ce", F.floor(F.col("end_s") / cell)
-        )
-        hits = checkpointed(
-            probes.join(placed, ["vod_id", "which", "_cs", "_ce"])
-            .where(ds + de <= cell)
-            .groupBy("vod_id", "which", "q_s", "q_e")
-            .agg(F.min(F.struct((ds + de).alias("d"), ds.alias("ds"), de.alias("de"), (-F.col("start_s")).alias("s"), (-F.col("end_s")).alias("e"))).alias("b"))
-        )
-        found = hits if found is None else found.unionAll(hits)
-        pending = checkpointed(pending.join(hits, ["vod_id", "which", "q_s", "q_e"], "left_anti"))
-        cell *= CELL_GROWTH
-    out = base
-    for n in sets:
-        if found is None:
-            out = out.withColumn(f"{n}_start", F.lit(None).cast("bigint")).withColumn(f"{n}_end", F.lit(None).cast("bigint"))
-            continue
-        side = found.where(F.col("which") == n).select(
-            "vod_id", F.col("q_s").alias("start_s"), F.col("q_e").alias("end_s"),
-            (-F.col("b.s")).alias(f"{n}_start"), (-F.col("b.e")).alias(f"{n}_end"),
+    widest = keys.agg(F.max(F.greatest(F.abs("start_s"), F.abs("end_s"))).alias("w")).first()["w"] or 0
+    top = max(1, -(-int(widest + 1).bit_length() // FAN_BITS))
+    placed, cells = _grid(keys, top)
+    cells = checkpointed(cells)
+    box = ["_n", "s0", "s1", "e0", "e1"]
+    frontier = base.select("vod_id", F.col("start_s").alias("q_s"), F.col("end_s").alias("q_e")).join(
+        cells.where(F.col("_k") == top), "vod_id"
+    )
+    frontier = _closest(frontier.select(*_QUERY, *_CELL, *box))
+    for k in range(top, 1, -1):
+        inner = F.struct("_k", "_cs", "_ce", *box)
+        parts = (
+            cells.where(F.col("_k") == k - 1)
+            .groupBy("vod_id", "which", F.floor(F.col("_cs") / FAN).alias("_ps"), F.floor(F.col("_ce") / FAN).alias("_pe"))
+            .agg(F.collect_list(inner).alias("_parts"), F.sum("_n").alias("_all"))
+            .where(F.col("_all") > LEAF)
+            .select("vod_id", "which", F.lit(k).alias("_k"), F.col("_ps").alias("_cs"), F.col("_pe").alias("_ce"), "_parts")
         )
-        out = out.join(side, ["vod_id", "start_s", "end_s"], "left")
-    return out
+        cut = frontier.join(parts, ["vod_id", "which", *_CELL], "left")
+        cut = cut.select(*_QUERY, F.explode(F.coalesce("_parts", F.array(inner))).alias("_c"))
+        frontier = _closest(cut.select(*_QUERY, "_c.*"))
+    ds, de = F.abs(F.col("start_s") - F.col("q_s")), F.abs(F.col("end_s") - F.col("q_e"))
+    found = (
+        frontier.select(*_QUERY, *_CELL)
+        .join(placed, ["vod_id", "which", *_CELL])
+        .groupBy(*_QUERY)
+        .agg(F.min(F.struct((ds + de).alias("d"), ds.alias("ds"), de.alias("de"), (-F.col("start_s")).alias("s"), (-F.col("end_s")).alias("e"))).alias("b"))
+    )
+    nearest = found.groupBy("vod_id", "q_s", "q_e").pivot("which", list(sets)).agg(F.first("b"))
+    shown = [
+        (-F.col(f"`{n}`")[end]).alias(f"{n}_{name}") for n in sets for name, end in (("start", "s"), ("end", "e"))
+    ]
+    out = nearest.select("vod_id", F.col("q_s").alias("start_s"), F.col("q_e").alias("end_s"), *shown)
+    return base.join(out, ["vod_id", "start_s", "end_s"], "left")
 
 
 def first_number(*paths: Column) -> Column:

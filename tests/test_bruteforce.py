@@ -435,6 +435,25 @@ def test_nearest_keys_equal_full_search(spark):
     assert got == want
 
 
+def test_nearest_keys_in_dense_and_empty_places(spark):
+    """Far queries beside a dense cluster, keys before 0, ties all around, sets without keys; few key pairs are compared."""
+    rng = random.Random(8)
+    dense = {(1, 5000 + rng.randrange(60), 5100 + rng.randrange(60)) for _ in range(1500)}
+    others = sorted(dense | {(1, -40, -3), (1, 90_000, 90_010), (2, 100, 110), (2, 100, 90), (2, 90, 100), (2, 110, 100)})
+    missed = sorted({(1, rng.randrange(-2000, 95_000), rng.randrange(-2000, 95_000)) for _ in range(80)} | {(2, 100, 100), (3, 1, 2)})
+    schema = "vod_id bigint, start_s bigint, end_s bigint"
+    sets = {"w": spark.createDataFrame(others, schema), "none": spark.createDataFrame([], schema)}
+    out = compare.nearest_keys(spark.createDataFrame(missed, schema), sets)
+    assert out.columns == ["vod_id", "start_s", "end_s", "w_start", "w_end", "none_start", "none_end"]
+    got = {(r.vod_id, r.start_s, r.end_s): (r.w_start, r.w_end, r.none_start) for r in out.collect()}
+    want = {}
+    for v, s, e in missed:
+        near = [k for k in others if k[0] == v]
+        best = min(near, key=lambda c: (abs(c[1] - s) + abs(c[2] - e), abs(c[1] - s), abs(c[2] - e), -c[1], -c[2]), default=(None,) * 3)
+        want[(v, s, e)] = (*best[1:], None)
+    assert got == want
+
+
 def _order_cases():
     """Rows (vod_id, t, pos, tag): one busy second with dense, sparse and text order, busy hours, few rows, repeated times."""
     rng = random.Random(11)
