@@ -2,26 +2,21 @@
 
 from __future__ import annotations
 
-import math
-
-import numpy as np
-import pandas as pd
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.names import addressed_names, introductions
-from ..runtime import checkpointed, salted_lookup
+from ..runtime import salted_lookup
 from .intervals import neighbour, overlap_join, running_max_before
+from .profile_search import nearest_profiles
 
 UNKNOWN = "UNKNOWN"
 # Who a voice can belong to.
 IDENTITIES = ("streamer", "guest", "unknown", "chatter", "mixed")
 ACCEPT_SIMILARITY = 0.72
 HIGH_SIMILARITY = 0.80
-PROFILES_PER_BLOCK = 2048
-CLUSTERS_PER_SLICE = 16384
 
 
 def align_speakers(segments: DataFrame, turns: DataFrame, min_ratio: float = 0.30) -> DataFrame:
@@ -133,50 +128,12 @@ def enroll_profiles(samples: DataFrame) -> DataFrame:
     )
 
 
-def _best_in_block(clusters: pd.DataFrame, profiles: pd.DataFrame) -> pd.DataFrame:
-    """Best profile of one block for each cluster of one slice (ties: lowest pos)."""
-    profiles = profiles.sort_values("pos", kind="stable").reset_index(drop=True)
-    best_score = np.full(len(clusters), -np.inf)
-    best_index = np.zeros(len(clusters), dtype=np.int64)
-    dims = clusters["embedding"].map(len).to_numpy()
-    profile_dims = profiles["embedding"].map(len).to_numpy()
-    scores = np.zeros((len(clusters), len(profiles)))
-    for dim in np.unique(dims):
-        rows, cols = np.flatnonzero(dims == dim), np.flatnonzero(profile_dims == dim)
-        if dim == 0 or len(cols) == 0:
-            continue  # vectors of other sizes are at similarity 0
-        a = np.stack(clusters["embedding"].iloc[rows].to_list()).astype(np.float64)
-        b = np.stack(profiles["embedding"].iloc[cols].to_list()).astype(np.float64)
-        na, nb = np.linalg.norm(a, axis=1), np.linalg.norm(b, axis=1)
-        usable = (na[:, None] > 0) & (nb[None, :] > 0)
-        dot = a @ b.T
-        cosine = np.divide(dot, na[:, None] * nb[None, :], out=np.zeros_like(dot), where=usable)
-        scores[np.ix_(rows, cols)] = cosine
-    if len(profiles):
-        best_index = scores.argmax(axis=1)
-        best_score = scores[np.arange(len(clusters)), best_index]
-    picked = profiles.iloc[best_index].reset_index(drop=True)
-    return pd.DataFrame(
-        {
-            "vod_id": clusters["vod_id"].to_numpy(),
-            "speaker_label": clusters["speaker_label"].to_numpy(),
-            "score": best_score,
-            "pos": picked["pos"].to_numpy(),
-            "profile_id": picked["profile_id"].to_numpy(),
-            "role": picked["role"].to_numpy(),
-            "accept": picked["accept"].to_numpy(),
-            "high": picked["high"].to_numpy(),
-        }
-    )
-
-
 def best_profiles(clusters: DataFrame, profiles: DataFrame) -> DataFrame:
     """The most similar profile of each cluster by cosine (ties: first profile).
 
     Where both sides have a ``streamer_id`` only the profiles of a cluster's own
-    streamer compete: a join on that key.  Otherwise all do: profiles are cut into blocks and clusters into slices of bounded size; each
-    (block, slice) cell is one matrix product that returns one row per cluster,
-    so no cluster-profile pair is ever shuffled.
+    streamer compete: a join on that key.  Otherwise all do, by a search that skips
+    what cannot win (:func:`~.profile_search.nearest_profiles`).
     """
     usable = profiles.where(F.size("embedding") > 0).select(
         "pos",
@@ -189,44 +146,7 @@ def best_profiles(clusters: DataFrame, profiles: DataFrame) -> DataFrame:
     )
     if "streamer_id" in profiles.columns and "streamer_id" in clusters.columns:
         return _best_of_streamer(clusters, usable)
-    clusters = checkpointed(clusters)  # counted, and read once for each block
-    n_blocks = max(1, math.ceil(usable.count() / PROFILES_PER_BLOCK))
-    n_slices = max(1, math.ceil(clusters.count() / CLUSTERS_PER_SLICE))
-    block = F.pmod(F.xxhash64("pos", "profile_id"), F.lit(n_blocks))
-    slice_ = F.pmod(F.xxhash64("vod_id", "speaker_label"), F.lit(n_slices))
-    left = clusters.select(
-        "vod_id",
-        "speaker_label",
-        "embedding",
-        slice_.alias("_slice"),
-        F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n_blocks - 1).cast("bigint"))).alias("_block"),
-    )
-    right = usable.select(
-        "*",
-        block.alias("_block"),
-        F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n_slices - 1).cast("bigint"))).alias("_slice"),
-    )
-
-    def cell(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        return _best_in_block(a, b) if len(a) and len(b) else pd.DataFrame()
-
-    types = dict(left.dtypes) | dict(right.dtypes)
-    schema = (
-        f"vod_id {types['vod_id']}, speaker_label {types['speaker_label']}, score double, pos {types['pos']}, "
-        f"profile_id {types['profile_id']}, role string, accept double, high double"
-    )
-    per_block = (
-        left.groupBy("_block", "_slice").cogroup(right.groupBy("_block", "_slice")).applyInPandas(cell, schema)
-    )
-    return (
-        per_block.groupBy("vod_id", "speaker_label")
-        .agg(
-            F.min_by(
-                F.struct("score", "profile_id", "role", "accept", "high"), F.struct(-F.col("score"), F.col("pos"))
-            ).alias("best")
-        )
-        .select("vod_id", "speaker_label", "best.*")
-    )
+    return nearest_profiles(clusters, usable).drop("compared")
 
 
 def _best_of_streamer(clusters: DataFrame, profiles: DataFrame) -> DataFrame:

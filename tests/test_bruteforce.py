@@ -239,6 +239,58 @@ def test_read_aloud_equals_scan(spark, seed):
     assert sorted((tuple(r)[:6] for r in out.collect()), key=str) == sorted(want, key=str) and len(want) > 50
 
 
+# Voice profiles
+
+
+@pytest.mark.parametrize("cell", [4096, 20])
+def test_nearest_profiles_equal_all_pairs(spark, monkeypatch, cell):
+    """Voices in groups, ties, zero vectors, sizes with and without profiles, one crowded region; most pairs are skipped."""
+    import numpy as np
+
+    from momentlake.operators import profile_search
+
+    monkeypatch.setattr(intervals, "CELL_ROWS", cell)
+    monkeypatch.setattr(profile_search, "SLICE", 50)
+    rng = np.random.default_rng(cell)
+    centres = rng.standard_normal((25, 12))
+    voice = lambda: centres[rng.integers(0, 25)] + 0.15 * rng.standard_normal(12)
+    vectors = [voice() for _ in range(700)] + [centres[0] + 0.01 * rng.standard_normal(12) for _ in range(300)]
+    vectors += [vectors[4] * 2, np.zeros(12), np.ones(3), -np.ones(3), np.ones(5)]
+    profiles = [(i * 3 + 7, f"p{i}", [float(x) for x in v]) for i, v in enumerate(vectors)]
+    asked = [voice() for _ in range(150)] + [vectors[4], vectors[950], np.zeros(12), np.ones(3), -np.ones(5), np.ones(2), -centres[3]]
+    clusters = [(i % 4, f"s{i}", [float(x) for x in v]) for i, v in enumerate(asked)]
+    out = profile_search.nearest_profiles(
+        spark.createDataFrame(clusters, "vod_id bigint, speaker_label string, embedding array<double>"),
+        spark.createDataFrame(profiles, "pos bigint, profile_id string, embedding array<double>").select(
+            "*", F.lit("guest").alias("role"), F.lit(0.7).alias("accept"), F.lit(0.8).alias("high")
+        ),
+    ).collect()
+
+    def cosine(a, b):
+        a, b = np.array(a), np.array(b)
+        if len(a) != len(b) or not a.any() or not b.any():
+            return 0.0
+        return float(a @ b / (np.linalg.norm(a) * np.linalg.norm(b)))
+
+    got = {r.speaker_label: r for r in out}
+    assert len(got) == len(clusters)
+    for _, label, v in clusters:
+        scores = {name: cosine(v, p) for _, name, p in profiles}
+        top = max(scores.values())
+        first = next(name for _, name, _ in profiles if scores[name] >= top - 1e-12)
+        assert abs(got[label].score - top) < 1e-9 and got[label].profile_id in (first, "p1000" if first == "p4" else first)
+    pairs = sum(r.compared for r in out)
+    assert pairs < 0.5 * len(clusters) * len(profiles) if cell == 20 else pairs <= len(clusters) * len(profiles)
+
+
+def test_nearest_profiles_without_profiles(spark):
+    from momentlake.operators.profile_search import nearest_profiles
+
+    clusters = spark.createDataFrame([(1, "a", [1.0, 0.0])], "vod_id bigint, speaker_label string, embedding array<double>")
+    none = spark.createDataFrame([], "pos bigint, profile_id string, role string, embedding array<double>, accept double, high double")
+    assert nearest_profiles(clusters, none).collect() == []
+
+
 # Shortlist
 
 
