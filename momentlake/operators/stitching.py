@@ -15,7 +15,8 @@ MAX_GAP, MAX_BRIDGE_GAP, MIN_SHARED = 20, 45, 2
 MAX_SPAN, MAX_MEMBERS = 240, 2
 # Edges that are decided together.
 CELL_EDGES = 512
-BATCHES_PER_BLOCK = 64
+# Lists that are merged side by side on one level of a scan.
+SCAN = 64
 
 # Words that do not tie two stories together.
 STOP_WORDS = (
@@ -62,38 +63,55 @@ def discoveries(analyses: DataFrame) -> DataFrame:
     )
 
 
+def _best_before(lists: DataFrame, at: str, top: int, levels: int) -> DataFrame:
+    """Adds ``_before``: the ``top`` items of all earlier lists (sorted, of at most ``top`` items) of the video.
+
+    A scan as a tree: rows are merged with earlier ones inside blocks of ``SCAN`` values of ``at``, by steps that double,
+    and blocks in the same way one level higher.  No list is ever longer than ``top``.
+    """
+    merged = lambda *x: F.slice(F.array_sort(F.flatten(F.array_compact(F.array(*x)))), 1, top)
+    rows = lists.withColumn("_up", F.floor(F.col(at) / SCAN))
+    inside = Window.partitionBy("vod_id", "_up").orderBy(at)
+    scanned, step = rows.withColumn("_sum", F.col("_top")), 1
+    while step < SCAN:
+        scanned = scanned.withColumn("_sum", merged(F.col("_sum"), F.lag("_sum", step).over(inside)))
+        step *= 2
+    scanned = scanned.withColumn("_near", F.lag("_sum", 1).over(inside)).drop("_sum")
+    if levels <= 1:
+        return scanned.withColumn("_before", merged(F.col("_near"))).drop("_near", "_up")
+    whole = F.slice(F.array_sort(F.flatten(F.collect_list("_top"))), 1, top)
+    above = rows.groupBy("vod_id", "_up").agg(whole.alias("_top")).withColumnRenamed("_up", f"{at}_up")
+    far = _best_before(above, f"{at}_up", top, levels - 1)
+    far = far.select("vod_id", F.col(f"{at}_up").alias("_up"), F.col("_before").alias("_far"))
+    return scanned.join(far, ["vod_id", "_up"]).withColumn("_before", merged(F.col("_near"), F.col("_far"))).drop("_near", "_far", "_up")
+
+
 def running_context(found: DataFrame, top: int = 5, sure: float = 0.7) -> DataFrame:
     """After each batch: rows so far, rows at or above ``sure`` and the ``top`` most
-    confident ones.  ``found``: vod_id, pos, batch, candidate_id, confidence.
+    confident ones.  ``found``: vod_id, pos, batch (a whole number), candidate_id, confidence.
 
     Rows are first reduced to one per batch with its own top list; those lists
-    are merged inside blocks of batches and then over the earlier blocks.
+    are merged by a scan of bounded lists.
     """
     best = Window.partitionBy("vod_id", "batch").orderBy(F.desc("confidence"), "pos")
     item = F.struct((-F.col("confidence")).alias("neg"), "pos", "candidate_id")
-    merged = lambda lists: F.slice(F.array_sort(F.flatten(lists)), 1, top)
     tops = (
         found.withColumn("_r", F.row_number().over(best))
         .where(F.col("_r") <= top)
         .groupBy("vod_id", "batch")
-        .agg(F.collect_list(item).alias("_top"))
-        .withColumn("_block", F.floor(F.col("batch") / BATCHES_PER_BLOCK))
-    )
-    inside = Window.partitionBy("vod_id", "_block").orderBy("batch").rowsBetween(Window.unboundedPreceding, 0)
-    earlier = Window.partitionBy("vod_id").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    carried = (
-        tops.groupBy("vod_id", "_block")
-        .agg(merged(F.collect_list("_top")).alias("_b"))
-        .select("vod_id", "_block", merged(F.collect_list("_b").over(earlier)).alias("_carry"))
+        .agg(F.array_sort(F.collect_list(item)).alias("_top"))
     )
-    ranked = tops.withColumn("_local", F.collect_list("_top").over(inside)).join(carried, ["vod_id", "_block"])
+    ends = found.agg(F.min("batch").alias("a"), F.max("batch").alias("b")).first()
+    lowest, span = ends["a"] or 0, (ends["b"] or 0) - (ends["a"] or 0)
+    levels = 1
+    while SCAN**levels <= span:
+        levels += 1
+    ranked = _best_before(tops.withColumn("_at", F.col("batch") - lowest), "_at", top, levels).drop("_at")
     counts = found.groupBy("vod_id", "batch").agg(
         F.count(F.lit(1)).alias("_n"), F.count_if(F.col("confidence") >= sure).alias("_sure")
     )
+    names = F.transform(F.slice(F.array_sort(F.concat("_top", "_before")), 1, top), lambda x: x["candidate_id"])
     so_far = Window.partitionBy("vod_id").orderBy("batch").rowsBetween(Window.unboundedPreceding, 0)
-    names = F.transform(
-        F.slice(F.array_sort(F.concat(F.flatten("_local"), "_carry")), 1, top), lambda x: x["candidate_id"]
-    )
     return counts.join(ranked, ["vod_id", "batch"]).select(
         "vod_id",
         "batch",

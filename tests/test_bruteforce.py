@@ -239,6 +239,27 @@ def test_read_aloud_equals_scan(spark, seed):
     assert sorted((tuple(r)[:6] for r in out.collect()), key=str) == sorted(want, key=str) and len(want) > 50
 
 
+# Running context
+
+
+def test_running_context_over_ten_thousand_batches(spark):
+    """Batches far apart and before 0, ties, a video of one row: the best so far as by a plain scan."""
+    rng = random.Random(3)
+    rows = [(1, i, i - 20, f"c{i}", rng.randrange(100) / 100) for i in range(10_000)]
+    rows += [(2, i, rng.randrange(-300_000, 300_000), f"d{i}", rng.randrange(5) / 5) for i in range(400)] + [(3, 1, 7, "e", 0.9)]
+    schema = "vod_id bigint, pos bigint, batch bigint, candidate_id string, confidence double"
+    got = {(r.vod_id, r.batch): (r.analysed, r.confident, r.top_candidates) for r in stitching.running_context(spark.createDataFrame(rows, schema)).collect()}
+    want = {}
+    for vod in (1, 2, 3):
+        best, n, sure = [], 0, 0
+        own = sorted((r for r in rows if r[0] == vod), key=lambda r: r[2])
+        for i, r in enumerate(own):
+            best, n, sure = sorted([*best, (-r[4], r[1], r[3])])[:5], n + 1, sure + (r[4] >= 0.7)
+            if i + 1 == len(own) or own[i + 1][2] != r[2]:
+                want[vod, r[2]] = (n, sure, [b[2] for b in best])
+    assert got == want
+
+
 # Voice profiles
 
 
