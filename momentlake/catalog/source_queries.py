@@ -12,7 +12,19 @@ from . import query
 from .profile_queries import _observations
 from .triage_queries import _CHUNKS, _chunks
 
-# The documents read here are written by Spark from the given tables.
+# The documents read here are written by Spark from the given tables: pages of a fixed number of rows, so
+# that no document grows with a conversation.
+PAGE_ROWS = 8
+
+
+def _pages(rows, **items):
+    """Per page vod_id, ``first``, the number of its first row, and lists of ``items`` in order."""
+    page = F.floor(F.col("pos") / PAGE_ROWS)
+    listed = F.array_sort(F.collect_list(F.struct("pos", *[c.alias(n) for n, c in items.items()])))
+    paged = rows.groupBy("vod_id", page.alias("page")).agg(listed.alias("l"))
+    return paged.select(
+        "vod_id", (F.col("page") * PAGE_ROWS).alias("first"), *[F.col(f"l.{n}").alias(n) for n in items]
+    )
 
 
 @query(
@@ -64,11 +76,8 @@ def comment_pages_source(spark, sf_dir):
             F.struct(F.when(p % 2 == 0, F.array(plain, emote)).otherwise(F.array(plain)).alias("fragments")).alias("body")
         ).alias("message"),
     )
-    pages = (
-        entity(spark, sf_dir, "segments")
-        .groupBy("vod_id")
-        .agg(F.array_sort(F.collect_list(F.struct("pos", comment.alias("c")))).alias("l"))
-        .select("vod_id", F.to_json(F.struct(F.transform("l", lambda x: x["c"]).alias("comments"))).alias("doc"))
+    pages = _pages(entity(spark, sf_dir, "segments"), comments=comment).select(
+        "vod_id", "first", F.to_json(F.struct("comments")).alias("doc")
     )
     return chat_source.chat_from_comment_pages(pages).withColumn("emotes", F.array_join("emotes", ","))
 
@@ -87,26 +96,20 @@ def legacy_chat_source(spark, sf_dir):
         .otherwise(F.array(frag("e3")))
     )
     message = F.struct(F.col("start_s").alias("content_offset_seconds"), F.struct(fragments.alias("fragments")).alias("message"))
-    docs = (
-        entity(spark, sf_dir, "segments").groupBy("vod_id")
-        .agg(F.array_sort(F.collect_list(F.struct("pos", message.alias("m")))).alias("l"))
-        .select("vod_id", F.to_json(F.transform("l", lambda x: x["m"])).alias("doc"))
-    )
+    docs = _pages(entity(spark, sf_dir, "segments"), m=message).select("vod_id", "first", F.to_json("m").alias("doc"))
     return chat_source.chat_from_legacy(docs).withColumn("emotes", F.array_join("emotes", ","))
 
 
 def _enveloped(rows, items, first, second):
-    """One document per video, in one of three shapes."""
+    """Pages in one of three shapes by video; a quarter of the videos have a document of no known shape as well."""
     v = F.col("vod_id")
-    listed = rows.groupBy("vod_id").agg(F.array_sort(F.collect_list(F.struct("pos", items.alias("i")))).alias("l")).select(
-        "vod_id", F.transform("l", lambda x: x["i"]).alias("l")
-    )
+    listed = _pages(rows, l=items)
     inner = F.struct(F.struct(F.col("l").alias(first)).alias(second))
-    doc = (
-        F.when(v % 4 == 0, F.to_json("l")).when(v % 4 == 1, F.to_json(F.struct(F.col("l").alias(first))))
-        .when(v % 4 == 2, F.to_json(inner)).otherwise('{"other": 1}')
+    doc = F.when(v % 3 == 0, F.to_json("l")).when(v % 3 == 1, F.to_json(F.struct(F.col("l").alias(first)))).otherwise(F.to_json(inner))
+    strange = rows.where(v % 4 == 3).select("vod_id").distinct()
+    return listed.select("vod_id", "first", doc.alias("doc")).unionByName(
+        strange.select("vod_id", F.lit(0).alias("first"), F.lit('{"other": 1}').alias("doc"))
     )
-    return listed.select("vod_id", doc.alias("doc"))
 
 
 def _transcripts(spark, sf_dir):
@@ -123,7 +126,7 @@ def _transcripts(spark, sf_dir):
     select vod_id, pos, start_s::double as start_s, end_s::double as end_s, text, speaker_label,
            round_even(case when pos % 2 = 0 then exp(-0.5) else 0.75 end * 1000000.0, 0) / 1000000.0 as confidence,
            pos % 2 = 0 as confidence_was_log
-    from segments where vod_id % 4 < 3"""),
+    from segments"""),
 )
 def transcript_source(spark, sf_dir):
     lines, _ = _transcripts(spark, sf_dir)
@@ -143,7 +146,7 @@ def transcript_source_errors(spark, sf_dir):
 @query(
     "chat_envelope_source",
     with_entities("echo_chat", """
-    select vod_id, pos, t::double as t, usr, message from echo_chat where vod_id % 4 < 3"""),
+    select vod_id, pos, t::double as t, usr, message from echo_chat"""),
 )
 def chat_envelope_source(spark, sf_dir):
     item = F.struct(F.col("t").alias("timestamp"), F.col("usr").alias("username"), "message")
@@ -191,23 +194,20 @@ def detection_documents_source(spark, sf_dir):
 
 
 def _fusion_documents(spark, sf_dir):
-    """One fusion document per conversation; a third of them has its own windows."""
+    """Pages of fusion documents; a third of the videos have windows of their own."""
     v = F.col("vod_id")
     line = F.struct(F.col("start_s").alias("t0"), F.col("end_s").alias("end"), F.when(F.col("pos") % 3 > 0, F.col("text")).otherwise("  ").alias("text"))
     point = F.struct(F.col("start_s").alias("time"), (F.col("pos") * 0.4).alias("chat_intensity"))
     window = F.struct(F.col("start_s").alias("start_seconds"), F.col("end_s").alias("end_seconds"), F.concat(F.lit("w"), F.col("pos").cast("string")).alias("title"))
-    rows = entity(spark, sf_dir, "segments").groupBy("vod_id").agg(
-        F.array_sort(F.collect_list(F.struct("pos", line.alias("a"), point.alias("b"), window.alias("c")))).alias("l"),
-        F.max("end_s").alias("d"),
-    )
-    part = lambda name: F.transform("l", lambda x: x[name])
+    pages = _pages(entity(spark, sf_dir, "segments"), segments=line, timeline=point, windows=window)
+    latest = F.array_max("segments.end")
     doc = F.struct(
-        F.struct((F.col("d") + 5).alias("duration_seconds")).alias("vod_meta"),
-        F.struct(part("a").alias("segments"), F.col("d").alias("duration_seconds")).alias("transcript"),
-        part("b").alias("timeline"),
-        F.when(v % 3 == 0, part("c")).alias("windows"),
+        F.struct((latest + 5).alias("duration_seconds")).alias("vod_meta"),
+        F.struct("segments", latest.alias("duration_seconds")).alias("transcript"),
+        "timeline",
+        F.when(v % 3 == 0, F.col("windows")).alias("windows"),
     )
-    return documents.split_fusion(rows.select("vod_id", F.to_json(doc).alias("doc")))
+    return documents.split_fusion(pages.select("vod_id", "first", F.to_json(doc).alias("doc")))
 
 
 @query(
@@ -241,7 +241,7 @@ def fusion_windows_source(spark, sf_dir):
 
 
 def _signal_windows(spark, sf_dir):
-    """Windows that carry their own signals under changing names, one document per conversation."""
+    """Windows that carry their own signals under changing names, in pages of documents."""
     p = F.col("pos")
     text = lambda *parts: F.concat(*[F.lit(x) if isinstance(x, str) else x for x in parts])
     objects = (
@@ -256,9 +256,9 @@ def _signal_windows(spark, sf_dir):
         '{"start":', (p * 40 + 1).cast("string"), ',"end":', (p * 40 + 31).cast("string"), ",", objects, ",", speech, ",", chat,
         F.when(p % 2 == 0, ',"summary":"told"').otherwise(""), "}",
     )
-    docs = entity(spark, sf_dir, "segments").groupBy("vod_id").agg(F.array_sort(F.collect_list(F.struct("pos", window.alias("w")))).alias("l"))
-    doc = text('{"clips":[', F.array_join(F.transform("l", lambda x: x["w"]), ","), "]}")
-    return documents.split_fusion(docs.select("vod_id", doc.alias("doc")))["windows"]
+    pages = _pages(entity(spark, sf_dir, "segments"), clips=window)
+    doc = text('{"clips":[', F.array_join("clips", ","), "]}")
+    return documents.split_fusion(pages.select("vod_id", "first", doc.alias("doc")))["windows"]
 
 
 _SIGNAL_WINDOWS = """

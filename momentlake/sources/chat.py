@@ -63,8 +63,19 @@ def chat_from_lines(lines: DataFrame) -> DataFrame:
     )
 
 
+def first_position(documents: DataFrame) -> Column:
+    """Where the positions of a document's elements start: at 0, or at ``first`` for pages of a longer list."""
+    return F.coalesce("first", F.lit(0)).cast("bigint") if "first" in documents.columns else F.lit(0).cast("bigint")
+
+
+def elements(documents: DataFrame, items: Column, *columns: str) -> DataFrame:
+    """One row per element of a list: vod_id, its position and value (named by ``columns``)."""
+    listed = documents.select("vod_id", first_position(documents).alias("_first"), F.posexplode(items).alias("_i", columns[1]))
+    return listed.select("vod_id", (F.col("_first") + F.col("_i")).alias(columns[0]), columns[1])
+
+
 def chat_from_comment_pages(pages: DataFrame) -> DataFrame:
-    """Messages from pages of comments with text fragments (vod_id, doc).
+    """Messages from pages of comments with text fragments (vod_id, doc and, for pages after the first one, ``first``).
 
     Texts of a comment are joined; fragments with an emoticon are its emotes,
     NULL if there are none.
@@ -73,7 +84,7 @@ def chat_from_comment_pages(pages: DataFrame) -> DataFrame:
     pieces = F.coalesce(F.col("c.message.body.fragments"), F.array().cast(_FRAGMENTS))
     text = lambda f: F.coalesce(f["text"], F.lit(""))
     emotes = F.transform(F.filter(pieces, lambda f: F.coalesce(f["emoticon"], F.lit("")) != ""), text)
-    return pages.select("vod_id", F.posexplode(comments).alias("pos", "c")).select(
+    return elements(pages, comments, "pos", "c").select(
         "vod_id",
         "pos",
         F.coalesce("c.content_offset_seconds", F.lit(0.0)).alias("t"),
@@ -84,10 +95,10 @@ def chat_from_comment_pages(pages: DataFrame) -> DataFrame:
 
 
 def chat_from_legacy(documents: DataFrame) -> DataFrame:
-    """Messages of the older export (vod_id, doc): time and emote ids of the fragments."""
+    """Messages of the older export (vod_id, doc, ``first`` of a page): time and emote ids of the fragments."""
     messages = F.from_json("doc", f"array<{_LEGACY}>")
     ids = F.transform("m.message.fragments", lambda f: f["emote"]["id"])
-    return documents.select("vod_id", F.posexplode(messages).alias("pos", "m")).select(
+    return elements(documents, messages, "pos", "m").select(
         "vod_id",
         "pos",
         F.col("m.content_offset_seconds").alias("t"),
@@ -100,14 +111,15 @@ def is_list(doc: Column) -> Column:
 
 
 def chat_from_envelope(documents: DataFrame) -> DataFrame:
-    """Messages of a bare list, ``{messages}`` or ``{chat: {messages}}``; none for other documents."""
+    """Messages of a bare list, ``{messages}`` or ``{chat: {messages}}``; none for other documents.
+    ``documents``: vod_id, doc and, for pages, ``first``."""
     items = f"array<{_PLAIN}>"
     wrapped = F.from_json("doc", f"struct<messages:{items},chat:struct<messages:{items}>>")
     messages = F.when(is_list(F.col("doc")), F.from_json("doc", items)).otherwise(
         F.coalesce(wrapped["messages"], wrapped["chat"]["messages"])
     )
     return (
-        documents.select("vod_id", F.posexplode(messages).alias("pos", "m"))
+        elements(documents, messages, "pos", "m")
         .where("m is not null")
         .select(
             "vod_id", "pos", F.coalesce("m.timestamp", F.lit(0.0)).alias("t"),

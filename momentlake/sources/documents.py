@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import clamp, let
 from ..functions.text import vod_id_of_url
-from .chat import is_list
+from .chat import elements, first_position, is_list
 
 _SEGMENT = "struct<start:double,end:double,text:string,confidence:double,speaker_label:string>"
 
@@ -16,7 +16,7 @@ def transcript_from_envelope(documents: DataFrame) -> tuple[DataFrame, DataFrame
     """Transcript lines of a bare list, ``{segments}`` or ``{transcript: {segments}}``,
     and the documents of any other shape.
 
-    ``documents``: vod_id, doc.  A negative confidence is a log-probability and
+    ``documents``: vod_id, doc and, for pages of a longer list, ``first``.  A negative confidence is a log-probability and
     becomes a probability, with ``confidence_was_log`` set.
     """
     items = f"array<{_SEGMENT}>"
@@ -27,7 +27,7 @@ def transcript_from_envelope(documents: DataFrame) -> tuple[DataFrame, DataFrame
     read = documents.withColumn("_s", segments)
     log = F.col("s.confidence") < 0
     lines = (
-        read.select("vod_id", F.posexplode("_s").alias("pos", "s"))
+        elements(read, F.col("_s"), "pos", "s")
         .where("s is not null")
         .select(
             "vod_id", "pos", F.col("s.start").alias("start_s"), F.col("s.end").alias("end_s"), F.col("s.text").alias("text"),
@@ -197,17 +197,18 @@ def safe_number(v: Column) -> Column:
 def split_fusion(documents: DataFrame) -> dict[str, DataFrame]:
     """Windows, transcript lines, timeline points and stated durations of fusion documents.
 
-    ``documents``: vod_id, doc.  Windows come from ``windows``, ``segments`` or
+    ``documents``: vod_id, doc and, for pages of longer lists, ``first``; a video has one duration, the largest
+    stated in its pages.  Windows come from ``windows``, ``segments`` or
     ``clips`` and carry their own title, summary and labels, and speech and chat
     hints (0..1) for videos without transcript or timeline.  Blank lines and lines without length are left out; points without
     a time, or at exactly 0, are too.
     """
-    docs = documents.select("vod_id", strict_json(F.col("doc")).alias("v"))
+    docs = documents.select("vod_id", first_position(documents).alias("first"), strict_json(F.col("doc")).alias("v"))
     v, row = F.col("v"), F.col("r")
     zero = F.lit(0.0)
     listed = F.coalesce(_items(v), _items(_first(v, ("windows", "segments", "clips"))))
     windows = (
-        docs.select("vod_id", F.posexplode(F.filter(listed, _is_object)).alias("window_index", "r"))
+        elements(docs, F.filter(listed, _is_object), "window_index", "r")
         .withColumn("start_s", _number(row, _START_FIELDS, F.col("window_index").cast("double")))
         .withColumn("end_s", _number(row, _END_FIELDS, F.col("start_s")))
         .withColumn("title", F.try_variant_get(row, "$.title", "string"))
@@ -220,7 +221,7 @@ def split_fusion(documents: DataFrame) -> dict[str, DataFrame]:
     spoken = _field(v, "transcript")
     segments = F.coalesce(_items(spoken), _items(_field(spoken, "segments")))
     lines = (
-        docs.select("vod_id", F.posexplode(F.filter(segments, _is_object)).alias("pos", "r"))
+        elements(docs, F.filter(segments, _is_object), "pos", "r")
         .withColumn("text", _text(_field(row, "text")))
         .withColumn("start_s", _number(row, _START_FIELDS, zero))
         .withColumn("end_s", _number(row, _END_FIELDS, F.col("start_s")))
@@ -228,7 +229,7 @@ def split_fusion(documents: DataFrame) -> dict[str, DataFrame]:
         .drop("r")
     )
     points = (
-        docs.select("vod_id", F.posexplode(F.filter(_items(_field(v, "timeline")), _is_object)).alias("pos", "r"))
+        elements(docs, F.filter(_items(_field(v, "timeline")), _is_object), "pos", "r")
         .withColumn("t", safe_number(_first(row, ("timestamp", "time", "ts"))))
         .where(F.col("t") >= 0)
         .withColumn(
@@ -236,13 +237,12 @@ def split_fusion(documents: DataFrame) -> dict[str, DataFrame]:
         )
         .drop("r")
     )
-    durations = docs.select(
-        "vod_id",
-        F.greatest(
+    durations = docs.groupBy("vod_id").agg(
+        F.max(F.greatest(
             F.coalesce(safe_number(_first(v, ("duration_seconds",))), zero),
             F.coalesce(safe_number(_field(_field(v, "vod_meta"), "duration_seconds")), zero),
             F.coalesce(safe_number(_field(spoken, "duration_seconds")), zero),
-        ).alias("duration_s"),
+        )).alias("duration_s"),
     )
     return {"windows": windows, "lines": lines, "points": points, "durations": durations}
 
