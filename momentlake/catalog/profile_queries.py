@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 from ..adapters import entity, table, with_entities
 from ..functions import text as X
 from ..operators import profiles
+from ..runtime import shared_folder
+from ..sources import logs
 from . import query
 
 _NORM = r"""
@@ -73,9 +75,7 @@ def observation_disposition(spark, sf_dir):
     return _disposed(spark, sf_dir).select("streamer_id", "pos", "disposition")
 
 
-@query(
-    "profile_upsert",
-    with_entities("claims", f""",{_DISPOSED},
+_MERGED = f""",{_DISPOSED},
     stored as (
         select streamer_id, pos, kind, concat('"', claim, '"') as claim, 'old words' as description, n_evidence * 0.3::double as confidence,
                trim(trim(regexp_replace(lower(concat('"', claim, '"')), '\\s+', ' ', 'g')), '"''.,;:!?()[]{{}} ') as norm
@@ -85,7 +85,7 @@ def observation_disposition(spark, sf_dir):
     accepted as (select * from disposed where disposition = 'accept' and norm <> ''),
     merged as (
         select coalesce(s.streamer_id, a.streamer_id) as streamer_id, coalesce(s.kind, a.kind) as kind,
-               coalesce(s.pos, a.pos + 1000000000000) as pos, coalesce(s.claim, a.claim) as claim,
+               coalesce(s.pos, a.pos) as pos, s.pos is null as added, coalesce(s.claim, a.claim) as claim,
                case when s.pos is null or a.confidence > s.confidence then a.claim else s.description end as description,
                case when s.pos is null and a.kind = 'inside_joke' then concat('Observed in VOD ', a.vod_id) end as context,
                case when s.pos is null and a.kind <> 'inside_joke' then 'neutral' end as impact,
@@ -96,22 +96,40 @@ def observation_disposition(spark, sf_dir):
         from last_stored s full join accepted a on a.streamer_id = s.streamer_id and a.kind = s.kind and a.norm = s.norm)
     select * from merged
     union all
-    select streamer_id, kind, pos, claim, description, null, null, confidence, concat('ref', pos), false
-    from stored where (streamer_id, kind, pos) not in (select streamer_id, kind, pos from last_stored)"""),
-)
-def profile_upsert(spark, sf_dir):
+    select streamer_id, kind, pos, false, claim, description, null, null, confidence, concat('ref', pos), false
+    from stored where (streamer_id, kind, pos) not in (select streamer_id, kind, pos from last_stored)"""
+
+
+def _stored(spark, sf_dir):
     c = entity(spark, sf_dir, "claims").where("kind = 'inside_joke'")
-    stored = c.select(
+    return c.select(
         "streamer_id", "pos", "kind", F.concat(F.lit('"'), "claim", F.lit('"')).alias("claim"), F.lit("old words").alias("description"),
         F.lit(None).cast("string").alias("context"), F.lit(None).cast("string").alias("impact"),
         (F.col("n_evidence") * 0.3).alias("confidence"),
         F.array(F.concat(F.lit("ref"), F.col("pos").cast("string"))).alias("evidence_refs"), F.lit(False).alias("updated"),
     )
+
+
+@query("profile_upsert", with_entities("claims", _MERGED))
+def profile_upsert(spark, sf_dir):
     accepted = _disposed(spark, sf_dir).where("disposition = 'accept'")
-    out = profiles.upsert_claims(stored, accepted)
+    out = profiles.upsert_claims(_stored(spark, sf_dir), accepted)
     return out.withColumn("evidence_refs", F.array_join("evidence_refs", ","))
 
 
+@query("stored_profile", with_entities("claims", _MERGED))
+def stored_profile(spark, sf_dir):
+    """Claims stored by a first batch and merged with a second one, which is retried: as merged once."""
+    folder = shared_folder(spark, "profile")
+    none = F.array().cast("array<string>")
+    first = _stored(spark, sf_dir).withColumns({"added": F.lit(False), "batches": none})
+    first.write.partitionBy("streamer_id").parquet(folder)
+    accepted = _disposed(spark, sf_dir).where("disposition = 'accept'")
+    for _ in range(2):
+        logs.merge_claims(accepted, folder, "tuesday")
+    return logs.read_profile(spark, folder).drop("batches").withColumn("evidence_refs", F.array_join("evidence_refs", ","))
+
+
 @query(
     "recent_observations",
     with_entities("claims", """

@@ -307,7 +307,7 @@ def recognition_contract_counts(spark, sf_dir):
     select pos, errors = '' as accepted, errors from batch""",
 )
 def appended_observations(spark, sf_dir):
-    """A batch appended to the observation log: rows read back from it, and the quarantined ones."""
+    """A batch appended to the observation log, and again as a retry would: rows read back from it, and the quarantined ones."""
     p = F.col("c_custkey")
     batch = table(spark, sf_dir, "customer").select(
         F.col("c_mktsegment").alias("streamer_id"), p.alias("pos"), (p % 50).alias("vod_id"),
@@ -319,6 +319,7 @@ def appended_observations(spark, sf_dir):
         F.lit("manual").alias("source"),
     )
     folder = shared_folder(spark, "observations")
-    refused = logs.append_observations(batch, folder)
+    logs.append_observations(batch, folder, "monday")
+    refused = logs.append_observations(batch, folder, "monday")
     taken = spark.read.parquet(folder).select("pos", F.lit(True).alias("accepted"), F.lit("").alias("errors"))
     return taken.unionByName(refused.select("pos", F.lit(False).alias("accepted"), F.array_join("errors", ",").alias("errors")))

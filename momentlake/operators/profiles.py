@@ -90,7 +90,7 @@ def partition_observations(observations: DataFrame, auto: float = AUTO_CONFIDENC
     )
 
 
-def upsert_claims(profile: DataFrame, accepted: DataFrame) -> DataFrame:
+def upsert_claims(profile: DataFrame, accepted: DataFrame, batch: str | None = None) -> DataFrame:
     """Merges accepted observations into profile claims.
 
     ``profile``: streamer_id, pos, kind, claim, description, context, impact,
@@ -98,13 +98,20 @@ def upsert_claims(profile: DataFrame, accepted: DataFrame) -> DataFrame:
     type, claim, confidence, evidence_refs, one per claim.  New claims are
     inserted; known ones take the larger confidence, the new description only
     if it is strictly more confident, and all references.  Of profile rows with
-    equal normal forms the last one is updated.
+    equal normal forms the last one is updated; ``added`` marks rows that came in by merging, which
+    follow all others.
+
+    With a ``batch`` id rows keep the ids of the batches they have taken in (``batches``), and a row
+    takes in a batch once: merging the same batch again changes nothing.
     """
     key = ["streamer_id", "kind", "_key"]
+    none = F.array().cast("array<string>")
+    has = lambda c, default: F.coalesce(c, default) if c in profile.columns else default
     digest = F.sha2(normalise_claim(F.col("claim")), 256)
-    old = profile.withColumn("_key", digest)
-    last = old.groupBy(*key).agg(F.max("pos").alias("pos")).withColumn("_target", F.lit(True))
-    old = old.join(last, [*key, "pos"], "left")
+    old = profile.withColumns({"_key": digest, "added": has("added", F.lit(False)), "batches": has("batches", none)})
+    last = old.groupBy(*key).agg(F.max(F.struct("added", "pos")).alias("_last"))
+    last = last.select(*key, "_last.*", F.lit(True).alias("_target"))
+    old = old.join(last, [*key, "added", "pos"], "left")
     new = (
         accepted.where(F.col("type").isin("inside_joke", "content_pattern") & (normalise_claim(F.col("claim")) != ""))
         .select(
@@ -116,12 +123,18 @@ def upsert_claims(profile: DataFrame, accepted: DataFrame) -> DataFrame:
     )
     both = old.join(new, [*key, "_target"], "full")
     inserted, touched = F.col("claim").isNull(), F.col("n_claim").isNotNull()
+    if batch is not None:
+        touched = touched & ~F.coalesce(F.array_contains("batches", batch), F.lit(False))
     stronger = touched & (F.col("n_conf") > F.col("confidence"))
     joke = F.col("kind") == "inside_joke"
-    none = F.array().cast("array<string>")
+    taken = lambda c: F.when(inserted | touched, F.col(c))
+    marks = [] if batch is None else [
+        F.concat(F.coalesce("batches", none), F.when(inserted | touched, F.array(F.lit(batch))).otherwise(none)).alias("batches")
+    ]
     return both.select(
         "streamer_id",
-        F.coalesce("pos", F.col("n_pos") + 1_000_000_000_000).alias("pos"),
+        F.coalesce("pos", "n_pos").alias("pos"),
+        F.coalesce("added", F.lit(True)).alias("added"),
         "kind",
         F.coalesce("claim", "n_claim").alias("claim"),
         F.when(inserted | stronger, F.col("n_claim")).otherwise(F.col("description")).alias("description"),
@@ -129,9 +142,10 @@ def upsert_claims(profile: DataFrame, accepted: DataFrame) -> DataFrame:
         .otherwise(F.col("context"))
         .alias("context"),
         F.when(inserted & ~joke, "neutral").otherwise(F.col("impact")).alias("impact"),
-        F.greatest("confidence", "n_conf").alias("confidence"),
-        F.array_union(F.coalesce("evidence_refs", none), F.coalesce("n_refs", none)).alias("evidence_refs"),
+        F.greatest(F.col("confidence"), taken("n_conf")).alias("confidence"),
+        F.array_union(F.coalesce("evidence_refs", none), F.coalesce(taken("n_refs"), none)).alias("evidence_refs"),
         F.when(~inserted & touched, F.lit(True)).otherwise(F.coalesce("updated", F.lit(False))).alias("updated"),
+        *marks,
     )
 
 

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.profiles import recent_observations
+from ..operators.profiles import recent_observations, upsert_claims
 from ..operators.quality import split_by_contract
+from ..runtime import checkpointed
 
 OBSERVATION = (
     "struct<vod_id:string,timestamp_start:double,timestamp_end:double,type:string,claim:string,"
@@ -35,14 +36,50 @@ def load_recent_observations(lines: DataFrame, limit: int = 200) -> DataFrame:
     return recent_observations(observations_from_lines(lines), limit)
 
 
-def append_observations(observations: DataFrame, path: str) -> DataFrame:
-    """Appends valid observations to the log table, one folder per streamer, and
-    returns the quarantined ones."""
+def append_observations(observations: DataFrame, path: str, batch: str) -> DataFrame:
+    """Appends a batch of valid observations to the log table, one folder per streamer and batch,
+    and returns the quarantined ones.
+
+    A retried append replaces what the batch has written, so it adds nothing.
+    """
     good, bad = split_by_contract(observations, "observation")
-    good.write.mode("append").partitionBy("streamer_id").parquet(path)
+    _replace(good.withColumn("batch_id", F.lit(batch)), path, "streamer_id", "batch_id")
     return bad
 
 
+def _replace(rows: DataFrame, path: str, *folders: str) -> None:
+    """Writes a table with such folders; only the folders of ``rows`` are replaced."""
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*folders).parquet(path)
+
+
+PROFILE = (
+    "pos bigint, added boolean, kind string, claim string, description string, context string, impact string, confidence double, "
+    "evidence_refs array<string>, updated boolean, batches array<string>, streamer_id string"
+)
+
+
+def read_profile(spark: SparkSession, path: str) -> DataFrame:
+    """The stored claims of all streamers; none before the first write."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
+        return spark.createDataFrame([], PROFILE)
+    return spark.read.schema(PROFILE).parquet(path)
+
+
+def merge_claims(accepted: DataFrame, path: str, batch: str) -> None:
+    """Merges a batch of accepted observations into the stored claims of their streamers.
+
+    Rows know the batches they hold, so a batch that is merged again, also after a failure that left
+    part of it behind, is in the table once.
+    """
+    spark = accepted.sparkSession
+    stored = read_profile(spark, path)
+    theirs = stored.join(accepted.select("streamer_id").distinct(), "streamer_id", "left_semi")
+    # Written apart first: the folders it is read from are the ones to replace.
+    merged = checkpointed(upsert_claims(theirs, accepted, batch))
+    _replace(merged, path, "streamer_id")
+
+
 def profiles_from_documents(documents: DataFrame) -> DataFrame:
     """Voice profiles from JSON documents (path, doc, optionally pos); malformed ones are
     skipped.  Of several under a path the one with the smallest pos counts, then the
@@ -77,7 +114,7 @@ def read_profiles(spark: SparkSession, path: str) -> DataFrame:
 
 def write_stage(rows: DataFrame, path: str) -> None:
     """A stage table, one folder per video; only the videos in ``rows`` are replaced."""
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("vod_id").parquet(path)
+    _replace(rows, path, "vod_id")
 
 
 def as_documents(rows: DataFrame, columns: list[str] | None = None) -> DataFrame:

@@ -446,9 +446,13 @@ def test_files_round_trip(spark, tmp_path):
         [("s", "v", 0.0, 1.0, "inside_joke", "c", ["e"], "chat", 0.5, ["r"]), ("s", "v", 5.0, 1.0, "inside_joke", "c", [], "chat", 0.5, ["r"])],
         "streamer_id string, vod_id string, timestamp_start double, timestamp_end double, type string, claim string, evidence array<string>, source string, confidence double, evidence_refs array<string>",
     )
-    bad = logs.append_observations(obs, str(tmp_path / "log"))
+    bad = logs.append_observations(obs, str(tmp_path / "log"), "a")
     assert [sorted(r.errors) for r in bad.collect()] == [["evidence_empty", "timestamp_end_not_after_timestamp_start"]]
     assert spark.read.parquet(str(tmp_path / "log")).count() == 1
+    logs.append_observations(obs, str(tmp_path / "log"), "a")
+    assert spark.read.parquet(str(tmp_path / "log")).count() == 1
+    logs.append_observations(obs, str(tmp_path / "log"), "b")
+    assert spark.read.parquet(str(tmp_path / "log")).count() == 2
 
     stage = str(tmp_path / "stage")
     table = spark.createDataFrame([(1, "a"), (2, "b")], "vod_id bigint, x string")
@@ -457,6 +461,27 @@ def test_files_round_trip(spark, tmp_path):
     assert rows(spark.read.parquet(stage), "vod_id", "x") == [(1, "a"), (2, "new")]
 
 
+def test_claims_are_merged_once(spark, tmp_path):
+    """A retried batch changes nothing, also where a failed attempt left one streamer written; other streamers stay."""
+    accepted = "streamer_id string, pos bigint, vod_id bigint, type string, claim string, confidence double, evidence_refs array<string>"
+    one = spark.createDataFrame([("s", 1, 7, "inside_joke", "The cat", 0.6, ["a"]), ("t", 2, 7, "inside_joke", "A dog", 0.5, ["b"])], accepted)
+    two = spark.createDataFrame([("s", 3, 8, "inside_joke", "the cat!", 0.9, ["c"]), ("s", 4, 8, "content_pattern", "raids", 0.4, ["d"])], accepted)
+    path = str(tmp_path / "profile")
+    columns = ("streamer_id", "added", "claim", "description", "confidence", "evidence_refs", "updated")
+    logs.merge_claims(one.where("streamer_id = 's'"), path, "1")
+    for batch, name in ((one, "1"), (one, "1"), (two, "2")):
+        logs.merge_claims(batch, path, name)
+    want = rows(logs.read_profile(spark, path), *columns)
+    assert want == [
+        ("s", True, "The cat", "the cat!", 0.9, ["a", "c"], True),
+        ("s", True, "raids", "raids", 0.4, ["d"], False),
+        ("t", True, "A dog", "A dog", 0.5, ["b"], False),
+    ]
+    for batch, name in ((two, "2"), (one, "1"), (two, "2")):
+        logs.merge_claims(batch, path, name)
+        assert rows(logs.read_profile(spark, path), *columns) == want
+
+
 def test_chat_stream(spark, tmp_path):
     folder = tmp_path / "vod_id=v1"
     folder.mkdir()
