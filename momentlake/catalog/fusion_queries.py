@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 from ..adapters import entity, with_entities
 from ..operators import chat, fusion, intervals
 from ..plans.moments import ranked_moments as ranked_moments_plan
+from ..runtime import shared_folder
+from ..streaming.moments import run_islands
 from . import query
 from .chat_queries import _EMOTES, _SPIKE_CTES
 
@@ -98,6 +100,33 @@ def ranked_moments(spark, sf_dir):
     return moments.withColumn("signals", F.array_join("signals", ","))
 
 
+@query(
+    "streamed_moments",
+    with_entities(
+        "chat speech", "," + _MOMENTS + """
+    select m.vod_id, start_s, end_s, score, signals, text, message_count, members
+    from merged m join firsts using (vod_id, island)"""),
+)
+def streamed_moments(spark, sf_dir):
+    """Moments that land in files in the order of a hash, merged by a stream: as the batch run over all of them."""
+    spikes = chat.spikes(entity(spark, sf_dir, "chat"), 600)
+    moments = fusion.moment_signals(spikes, entity(spark, sf_dir, "speech"))
+    landed, out, state = (shared_folder(spark, name) for name in ("landed", "islands", "stream"))
+    moments.repartition(4, F.xxhash64("pos", "src")).write.parquet(landed)
+    late = 100_000
+    # The last file holds one moment after all others, which closes the islands before it.
+    end = spark.read.parquet(landed).agg(F.coalesce(F.max("end_s"), F.lit(0)).alias("e"))
+    last = end.select(
+        F.lit(-1).alias("vod_id"), F.lit(0).alias("src"), F.lit(0).alias("pos"), (F.col("e") + 2 * late).alias("start_s"),
+        (F.col("e") + 2 * late).alias("end_s"), F.lit(0.0).alias("score"), F.lit("end").alias("signal"),
+        F.lit(None).alias("message_count"), F.lit(None).alias("text"),
+    )
+    kinds = moments.schema
+    last.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in kinds]).write.mode("append").parquet(landed)
+    found = run_islands(spark, landed, out, state, kinds.simpleString()[7:-1].replace(":", " "), files_at_once=2, late_seconds=late)
+    return found.where("kind = 'island'").drop("kind").withColumn("signals", F.array_join("signals", ","))
+
+
 _SCENES = """
     scenes as (
         select vod_id, pos, label, t as start_s,

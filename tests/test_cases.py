@@ -31,6 +31,7 @@ from momentlake.runtime import checkpointed, salted_lookup
 from momentlake.sources import chat as chat_source
 from momentlake.sources import documents, logs, replies
 from momentlake.streaming.chat import chat_stream, message_counts
+from momentlake.streaming.moments import run_islands
 
 
 def rows(df, *columns):
@@ -482,6 +483,47 @@ def test_claims_are_merged_once(spark, tmp_path):
         assert rows(logs.read_profile(spark, path), *columns) == want
 
 
+def test_streamed_islands_equal_the_batch(spark, tmp_path):
+    """Shuffled arrival in many files within the allowed lateness: the islands of the batch run."""
+    import random
+
+    rng = random.Random(4)
+    schema = "vod_id bigint, src int, pos bigint, start_s bigint, end_s bigint, score double, signal string, message_count bigint, text string"
+    rows_ = []
+    for i in range(240):
+        start = rng.randrange(0, 1500)
+        rows_.append((i % 3, i % 2, i, start, start + rng.randrange(0, 12), i / 10, rng.choice(["a", "b"]), rng.choice([None, i]), rng.choice([None, f"t{i}"])))
+    rows_.sort(key=lambda r: r[3] + rng.randrange(0, 200))
+    landed = str(tmp_path / "landed")
+    for at in range(0, 240, 40):
+        spark.createDataFrame(rows_[at : at + 40], schema).coalesce(1).write.mode("append").parquet(landed)
+    spark.createDataFrame([(9, 0, 0, 9000, 9000, 0.0, "end", None, None)], schema).coalesce(1).write.mode("append").parquet(landed)
+    args = (spark, landed, str(tmp_path / "out"), str(tmp_path / "state"), schema)
+    out = run_islands(*args, files_at_once=1, late_seconds=400, side_seconds=500)
+    columns = ("vod_id", "start_s", "end_s", "score", "signals", "text", "message_count", "members")
+    batch = fusion.merge_moments(spark.createDataFrame(rows_, schema))
+    assert out.where("kind = 'late'").count() == 0
+    assert sorted(rows(out, *columns), key=str) == sorted(rows(batch, *columns), key=str)
+    # Nothing is put out twice by a run without new files; a moment that belongs to a closed island is late.
+    assert run_islands(*args, late_seconds=400, side_seconds=500).count() == out.count()
+    n = out.count()
+    late = [(0, 0, 500, 8700, 8700, 1.0, "a", None, "in time"), (0, 0, 501, rows_[5][3], rows_[5][3] + 1, 1.0, "a", None, "long dropped")]
+    spark.createDataFrame(late, schema).coalesce(1).write.mode("append").parquet(landed)
+    assert run_islands(*args, late_seconds=400, side_seconds=500).count() == n
+
+
+def test_late_moments_go_to_the_side(spark, tmp_path):
+    schema = "vod_id bigint, src int, pos bigint, start_s bigint, end_s bigint, score double, signal string, message_count bigint, text string"
+    landed = str(tmp_path / "landed")
+    args = (spark, landed, str(tmp_path / "out"), str(tmp_path / "state"), schema)
+    for row in ((1, 0, 0, 100, 110, 1.0, "a", None, "first"), (1, 0, 1, 300, 310, 1.0, "a", 4, "second"), (1, 0, 2, 108, 120, 9.0, "b", None, "late"), (1, 0, 3, 900, 901, 1.0, "a", None, "third")):
+        spark.createDataFrame([row], schema).coalesce(1).write.mode("append").parquet(landed)
+        out = run_islands(*args, late_seconds=60, side_seconds=1000)
+    assert sorted(rows(out, "kind", "start_s", "end_s", "text", "members")) == [
+        ("island", 100, 110, "first", 1), ("island", 300, 310, "second", 1), ("late", 108, 120, "late", 1)
+    ]
+
+
 def test_chat_stream(spark, tmp_path):
     folder = tmp_path / "vod_id=v1"
     folder.mkdir()
