@@ -77,9 +77,8 @@ _SELECTED = _SCORED + """,
         union all by name select * from spare),
     titled as (
         select * replace (case when pos % 5 = 0 and regexp_matches(title, '^(The moment|What happens when) ')
-                   then concat(upper(trigger_text[1]), trigger_text[2:], ' — ',
-                        case payoff_text when 'the streamer laughs' then 'Laughs' when 'chat loses it' then 'Chat loses it'
-                             else 'A viewer story lands' end) else title end as title)
+                   then concat(case payoff_text when 'the streamer laughs' then 'Laughs' when 'chat loses it' then 'Chat loses it'
+                             else 'A viewer story lands' end, ', after: ', upper(trigger_text[1]), trigger_text[2:]) else title end as title)
         from (select *, concat('c', pos) as clip_id,
                case when pos % 2 = 0 then concat('Point ', pos % 3, ' ', trigger_text)
                     when narrative_type = 'chat_reveal'

@@ -107,9 +107,8 @@ def generated_titles(spark, sf_dir):
     with_entities("candidates", """
     select vod_id, pos,
            case when pos % 3 = 0 then title when pos % 3 = 1 then title
-                else concat(upper(trigger_text[1]), trigger_text[2:], ' — ',
-                            case payoff_text when 'the streamer laughs' then 'Laughs' when 'chat loses it' then 'Chat loses it'
-                                 else 'A viewer story lands' end) end as title
+                else concat(case payoff_text when 'the streamer laughs' then 'Laughs' when 'chat loses it' then 'Chat loses it'
+                                 else 'A viewer story lands' end, ', after: ', upper(trigger_text[1]), trigger_text[2:]) end as title
     from (select *, concat('The moment ', trigger_text, ' led to ', payoff_text) as title from candidates)"""),
 )
 def guarded_titles(spark, sf_dir):

@@ -317,7 +317,7 @@ def best_manifest_match(candidates: DataFrame, manifest: DataFrame) -> DataFrame
     """For each candidate the manifest clip it overlaps most; ties, and clips
     without overlap, go to the nearest start, then to the first clip.
 
-    ``manifest`` needs ``pos``.  Overlaps come from an interval join; only
+    ``manifest`` needs ``pos``.  Overlaps come from an interval join that spreads the clips of a busy time; only
     candidates without any fall back to the neighbouring clip starts.
     """
     end = lambda: F.when(F.col("end_s") > F.col("start_s"), F.col("end_s")).otherwise(F.col("start_s") + 1)
@@ -327,7 +327,9 @@ def best_manifest_match(candidates: DataFrame, manifest: DataFrame) -> DataFrame
     )
     shared = F.least("_ce", "_me") - F.greatest("_cs", "_ms")
     touching = (
-        overlap_join(cands, clips, bucket=300, left_span=("_cs", "_ce"), right_span=("_ms", "_me"))
+        overlap_join(
+            cands, clips, bucket=300, left_span=("_cs", "_ce"), right_span=("_ms", "_me"), spread_right_by=["_mpos", "clip_id"]
+        )
         .groupBy("vod_id", "_cs", "_ce")
         .agg(
             F.min_by(

@@ -329,17 +329,25 @@ def test_title_forms(spark):
     norm = one(spark, titles.normalise_title(F.lit("  The moment she REALIZED chat was right!!! ")))
     assert norm == "the moment she realized chat was right"
     guard = lambda t, who, a, b: one(spark, titles.guard_title(F.lit(t), F.lit(who), F.lit(a), F.lit(b)))
-    assert guard("Streamer reads chat", "guest", 'he says "we are so back now"', "laughing fit") == '"we are so back now" Has Everyone Laughing'
-    assert guard("Streamer reads chat", "guest", 'the sign says "keep out now"', "a scare") == '"keep out now" Brings It All to a Halt'
+    assert guard("Streamer reads chat", "guest", 'he says "we are so back now"', "laughing fit") == 'Laughing fit: "we are so back now"'
+    assert guard("Streamer reads chat", "guest", 'the sign says "keep out now"', "a scare") == 'A scare: "keep out now"'
     own = (titles.Rewrite("{trigger}: {payoff}!", trigger=("door",)), titles.Rewrite("never", payoff=("absent",)))
     rewrite = lambda a, b: one(spark, titles.rewrite_for_other_voice(F.lit("kept"), F.lit(a), F.lit(b), own))
     assert rewrite("a door opens", "a scare") == "A door opens: A scare!"
     assert rewrite("a door opens", "") == rewrite("a window", "a scare") == "kept"
-    assert guard("Streamer reads chat", "guest", "streamer opens a door", "a scare") == "Opens a door — A scare"
+    assert guard("Streamer reads chat", "guest", "streamer opens a door", "a scare") == "A scare, after: Opens a door"
     assert guard("Streamer reads chat", "streamer", "x", "y") == "Streamer reads chat"
     assert guard("A vivid title", "guest", "x", "y") == "A vivid title"
 
 
+def test_topics_out_of_nested_messages(spark):
+    topic = lambda *t: one(spark, titles.chat_topic(*[F.lit(x) for x in t]))
+    assert topic("chat message from 'Bob' at 118s: about the streak.") == "the streak"
+    assert topic("chat message about chat message from Ann about  a  raid") == "a raid"
+    assert topic(None, "the message | chat message | She met the owner") == "She met the owner"
+    assert topic("") == topic(" . ") == "a viewer story"
+
+
 def test_fallback_selection(spark):
     df = spark.createDataFrame(
         [(1, "a", 0, 2.0, False), (1, "b", 1, 2.5, False), (1, "c", 2, 1.0, False), (2, "d", 0, 5.0, True), (2, "e", 1, 2.0, True)],
