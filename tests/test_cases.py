@@ -343,7 +343,7 @@ def test_title_forms(spark):
 def test_topics_out_of_nested_messages(spark):
     topic = lambda *t: one(spark, titles.chat_topic(*[F.lit(x) for x in t]))
     assert topic("chat message from 'Bob' at 118s: about the streak.") == "the streak"
-    assert topic("chat message about chat message from Ann about  a  raid") == "a raid"
+    assert topic("chat message about chat message from 'Ann' about  a  raid") == "a raid"
     assert topic(None, "the message | chat message | She met the owner") == "She met the owner"
     assert topic("") == topic(" . ") == "a viewer story"
 
