@@ -67,6 +67,15 @@ def attach_groups(slim: DataFrame, groups: DataFrame, key: str) -> DataFrame:
     return marked.where(F.col("_hot").isNotNull()).select(*slim.columns, "_hot.*").unionByName(rest)
 
 
+def boxed(docs: DataFrame, *columns: Column | str, without: Iterable[str] = ()) -> DataFrame:
+    """The columns of ``docs`` as one, ``box``, so that no name an operator uses inside can meet theirs, and ``columns``.
+
+    Columns ``without`` are left out: the operator's result replaces them.
+    """
+    left_out = set(without)
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in left_out]).alias("box"), *columns)
+
+
 def words_in(text: Column) -> Column:
     """Number of words, 0 for null."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD_PATTERN)), F.lit(0)).cast("long")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from momentlake.llm.common import SPACES, attach_groups, shared_table
+from momentlake.llm.common import SPACES, attach_groups, boxed, shared_table
 
 _ID_TOP, _ID_BASE = Decimal(1 << 63), Decimal(1 << 65)
 
@@ -89,12 +89,15 @@ def exact_duplicates(
 
 
 def deduplicated(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns, one per content."""
-    key = F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_id")
-    stays = exact_duplicates(docs, **options).where("kept").select(key, F.col("text_sha256").alias("_digest"), F.lit(True).alias("_stays"))
-    rows = docs.withColumn("_id", key).withColumn("_digest", F.sha2(without_spaces(F.col("text")), 256))
-    rows = rows.withColumn("_n", F.length(F.coalesce("text", F.lit(""))))
-    both = rows.join(stays, ["_id", "_digest"])
+    """The rows of ``docs`` that stay, with all their columns, one per content.
+
+    A null text is an empty one; of equal rows one stays; a null id is an id; an empty table stays empty.
+    """
+    key = F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id")
+    stays = exact_duplicates(docs, **options).where("kept").select(key, F.col("text_sha256").alias("digest"))
+    text = F.col("text")
+    rows = boxed(docs, key, F.sha2(without_spaces(text), 256).alias("digest"), F.length(F.coalesce(text, F.lit(""))).alias("n"))
+    both = rows.join(stays, ["id", "digest"])
     # Rows repeated under one id: the longest original, on the partitioning of the join.
-    order = Window.partitionBy("_id", "_digest").orderBy(F.desc("_n"))
-    return both.withColumn("_r", F.row_number().over(order)).where("_r = 1").select(*docs.columns)
+    order = Window.partitionBy("id", "digest").orderBy(F.desc("n"))
+    return both.withColumn("r", F.row_number().over(order)).where("r = 1").select("box.*")

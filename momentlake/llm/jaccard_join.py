@@ -23,11 +23,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from momentlake.llm.common import attach_groups, gram_hashes, hashed_words, shared_table
+from momentlake.llm.common import attach_groups, boxed, gram_hashes, hashed_words, shared_table, words_in
 from momentlake.llm.components import components
 
 #: Counters in which word frequencies are kept (hashed; the order of shingles needs no exact counts).
@@ -117,7 +117,7 @@ def _node(shingles: np.ndarray) -> int:
 
 
 def _describe(docs: DataFrame, rule: Rule) -> DataFrame:
-    """Per row doc_id, n, node and bitmap (null for an empty set), and per task counts of words by counter."""
+    """Per row doc_id, digest of the text, n, node and bitmap (null for an empty set), and per task counts of words by counter."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts = np.zeros(COUNTERS, np.int64)
@@ -132,7 +132,7 @@ def _describe(docs: DataFrame, rule: Rule) -> DataFrame:
                 if sum(map(len, held)) >= COUNTERS or len(ns) == len(batch):
                     counts += np.bincount(np.concatenate(held), minlength=COUNTERS)
                     held = []
-            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "n": ns, "node": pd.array(nodes, "Int64"), "bits": bits})
+            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "n": ns, "node": pd.array(nodes, "Int64"), "bits": bits, "digest": batch["digest"].astype(object)})
         full = np.flatnonzero(counts)
         for at in range(0, len(full), 65536):
             part = full[at : at + 65536]
@@ -140,11 +140,18 @@ def _describe(docs: DataFrame, rule: Rule) -> DataFrame:
 
     def filled(batches):
         for out in run(batches):
-            out = out.reindex(columns=["doc_id", "n", "node", "counter", "count", "bits"])
-            numbers = {c: "Int64" for c in out.columns if c != "bits"}
-            yield out.assign(bits=out["bits"].astype(object).where(out["bits"].notna(), None)).astype(numbers)
+            out = out.reindex(columns=["doc_id", "n", "node", "counter", "count", "bits", "digest"])
+            numbers = {c: "Int64" for c in out.columns if c not in ("bits", "digest")}
+            texts = {c: out[c].astype(object).where(out[c].notna(), None) for c in ("bits", "digest")}
+            yield out.assign(**texts).astype(numbers)
 
-    return docs.select("doc_id", "text").mapInPandas(filled, "doc_id long, n long, node long, counter long, count long, bits binary")
+    named = docs.select("doc_id", "text", _digest(F.col("text")).alias("digest"))
+    return named.mapInPandas(filled, "doc_id long, n long, node long, counter long, count long, bits binary, digest binary")
+
+
+def _digest(text: Column) -> Column:
+    """128 bits that name a text; with its doc_id, null included, they name a row."""
+    return F.unhex(F.md5(F.coalesce(text, F.lit(""))))
 
 
 def _region_rows(docs: DataFrame, rule: Rule, order) -> DataFrame:
@@ -405,16 +412,24 @@ def jaccard_components(docs: DataFrame, *, rule: Rule | None = None, task_shingl
 
     component_id is the smallest ``doc_id`` that links reach, the row itself included.  Equal sets
     are one node, so copies add no pairs.  Null, empty and blank texts have no shingles and link
-    with nothing; a row with a null ``doc_id`` names no component
-    and links through rows with an id and an equal set only; repeated
+    with nothing; a row with a null ``doc_id`` links as any other and names no component beside an id; repeated
     rows are copies of each other; other columns are not read; an empty table gives an empty result.
     Sets are compared by 64-bit hashes of their shingles.
     """
-    rule = rule or Rule()
+    rows = _labelled(docs, rule or Rule(), task_shingles)
+    groups = shared_table(
+        rows.where("component is not null").groupBy("component").agg(F.min("doc_id").alias("least"), F.count("*").alias("group_size"))
+    )
+    out = attach_groups(rows.select("doc_id", "n", "component"), groups, "component")
+    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"))
+
+
+def _labelled(docs: DataFrame, rule: Rule, task_shingles: int) -> DataFrame:
+    """(doc_id, digest, n, component) of each row; the component is null for an empty set."""
     spark = docs.sparkSession
     # As it comes: a task's counts stand apart from its documents, so reads of either skip the other.
     described = shared_table(_describe(docs, rule), compact=False)
-    rows = described.where("counter is null").select("doc_id", "n", "node", "bits")
+    rows = described.where("counter is null").select("doc_id", "digest", "n", "node", "bits")
     totals = described.where("counter is not null").groupBy("counter").agg(F.sum("count").alias("count"))
     ranks = np.zeros(COUNTERS, np.int64)
     for r in totals.collect():  # at most COUNTERS rows
@@ -431,9 +446,10 @@ def jaccard_components(docs: DataFrame, *, rule: Rule | None = None, task_shingl
     cells = sizes.join(roots.unionByName(least).distinct(), "node").withColumnRenamed("root", "cell")
     weight = cells.groupBy("cell").agg((F.sum("n") <= task_shingles).alias("whole"))
     cells = shared_table(cells.join(weight, "cell"))
-    # One text per node that shares a region.
-    chosen = rows.join(cells, "node").groupBy("node", "cell", "whole").agg(F.min("doc_id").alias("doc_id"))
-    chosen = shared_table(chosen.where("doc_id is not null"))
+    # One row per node that shares a region.
+    one = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest")).alias("one")
+    chosen = rows.join(cells, "node").groupBy("node", "cell", "whole").agg(one)
+    chosen = shared_table(chosen.select("node", "cell", "whole", _row_name(F.col("one.doc_id"), F.col("one.digest")).alias("row")))
     labels = _join_groups(_texts_of(docs, chosen.where("whole"), rule), ["cell"], rule)
     labels = labels.select(F.col("a").alias("node"), F.col("b").alias("root"))
     large = chosen.where("not whole")
@@ -442,40 +458,35 @@ def jaccard_components(docs: DataFrame, *, rule: Rule | None = None, task_shingl
         apart = regions.join(large.select("node"), "node", "left_semi").select("region", "node", "n")
         labels = labels.unionByName(components(shared_table(_large_links(apart, node_texts, rule, task_shingles))))
     labels = shared_table(labels)
-    named = rows.drop("bits").join(labels, "node", "left").withColumn("component", F.coalesce("root", "node"))
-    groups = shared_table(
-        named.where("component is not null").groupBy("component").agg(F.min("doc_id").alias("least"), F.count("*").alias("group_size"))
-    )
-    out = attach_groups(named.select("doc_id", "n", "component"), groups, "component")
-    return out.select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id")
-    )
+    return rows.drop("bits").join(labels, "node", "left").withColumn("component", F.coalesce("root", "node"))
 
 
-def _texts_of(docs: DataFrame, chosen: DataFrame, rule: Rule) -> DataFrame:
-    """(cell, node, text) of the chosen (cell, node, doc_id); of rows repeated under one id, those with that set."""
+def _row_name(doc_id: Column, digest: Column) -> Column:
+    return F.concat(digest, F.coalesce(doc_id.cast("string"), F.lit("-")).cast("binary"))
 
-    def checked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            sets = rule.sets(batch["text"])
-            yield batch[[bool(len(s)) and _node(s) == node for s, node in zip(sets, batch["node"], strict=True)]]
 
-    named = chosen.select("doc_id", "node", "cell")
-    # Beyond the bound both sides are shuffled by their unique ids.
+def _texts_of(docs: DataFrame, chosen: DataFrame, rule: Rule) -> DataFrame:
+    """(cell, node, text) of the chosen (cell, node, row)."""
+    named = chosen.select("row", "node", "cell")
+    # Beyond the bound both sides are shuffled by their unique names.
     if chosen.limit(BROADCAST_CHOSEN + 1).count() <= BROADCAST_CHOSEN:
         named = F.broadcast(named)
-    found = docs.select("doc_id", "text").join(named, "doc_id")
-    return found.select("cell", "node", "text").mapInPandas(checked, "cell long, node long, text string")
+    rows = docs.select(_row_name(F.col("doc_id"), _digest(F.col("text"))).alias("row"), "text")
+    return rows.join(named, "row").select("cell", "node", "text")
 
 
-def one_per_component(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` whose ``doc_id`` is the smallest of their component, one row of each id.
+def one_per_component(docs: DataFrame, *, rule: Rule | None = None, task_shingles: int = TASK_SHINGLES) -> DataFrame:
+    """One row of ``docs`` for each component, with all its columns: the smallest ``doc_id`` (null last), of
+    rows with that id the one with the least digest of its text, of equal rows any.
 
-    Of rows repeated under an id the one with the least text stays.  Rows with a null ``doc_id``
-    cannot be named by a component and all stay.
+    Rows of null, empty and blank texts are no copies of each other and all stay; an empty table stays empty.
     """
-    kept = jaccard_components(docs, **options).where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
-    first = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-    named = named.withColumn("_first", first).where("_first = 1").drop("_first")
-    return named.unionByName(docs.where("doc_id is null"))
+    rows = _labelled(docs, rule or Rule(), task_shingles).where("component is not null")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest")).alias("one")
+    kept = shared_table(rows.groupBy("component").agg(first).select(_row_name(F.col("one.doc_id"), F.col("one.digest")).alias("row")))
+    text = F.col("text")
+    named = boxed(docs, _row_name(F.col("doc_id"), _digest(text)).alias("row"), (words_in(text) == 0).alias("blank"))
+    ours = named.where("not blank").join(kept, "row", "left_semi")
+    # Equal rows, on the partitioning of the join.
+    ours = ours.withColumn("r", F.row_number().over(Window.partitionBy("row").orderBy(F.lit(0)))).where("r = 1")
+    return ours.select("box.*").unionByName(named.where("blank").select("box.*"))

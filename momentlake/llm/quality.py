@@ -26,13 +26,16 @@ WORD_GRAMS, SHAPE_GRAMS = (1, 2), (1, 2, 3)
 #: Labelled rows that are fitted to at most, those with the smallest hashes of their id.
 MAX_ROWS = 20_000
 
+#: Longest word whose shape is remembered.
+KEPT_BYTES = 64
+
 _RUNS = (re.compile(r"[^\W\d_a-zß-öø-ÿ]+"), re.compile(r"[^\W\d_X]+"), re.compile(r"\d+"))
 
 
 class ShapeHashes(dict):
     """Hashes of word shapes: runs of capitals X, of other letters x, of digits 0, symbols as they are.
 
-    Remembers a bounded number of words.
+    Remembers a bounded number of words of usual length.
     """
 
     def __missing__(self, word: bytes) -> int:
@@ -41,7 +44,9 @@ class ShapeHashes(dict):
         shape = word.decode("utf-8", "replace")
         for run, sign in zip(_RUNS, "Xx0", strict=True):
             shape = run.sub(sign, shape)
-        value = self[word] = xxhash.xxh64_intdigest(shape[:64])
+        value = xxhash.xxh64_intdigest(shape)
+        if len(word) <= KEPT_BYTES:
+            self[word] = value
         return value
 
 
@@ -170,7 +175,8 @@ def sample(docs: DataFrame, labels: DataFrame, *, label: str, usable: Column, ma
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` with ``score`` (0 to 1) and ``predicted`` (1 from 0.5 on); columns of these names are replaced.
 
-    Null, empty and blank texts have the score of the bias alone; equal texts score alike.
+    Null, empty and blank texts have the score of the bias alone; equal texts score alike, repeated rows each; an
+    empty table gives an empty result.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # its size is fixed by the feature space
 

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import corpus_pipeline
-from momentlake.llm import chat_format, collocations, exact_dedup, hamming, jaccard_join, lexical, mixing, packing, pitman_yor, quality, secrets, sharding, winnowing
+from momentlake.llm import chat_format, collocations, exact_dedup, hamming, jaccard_join, lexical, mixing, packing, pipeline, pitman_yor
+from momentlake.llm import quality, secrets, sharding, winnowing
 from momentlake.llm.common import documents
 from momentlake.runtime import configure
 
@@ -244,6 +244,6 @@ def nra_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
 
 
-QUERIES["pipeline"] = lambda spark, sf_dir: corpus_pipeline.run(configure(spark), sf_dir)
-if corpus_pipeline.ORACLE_SQL:
-    CHECKS["pipeline"] = corpus_pipeline.ORACLE_SQL
+QUERIES["pipeline"] = lambda spark, sf_dir: pipeline.run(configure(spark), sf_dir)
+if pipeline.ORACLE_SQL:
+    CHECKS["pipeline"] = pipeline.ORACLE_SQL

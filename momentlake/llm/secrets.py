@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from momentlake.llm.common import boxed
+
 #: Fixed patterns and least lengths of the base kinds, in their order.
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]{16,}"
@@ -234,18 +236,17 @@ def find_secrets(docs: DataFrame, *, rate: float = FDR) -> DataFrame:
 
     Spans count code points of the whole text, by start, then kind.  Base spans are the fixed
     patterns'; a random span is added where it meets none of them.  Null and empty texts have no
-    spans; repeated rows are scanned each; columns with the names of the result are replaced.
+    spans; repeated rows are scanned each; columns with the names of the result (and ``base``, the fixed
+    patterns' spans) are replaced; very long texts are scanned whole; an empty table gives an empty result.
     """
-    made = ["spans", *[f"n_{k}" for k in KINDS]]
-    rows = docs.drop(*[c for c in docs.columns if c in made]).withColumn("_t", F.coalesce("text", F.lit("")))
+    made = ["base", "spans", *[f"n_{k}" for k in KINDS]]
+    rows = boxed(docs, F.coalesce("text", F.lit("")).alias("_t"), without=made)
     limits = random_limits(rows.select("_t"), rate)
     rows = with_base_spans(rows).withColumn("_base", F.concat("_assign", "_access", "_hex"))
     rows = with_candidates(rows)
     rows = rows.withColumn("_random", _random_spans(limits))
-    out = rows.withColumn("spans", F.array_sort(F.concat("_base", "_random")))
-    for kind in KINDS:
-        out = out.withColumn(f"n_{kind}", F.size(f"_{kind}").cast("long"))
-    return out.drop("_t", "_m", *[f"_{k}" for k in KINDS]).withColumnRenamed("_base", "base")
+    counts = [F.size(f"_{kind}").cast("long").alias(f"n_{kind}") for kind in KINDS]
+    return rows.select("box.*", F.col("_base").alias("base"), F.array_sort(F.concat("_base", "_random")).alias("spans"), *counts)
 
 
 def _random_spans(limits: dict[int, float]) -> Column:

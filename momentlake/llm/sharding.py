@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import heapq
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from momentlake.llm.common import shared_table
+from momentlake.llm.common import boxed, shared_table
 
 #: Groups of at least 1/GRAIN of all bytes are scheduled one by one: at most GRAIN of them.
 #: Smaller ones go, whole, into GRAIN bundles by a hash of their text, and bundles are scheduled.
@@ -42,9 +43,9 @@ def shard(docs: DataFrame, *, shards: int = 8, grain: int = GRAIN, group: Column
     spark = docs.sparkSession
     text = F.coalesce(F.col("text"), F.lit(""))
     made = ["size", "shard", "slot"]
-    rows = docs.withColumn("_group", F.sha2((text if group is None else group).cast("string"), 256))
-    rows = rows.withColumn("_size", (F.octet_length(text) + 1).cast("long") if size is None else size.cast("long"))
-    rows = rows.drop(*[c for c in docs.columns if c in made]).withColumnRenamed("_size", "size")
+    named = F.sha2((text if group is None else group).cast("string"), 256).alias("_group")
+    bytes_ = (F.octet_length(text) + 1).cast("long") if size is None else size.cast("long")
+    rows = boxed(docs, "doc_id", named, bytes_.alias("size"), without=made)
     bundle = F.pmod(F.xxhash64("_group"), F.lit(grain)).cast("string")
     rows = rows.withColumn("_bundle", bundle)
     groups = shared_table(rows.groupBy("_group", "_bundle").agg(F.sum("size").alias("bytes")))
@@ -61,20 +62,23 @@ def shard(docs: DataFrame, *, shards: int = 8, grain: int = GRAIN, group: Column
         rows.join(F.broadcast(alone), "_group", "left")
         .join(F.broadcast(bundles), "_bundle", "left")
         .withColumn("shard", F.coalesce("_own", "_with"))
-        .drop("_own", "_with", "_bundle", "_group")
+        .drop("_own", "_with", "_bundle")
     )
-    return with_slots(placed)
+    return with_slots(placed, by=["doc_id", "_group"]).select("box.*", *made)
 
 
-def with_slots(placed: DataFrame, blocks: int = SLOT_BLOCKS) -> DataFrame:
-    """Number the rows of each ``shard`` from 0: rows before the block, then rows before it inside."""
-    block = F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int")
+def with_slots(placed: DataFrame, blocks: int = SLOT_BLOCKS, *, by: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """Number the rows of each ``shard`` from 0: rows before the block, then rows before it inside.
+
+    Blocks and the order inside go by the columns ``by``; rows equal in them take their slots in any order.
+    """
+    block = F.pmod(F.xxhash64(*by), F.lit(blocks)).cast("int")
     blocked = placed.withColumn("_block", block)
     counts = blocked.groupBy("shard", "_block").agg(F.count("*").alias("n"))
     before = Window.partitionBy("shard").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     # One row per shard and block: bounded by shards x blocks.
     starts = counts.withColumn("_start", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
-    inside = Window.partitionBy("shard", "_block").orderBy("doc_id")
+    inside = Window.partitionBy("shard", "_block").orderBy(*by)
     return (
         blocked.withColumn("_in", F.row_number().over(inside) - 1)
         .join(F.broadcast(starts), ["shard", "_block"])

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from momentlake.llm.common import SPACES
+from momentlake.llm.common import SPACES, boxed
 
 GRAM, WINDOW = 5, 4
 #: Code points from which on a word is taken apart.
@@ -130,8 +130,8 @@ def likeness(a: Column, b: Column) -> Column:
 def fingerprint_documents(docs: DataFrame, *, gram: int = GRAM, window: int = WINDOW) -> DataFrame:
     """``docs`` with ``fingerprint`` (array, see ``with_fingerprint``); null texts count as empty,
     repeated rows are kept, a ``fingerprint`` column of the input is replaced."""
-    rows = docs.drop("fingerprint").withColumn("_t", F.coalesce("text", F.lit("")))
-    return with_fingerprint(rows, "_t", "fingerprint", gram=gram, window=window).drop("_t")
+    rows = boxed(docs, F.coalesce("text", F.lit("")).alias("t"), without=["fingerprint"])
+    return with_fingerprint(rows, "t", "fingerprint", gram=gram, window=window).select("box.*", "fingerprint")
 
 
 def with_next(docs: DataFrame) -> DataFrame:
@@ -173,6 +173,8 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
 
     Edited: the last floor(n / 3) code points replaced by the first as many of the next document.
     ``near_edited`` and ``near_next`` are the likeness of the document to both, in the same units.
+    Null texts count as empty, null ids come last, repeated rows have a row each; other columns are not
+    read; an empty table gives an empty result.
     """
     rows = with_next(docs).withColumn("n_chars", F.length("text").cast("long"))
     cut = F.floor(F.col("n_chars") / 3).cast("int")

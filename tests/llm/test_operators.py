@@ -340,9 +340,37 @@ def test_packing_round_trip(spark, corpus):
 
 def test_windows_fill_from_shorter_tiers():
     pieces = [(i, np.arange(n, dtype="<u4")) for i, n in enumerate([700, 500, 300, 200, 90, 60, 30, 10])]
-    out = list(packing.pack_stream(iter(pieces), 1024, 10**6))
+    out = list(packing.pack_stream(iter(pieces), (1024, 512, 256, 128), 10**6))
+    # The 1024 window takes 700 and fills with 300, 10 and a part; the tier of 512 follows with its own piece.
     assert [sum(len(p.ids) for p in s) for s in out] == [1024, 512, 256, 64, 32, 2]
-    assert [len(p.ids) for p in out[0]][:2] == [700, 300]
+    assert [len(p.ids) for p in out[0]][:2] == [700, 300] and len(out[1][0].ids) == 500
+
+
+def test_tiers_have_sequences_of_their_own(spark):
+    """Documents of all lengths: every context size has sequences, led by pieces of its tier, and gaps are filled from below."""
+    rng = random.Random(12)
+    sizes = (1024, 512, 256, 128)
+    spans = rng.choices([(1, 129), (129, 257), (257, 513), (513, 1025), (2300, 2301)], [20, 4, 3, 2, 1], k=3000)
+    pieces = [(i, np.arange(rng.randrange(*span), dtype="<u4")) for i, span in enumerate(spans)]
+    total = sum(len(ids) for _, ids in pieces)
+    for buffer in (3000, 10**6):
+        out = list(packing.pack_stream(iter(pieces), sizes, buffer))
+        lengths = collections.Counter(sum(len(p.ids) for p in s) for s in out)
+        assert all(n & (n - 1) == 0 for n in lengths) and sum(n * k for n, k in lengths.items()) == total
+        assert all(lengths[size] >= 20 for size in sizes) and sum(lengths[size] for size in sizes) >= len(out) - 10
+        led = [s for s in out if (n := sum(len(p.ids) for p in s)) in sizes and n > 128]
+        assert sum(len(s[0].ids) > sum(len(p.ids) for p in s) // 2 for s in led) >= len(led) - 4
+        assert any(len(s) > 2 and len(s[0].ids) > 512 for s in out)
+
+
+def test_steps_hold_one_length():
+    rng = random.Random(2)
+    sequences = [[packing.Piece(0, 0, np.zeros(n, "<u4"), n)] for n in rng.choices([128, 256, 1024], k=300)]
+    steps = collections.defaultdict(list)
+    for step, pieces in packing.step_groups(iter(sequences), 4):
+        steps[step].append(len(pieces[0].ids))
+    assert all(len(set(v)) == 1 and len(v) <= 4 for v in steps.values()) and sum(map(len, steps.values())) == 300
+    assert sorted(steps) == list(range(len(steps)))
 
 
 def test_steps_are_balanced():
@@ -463,6 +491,24 @@ def test_one_of_each_near_duplicate_stays(spark, corpus):
 # Sharding
 
 
+def test_one_row_of_each_group_with_repeated_and_null_ids(spark):
+    """Unrelated texts under one id all stay, near copies under null ids do not, links run through rows without an id."""
+    rng = random.Random(21)
+    base = sentences(rng, 60, 4000).split()
+    near = lambda i: " ".join(base[:i] + [f"new{i}"] + base[i + 1 :])
+    other, third = sentences(rng, 40, 4000), sentences(rng, 40, 4000)
+    rows = [(5, " ".join(base)), (5, other), (1, near(30)), (None, near(31)), (None, third), (None, third), (9, third), (5, other), (7, None), (7, ""), (None, " ")]
+    df = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], SCHEMA)
+    kept = [(r.doc_id, r.text) for r in jaccard_join.one_per_component(df, rule=jaccard_join.Rule(gram=3, least=80, of=100)).collect()]
+    assert sorted(kept, key=str) == sorted([(1, near(30)), (5, other), (9, third), (7, None), (7, ""), (None, " ")], key=str)
+    # a - x - b, where only x, without an id, is near to both.
+    a, x, b = base, [*base[:-6], *[f"x{i}" for i in range(6)]], [*[f"y{i}" for i in range(6)], *base[6:-6], *[f"x{i}" for i in range(6)]]
+    df = spark.createDataFrame([(i, " ".join(t), "en", "s", 0) for i, t in ((3, a), (None, x), (4, b))], SCHEMA)
+    rule = jaccard_join.Rule(gram=1, least=80, of=100)
+    assert {r.component_id for r in jaccard_join.jaccard_components(df, rule=rule).collect()} == {3}
+    assert [r.doc_id for r in jaccard_join.one_per_component(df, rule=rule).collect()] == [3]
+
+
 def test_longest_first_by_definition():
     rng = random.Random(4)
     items = [(rng.randrange(1, 50), str(i)) for i in range(60)]
