@@ -1,11 +1,16 @@
 """Secret scans: pattern spans, plus strings that pass a battery of randomness tests.
 
 Built-in functions only.  A candidate is a long run of encoding characters whose encoding can be
-inferred; ``=`` ends a run, and of a run that has no encoding the parts between separators are tried.  Three tests take "its symbols are independent and uniform" as their hypothesis: chi-squared
-counts over the alphabet, runs above and below the middle of the alphabet, and lag-one serial
-correlation.  Fisher's method makes one p-value.  Within each length class the Benjamini-Hochberg
-step over all candidates of the corpus decides which are not random (short strings are judged
-against short ones, as they have less power); what stays is a secret.
+inferred; ``=`` ends a run, and of a run that has no encoding the parts between separators are tried.  Three tests take
+"its symbols are independent and uniform" as their hypothesis: chi-squared counts over the alphabet, runs above and
+below the middle of the alphabet, and lag-one serial correlation.  Fisher's method makes one p-value.  Strings too short to
+count every symbol are counted in four groups of them, from the symbols that words are made of most to the rarest, so that
+ordinary names, which are made of few letters, stand out.
+
+Secrets are the discoveries: strings whose randomness the battery does not reject.  Their p-values are even from 0 to 1, while those of
+ordinary strings crowd near 0, so what lies in the upper half tells how many secrets a length class holds, and the limit of the
+class is the least one above which all but the allowed share is accounted for by them.  Short strings, for which the tests
+have less power, are judged against short ones.
 """
 
 from __future__ import annotations
@@ -14,7 +19,6 @@ import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from momentlake.llm.common import boxed
 
@@ -68,8 +72,14 @@ def _candidates() -> str:
 
 
 CANDIDATE = _candidates()
-#: Rate of false discoveries, and the bins in which p-values are counted (per decade).
+#: Symbols in the order in which words use them, letters of either case and the rest after the common ones.
+_COMMON = "etaoinsrhldcumfpgwybvkxjqz"
+#: Groups in which symbols are counted, and the expected count from which on each symbol is counted by itself.
+GROUPS, LEAST_EXPECTED = 4, 5
+#: Allowed share of ordinary strings among the secrets, and the bins in which p-values are counted (per decade).
 FDR, BINS_PER_DECADE, MOST_DECADES = 0.05, 20, 300
+#: Bins of the p-values that are never random (at most 10^-1.6, about 0.025), and of the upper half.
+LEVEL_BIN, UPPER_BIN = 32, 6
 _BLOCK = 128
 _SPANS = "array<struct<start:int,kind:int,end:int>>"
 
@@ -145,13 +155,33 @@ def _pairs(m: Column, field: str, fn) -> Column:
     return _add(F.zip_with(F.slice(m[field], F.lit(1), n - 1), F.slice(m[field], F.lit(2), n), fn))
 
 
+def _by_use(letters: str) -> str:
+    """An alphabet from the symbols that words use most to the others."""
+    common = [c for c in _COMMON + _COMMON.upper() if c in letters]
+    return "".join(common) + "".join(c for c in letters if c not in common)
+
+
+def _ranked(m: Column) -> Column:
+    pairs = [F.lit(x) for letters in {e[2] for e in ENCODINGS} for x in (letters, _by_use(letters))]
+    return F.element_at(F.create_map(*pairs), m["letters"])
+
+
+def _deviate(squares: Column, n: Column, cells: Column) -> Column:
+    """Chi-squared of counts in equal cells, from the sum of their squares, as a normal deviate (Wilson-Hilferty)."""
+    spread = 2 / (9 * (cells - 1))
+    ratio = F.greatest(cells / n * squares - n, F.lit(0.0)) / (cells - 1)
+    return (F.pow(ratio, F.lit(1 / 3)) - (1 - spread)) / F.sqrt(spread)
+
+
 def _chi2_z(m: Column) -> Column:
-    """Chi-squared over the alphabet as a normal deviate (Wilson-Hilferty)."""
+    """Uniformity over the symbols of a long string, over groups of them in a short one."""
     n, letters = m["length"].cast("double"), F.length(m["letters"]).cast("double")
     squares = _add(F.transform(F.array_distinct(m["c"]), lambda c: F.pow(n - F.length(F.replace(m["s"], c, F.lit(""))), F.lit(2.0))))
-    spread = 2 / (9 * (letters - 1))
-    ratio = F.greatest(letters / n * squares - n, F.lit(0.0)) / (letters - 1)
-    return (F.pow(ratio, F.lit(1 / 3)) - (1 - spread)) / F.sqrt(spread)
+    # Every alphabet has a multiple of GROUPS symbols.
+    within = lambda j: lambda c: F.floor((F.instr(m["ranked"], c) - 1) * GROUPS / letters) == j
+    counts = [F.size(F.filter(m["c"], within(j))).cast("double") for j in range(GROUPS)]
+    grouped = sum((c * c for c in counts), F.lit(0.0))
+    return F.when(n >= LEAST_EXPECTED * letters, _deviate(squares, n, letters)).otherwise(_deviate(grouped, n, F.lit(float(GROUPS))))
 
 
 def _runs_z(m: Column) -> Column:
@@ -178,6 +208,7 @@ def _fisher(m: Column) -> Column:
 #: Fields added to a candidate one after the other, each from those before it.
 _BATTERY = (
     ("letters", lambda m: _alphabet(m["match"])),
+    ("ranked", _ranked),
     ("s", lambda m: F.rtrim(m["match"], F.lit("="))),
     ("c", lambda m: F.split(m["s"], "")),
     ("length", lambda m: F.size(m["c"])),
@@ -213,21 +244,30 @@ def _length_class(length: Column) -> Column:
 
 
 def random_limits(rows: DataFrame, rate: float = FDR) -> dict[int, float]:
-    """Per length class the p-value at or under which a candidate is not random.
+    """Per length class the p-value above which a candidate is random; a class without one has no secrets.
 
-    P-values of the whole corpus are counted in bins; a bin's upper edge stands for its values.
-    The table is bounded by length classes x bins.
+    P-values of the whole corpus are counted in bins; the table is bounded by length classes x bins.
     """
     one = with_candidates(rows).select(F.explode("_m").alias("m"))
     binned = one.select(
         _length_class(F.col("m.length")).alias("class"), F.floor(-F.log10("m.p") * BINS_PER_DECADE).cast("int").alias("bin")
     )
-    counts = binned.groupBy("class", "bin").agg(F.count("*").alias("n"))
-    smallest_first = Window.partitionBy("class").orderBy(F.desc("bin"))
-    edge = F.pow(F.lit(10.0), -F.col("bin") / BINS_PER_DECADE)
-    ranked = counts.withColumn("rank", F.sum("n").over(smallest_first)).withColumn("all", F.sum("n").over(Window.partitionBy("class")))
-    passed = ranked.where(edge <= F.lit(rate) * F.col("rank") / F.col("all"))
-    return {r["class"]: r["edge"] for r in passed.groupBy("class").agg(F.max(edge).alias("edge")).collect()}
+    counts = binned.where(F.col("bin") < LEVEL_BIN).groupBy("class", "bin").agg(F.count("*").alias("n")).collect()
+    by_class: dict[int, dict[int, int]] = {}
+    for r in counts:
+        by_class.setdefault(r["class"], {})[r["bin"]] = r["n"]
+    return {c: limit for c, bins in by_class.items() if (limit := class_limit(bins, rate)) is not None}
+
+
+def class_limit(bins: dict[int, int], rate: float) -> float | None:
+    """The least edge of a bin above which at most ``rate`` of the p-values are more than an even spread of secrets."""
+    edge = lambda b: 10.0 ** (-b / BINS_PER_DECADE)
+    above = lambda b: sum(n for at, n in bins.items() if at < b)
+    secrets = (above(UPPER_BIN) + 1) / (1 - edge(UPPER_BIN))
+    for b in range(LEVEL_BIN, 0, -1):
+        if above(b) and 1 - secrets * (1 - edge(b)) / above(b) <= rate:
+            return edge(b)
+    return None
 
 
 def find_secrets(docs: DataFrame, *, rate: float = FDR) -> DataFrame:
@@ -254,7 +294,7 @@ def _random_spans(limits: dict[int, float]) -> Column:
     table = F.create_map(*[F.lit(x) for pair in sorted(limits.items()) for x in pair]) if limits else None
 
     def random(m: Column) -> Column:
-        edge = F.coalesce(F.element_at(table, _length_class(m["length"])), F.lit(0.0)) if limits else F.lit(0.0)
+        edge = F.coalesce(F.element_at(table, _length_class(m["length"])), F.lit(1.0)) if limits else F.lit(1.0)
         meets = F.exists("_base", lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"]))
         return (m["p"] > edge) & ~meets
 

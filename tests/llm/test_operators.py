@@ -572,6 +572,88 @@ def test_random_strings_are_told_from_ordinary_ones(spark):
         assert all((s.start, s.end) == (10, 10 + len(k)) for s in rows[i].spans if s.kind == 3)
 
 
+#: Strings that people write: identifiers, versions, titles.
+NAMES = """quarterlyReport2023FinalVersion WindowsServer2019Datacenter python3numpy1scipy2pandas ISO8601DateTimeFormatterBuilder
+getUserById2ndAttemptHandler MacBookPro16InchModelYear2021 myVariableName1AndAnother2 HTTPServerErrorHandler500Page
+annualBudgetSpreadsheet2022draft3 ReleaseNotesVersion2dot17beta testCase42ForLoginController backupDatabase20230415Morning
+UserProfilePictureUpload2Service iPhone15ProMaxSiliconeCase convertUtf8ToUtf16BigEndian Chapter12TheReturnOfTheKing
+season3episode14thefinale level99bosswithsword2shield javascript6arrowfunctions node18alpine3dockerimage""".split()
+
+
+def plain_battery(text):
+    """The p-value of a candidate by plain loops: grouped or full chi-squared, runs, serial correlation, Fisher."""
+    import math
+
+    letters = next(a for _, pattern, a in secrets.ENCODINGS if re.search(pattern, text))
+    s = text.rstrip("=")
+    n, x = len(s), [letters.index(c) for c in s]
+    common = [c for c in "etaoinsrhldcumfpgwybvkxjqz" + "ETAOINSRHLDCUMFPGWYBVKXJQZ" if c in letters]
+    order = "".join(common) + "".join(c for c in letters if c not in common)
+    if n >= 5 * len(letters):
+        cells, squares = len(letters), sum(k * k for k in collections.Counter(s).values())
+    else:
+        cells, squares = 4, sum(k * k for k in collections.Counter(order.index(c) * 4 // len(letters) for c in s).values())
+    spread = 2 / (9 * (cells - 1))
+    z1 = ((max(cells / n * squares - n, 0) / (cells - 1)) ** (1 / 3) - (1 - spread)) / math.sqrt(spread)
+    high = [2 * v >= len(letters) for v in x]
+    cross = 2 * sum(high) * (n - sum(high))
+    variance = cross * (cross - n) / (n * n * (n - 1))
+    z2 = (1 + sum(a != b for a, b in zip(high, high[1:])) - cross / n - 1) / math.sqrt(variance) if variance > 0 else 37
+    mean = sum(x) / n
+    around = sum((v - mean) ** 2 for v in x)
+    z3 = (sum((a - mean) * (b - mean) for a, b in zip(x, x[1:])) / around + 1 / n) * math.sqrt(n) if around > 0 else 37
+    tail = lambda z: max(math.erfc(z / math.sqrt(2)) / 2, 1e-290)
+    half = -sum(math.log(min(p, 1)) for p in (tail(z1), 2 * tail(abs(z2)), 2 * tail(abs(z3))))
+    return math.exp(-half) * (1 + half + half * half / 2)
+
+
+def test_battery_equals_plain_loops(spark):
+    rng = random.Random(31)
+    letters = [a for _, _, a in secrets.ENCODINGS]
+    texts = [x for x in NAMES + ["".join(rng.choice(a) for _ in range(n)) for a in letters for n in (20, 25, 40, 90, 400)] if re.fullmatch(secrets.CANDIDATE, x)]
+    rows = secrets.with_candidates(spark.createDataFrame([(x,) for x in texts], "_t string")).collect()
+    assert len(texts) > 40 and all(len(r._m) == 1 for r in rows)
+    for r in rows:
+        want = plain_battery(r._t)
+        # The normal tail is known to 7.5e-8, p-values are counted in bins of 12 %.
+        assert abs(r._m[0].p - want) <= 0.02 * want + 1e-6, (r._t, r._m[0].p, want)
+
+
+def test_limits_of_a_class():
+    """The least edge of a bin from which on the even spread of what lies in the upper half accounts for 95 % of all."""
+    def plain(bins):
+        p_values = [10 ** (-(b + 0.5) / 20) for b, n in bins.items() for _ in range(n)]
+        even = (sum(p > 10 ** (-6 / 20) for p in p_values) + 1) / (1 - 10 ** (-6 / 20))
+        for b in range(32, 0, -1):
+            edge = 10 ** (-b / 20)
+            k = sum(p > edge for p in p_values)
+            if k and 1 - even * (1 - edge) / k <= 0.05:
+                return edge
+        return None
+
+    rng = random.Random(5)
+    for _ in range(300):
+        bins = collections.Counter(min(31, int(rng.expovariate(rng.choice([0.1, 0.3, 1])))) for _ in range(rng.randrange(0, 60)))
+        assert secrets.class_limit(bins, 0.05) == plain(bins)
+    assert secrets.class_limit({20: 50}, 0.05) is None and secrets.class_limit({3: 1}, 0.05) is not None
+
+
+def test_names_are_no_secrets_and_keys_are(spark):
+    """Precision and recall by length, names alone and among keys: at most one name in twenty, nine of ten keys."""
+    import base64
+
+    rng = random.Random(32)
+    alone = secrets.find_secrets(table(spark, [f"open {x} now" for x in NAMES])).collect()
+    assert sum(r.n_random for r in alone) <= 1
+    keys = {n: [base64.b64encode(rng.randbytes(n)).decode()[:n].replace("+", "Z").replace("/", "q") for _ in range(100)] for n in (24, 40, 64)}
+    texts = [f"open {x} now" for x in NAMES] + [f"open {k} now" for n in keys for k in keys[n]]
+    found = {r.doc_id: r.n_random for r in secrets.find_secrets(table(spark, texts)).collect()}
+    assert sum(found[i] for i in range(len(NAMES))) <= 1
+    for i, n in enumerate(keys):
+        recall = sum(found[len(NAMES) + 100 * i + j] for j in range(100))
+        assert recall >= (90 if n >= 40 else 80), (n, recall)
+
+
 def test_random_strings_after_names_and_in_paths(spark):
     import base64
 
