@@ -7,7 +7,9 @@ from ..functions import scalars
 from ..functions import text as X
 from ..operators import manifest, prompts, selection
 from ..sources import chat as chat_source
+from ..runtime import shared_folder
 from ..sources import documents, logs, replies
+from ..sources.envelopes import read_elements
 from . import query
 from .profile_queries import _observations
 from .triage_queries import _CHUNKS, _chunks
@@ -143,6 +145,30 @@ def transcript_source_errors(spark, sf_dir):
     return bad
 
 
+@query(
+    "split_envelope_source",
+    with_entities("segments", """
+    select vod_id, pos, start_s::double as start_s, end_s::double as end_s, text, speaker_label from segments"""),
+)
+def split_envelope_source(spark, sf_dir):
+    """Documents of three shapes, one after the other in few files that are read in splits."""
+    v = F.col("vod_id")
+    item = F.struct("vod_id", "pos", F.col("start_s").alias("start"), F.col("end_s").alias("end"), "text", "speaker_label")
+    pages = _pages(entity(spark, sf_dir, "segments"), segments=item)
+    meta = F.struct(F.lit("} segments: [{").alias("title"), F.array(F.struct(F.lit(1).alias("x"))).alias("windows"))
+    doc = (
+        F.when(v % 3 == 0, F.to_json("segments")).when(v % 3 == 1, F.to_json(F.struct(meta.alias("meta"), "segments")))
+        .otherwise(F.to_json(F.struct(F.struct("segments", meta.alias("meta")).alias("transcript"))))
+    )
+    folder = shared_folder(spark, "envelopes")
+    pages.select(doc.alias("value")).write.text(folder)
+    found = read_elements(spark, folder, [(), ("segments",), ("transcript", "segments")])
+    line = F.from_json("item", "vod_id bigint, pos bigint, start double, end double, text string, speaker_label string")
+    return found.select(line.alias("s")).select(
+        "s.vod_id", "s.pos", F.col("s.start").alias("start_s"), F.col("s.end").alias("end_s"), "s.text", "s.speaker_label"
+    )
+
+
 @query(
     "chat_envelope_source",
     with_entities("echo_chat", """
