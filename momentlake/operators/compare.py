@@ -19,7 +19,7 @@ METRICS = (
 )
 # Cells hold FAN by FAN cells of the next level; those of so few keys are not cut further.
 FAN_BITS = 3
-FAN, LEAF = 1 << FAN_BITS, 16
+FAN, LEAF = 1 << FAN_BITS, 64
 _CELL = ["_k", "_cs", "_ce"]
 _QUERY = ["vod_id", "which", "q_s", "q_e"]
 
@@ -168,12 +168,14 @@ def nearest_keys(missed: DataFrame, sets: dict[str, DataFrame]) -> DataFrame:
     top = max(1, -(-int(widest + 1).bit_length() // FAN_BITS))
     placed, cells = _grid(keys, top)
     cells = checkpointed(cells)
+    # Levels on which some cell is still to be cut.
+    lowest = cells.where((F.col("_n") > LEAF) & (F.col("_k") > 1)).agg(F.min("_k").alias("k")).first()["k"] or top + 1
     box = ["_n", "s0", "s1", "e0", "e1"]
     frontier = base.select("vod_id", F.col("start_s").alias("q_s"), F.col("end_s").alias("q_e")).join(
         cells.where(F.col("_k") == top), "vod_id"
     )
     frontier = _closest(frontier.select(*_QUERY, *_CELL, *box))
-    for k in range(top, 1, -1):
+    for k in range(top, lowest - 1, -1):
         inner = F.struct("_k", "_cs", "_ce", *box)
         parts = (
             cells.where(F.col("_k") == k - 1)

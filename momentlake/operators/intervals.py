@@ -183,8 +183,9 @@ def celled(rows: DataFrame, *, order: Sequence[str], block: Column, keys: Sequen
 
     Cut points come from sketches of the first column, and for values of it that fill a cell from
     sketches of the next one, so one busy second is cut like a busy hour.  Where every block is
-    small a block is one cell and rows are joined with nothing.
+    small a block is one cell and rows are joined with nothing.  Rows are read several times, so they are written first.
     """
+    rows = checkpointed(rows)
     # A struct, for a null time is a block as well.
     out, path, dense = rows.withColumn("_block", F.struct(block.alias("_at"))), [], None
     for level, name in enumerate(order):

@@ -134,9 +134,10 @@ def stitch_pairs(
     max_gap: int = MAX_GAP,
     min_shared: int = MIN_SHARED,
     max_bridge_gap: int = MAX_BRIDGE_GAP,
+    mergeable: bool = False,
 ) -> DataFrame:
     """Every pair of candidates at most ``max_bridge_gap`` seconds apart with its
-    merge score, decision and reasons.
+    merge score, decision and reasons; with ``mergeable`` only pairs that could merge: of one type, or near.
 
     ``candidates``: vod_id, pos, candidate_id, start_s, end_s, narrative_type,
     trigger, payoff, evidence_lines.  The left one comes first by start, end
@@ -175,9 +176,12 @@ def stitch_pairs(
             ),
         )
     )
+    met = point_join(right, left, bucket=300, at="r_start_s", span=("l_start_s", "_reach"), spread_by=["r_pos"]).where(later)
+    if mergeable:
+        # Any other pair is left before its words are compared: it has three points at most.
+        met = met.where(same_kind | (gap <= max_gap))
     return (
-        point_join(right, left, bucket=300, at="r_start_s", span=("l_start_s", "_reach"), spread_by=["r_pos"])
-        .where(later)
+        met
         .withColumn("gap_s", gap)
         .withColumn("type_match", same_kind)
         .withColumn("shared_tokens", shared)
@@ -367,7 +371,9 @@ def stitch(
     and payoff those of the member with the highest ``worthiness`` (the first
     one if the column is missing).
     """
-    pairs = stitch_pairs(candidates, max_gap=max_gap, min_shared=min_shared, max_bridge_gap=max_bridge_gap)
+    pairs = stitch_pairs(
+        candidates, max_gap=max_gap, min_shared=min_shared, max_bridge_gap=max_bridge_gap, mergeable=True
+    )
     result = stitch_groups(pairs, max_span=max_span, max_members=max_members)
     key = ["vod_id", "group_pos"]
     if result is None:
