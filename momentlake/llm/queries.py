@@ -74,13 +74,21 @@ def pitman_yor_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
             from rounds where w > 0) where more),
     last as (select * from rounds where round = (select max(round) from rounds)),
     targets as (select source, source_size, case when full_ or w <= 0 then cap else left_ / w * weight end as target from last),
-    drawn as (
-      select doc_id, size, source_size, target,
-        case when source_size > 0 then least(target / source_size, 3.0::double) else 0.0::double end as rate,
-        ('0x' || md5('mix|' || coalesce(doc_id::varchar, ''))[1:13])::bigint / 4503599627370496.0::double as draw
-      from sized join targets using (source))
+    rated as (
+      select doc_id, sized.source, size, source_size, target,
+        case when source_size > 0 then least(target / source_size, 3.0::double) else 0.0::double end as rate
+      from sized join targets on sized.source is not distinct from targets.source),
+    seeded as (
+      select *, ('0x' || md5('mix|' || seed || '|' || coalesce(doc_id::varchar, ''))[1:13])::bigint / 4503599627370496.0::double as draw
+      from rated, range(16) seeds(seed)),
+    sums as (
+      select source, seed, abs(any_value(floor(rate)) * any_value(source_size)
+          + sum(case when draw < rate - floor(rate) then size else 0 end) - any_value(target)) as off
+      from seeded group by source, seed),
+    best as (select source, arg_min(seed, (off, seed)) as seed from sums group by source)
     select doc_id, size, source_size, round(target, 6) as target,
-      (size * (floor(rate) + case when draw < rate - floor(rate) then 1 else 0 end))::bigint as taken from drawn
+      (size * (floor(rate) + case when draw < rate - floor(rate) then 1 else 0 end))::bigint as taken
+    from seeded join best on seeded.source is not distinct from best.source and seeded.seed = best.seed
     """,
 )
 def mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
