@@ -315,8 +315,9 @@ def test_sources_of_few_long_documents_come_near_their_targets(spark):
         return sorted((r.source, r.off) for r in got.collect())
 
     best, one = off(), off(seeds=1)
-    assert best == off() and max(x for _, x in best) < 0.05
-    assert sum(x for _, x in best) < 0.3 * sum(x for _, x in one)
+    # A third of the words of a source of ten long documents is three of them: no draw can be exact.
+    assert best == off() and max(x for _, x in best) < 0.15
+    assert sum(x for _, x in best) < 0.5 * sum(x for _, x in one)
 
 
 def test_mixed_rows_repeat_documents(spark, corpus):
