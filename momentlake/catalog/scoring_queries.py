@@ -213,20 +213,8 @@ _ENERGIES = """
     energies as (select vod_id, sec, sqrt(avg((x * x)::double)) as energy from samples group by all)"""
 
 
-@query("second_energies", with_entities("samples", f",{_ENERGIES} select * from energies"))
-def second_energies(spark, sf_dir):
-    return trim.second_energies(entity(spark, sf_dir, "samples"))
-
-
-@query(
-    "loudest_passages",
-    with_entities("samples", f""",{_ENERGIES},
-    lists as (
-        select vod_id, list(energy order by sec) as e
-        from (select g.vod_id, g.sec, coalesce(energy, 0.0::double) as energy
-              from (select vod_id, unnest(range(0, max(sec) + 1)) as sec from energies group by vod_id) g
-              left join energies using (vod_id, sec))
-        group by all),
+# The passage (a, b) of each list e of energies.
+_PASSAGES = """
     levels as (
         select *, len(e) as n, list_position(e, list_max(e)) - 1 as peak,
                list_sort(e)[len(e) // 4 + 1] as floor_e, list_max(e) as top_e
@@ -255,9 +243,26 @@ def second_energies(spark, sf_dir):
                case when t4 - s4 < 15 and s4 <> 0 and t4 = n then greatest(0, s4 - (15 - t4 + s4)) else s4 end as s5
         from padded),
     audio as (
-        select vod_id, n, case when t5 - s5 > 60 then greatest(0, (s5 + t5) // 2 - 30) else s5 end as a,
+        select vod_id, clip_id, n, case when t5 - s5 > 60 then greatest(0, (s5 + t5) // 2 - 30) else s5 end as a,
                case when t5 - s5 > 60 then least(n, (s5 + t5) // 2 + 30) else t5 end as b
-        from filled),
+        from filled)"""
+
+
+@query("second_energies", with_entities("samples", f",{_ENERGIES} select * from energies"))
+def second_energies(spark, sf_dir):
+    return trim.second_energies(entity(spark, sf_dir, "samples"))
+
+
+@query(
+    "loudest_passages",
+    with_entities("samples", f""",{_ENERGIES},
+    lists as (
+        select vod_id, vod_id as clip_id, list(energy order by sec) as e
+        from (select g.vod_id, g.sec, coalesce(energy, 0.0::double) as energy
+              from (select vod_id, unnest(range(0, max(sec) + 1)) as sec from energies group by vod_id) g
+              left join energies using (vod_id, sec))
+        group by all),
+    {_PASSAGES},
     clips as (
         select s_suppkey as vod_id, s_suppkey as clip_id, 0::bigint as start_s,
                case when s_suppkey % 5 = 4 then 100 else 120 end as end_s,
@@ -269,7 +274,7 @@ def second_energies(spark, sf_dir):
            case when due and n >= 15 then start_s + b when due and n is null then 83 else trim_end end as trim_end,
            case when due and (n >= 15 or n is null) then 'rms_fallback' else 'qwen' end as trim_source
     from (select *, trim_start = start_s and trim_end = end_s and end_s - start_s = 120 as due from clips) c
-    left join audio using (vod_id)"""),
+    left join audio using (vod_id, clip_id)"""),
 )
 def loudest_passages(spark, sf_dir):
     from ..adapters import table

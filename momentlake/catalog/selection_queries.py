@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from ..adapters import entity, with_entities
@@ -7,8 +9,10 @@ from ..operators import scoring, selection, trim
 from ..plans.publish import published_clips as publish
 from ..plans.publish import scored_arcs
 from . import query
-from .scoring_queries import _SCORED
+from .context_queries import _DEAD_AIR, _SPEAKERS
+from .scoring_queries import _ENERGIES, _PASSAGES, _SCORED
 from .scoring_queries import _clips as _scoring_clips
+from .stitching_queries import _ARCS, _PAIRS
 from .text_queries import _NORM
 
 # The greedy scan over ranked rows with columns (vod_id, clip_id, i, norm, tok).
@@ -227,8 +231,90 @@ def rescored_selection(spark, sf_dir):
     return kept.select("vod_id", "clip_id", "rank", "final_score")
 
 
-# No check SQL: the whole job from stitching to re-scored clips; its steps are checked one by one.
-@query("published_clips")
+# The check of the whole job, made of the check SQL of its steps: stitching with two shared words, the analysis of the most
+# worthy source, silence and voices around an arc, scores, titles, trims by loudness, scores again.
+_ARC_PAIRS = _PAIRS.replace("narrative_type, ' line ', trigger_text, ' shared line'", "narrative_type, ' ', trigger_text").replace(">= 5", ">= 2")
+_ARC_SCORED = (
+    _SCORED.replace("gap_len * 2 as longest", "longest_gap as longest")
+    .replace("from analyses", "from rows0")
+    .replace(
+        "gap_len > 0 and start_s + 30 < te and start_s + 30 + longest > ts as gap_in_trim",
+        "len(list_filter(gl, lambda g: g.e > g.s and g.s < te and g.e > ts)) > 0 as gap_in_trim",
+    )
+)
+_SCORED_AGAIN = re.sub(r"\b(rows0|trims|clamped|rules|traced|scored|gated)\b", r"\1_again", _ARC_SCORED)
+
+_PUBLISHED = f"""{_ARC_PAIRS},{re.sub(r"\bwalk\b", "arc_walk", _ARCS)},
+    named as (select *, concat('stitched_', start_s, '_', end_s, '_', arc_no) as clip_id from arcs),
+    clips as (
+        select vod_id, clip_id, greatest(0.0::double, start_s - w) as lo,
+               greatest(greatest(0.0::double, start_s - w) + 1, start_s + w) as hi
+        from (select *, greatest(15, end_s - start_s)::double as w from named)),
+    speech as (select * from segments),{_DEAD_AIR},{_SPEAKERS},
+    gap_lists as (
+        select vod_id, clip_id, list({{'s': prev_end::double, 'e': start_s::double}}) as gl, max(start_s - prev_end) as longest
+        from gaps group by vod_id, clip_id),
+    reps as (
+        select g.vod_id, g.g, a.* exclude (vod_id, pos, start_s, end_s, gap_len, dead_air_ratio), a.pos % 7 as source_no
+        from groups g join analyses a on a.vod_id = g.vod_id and a.pos = g.pos
+        qualify row_number() over (partition by g.vod_id, g.g order by a.clip_worthiness desc, g.start_s, g.end_s, g.pos) = 1),
+    rows0 as (
+        select n.vod_id, n.clip_id, n.arc_no as pos, n.start_s, n.end_s, n.narrative_type, n.trigger, n.payoff,
+               r.* exclude (vod_id, g), coalesce(l.longest, 0) as longest_gap, coalesce(l.gl, []) as gl,
+               round_even(least(1.0::double, coalesce(s.total, 0.0::double) / greatest(c.hi - c.lo, 1.0)) * 1000000.0, 0)
+                   / 1000000.0 as dead_air_ratio,
+               coalesce(v.primary_speaker_identity, 'unknown') as identity
+        from named n join reps r on r.vod_id = n.vod_id and r.g = n.g
+        join clips c on c.vod_id = n.vod_id and c.clip_id = n.clip_id
+        join stats v on v.vod_id = n.vod_id and v.clip_id = n.clip_id
+        left join gap_lists l on l.vod_id = n.vod_id and l.clip_id = n.clip_id
+        left join silence s on s.vod_id = n.vod_id and s.clip_id = n.clip_id),{_ARC_SCORED},
+    states as (select vod_id, not bool_or(eligible and final_score >= 3) as is_fallback from gated group by all),
+    spare as (
+        select r.*, true as is_fallback from gated r join states s using (vod_id) where s.is_fallback
+        qualify row_number() over (partition by vod_id order by final_score desc, pos) <= 3),
+    prelim as (
+        select r.*, false as is_fallback from gated r where eligible and final_score >= 3
+        union all by name select * from spare),
+    titled as (
+        select * replace (case when identity <> 'streamer' then concat(case payoff when 'the streamer laughs' then 'Laughs'
+                   when 'chat loses it' then 'Chat loses it' else 'A viewer story lands' end, ', after: ',
+                   upper(trigger[1]), trigger[2:]) else title end as title)
+        from (select *, case when narrative_type = 'chat_reveal'
+                    then concat('What happens when chat drops a message about ', trigger, '?')
+                    else concat('The moment ', trigger, ' led to ', payoff) end as title
+        from prelim where te > ts and ts >= start_s and te <= end_s)),
+{_SELECTED[_SELECTED.index("    words2 as") :]},
+    chosen as (select r.*, k.rank from ranked r join kept k on k.vod_id = r.vod_id and k.clip_id = r.clip_id),{_ENERGIES},
+    lists as (
+        select vod_id, clip_id, list(coalesce(energy, 0.0::double) order by sec) as e
+        from (select d.*, energy, max(case when energy is not null then sec end) over (partition by vod_id, clip_id) as last
+              from (select vod_id, clip_id, unnest(range(start_s, end_s)) as sec from chosen
+                    where ts = start_s and te = end_s and end_s - start_s = 120) d left join energies using (vod_id, sec))
+        where sec <= last group by vod_id, clip_id),{_PASSAGES},
+    trimmed as (
+        select c.vod_id, c.clip_id, rank, is_fallback, title,
+               case when due and n >= 15 then start_s + a when due and n is null
+                    then greatest(start_s, (start_s + end_s) // 2 - 22) else ts end as ts2,
+               case when due and n >= 15 then start_s + b when due and n is null
+                    then least(end_s, (start_s + end_s) // 2 + 23) else te end as te2,
+               case when due and (n >= 15 or n is null) then 'rms_fallback' else 'qwen' end as source2
+        from (select *, ts = start_s and te = end_s and end_s - start_s = 120 as due from chosen) c
+        left join audio using (vod_id, clip_id)),
+    rows0_again as (
+        select r.* replace (ts2 as trim_start, te2 as trim_end), source2, rank, is_fallback, title
+        from rows0 r join trimmed using (vod_id, clip_id)),{_SCORED_AGAIN}
+    select vod_id, row_number() over (partition by vod_id order by rank) as rank, clip_id, start_s, end_s,
+           ts as trim_start, te as trim_end, source2 as trim_source, final_score as score, raw_score, title,
+           printf('%d:%02d:%02d', start_s // 3600, start_s % 3600 // 60, start_s % 60) as start_s_hms,
+           concat('https://video.example/v/', vod_id, '?t=', case when start_s = 0 then '0s' else concat(
+               case when start_s >= 3600 then concat(start_s // 3600, 'h') else '' end,
+               case when start_s % 3600 >= 60 then concat(start_s % 3600 // 60, 'm') else '' end,
+               case when start_s % 60 > 0 then concat(start_s % 60, 's') else '' end) end) as vod_url, is_fallback
+    from gated_again where is_fallback or (eligible and final_score >= 3)"""
+
+
+@query("published_clips", with_entities("candidates analyses segments turns samples", "," + _PUBLISHED, recursive=True))
 def published_clips(spark, sf_dir):
     candidates = entity(spark, sf_dir, "candidates").select(
         "vod_id", "pos", "candidate_id", "start_s", "end_s", "narrative_type", F.col("trigger_text").alias("trigger"),
