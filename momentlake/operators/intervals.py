@@ -188,7 +188,8 @@ def celled(rows: DataFrame, *, order: Sequence[str], block: Column, keys: Sequen
     rows = checkpointed(rows)
     # A struct, for a null time is a block as well.
     out, path, dense = rows.withColumn("_block", F.struct(block.alias("_at"))), [], None
-    for level, name in enumerate(order):
+    largest = out.groupBy(*keys, "_block").count().agg(F.max("count").alias("n")).first()["n"] or 0
+    for level, name in enumerate(order if largest > CELL_ROWS else ()):
         x, group = _number(rows, name), [*keys, "_block", *path]
         cuts = checkpointed(_cuts(out if dense is None else out.where(dense), group, x))
         found = cuts.limit(BROADCAST_CUTS + 1).count()

@@ -318,10 +318,14 @@ def stitch_groups(
         F.col(f"rank.{s}_pos").alias("g"), F.col(f"rank.{s}_start_s").alias("lo"), F.col(f"rank.{s}_end_s").alias("hi"),
         F.lit(1).cast("bigint").alias("n"),
     )
-    live = _edge_cells(edges.drop("reasons", "l_pos", "r_pos"), cell_edges).withColumns({"l": side("l"), "r": side("r")})
+    live = _edge_cells(edges.drop("reasons", "l_pos", "r_pos"), cell_edges)
+    live = checkpointed(live.withColumns({"l": side("l"), "r": side("r")}))
     nothing = F.lit(None).cast(edges.schema["rank"].dataType)
-    unaffected = live.where("alone").withColumns({"l_ext": nothing, "r_ext": nothing})
-    settled = checkpointed(_settled(unaffected.unionByName(_outside(live.where("not alone"))), max_span, max_members))
+    known = live.where("alone").withColumns({"l_ext": nothing, "r_ext": nothing})
+    parts = live.where("not alone")
+    if not parts.isEmpty():
+        known = known.unionByName(_outside(parts))
+    settled = checkpointed(_settled(known, max_span, max_members))
     won, moved = [], []
     while True:
         won.append(settled.select("vod_id", F.explode("won").alias("rank")))
