@@ -84,5 +84,5 @@ def test_run_is_the_chain_of_stages(spark, stages):
 
 
 def test_ten_operators_are_registered():
-    assert {f"op{n}" for n in range(1, 11)} == {n.split("_")[0] for n in QUERIES if n.startswith("op")}
+    assert {f"op{n}" for n in range(1, 14)} == {n.split("_")[0] for n in QUERIES if n.startswith("op")}
     assert set(CHECKS) <= set(QUERIES) and "pipeline" in QUERIES
