@@ -302,15 +302,19 @@ def near_duplicates(vectors: DataFrame, *, least: float = 0.98, sample: int = SA
     at the least cosine, and more of nearer ones; no pair below it is linked.
     """
     rows = vectors.select("vec_id", F.col("label").cast("string").alias("label"), "embedding")
-    by_hash = rows.where("label is not null and size(embedding) > 0").orderBy(F.xxhash64("vec_id", "embedding"), "vec_id")
+    facts = rows.groupBy("label").agg(F.count("*").alias("n"), F.max(F.size("embedding")).alias("d"))
+    facts = facts.agg(F.sum("n").alias("all"), F.max("n").alias("largest"), F.max("d").alias("d")).first()
+    largest = facts["largest"] or 1
+    wanted = max(2, min(sample, SAMPLE_NUMBERS // max(1, facts["d"] or 1)))
+    # Tasks offer rows with small hashes only, a few times as many as are wanted altogether.
+    place = F.pmod(F.xxhash64("vec_id", "embedding"), F.lit(1 << 40))
+    usable = rows.where("label is not null and size(embedding) > 0").where(place < int(min(1.0, 4 * wanted / (facts["all"] or 1)) * (1 << 40)))
     taken: list[np.ndarray] = []
-    widest = rows.agg(F.max(F.size("embedding")).alias("d")).first()["d"] or 1
     # At most SAMPLE_NUMBERS numbers.
-    for r in by_hash.limit(max(2, min(sample, SAMPLE_NUMBERS // max(1, widest)))).select("embedding").collect():
+    for r in usable.orderBy(place, "vec_id").limit(wanted).select("embedding").collect():
         x = unit_vector(r["embedding"])
         if x is not None:
             taken.append(x)
-    largest = rows.groupBy("label").count().agg(F.max("count").alias("n")).first()["n"] or 1
     bits, tables, most = layout(least, largest)
     described = shared_table(_described(rows, Codes(taken, bits, tables)), compact=False)
     classes = described.where("key is not null").groupBy("key").agg(
