@@ -30,6 +30,8 @@ NO_LANG = "und"
 
 #: Suffixes that a bucket should hold, and those of one leading word (or pair) from which its suffixes are routed by one more word.
 BUCKET, HOT = 1_000_000, 250_000
+#: Partitions that buckets are dealt to at most.
+MOST_PARTITIONS = 20_000
 #: Counters of leading words, and of pairs.
 COUNTERS = 1 << 16
 #: Parts in which the phrases of a language are ranked first.
@@ -133,10 +135,9 @@ def _routed(docs: DataFrame, longest: int, buckets: int, hot: np.ndarray) -> Dat
                     open_ &= hot[depth][_counter(prefix)]
             bucket = (mixed(route) % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
-            limits = np.searchsorted(bucket[order], np.arange(buckets + 1))
+            present, first = np.unique(bucket[order], return_index=True)
             rows = []
-            for b in np.flatnonzero(np.diff(limits)).tolist():
-                at = order[limits[b] : limits[b + 1]]
+            for b, at in zip(present.tolist(), np.split(order, first[1:]), strict=True):
                 used, own = np.unique(columns[:, at], return_inverse=True)
                 own = own.reshape(longest, len(at)) + (0 if used[0] == 0 else 1)
                 own_words = names.take(pa.array(used[used > 0] - 1)).to_pylist()
@@ -264,7 +265,10 @@ def phrase_counts(docs: DataFrame, *, longest: int = 3, least: int = 10, bucket:
     for r in over:
         is_hot[r["depth"], r["counter"]] = True
     buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // bucket))
-    routed = _routed(docs, longest, buckets, is_hot).repartitionById(buckets, F.col("bucket")).sortWithinPartitions("bucket", "lang")
+    # A task sorts its buckets one after the other.
+    parts = min(buckets, MOST_PARTITIONS)
+    routed = _routed(docs, longest, buckets, is_hot).repartitionById(parts, F.pmod("bucket", F.lit(parts)))
+    routed = routed.sortWithinPartitions("bucket", "lang")
     counted = _counted(routed, longest, least, is_hot).groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
     return shared_table(counted.where(F.col("f") >= least), compact=False), totals
 
