@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import distinct_ignoring_case, plain_name, slug
 from ..runtime import salted_lookup
-from .intervals import point_join
+from .intervals import point_join, running_max_before
 
 _SEGMENT = "struct<start_s:double,end_s:double,game_id:string,game_name:string,source:string,confidence:double>"
 
@@ -60,21 +60,27 @@ def game_at(points: DataFrame, segments: DataFrame) -> DataFrame:
     earliest start, then the first row.  Segments without an end stay open.
 
     Resolved once per distinct time; open segments end with the last point of
-    the video.
+    the video.  A segment is on from its start, or from the latest end of the
+    segments before it where that is later, so the spans in which each is on do
+    not overlap and a time meets at most one of them.
     """
     times = points.select("vod_id", "t").distinct()
     last = times.groupBy("vod_id").agg(F.max("t").alias("_last"))
     spans = (
         segments.join(last, "vod_id")
         .withColumn("_hi", F.coalesce(F.col("end_s").cast("double"), F.greatest(F.col("start_s"), F.col("_last")) + 1.0))
-        .withColumnRenamed("start_s", "_lo")
-        .select("vod_id", "_lo", "_hi", F.struct("pos", "game_id", "game_name").alias("_g"))
+        .withColumn("_hi", F.least("_hi", F.col("_last") + 1.0))
+        .where((F.col("start_s") <= F.col("_last")) & (F.col("start_s") < F.col("_hi")))
+        .select("vod_id", F.col("start_s").alias("_lo"), "pos", "_hi", "game_id", "game_name")
     )
-    found = (
-        point_join(times, spans, bucket=3600, at="t", span=("_lo", "_hi"), closed=False)
-        .groupBy("vod_id", "t")
-        .agg(F.min_by("_g", F.struct("_lo", F.col("_g.pos"))).alias("_g"))
-        .select("vod_id", "t", "_g.game_id", "_g.game_name")
+    shown = (
+        running_max_before(spans, order=["_lo", "pos"], value="_hi", out="_until")
+        .withColumn("_from", F.greatest(F.col("_lo").cast("double"), "_until"))
+        .where(F.col("_from") < F.col("_hi"))
+        .select("vod_id", "_from", "_hi", "game_id", "game_name")
+    )
+    found = point_join(times, shown, bucket=3600, at="t", span=("_from", "_hi"), closed=False).select(
+        "vod_id", "t", "game_id", "game_name"
     )
     return salted_lookup(points, found, ["vod_id", "t"], spread_by=["pos"])
 
