@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from momentlake.operators import games
+from momentlake.operators import context, games
 
 
 def recorded(monkeypatch, module, name):
@@ -32,3 +32,25 @@ def test_a_time_meets_one_game_segment(spark, monkeypatch):
         on = [(a, i) for a, i, b in spans if a <= p * 20 and (b is None or p * 20 < b)]
         assert got[p] == (f"g{min(on)[1]}" if on else None)
     assert counts == [300 - sum(v is None for v in got.values())]
+
+
+def test_texts_are_not_repeated_for_clips(spark, monkeypatch):
+    written, inner = [], context.checkpointed
+    monkeypatch.setattr(context, "checkpointed", lambda df: written.append(df.columns) or inner(df))
+    clips = spark.createDataFrame([(1, i, 0.0 + i, 60.0 + i) for i in range(20)], "vod_id long, clip_id long, lo double, hi double")
+    lines = spark.createDataFrame(
+        [(1, 0, 30, 33, "so we are at an"), (1, 1, 34, 36, "ox in a box on it today"), (1, 2, 50, 55, "Alpha beta gamma delta epsilon")],
+        "vod_id long, pos long, start_s long, end_s long, text string",
+    )
+    chat = spark.createDataFrame(
+        [
+            (1, 0, 40, "a", "at an ox in a box on it"),  # across two lines, one word of three letters
+            (1, 1, 41, None, "delta alpha gamma beta is it zeta"), (1, 1, 41, None, "delta alpha gamma beta is it zeta"),
+            (1, 2, 42, "c", "nothing of all this was said"), (1, 3, 43, "d", "betagammadeltaalphaepsilon"),
+        ],
+        "vod_id long, pos long, t long, usr string, message string",
+    )
+    got = [(r.clip_id, r.pos) for r in context.read_aloud(clips, lines, chat).collect()]
+    want = [(c, 0) for c in range(20)] + [(c, 1) for c in range(20)] * 2
+    assert sorted(got) == sorted(want)
+    assert written and not [c for c in written if "clip_id" in c and "message" in c]
