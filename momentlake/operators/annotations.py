@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import clamp, clean_list, clean_text, round_half_even, safe_double, safe_int
+from ..runtime import checkpointed
 from .intervals import overlap_join
 from .triage import TOP_REASON, normalise_candidates
 
@@ -265,16 +266,34 @@ def chunk_annotations(chunks: DataFrame, annotations: DataFrame) -> DataFrame:
     )
 
 
+def _same_windows(spans: DataFrame, annotations: DataFrame) -> DataFrame:
+    """Adds ``span_id`` to each distinct span ``(vod_id, lo, hi)`` that touches a window: the first
+    (lo, hi) of those that touch the same windows, and so have the same summary."""
+    windows = annotations.select("vod_id", F.col("start_s").alias("_ws"), F.col("end_s").alias("_we")).distinct()
+    touched = (
+        overlap_join(spans, windows, bucket=600, left_span=("lo", "hi"), right_span=("_ws", "_we"), closed=True)
+        .groupBy("vod_id", "lo", "hi")
+        .agg(F.array_sort(F.collect_list(F.struct("_ws", "_we"))).alias("_windows"))
+    )
+    first = touched.groupBy("vod_id", "_windows").agg(F.min(F.struct("lo", "hi")).alias("span_id"))
+    return checkpointed(touched.join(first, ["vod_id", "_windows"]).select("vod_id", "lo", "hi", "span_id"))
+
+
 def fallback_candidates(clips: DataFrame, annotations: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """Triage candidates made from clips and their annotations.
 
     Used for videos that have none in ``known``.  ``clips``: vod_id, pos,
     start_s, end_s, optional trim_start, trim_end, narrative_type, trigger, payoff, risk_flags.
+
+    Annotations are summed up once for all clips that touch the same windows.
     """
     if known is not None:
         clips = clips.join(known.select("vod_id").distinct(), "vod_id", "left_anti")
-    spans = clips.select("vod_id", F.col("pos").alias("span_id"), F.col("start_s").alias("lo"), F.col("end_s").alias("hi"))
-    pairs = windows_in(spans, annotations, closed=True)
+    same = _same_windows(
+        clips.select("vod_id", F.col("start_s").alias("lo"), F.col("end_s").alias("hi")).distinct(), annotations
+    )
+    alike = same.groupBy("vod_id", "span_id").agg(F.first("span_id.lo").alias("lo"), F.first("span_id.hi").alias("hi"))
+    pairs = windows_in(alike, annotations, closed=True)
     risk = (
         signal_counts(pairs)
         .where(F.col("kind") == "risk")
@@ -282,11 +301,9 @@ def fallback_candidates(clips: DataFrame, annotations: DataFrame, known: DataFra
         .agg(F.array_sort(F.collect_list(F.struct("first_seen", "type"))).alias("_r"))
         .select("vod_id", "span_id", F.col("_r.type").alias("_risks"))
     )
-    c = (
-        clips.withColumn("span_id", F.col("pos"))
-        .join(signal_summary(pairs), ["vod_id", "span_id"], "left")
-        .join(risk, ["vod_id", "span_id"], "left")
-    )
+    summary = signal_summary(pairs).join(risk, ["vod_id", "span_id"], "left")
+    placed = clips.join(same.withColumnsRenamed({"lo": "start_s", "hi": "end_s"}), ["vod_id", "start_s", "end_s"], "left")
+    c = placed.join(summary, ["vod_id", "span_id"], "left")
     alert = F.coalesce("has_audio_alert", F.lit(False))
     reaction = F.coalesce("has_visual_reaction", F.lit(False))
     led = F.coalesce("streamer_led_likelihood", F.lit(0.0))

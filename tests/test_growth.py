@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from momentlake.operators import context, games
+from momentlake.operators import annotations, context, games
 
 
 def recorded(monkeypatch, module, name):
@@ -54,3 +54,27 @@ def test_texts_are_not_repeated_for_clips(spark, monkeypatch):
     want = [(c, 0) for c in range(20)] + [(c, 1) for c in range(20)] * 2
     assert sorted(got) == sorted(want)
     assert written and not [c for c in written if "clip_id" in c and "message" in c]
+
+
+def test_annotations_are_summed_up_once_for_clips_with_the_same_windows(spark, monkeypatch):
+    counts = recorded(monkeypatch, annotations, "windows_in")
+    clips = spark.range(200).select(
+        F.lit(1).alias("vod_id"), F.col("id").alias("pos"), (F.col("id") % 20 + 1).alias("start_s"), F.lit(45).cast("long").alias("end_s")
+    )
+    event = "struct<timestamp:string,type:string,confidence:string,evidence:string,speaker_guess:string>"
+    raw = spark.range(30).select(
+        F.lit(1).alias("vod_id"), F.col("id").alias("pos"), (F.col("id") % 3 * 30).alias("start_s"),
+        (F.col("id") % 3 * 30 + 30).alias("end_s"), F.lit(None).cast("string").alias("window_id"),
+        F.array(F.struct(*[F.lit(v).alias(n) for n, v in zip(("timestamp", "type", "confidence", "evidence", "speaker_guess"), ("40", "laugh", "1", "", ""))])).cast(f"array<{event}>").alias("audio_events"),
+        F.array().cast("array<struct<timestamp:string,type:string,confidence:string,evidence:string>>").alias("visual_events"),
+        F.lit("").alias("primary_speaker"), F.lit("0.5").alias("streamer_led_likelihood"),
+        F.lit(False).alias("non_streamer_voice_present"), F.lit("").alias("non_streamer_voice_type"),
+        F.lit("").alias("streamer_affect"), F.lit("0").alias("organic_reaction_likelihood"),
+        F.lit("0").alias("transactional_alert_likelihood"), F.lit("").alias("emotion_evidence"),
+        F.array(F.lit("late")).alias("risk_flags"), F.array().cast("array<string>").alias("clip_relevance_notes"),
+        F.lit(True).alias("parse_ok"), F.lit(None).cast("string").alias("error"),
+    )
+    out = annotations.fallback_candidates(clips, annotations.normalise_annotations(raw)).collect()
+    assert len(out) == 200 and {len(r.annotation_refs) for r in out} == {2}
+    assert all(r.evidence_lines[0] == f"[{r.start_s}s] clip window {r.start_s}-45s" and r.risk_flags == ["late"] for r in out)
+    assert counts == [20]
