@@ -78,3 +78,41 @@ def test_annotations_are_summed_up_once_for_clips_with_the_same_windows(spark, m
     assert len(out) == 200 and {len(r.annotation_refs) for r in out} == {2}
     assert all(r.evidence_lines[0] == f"[{r.start_s}s] clip window {r.start_s}-45s" and r.risk_flags == ["late"] for r in out)
     assert counts == [20]
+
+
+def test_voices_of_clips_are_totals_of_blocks(spark, monkeypatch):
+    pairs = recorded(monkeypatch, context, "overlap_join")
+    lengths = (0.0, 0.5, 3.0, 8.0, 37.25, 120.0, 512.0)
+    clips = [(i % 2, i, i * 7 % 400 + 0.25 * (i % 3), i * 7 % 400 + 0.25 * (i % 3) + lengths[i % 7]) for i in range(140)]
+    turns = [
+        (i % 2, i, i * 13 % 700 + 0.5 * (i % 2), i * 13 % 700 + 0.5 * (i % 2) + i % 11 * (1 + 20 * (i % 5 == 0)),
+         f"S{i % 3}" if i % 8 else None, ("streamer", "Guest", None)[i * 5 % 3], f"n{i}" if i % 4 else None, i % 10 / 10)
+        for i in range(300)
+    ]
+    got = context.speaker_stats(
+        spark.createDataFrame(clips, "vod_id long, clip_id long, lo double, hi double"),
+        spark.createDataFrame(
+            turns, "vod_id long, pos long, start_s double, end_s double, speaker_label string, identity string, inferred_name string, confidence double"
+        ),
+    ).collect()
+    assert len(got) == 140
+    clips = {c[1]: c for c in clips}
+    for r in got:
+        vod, _, lo, hi = clips[r.clip_id]
+        heard = [t for t in turns if t[0] == vod and t[3] > t[2] and t[2] < hi and lo < t[3]]
+        shared = {}
+        for t in heard:
+            shared.setdefault(t[4] or "UNKNOWN", []).append((min(hi, t[3]) - max(lo, t[2]), t))
+        main = min(shared.items(), key=lambda s: (-sum(x for x, _ in s[1]), s[1][0][1][1]), default=(None, []))
+        last = {label: (s[-1][1][5] or "unknown").lower() for label, s in shared.items()}
+        streamer = sum(min(hi, t[3]) - max(lo, t[2]) for t in heard if t[5] == "streamer")
+        sure = max([t[7] for s in shared.values() if s[-1][1][5] == "streamer" for _, t in s], default=0.0)
+        assert (r.turn_count, r.primary_speaker_label) == (len(heard), main[0])
+        assert r.primary_speaker_identity == last.get(main[0])
+        assert r.primary_speaker_name == (main[1][-1][1][6] if main[1] else None)
+        assert (r.streamer_speaking_seconds, r.streamer_speaking_confidence) == (streamer, sure)
+        assert r.off_streamer_voice_detected == ("guest" in last.values())
+    # Only spans of less than eight seconds meet voices one by one.
+    assert sum(pairs) == sum(
+        t[0] == c[0] and t[3] > t[2] and t[2] < c[3] and c[2] < t[3] for c in clips.values() if c[3] - c[2] < 8 for t in turns
+    )
