@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.names import addressed_names, introductions
-from ..runtime import salted_lookup
-from .intervals import neighbour, overlap_join, running_max_before
+from ..runtime import checkpointed, salted_lookup
+from .intervals import neighbour, overlap_join, point_join, running_max_before, surrounding_times
 from .profile_search import nearest_profiles
 
 UNKNOWN = "UNKNOWN"
@@ -24,28 +24,60 @@ def align_speakers(segments: DataFrame, turns: DataFrame, min_ratio: float = 0.3
 
     Equal overlaps go to the earliest (start, end, label).  Lines covered by
     less than ``min_ratio`` of their length, and lines without length, get
-    ``UNKNOWN``.  Lines and turns with equal spans are resolved once.
+    ``UNKNOWN``; turns without length cover nothing.
+
+    A turn that an earlier one covers to its end is never the best one.  The others end in the order in
+    which they start, so a line looks up two of them, the last that starts by its start and the first that
+    lasts to its end, and only what lies between these is compared with it.
     """
-    spans = segments.select("vod_id", "start_s", "end_s").distinct()
-    voices = turns.select(
-        "vod_id", F.col("start_s").alias("_ts"), F.col("end_s").alias("_te"), F.col("speaker_label").alias("_label")
-    ).distinct()
-    shared = F.least("end_s", "_te") - F.greatest("start_s", "_ts")
-    best = (
-        overlap_join(spans, voices, bucket=300, left_span=("start_s", "end_s"), right_span=("_ts", "_te"))
-        .withColumn("_shared", shared)
+    marks = _leading_turns(turns)
+    mark = lambda name: F.struct(F.col("start_s").alias("ts"), F.col("end_s").alias("te"), "label").alias(name)
+    starts = segments.select("vod_id", F.col("start_s").alias("t")).distinct()
+    ends = segments.select("vod_id", F.greatest("start_s", "end_s").alias("t")).distinct()
+    # One turn per start is enough before a line: the longest.
+    longest = marks.groupBy("vod_id", F.col("start_s").alias("prev_mark")).agg(F.max_by(mark("m"), "end_s").alias("_first"))
+    by_end = marks.select("vod_id", F.col("end_s").alias("next_mark"), mark("_last"))
+    first = surrounding_times(starts, marks.select("vod_id", F.col("start_s").alias("t"))).join(longest, ["vod_id", "prev_mark"])
+    last = surrounding_times(ends, marks.select("vod_id", F.col("end_s").alias("t"))).join(by_end, ["vod_id", "next_mark"])
+    met = segments.withColumn("_end", F.greatest("start_s", "end_s"))
+    met = salted_lookup(met, first.select("vod_id", F.col("t").alias("start_s"), "_first"), ["vod_id", "start_s"], spread_by=["pos"])
+    met = salted_lookup(met, last.select("vod_id", F.col("t").alias("_end"), "_last"), ["vod_id", "_end"], spread_by=["pos"])
+    plain = met.drop("speaker_label", "_end")
+    # Lines that no turn covers whole may be met best by a turn inside them.
+    backward = F.col("end_s") < F.col("start_s")
+    whole = ~backward & F.coalesce(F.col("_last.ts") <= F.col("start_s"), F.lit(False))
+    spans = plain.where(~whole).select("vod_id", "start_s", "end_s").distinct()
+    inner = marks.select("vod_id", F.col("start_s").alias("_ts"), F.col("end_s").alias("_te"), F.col("label").alias("_label"))
+    around = overlap_join(spans.where(backward), inner, bucket=300, left_span=("start_s", "end_s"), right_span=("_ts", "_te"))
+    length = F.when(backward, 0).otherwise(F.col("_te") - F.col("_ts"))
+    inside = (
+        point_join(inner, spans.where(~backward), bucket=300, at="_ts", span=("start_s", "end_s"), spread_by=["_te"])
+        .where(F.col("_te") <= F.col("end_s"))
+        .unionByName(around)
         .groupBy("vod_id", "start_s", "end_s")
-        .agg(
-            F.min_by(F.struct("_label", "_shared"), F.struct(-F.col("_shared"), "_ts", "_te", "_label")).alias("_best")
-        )
+        .agg(F.min(F.struct((-length).alias("n"), F.col("_ts").alias("ts"), F.col("_te").alias("te"), F.col("_label").alias("label"))).alias("_m"))
+        .select("vod_id", "start_s", "end_s", F.struct("_m.ts", "_m.te", "_m.label").alias("_inside"))
     )
-    covered = F.try_divide(F.col("_best._shared"), F.col("end_s") - F.col("start_s")) >= min_ratio
-    plain = segments.drop("speaker_label")
-    return (
-        salted_lookup(plain, best, ["vod_id", "start_s", "end_s"], spread_by=["pos"])
-        .withColumn("speaker_label", F.coalesce(F.when(covered, F.col("_best._label")), F.lit(UNKNOWN)))
-        .drop("_best")
+    held = plain.join(inside, ["vod_id", "start_s", "end_s"], "left")
+    shared = lambda m: F.least("end_s", m["te"]) - F.greatest("start_s", m["ts"])
+    ranked = F.transform(
+        F.filter(F.array("_first", "_last", "_inside"), lambda m: (m["ts"] < F.col("end_s")) & (m["te"] > F.col("start_s"))),
+        lambda m: F.struct((-shared(m)).alias("n"), m["ts"].alias("ts"), m["te"].alias("te"), m["label"].alias("label")),
     )
+    best = F.array_min(ranked)
+    covered = F.try_divide(-best["n"], F.col("end_s") - F.col("start_s")) >= min_ratio
+    return held.withColumn("speaker_label", F.coalesce(F.when(covered, best["label"]), F.lit(UNKNOWN))).drop(
+        "_first", "_last", "_inside"
+    )
+
+
+def _leading_turns(turns: DataFrame) -> DataFrame:
+    """The turns (vod_id, start_s, end_s, label) that end after every turn that starts before them, each span once."""
+    spans = turns.where(F.col("end_s") > F.col("start_s")).groupBy("vod_id", "start_s", "end_s").agg(F.min(F.struct(F.col("speaker_label").alias("label"))).alias("_l"))
+    latest = turns.where(F.col("end_s") > F.col("start_s")).groupBy("vod_id", "start_s").agg(F.max("end_s").alias("_end"))
+    before = running_max_before(latest, order=["start_s"], value="_end", out="_before").select("vod_id", "start_s", "_before")
+    leading = spans.join(before, ["vod_id", "start_s"]).where(F.col("_before").isNull() | (F.col("end_s") > F.col("_before")))
+    return checkpointed(leading.select("vod_id", "start_s", "end_s", "_l.label"))
 
 
 def non_overlapping_turns(turns: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from momentlake.operators import annotations, context, games
+from momentlake.operators import annotations, context, games, speakers
 
 
 def recorded(monkeypatch, module, name):
@@ -116,3 +116,23 @@ def test_voices_of_clips_are_totals_of_blocks(spark, monkeypatch):
     assert sum(pairs) == sum(
         t[0] == c[0] and t[3] > t[2] and t[2] < c[3] and c[2] < t[3] for c in clips.values() if c[3] - c[2] < 8 for t in turns
     )
+
+
+def test_lines_look_up_their_speaker(spark, monkeypatch):
+    pairs = recorded(monkeypatch, speakers, "point_join"), recorded(monkeypatch, speakers, "overlap_join")
+    lines = [(i % 2, i, i * 37 % 300, i * 37 % 300 + (i * 11 % 45 - (2 if i % 50 else 9)), "x", None) for i in range(600)]
+    lines.append((0, 600, None, 5, "x", None))
+    turns = [(i % 2, i, i * 41 % 300, i * 41 % 300 + i * 7 % 28 - 1, f"S{i % 4}" if i % 9 else None) for i in range(900)]
+    got = speakers.align_speakers(
+        spark.createDataFrame(lines, "vod_id long, pos long, start_s long, end_s long, text string, speaker_label string"),
+        spark.createDataFrame(turns, "vod_id long, pos long, start_s long, end_s long, speaker_label string"),
+    ).collect()
+    assert len(got) == 601
+    for r in got:
+        vod, _, lo, hi = lines[r.pos][:4]
+        met = [t for t in turns if lo is not None and t[0] == vod and t[2] < t[3] and t[2] < hi and lo < t[3]]
+        best = min(((-min(hi, t[3]) + max(lo, t[2]), t[2], t[3], t[4] or "", t[4]) for t in met), default=None)
+        held = best is not None and hi != lo and -best[0] / (hi - lo) >= 0.3
+        assert r.speaker_label == (best[4] if held and best[4] else "UNKNOWN"), r
+    # Some 30 turns overlap each of the 601 lines.
+    assert sum(map(sum, pairs)) < 3000
