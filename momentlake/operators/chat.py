@@ -118,25 +118,38 @@ def emotes_around(
 ) -> DataFrame:
     """Up to ``k`` most used emotes within ``radius_seconds`` of each distinct
     point ``(vod_id, t)``; ties keep first-seen order.  Uses are first counted
-    per second, so a burst of messages joins as one row per emote."""
-    from .intervals import point_join
+    per second, so a burst of messages is one row per emote.
 
+    A span of time is as long as a block of time, so it is the end of one block and the beginning of the
+    next.  Both are running totals over a block, and a point costs two rows per emote of its blocks
+    however many seconds lie around it.
+    """
+    width = 2 * radius_seconds
+    cell = ["vod_id", "_block", "_ends", "emote"]
     per_second = (
         emote_uses(messages)
         .groupBy("vod_id", "t", "emote")
         .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("pos", "emote_idx")).alias("first_use"))
     )
-    around = points.select(
-        "vod_id",
-        F.col("t").alias("point_t"),
-        (F.col("t") - radius_seconds).alias("_lo"),
-        (F.col("t") + radius_seconds).alias("_hi"),
-    ).distinct()
-    counts = (
-        point_join(per_second, around, bucket=4 * radius_seconds, at="t", span=("_lo", "_hi"))
-        .groupBy("vod_id", "point_t", "emote")
-        .agg(F.sum("n").alias("uses"), F.min("first_use").alias("first_use"))
+    sides = F.explode(F.array(F.lit(False), F.lit(True))).alias("_ends")
+    uses = per_second.select("vod_id", F.floor(F.col("t") / width).alias("_block"), "t", "emote", "n", "first_use", sides)
+    first = F.floor((F.col("t") - radius_seconds) / width)
+    end = lambda block, at, ends: F.struct(block.alias("_block"), at.alias("t"), F.lit(ends).alias("_ends"))
+    ends = F.array(end(first, F.col("t") - radius_seconds, True), end(first + 1, F.col("t") + radius_seconds, False))
+    asked = (
+        points.select("vod_id", "t").distinct()
+        .select("vod_id", F.col("t").alias("point_t"), F.inline(ends))
+        .join(uses.select("vod_id", "_block", "emote").distinct(), ["vod_id", "_block"])
+    )
+    # Of equal times the points come last, so they meet what is at them too.
+    at = F.when(F.col("_ends"), -F.col("t")).otherwise(F.col("t"))
+    upto = Window.partitionBy(*cell).orderBy(at, F.col("n").isNull()).rowsBetween(Window.unboundedPreceding, 0)
+    totals = (
+        uses.unionByName(asked, allowMissingColumns=True)
+        .select("vod_id", "point_t", "emote", F.sum("n").over(upto).alias("n"), F.min("first_use").over(upto).alias("first_use"))
+        .where(F.col("point_t").isNotNull() & F.col("n").isNotNull())
     )
+    counts = totals.groupBy("vod_id", "point_t", "emote").agg(F.sum("n").alias("uses"), F.min("first_use").alias("first_use"))
     rank = F.row_number().over(Window.partitionBy("vod_id", "point_t").orderBy(F.desc("uses"), "first_use"))
     return (
         counts.withColumn("rank", rank)

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from momentlake.operators import annotations, context, games, speakers
+from momentlake.operators import annotations, chat, context, games, intervals, speakers
 
 
 def recorded(monkeypatch, module, name):
@@ -136,3 +136,24 @@ def test_lines_look_up_their_speaker(spark, monkeypatch):
         assert r.speaker_label == (best[4] if held and best[4] else "UNKNOWN"), r
     # Some 30 turns overlap each of the 601 lines.
     assert sum(map(sum, pairs)) < 3000
+
+
+def test_a_point_costs_two_rows_an_emote(spark, monkeypatch):
+    pairs = recorded(monkeypatch, intervals, "point_join")
+    says = [(i % 2, i, (i * 7 % 400) / 2, [f"e{i % 3}", f"e{i % 5}"] if i % 4 else None) for i in range(800)]
+    points = [(i % 2, i * 3 % 250 / 2) for i in range(200)]
+    got = chat.emotes_around(
+        spark.createDataFrame(points, "vod_id long, t double"),
+        spark.createDataFrame(says, "vod_id long, pos long, t double, emotes array<string>"), radius_seconds=15, k=3,
+    ).collect()
+    want = set()
+    for vod, t in set(points):
+        uses = {}
+        for v, pos, at, emotes in says:
+            if v == vod and t - 15 <= at <= t + 15:
+                for i, e in enumerate(emotes or ()):
+                    uses.setdefault(e, []).append((pos, i))
+        best = sorted(uses, key=lambda e: (-len(uses[e]), min(uses[e])))[:3]
+        want |= {(vod, t, r, e, len(uses[e])) for r, e in enumerate(best, 1)}
+    assert {(r.vod_id, r.t, r["rank"], r.emote, r.uses) for r in got} == want and len(got) == len(want)
+    assert not sum(pairs)
