@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import round_half_even, safe_double
 from ..runtime import checkpointed
-from .intervals import last_marked, numbered, point_join, running_max_before
+from .intervals import CELL_ROWS, last_marked, numbered, running_max_before
 
 MAX_GAP, MAX_BRIDGE_GAP, MIN_SHARED = 20, 45, 2
 MAX_SPAN, MAX_MEMBERS = 240, 2
-# Edges that are decided together.
-CELL_EDGES = 512
+# Edges that are decided together, and those up to which a whole video is one cell.
+CELL_EDGES, VIDEO_EDGES = 512, 64
+# Seconds of a bucket of the join of pairs, and candidates of one that are joined together.
+PAIR_SECONDS, PAIR_ROWS = 300, 1024
 # Lists that are merged side by side on one level of a scan.
 SCAN = 64
 
@@ -123,9 +125,28 @@ def running_context(found: DataFrame, top: int = 5, sure: float = 0.7) -> DataFr
 
 def story_tokens(*texts: Column) -> Column:
     """Distinct words of at least three letters without stop words."""
-    words = F.split(F.lower(F.concat_ws(" ", *texts)), "[^a-z0-9']+")
-    stop = F.array(*[F.lit(w) for w in STOP_WORDS])
-    return F.filter(F.array_except(words, stop), lambda w: F.length(w) >= 3)
+    # Found as matches: cheaper than a split at everything else.
+    words = F.regexp_extract_all(F.lower(F.concat_ws(" ", *texts)), F.lit("[a-z0-9']{3,}"), 0)
+    return F.array_except(words, F.array(*[F.lit(w) for w in STOP_WORDS if len(w) > 2]))
+
+
+def _met(left: DataFrame, right: DataFrame, starts: DataFrame) -> DataFrame:
+    """Pairs of a left candidate and a right one that starts from its start to its ``_reach``.
+
+    Only a bucket in which more than ``PAIR_ROWS`` candidates start is joined in parts, so that rows with
+    their words are not repeated elsewhere.  ``starts``: vod_id, r_start_s of every candidate.
+    """
+    at = F.floor(F.col("r_start_s") / PAIR_SECONDS).alias("_bucket")
+    parts = F.ceil(F.count(F.lit(1)) / PAIR_ROWS).alias("_parts")
+    # At most one row for so many candidates.
+    crowded = F.broadcast(starts.groupBy("vod_id", at).agg(parts).where(F.col("_parts") > 1))
+    part = F.pmod(F.xxhash64("r_pos"), F.coalesce("_parts", F.lit(1)))
+    many = right.withColumn("_bucket", at).join(crowded, ["vod_id", "_bucket"], "left").withColumn("_part", part).drop("_parts")
+    lo, hi = (F.floor(F.col(c) / PAIR_SECONDS) for c in ("l_start_s", "_reach"))
+    few = left.withColumn("_bucket", F.explode(F.sequence(lo, F.greatest(lo, hi)))).join(crowded, ["vod_id", "_bucket"], "left")
+    few = few.withColumn("_part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce("_parts", F.lit(1)) - 1))).drop("_parts")
+    inside = F.col("r_start_s").between(F.col("l_start_s"), F.col("_reach"))
+    return many.join(few, ["vod_id", "_bucket", "_part"]).where(inside).drop("_bucket", "_part")
 
 
 def stitch_pairs(
@@ -157,7 +178,6 @@ def stitch_pairs(
         F.col("l_start_s").alias("r_start_s"), F.col("l_end_s").alias("r_end_s"), F.col("l_pos").alias("r_pos")
     )
     gap = F.col("r_start_s") - F.col("l_end_s")
-    shared = F.array_sort(F.array_intersect("l_tok", "r_tok"))
     same_kind = F.col("l_kind") == F.col("r_kind")
     n = F.col("shared_count")
     near, bridge = F.col("gap_s") <= max_gap, F.col("gap_s") <= max_bridge_gap
@@ -176,22 +196,23 @@ def stitch_pairs(
             ),
         )
     )
-    met = point_join(right, left, bucket=300, at="r_start_s", span=("l_start_s", "_reach"), spread_by=["r_pos"]).where(later)
+    met = _met(left, right, candidates.select("vod_id", F.col("start_s").alias("r_start_s"))).where(later)
     if mergeable:
         # Any other pair is left before its words are compared: it has three points at most.
         met = met.where(same_kind | (gap <= max_gap))
     return (
-        met
+        # Exploded, words are compared once a pair: a filter on what follows from them stays above.
+        met.withColumn("_shared", F.explode(F.array(F.array_intersect("l_tok", "r_tok"))))
         .withColumn("gap_s", gap)
         .withColumn("type_match", same_kind)
-        .withColumn("shared_tokens", shared)
-        .withColumn("shared_count", F.size("shared_tokens"))
+        .withColumn("shared_tokens", F.array_sort("_shared"))
+        .withColumn("shared_count", F.size("_shared"))
         .withColumn("score", score)
         .withColumn("strict_rule", near & (F.col("type_match") | (n >= min_shared)))
         .withColumn("graph_rule", bridge & (F.col("score") >= 4))
         .withColumn("merged", F.col("strict_rule") | F.col("graph_rule"))
         .withColumn("reasons", reasons)
-        .drop("l_tok", "r_tok", "_reach", "l_kind", "r_kind")
+        .drop("l_tok", "r_tok", "_reach", "l_kind", "r_kind", "_shared")
     )
 
 
@@ -304,7 +325,7 @@ def stitch_groups(
 
     Equals taking the mergeable pairs of a video one by one, best first, and
     joining two groups if the result spans at most ``max_span`` seconds and has
-    at most ``max_members`` members.  Islands of time are settled in one round, side by side; parts of a
+    at most ``max_members`` members.  Videos of few edges and islands of time are settled in one round, side by side; parts of a
     large island in rounds, each of which accepts every edge that no better open edge can affect.  Returns ``(members, edges)`` with
     ``members``: vod_id, pos, group_pos; None if no pair may merge.
     """
@@ -318,13 +339,23 @@ def stitch_groups(
         F.col(f"rank.{s}_pos").alias("g"), F.col(f"rank.{s}_start_s").alias("lo"), F.col(f"rank.{s}_end_s").alias("hi"),
         F.lit(1).cast("bigint").alias("n"),
     )
-    live = _edge_cells(edges.drop("reasons", "l_pos", "r_pos"), cell_edges)
-    live = checkpointed(live.withColumns({"l": side("l"), "r": side("r")}))
+    ranks = edges.select("vod_id", "rank")
+    few_edges = min(cell_edges, VIDEO_EDGES)
+    busy = checkpointed(ranks.groupBy("vod_id").count().where(F.col("count") > few_edges).select("vod_id"))
+    no_place = F.lit(0).cast("bigint")
+    whole = F.struct(no_place.alias("_island"), F.struct(no_place.alias("_slice"), no_place.alias("_part")).alias("at"))
     nothing = F.lit(None).cast(edges.schema["rank"].dataType)
-    known = live.where("alone").withColumns({"l_ext": nothing, "r_ext": nothing})
-    parts = live.where("not alone")
-    if not parts.isEmpty():
-        known = known.unionByName(_outside(parts))
+    sides, unknown = {"l": side("l"), "r": side("r")}, {"l_ext": nothing, "r_ext": nothing}
+    crowded = not busy.isEmpty()
+    known = ranks.join(busy, "vod_id", "left_anti") if crowded else ranks
+    known = known.withColumns({"alone": F.lit(True), "cell": whole, **sides, **unknown})
+    if crowded:
+        # Only videos of many edges are cut.
+        live = checkpointed(_edge_cells(ranks.join(busy, "vod_id", "left_semi"), cell_edges).withColumns(sides))
+        known = known.unionByName(live.where("alone").withColumns(unknown))
+        parts = live.where("not alone")
+        if not parts.isEmpty():
+            known = known.unionByName(_outside(parts))
     settled = checkpointed(_settled(known, max_span, max_members))
     won, moved = [], []
     while True:
@@ -431,10 +462,15 @@ def stitch(
         arcs = arcs.join(reasons, key, "left").withColumn("merge_reasons", F.coalesce("merge_reasons", single))
     else:
         arcs = arcs.withColumn("merge_reasons", single)
+    order = ["start_s", "_first_end", "_first_pos"]
+    most = candidates.groupBy("vod_id").count().agg(F.max("count")).first()[0] or 0
+    if most <= CELL_ROWS:
+        # Every video is one cell.
+        arcs = arcs.withColumn("_no", F.row_number().over(Window.partitionBy("vod_id").orderBy(*order)) - 1)
+    else:
+        arcs = numbered(arcs, order=order, block=F.floor(F.col("start_s") / 3600), out="_no")
     return (
-        numbered(
-            arcs, order=["start_s", "_first_end", "_first_pos"], block=F.floor(F.col("start_s") / 3600), out="_no"
-        )
+        arcs
         .withColumn("arc_no", F.col("_no") + 1)
         .withColumn("stitched_id", F.format_string("stitched_%d_%d_%d", "start_s", "end_s", "arc_no"))
         .drop("group_pos", "_first_end", "_first_pos", "_no")

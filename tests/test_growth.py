@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from momentlake.operators import annotations, chat, context, games, intervals, speakers
+from momentlake.operators import annotations, chat, context, games, intervals, speakers, stitching
 
 
 def recorded(monkeypatch, module, name):
@@ -157,3 +157,53 @@ def test_a_point_costs_two_rows_an_emote(spark, monkeypatch):
         want |= {(vod, t, r, e, len(uses[e])) for r, e in enumerate(best, 1)}
     assert {(r.vod_id, r.t, r["rank"], r.emote, r.uses) for r in got} == want and len(got) == len(want)
     assert not sum(pairs)
+
+
+def stories(spark, n, videos):
+    words = ("big laugh", "donation alert", "chat loses it", "viewer story", "quick laugh alert")
+    rows = [
+        (i % videos, i, f"c{i}", i * 37 % 900, i * 37 % 900 + 20 + i * 79 % 61, ("story", "reaction", "")[i % 3], words[i % 5], words[i * 7 % 5],
+         [words[i % 4]], 0.5)
+        for i in range(n)
+    ]
+    kinds = "vod_id long, pos long, candidate_id string, start_s long, end_s long, narrative_type string, trigger string, payoff string"
+    return rows, spark.createDataFrame(rows, kinds + ", evidence_lines array<string>, confidence double")
+
+
+def test_words_are_compared_once_a_pair(spark, monkeypatch):
+    monkeypatch.setattr(stitching, "PAIR_ROWS", 7)
+    rows, candidates = stories(spark, 300, 3)
+    pairs = stitching.stitch_pairs(candidates)
+    got = {(r.l_pos, r.r_pos): (r.shared_count, r.score) for r in pairs.collect()}
+    want = {}
+    for a in rows:
+        for b in rows:
+            if a[0] == b[0] and (a[3], a[4], a[1]) < (b[3], b[4], b[1]) and b[3] <= a[4] + 45:
+                tok = [{w for w in " ".join([x[6], x[7], x[5] or "", *x[8]]).split() if len(w) > 2 and w != "chat"} for x in (a, b)]
+                n = len(tok[0] & tok[1])
+                want[a[1], b[1]] = (n, 1 + (b[3] - a[4] <= 20) + 2 * (a[5] == b[5]) + min(n, 2))
+    assert got == want
+    shown = stitching.notable_pairs(pairs, 3).select("l_pos", "r_pos", "score", "rank")
+    assert shown._jdf.queryExecution().optimizedPlan().toString().count("array_intersect(") == 1
+
+
+def test_videos_of_few_edges_are_not_cut(spark, monkeypatch):
+    cut, inner = [], stitching._edge_cells
+    monkeypatch.setattr(stitching, "_edge_cells", lambda edges, n: cut.append(edges.select("vod_id").distinct().count()) or inner(edges, n))
+    rows, few = stories(spark, 60, 6)
+    pairs = {(r.l_pos, r.r_pos): r for r in stitching.stitch_pairs(few).collect()}
+    arcs = {tuple(r.source_candidate_ids) for r in stitching.stitch(few).collect()}
+    used, joined = set(), set()
+    span = lambda r: max(r.l_end_s, r.r_end_s) - r.l_start_s
+    order = lambda r: (-r.score, r.gap_s, r.l_start_s, r.l_end_s, r.l_pos, r.r_start_s, r.r_end_s, r.r_pos)
+    for r in sorted((r for r in pairs.values() if r.merged and span(r) <= 240), key=order):
+        if not used & {r.l_pos, r.r_pos}:
+            used |= {r.l_pos, r.r_pos}
+            joined.add((f"c{r.l_pos}", f"c{r.r_pos}"))
+    assert joined and arcs == joined | {(f"c{r[1]}",) for r in rows if r[1] not in used}
+    assert cut == []
+    # One video of many edges beside them is cut alone, and changes nothing for the others.
+    many = stories(spark, 900, 1)[1].withColumns({"vod_id": F.lit(9).cast("long"), "candidate_id": F.concat(F.lit("x"), "candidate_id")})
+    both = stitching.stitch(few.unionByName(many)).collect()
+    assert {tuple(r.source_candidate_ids) for r in both if r.vod_id < 9} == arcs
+    assert cut == [1]
