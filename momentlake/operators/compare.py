@@ -152,18 +152,46 @@ def _closest(frontier: DataFrame) -> DataFrame:
     )
 
 
+def _nearest_in_lists(base: DataFrame, keys: DataFrame, names: list[str]) -> DataFrame:
+    """Nearest keys in videos of at most ``LEAF`` keys a set: one row a video holds them as short lists."""
+    own = lambda n: F.collect_list(F.when(F.col("which") == n, F.struct("start_s", "end_s"))).alias(f"_{n}")
+    lists = keys.groupBy("vod_id").agg(*[own(n) for n in names])
+
+    def rank(c: Column) -> Column:
+        ds, de = F.abs(c["start_s"] - F.col("start_s")), F.abs(c["end_s"] - F.col("end_s"))
+        return F.struct((ds + de).alias("d"), ds.alias("ds"), de.alias("de"), (-c["start_s"]).alias("s"), (-c["end_s"]).alias("e"))
+
+    best = base.join(lists, "vod_id", "left").select(
+        "vod_id", "start_s", "end_s", *[F.array_min(F.transform(f"_{n}", rank)).alias(f"_{n}") for n in names]
+    )
+    shown = [(-F.col(f"`_{n}`")[end]).alias(f"{n}_{name}") for n in names for name, end in (("start", "s"), ("end", "e"))]
+    return best.select("vod_id", "start_s", "end_s", *shown)
+
+
 def nearest_keys(missed: DataFrame, sets: dict[str, DataFrame]) -> DataFrame:
     """For each missed key the nearest key of each set, as ``<set>_start`` and ``<set>_end``.
 
     Nearest by the sum of both distances, then start distance, end distance,
-    larger start, larger end.  The search goes down a grid of (start, end) cells
+    larger start, larger end.  Videos of few keys are searched as lists, others by a grid.
+    """
+    sides = [clip_keys(df).withColumn("which", F.lit(n)) for n, df in sets.items()]
+    keys = checkpointed(reduce(DataFrame.unionAll, sides))
+    base, names = clip_keys(missed), list(sets)
+    dense = keys.groupBy("vod_id", "which").count().where(F.col("count") > LEAF).select("vod_id").distinct()
+    dense = checkpointed(dense)
+    if dense.isEmpty():
+        return _nearest_in_lists(base, keys, names)
+    base = checkpointed(base)
+    few, many = (tuple(df.join(dense, "vod_id", how) for df in (base, keys)) for how in ("left_anti", "left_semi"))
+    return _nearest_in_lists(*few, names).unionByName(_nearest_in_grid(*many, names))
+
+
+def _nearest_in_grid(base: DataFrame, keys: DataFrame, names: list[str]) -> DataFrame:
+    """Nearest keys in any video.  The search goes down a grid of (start, end) cells
     from the widest: a cell of more than ``LEAF`` keys is replaced by the cells in it, and cells that
     cannot hold the nearest key, by the bounds of their keys, are dropped.  So a query meets the keys
     of a few small cells however dense or empty its surroundings are.
     """
-    sides = [clip_keys(df).withColumn("which", F.lit(n)) for n, df in sets.items()]
-    keys = checkpointed(reduce(DataFrame.unionAll, sides))
-    base = clip_keys(missed)
     widest = keys.agg(F.max(F.greatest(F.abs("start_s"), F.abs("end_s"))).alias("w")).first()["w"] or 0
     top = max(1, -(-int(widest + 1).bit_length() // FAN_BITS))
     placed, cells = _grid(keys, top)
@@ -194,9 +222,9 @@ def nearest_keys(missed: DataFrame, sets: dict[str, DataFrame]) -> DataFrame:
         .groupBy(*_QUERY)
         .agg(F.min(F.struct((ds + de).alias("d"), ds.alias("ds"), de.alias("de"), (-F.col("start_s")).alias("s"), (-F.col("end_s")).alias("e"))).alias("b"))
     )
-    nearest = found.groupBy("vod_id", "q_s", "q_e").pivot("which", list(sets)).agg(F.first("b"))
+    nearest = found.groupBy("vod_id", "q_s", "q_e").pivot("which", names).agg(F.first("b"))
     shown = [
-        (-F.col(f"`{n}`")[end]).alias(f"{n}_{name}") for n in sets for name, end in (("start", "s"), ("end", "e"))
+        (-F.col(f"`{n}`")[end]).alias(f"{n}_{name}") for n in names for name, end in (("start", "s"), ("end", "e"))
     ]
     out = nearest.select("vod_id", F.col("q_s").alias("start_s"), F.col("q_e").alias("end_s"), *shown)
     return base.join(out, ["vod_id", "start_s", "end_s"], "left")

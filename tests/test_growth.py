@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from momentlake.operators import annotations, chat, context, games, intervals, speakers, stitching
+from momentlake.operators import annotations, chat, compare, context, games, intervals, speakers, stitching
 
 
 def recorded(monkeypatch, module, name):
@@ -207,3 +207,28 @@ def test_videos_of_few_edges_are_not_cut(spark, monkeypatch):
     both = stitching.stitch(few.unionByName(many)).collect()
     assert {tuple(r.source_candidate_ids) for r in both if r.vod_id < 9} == arcs
     assert cut == [1]
+
+
+def test_only_videos_of_many_keys_are_searched_by_a_grid(spark, monkeypatch):
+    gridded, inner = [], compare._grid
+    monkeypatch.setattr(compare, "_grid", lambda keys, top: gridded.append({r.vod_id for r in keys.select("vod_id").distinct().collect()}) or inner(keys, top))
+    key = "vod_id long, start_s long, end_s long"
+    few = [(i % 7, i * 37 % 90, i * 37 % 90 + i % 11) for i in range(140)]
+    many = [(9, i * 41 % 400, i * 41 % 400 + i % 13) for i in range(200)]
+    other = [(v, s + 3, e + 1) for v, s, e in few if v % 2]
+    missed = [(v, s + 1, e) for v, s, e in few + many] + [(50, 1, 2), (None, 1, 2)]
+
+    def check(rows):
+        sets = {"a": rows, "b": other}
+        got = compare.nearest_keys(spark.createDataFrame(missed, key), {n: spark.createDataFrame(r, key) for n, r in sets.items()}).collect()
+        assert len(got) == len(set(missed))
+        for r in got:
+            for n, of in sets.items():
+                far = lambda s, e: (abs(s - r.start_s) + abs(e - r.end_s), abs(s - r.start_s), abs(e - r.end_s), -s, -e)  # noqa: E731, B023
+                best = min(((s, e) for v, s, e in of if v == r.vod_id), key=lambda x: far(*x), default=(None, None))
+                assert (r[f"{n}_start"], r[f"{n}_end"]) == best
+
+    check(few)
+    assert gridded == []
+    check(few + many)
+    assert gridded == [{9}]
