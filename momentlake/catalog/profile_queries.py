@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from ..adapters import entity, table, with_entities
 from ..functions import text as X
 from ..operators import profiles
-from ..runtime import shared_folder
+from ..runtime import checkpointed, shared_folder
 from ..sources import logs
 from . import query
 
@@ -124,7 +124,8 @@ def stored_profile(spark, sf_dir):
     none = F.array().cast("array<string>")
     first = _stored(spark, sf_dir).withColumns({"added": F.lit(False), "batches": none})
     first.write.partitionBy("streamer_id").parquet(folder)
-    accepted = _disposed(spark, sf_dir).where("disposition = 'accept'")
+    # Both merges read it more than once: the texts are normalised for the first only.
+    accepted = checkpointed(_disposed(spark, sf_dir).where("disposition = 'accept'"))
     for _ in range(2):
         logs.merge_claims(accepted, folder, "tuesday")
     return logs.read_profile(spark, folder).drop("batches").withColumn("evidence_refs", F.array_join("evidence_refs", ","))

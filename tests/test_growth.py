@@ -232,3 +232,15 @@ def test_only_videos_of_many_keys_are_searched_by_a_grid(spark, monkeypatch):
     assert gridded == []
     check(few + many)
     assert gridded == [{9}]
+
+
+def test_accepted_claims_are_made_once_for_two_merges(spark, monkeypatch):
+    from momentlake.catalog import profile_queries
+
+    plans, inner = [], profile_queries.logs.merge_claims
+    monkeypatch.setattr(
+        profile_queries.logs, "merge_claims",
+        lambda accepted, *at: plans.append(accepted._jdf.queryExecution().optimizedPlan().toString()) or inner(accepted, *at),
+    )
+    assert profile_queries.stored_profile(spark, "/root/testdata/sf0.001").count() > 0
+    assert len(plans) == 2 and not [p for p in plans if "sha2" in p or "parquet" in p]
