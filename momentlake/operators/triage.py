@@ -118,11 +118,14 @@ def review_budgets(
     )
 
 
-def lane_reason(reasons: Column, lane: str, synonyms: tuple[str, ...]) -> Column:
-    """The lane name if given as a reason, else the first synonym in the alphabet, else NULL."""
-    lowered = F.transform(reasons, lambda r: F.lower(F.trim(r)))
-    hits = F.array_sort(F.array_intersect(lowered, F.array(*[F.lit(s) for s in synonyms])))
-    return F.when(F.array_contains(lowered, lane), F.lit(lane)).otherwise(F.get(hits, 0))
+def lowered_reasons(reasons: Column) -> Column:
+    return F.transform(reasons, lambda r: F.lower(F.trim(r)))
+
+
+def lane_reason(lowered: Column, lane: str, synonyms: tuple[str, ...]) -> Column:
+    """The lane name if given among ``lowered_reasons``, else the first synonym in the alphabet, else NULL."""
+    hits = F.array_intersect(lowered, F.array(*[F.lit(s) for s in synonyms]))
+    return F.when(F.array_contains(lowered, lane), F.lit(lane)).otherwise(F.array_min(hits))
 
 
 def _manifest_clips(manifest: DataFrame) -> DataFrame:
@@ -199,11 +202,14 @@ def vision_shortlist(
     top = top_candidates(candidates, limit)
     if budgets is None:
         budgets = review_budgets(top)
-    reasons = F.col("selection_reasons")
-    lanes = F.array(*[lane_reason(reasons, lane, synonyms) for lane, synonyms in LANES.items()]).alias("lanes")
-    sentinel = lane_reason(reasons, SENTINEL_REASON, SENTINEL_LANE).alias("sentinel")
-    rows = top.select("vod_id", F.struct(F.col("rank").alias("r"), "start_s", lanes, sentinel).alias("c"))
-    cands = rows.groupBy("vod_id").agg(F.array_sort(F.collect_list("c")).alias("cands"))
+    # Reasons are lowered once a candidate, not once a lane.
+    low = F.col("_low")
+    lanes = F.array(*[lane_reason(low, lane, synonyms) for lane, synonyms in LANES.items()]).alias("lanes")
+    sentinel = lane_reason(low, SENTINEL_REASON, SENTINEL_LANE).alias("sentinel")
+    rows = top.withColumn("_low", lowered_reasons(F.col("selection_reasons"))).select(
+        "vod_id", F.struct(F.col("rank").alias("r"), "start_s", lanes, sentinel).alias("c")
+    )
+    cands = rows.groupBy("vod_id").agg(F.sort_array(F.collect_list("c")).alias("cands"))
     no_cands = F.array().cast(cands.schema["cands"].dataType)
     videos = (
         budgets.where(F.col("budget") > 0)

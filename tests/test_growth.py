@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from momentlake.operators import annotations, chat, compare, context, games, intervals, speakers, stitching
+from momentlake.operators import annotations, chat, compare, context, games, intervals, speakers, stitching, triage
 
 
 def recorded(monkeypatch, module, name):
@@ -244,3 +244,20 @@ def test_accepted_claims_are_made_once_for_two_merges(spark, monkeypatch):
     )
     assert profile_queries.stored_profile(spark, "/root/testdata/sf0.001").count() > 0
     assert len(plans) == 2 and not [p for p in plans if "sha2" in p or "parquet" in p]
+
+
+def test_reasons_are_lowered_once_a_candidate(spark):
+    rows = spark.createDataFrame(
+        [(1, 1, "a", 0, 20, 0, 20, 3.0, 0.5, "none", ["top"], ["e"], [], []),
+         (1, 2, "b", 40, 60, 40, 60, 2.0, 0.5, "none", [" Sound", "LAUGHTER ", None], ["e"], [], []),
+         (1, 3, "c", 80, 99, 80, 99, 1.0, 0.5, "none", ["Laugh", "laughter"], ["e"], [], [])],
+        "vod_id bigint, pos bigint, candidate_id string, start_s bigint, end_s bigint, trim_start bigint, trim_end bigint, "
+        "triage_score double, triage_confidence double, vision_need string, selection_reasons array<string>, "
+        "evidence_lines array<string>, risk_flags array<string>, annotation_refs array<string>",
+    )
+    manifest = spark.createDataFrame([(1, "m", 0, 30)], "vod_id bigint, clip_id string, start_s bigint, end_s bigint")
+    out = triage.vision_shortlist(rows, manifest, budgets=triage.review_budgets(rows, 1.0, 3, 3))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("lower(trim(lambda") == 1
+    assert {(r.candidate_id, r.selection_reason) for r in out.collect()} == {
+        ("a", "text_top_rank"), ("b", "sound"), ("c", "laugh")}
