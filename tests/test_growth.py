@@ -261,3 +261,34 @@ def test_reasons_are_lowered_once_a_candidate(spark):
     assert plan.count("lower(trim(lambda") == 1
     assert {(r.candidate_id, r.selection_reason) for r in out.collect()} == {
         ("a", "text_top_rank"), ("b", "sound"), ("c", "laugh")}
+
+
+def joined_rows(df):
+    """Rows of the two sides of the topmost join, and the operator that joins them."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    while plan.children().size() == 1:
+        plan = plan.children().apply(0)
+    spark = df.sparkSession
+    sides = [spark._jvm.org.apache.spark.sql.classic.Dataset.ofRows(spark._jsparkSession, plan.children().apply(i)) for i in (0, 1)]
+    kind = next(x for x in ("SortMergeJoin", "BroadcastHashJoin", "ShuffledHashJoin") if x in df._jdf.queryExecution().executedPlan().toString())
+    return sorted(x.count() for x in sides), kind
+
+
+def pairs_of_rows(clips, points):
+    return sorted(((c[1], p[1]) for c in clips for p in points if c[0] == p[0] and None not in (c[0], c[2], p[2]) and c[2] <= p[2] <= c[3]), key=str)
+
+
+CLIPS = [(v, i, max(0.0, i * 61 % 4000 - 300.0), i * 61 % 4000 + 300.0) for v in (1, 2) for i in range(40)] + [(None, 98, 0.0, 9.0), (1, 99, None, 9.0)]
+
+
+def test_messages_of_clips_are_merged_not_broadcast(spark, monkeypatch):
+    clips = spark.createDataFrame(CLIPS, "vod_id long, clip_id long, lo double, hi double")
+    # One busy second, equal rows, no time, no video.
+    rows = [(1, i, 1200, "u", "m") for i in range(100)] + [(2, i, i * 97 % 4100, None, "m") for i in range(50)] * 2
+    rows += [(1, 500, None, "u", "m"), (None, 501, 5, "u", "m")]
+    chat = spark.createDataFrame(rows, "vod_id long, pos long, t long, usr string, message string")
+    for most in (16, 1 << 14):
+        monkeypatch.setattr(intervals, "PART_ROWS", most, raising=False)
+        met = context.clip_chat(clips, chat)
+        assert joined_rows(met)[1] == "SortMergeJoin"
+        assert sorted(((r.clip_id, r.pos) for r in met.collect()), key=str) == pairs_of_rows(CLIPS, rows)
