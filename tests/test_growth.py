@@ -281,8 +281,15 @@ def pairs_of_rows(clips, points):
 CLIPS = [(v, i, max(0.0, i * 61 % 4000 - 300.0), i * 61 % 4000 + 300.0) for v in (1, 2) for i in range(40)] + [(None, 98, 0.0, 9.0), (1, 99, None, 9.0)]
 
 
+def clip_table(spark):
+    """A table of a size that Spark knows, so that it may choose to broadcast it."""
+    cast = "cast({} as bigint), cast({} as bigint), cast({} as double), cast({} as double)".format
+    rows = ", ".join(f"({cast(*('null' if x is None else x for x in c))})" for c in CLIPS)
+    return spark.sql(f"select * from values {rows} as t(vod_id, clip_id, lo, hi)")
+
+
 def test_messages_of_clips_are_merged_not_broadcast(spark, monkeypatch):
-    clips = spark.createDataFrame(CLIPS, "vod_id long, clip_id long, lo double, hi double")
+    clips = clip_table(spark)
     # One busy second, equal rows, no time, no video.
     rows = [(1, i, 1200, "u", "m") for i in range(100)] + [(2, i, i * 97 % 4100, None, "m") for i in range(50)] * 2
     rows += [(1, 500, None, "u", "m"), (None, 501, 5, "u", "m")]
@@ -292,3 +299,13 @@ def test_messages_of_clips_are_merged_not_broadcast(spark, monkeypatch):
         met = context.clip_chat(clips, chat)
         assert joined_rows(met)[1] == "SortMergeJoin"
         assert sorted(((r.clip_id, r.pos) for r in met.collect()), key=str) == pairs_of_rows(CLIPS, rows)
+
+
+def test_clips_are_not_repeated_for_quiet_buckets(spark):
+    clips = clip_table(spark)
+    rows = [(v, i, i * 61 % 4000, i, "m") for v in (1, 2) for i in range(40)]
+    lines = spark.createDataFrame(rows, "vod_id long, pos long, start_s long, end_s long, text string")
+    met = context.clip_lines(clips, lines)
+    # A clip of ten minutes touches two buckets at most.
+    assert joined_rows(met)[0][1] <= 2 * len(CLIPS)
+    assert sorted(((r.clip_id, r.pos) for r in met.collect()), key=str) == pairs_of_rows(CLIPS, rows)
