@@ -129,8 +129,14 @@ def final_clips(
     context.  Clips whose trim leaves their bounds are dropped before
     titles are compared.
     """
-    # Scored clips are a stage result that is read several times below.
-    scored = checkpointed(scored)
+    # Scored clips are a stage result that is read several times.
+    return final_of_written(
+        checkpointed(scored), min_score=min_score, max_clips=max_clips, fallback_top_n=fallback_top_n
+    )
+
+
+def final_of_written(scored: DataFrame, *, min_score: float, max_clips: int, fallback_top_n: int) -> DataFrame:
+    """:func:`final_clips` for scored clips that the caller has checkpointed, so they are not written twice."""
     ts, te = F.col("final_trim_start"), F.col("final_trim_end")
     sound = (te > ts) & (ts >= F.col("start_s")) & (te <= F.col("end_s"))
     title = T.guard_title(

@@ -10,6 +10,7 @@ from ..operators import context, scoring, selection, stitching, trim
 from ..runtime import checkpointed
 
 _KEY = ["vod_id", "clip_id"]
+_UNPUBLISHED = ["penalty_trace", "hard_gates", "rejection_reasons", "merge_reasons", "source_candidate_ids", "source_windows"]
 
 
 def with_times_and_link(clips: DataFrame, base_url: str) -> DataFrame:
@@ -34,11 +35,14 @@ def scored_arcs(
         arcs.select(*_KEY, "start_s", "end_s"), "start_s",
         F.greatest(F.lit(15.0), (F.col("end_s") - F.col("start_s")).cast("double")),
     )
+    # Steps of many wide shuffles are written one by one: their files are gone before the next one begins.
+    voices = checkpointed(context.speaker_stats(bounds, turns, names))
+    silence = checkpointed(context.dead_air(bounds, segments))
     rows = (
         arcs.withColumn("pos", F.col("arc_no"))
         .join(analysed, _KEY)
-        .join(context.dead_air(bounds, segments), _KEY)
-        .join(context.speaker_stats(bounds, turns, names), _KEY)
+        .join(silence, _KEY)
+        .join(voices, _KEY)
         # A clip without any turn has an unknown voice; titles are then guarded as well.
         .withColumn("primary_speaker_identity", F.coalesce("primary_speaker_identity", F.lit("unknown")))
     )
@@ -51,8 +55,11 @@ def published_clips(scored: DataFrame, energies: DataFrame, base_url: str, *, ma
     ``scored`` comes from :func:`scored_arcs`.  Videos without an eligible clip
     publish their three best ones.
     """
-    scored = checkpointed(scored)
-    chosen = checkpointed(selection.final_clips(scored, max_clips=max_clips, fallback_top_n=3))
+    # Traces of the first scoring and the making of an arc are not published.
+    scored = checkpointed(scored.drop(*_UNPUBLISHED))
+    chosen = checkpointed(
+        selection.final_of_written(scored, min_score=scoring.MIN_FINAL_SCORE, max_clips=max_clips, fallback_top_n=3)
+    )
     trimmed = trim.loudest_passage(
         trim.attach_energies(chosen.select(*_KEY, "start_s", "end_s", "trim_start", "trim_end"), energies)
     ).drop("start_s", "end_s")

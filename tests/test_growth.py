@@ -1,8 +1,13 @@
 """What the steps of a query hand on grows with their input, not with pairs of it."""
 
+import time
+
 from pyspark.sql import functions as F
 
-from momentlake.operators import annotations, chat, compare, context, games, intervals, speakers, stitching, triage
+from momentlake import runtime
+from momentlake.catalog import selection_queries
+from momentlake.operators import annotations, chat, compare, context, games, intervals, selection, speakers, stitching, triage
+from momentlake.plans import publish
 
 
 def recorded(monkeypatch, module, name):
@@ -309,3 +314,58 @@ def test_clips_are_not_repeated_for_quiet_buckets(spark):
     # A clip of ten minutes touches two buckets at most.
     assert joined_rows(met)[0][1] <= 2 * len(CLIPS)
     assert sorted(((r.clip_id, r.pos) for r in met.collect()), key=str) == pairs_of_rows(CLIPS, rows)
+
+
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def shuffle_files(spark):
+    found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {n for n in (found.apply(i).getName() for i in range(found.size())) if n.startswith("shuffle_")}
+
+
+def test_shuffle_files_behind_a_checkpoint_are_removed(spark):
+    before = shuffle_files(spark)
+    setting = spark.conf.get(CLEANUP, None)
+    sums = runtime.checkpointed(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count())
+    for _ in range(50):
+        if shuffle_files(spark) <= before:
+            break
+        time.sleep(0.2)
+    assert shuffle_files(spark) <= before
+    assert spark.conf.get(CLEANUP, None) == setting
+    assert sorted((r["k"], r["count"]) for r in sums.collect()) == [(k, 143 if k < 6 else 142) for k in range(7)]
+
+
+def test_scored_clips_are_written_once(spark, monkeypatch):
+    written = []
+    for module in (publish, selection):
+        inner = module.checkpointed
+        monkeypatch.setattr(module, "checkpointed", lambda df, inner=inner: written.append(df.columns) or inner(df))
+    out = selection_queries.published_clips(spark, "/root/testdata/sf0.001")
+    scored = [c for c in written if "final_score" in c and "clip_worthiness" in c]
+    assert len(scored) == 1 and "penalty_trace" not in scored[0]
+    assert out.columns[:3] == ["vod_id", "rank", "clip_id"]
+
+
+def test_turns_are_shuffled_once_for_all_widths(spark):
+    turns = [(1, i, i * 13 % 400, i * 13 % 400 + 1 + i % 70, "ab"[i % 2], "streamer" if i % 3 else "guest") for i in range(60)]
+    voices = spark.createDataFrame(
+        [(*t, None, 0.5) for t in turns], "vod_id long, pos long, _ts long, _te long, label string, who string, who_name string, conf double"
+    )
+    asked = [(1, w, b, x * w, e) for w in (4.0, 16.0, 64.0) for b in (0, 1, 5) for x in (0.25, 0.75) for e in (True, False)]
+    points = spark.createDataFrame([*asked, (2, 4.0, 0, 1.0, True)], "vod_id long, _w double, _block long, _x double, _ends boolean")
+    totals = context._block_totals(points, voices)
+    assert totals._jdf.queryExecution().executedPlan().toString().count("Exchange ") == 1
+    want = {}
+    for v, w, b, x, e in asked:
+        for _, pos, ts, te, label, who in turns:
+            # Before the point count turns that begin in the block, after it all that reach past it.
+            lo, hi = (b * w + x, b * w + w) if e else (b * w, b * w + x)
+            if max(0, min(te, hi) - max(ts, lo)) > 0 or (not e and b * w <= ts < hi):
+                n = want.setdefault((v, w, b, x, e, label), [0, 0, 0])
+                n[0] += max(0, min(te, hi) - max(ts, lo))
+                n[1] += max(0, min(te, hi) - max(ts, lo)) * (who == "streamer")
+                n[2] += 1 if e or ts >= b * w else 0
+    got = {(r.vod_id, r._w, r._block, r._x, r._ends, r.label): [r.seconds, r.streamer_seconds, r.turns] for r in totals.collect()}
+    assert {k: n for k, n in got.items() if n[0] or n[2]} == want
